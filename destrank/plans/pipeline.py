@@ -1,0 +1,153 @@
+"""The pipeline's capabilities as composable DataFrame functions.
+
+C1 recommendations, C2 weighted ranking + top-5, C3 map table of the
+best places, C4 best hotels in them, C5 unweighted ranking, C6 forecast
+collection, C7 hotel collection, C8 the whole batch as one application.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from destrank.functions.numeric import coerce_numeric, nan_to_null
+from destrank.operators import quality
+from destrank.operators.enrich import semi_filter
+from destrank.operators.pages import collect_hotels
+from destrank.operators.ranking import DEFAULT_WEIGHTS, rank_sum, top_k, weighted_score
+from destrank.operators.rollup import daily_rollup, place_means
+from destrank.sources import files
+from destrank.sources.landing import flatten_forecasts, readings_for_places
+
+TOP_PLACES = 5
+TOP_HOTELS = 20
+RAIN_WEIGHT = 10.0
+
+
+def recommendations(weather: DataFrame, hotels: DataFrame, key: str = "city") -> DataFrame:
+    """Mean warmth and rain per place, mean hotel score per place,
+    score = avg_temp - avg_rain * 10 + avg_score, best first.
+
+    Places missing on either side are dropped (inner join); a place whose
+    hotels carry no usable score keeps a NULL score and sorts last.
+    Both sides are reduced to one row per place before the join, and the
+    join reuses the aggregation's hash partitioning.
+    """
+    weather_avg = (
+        weather.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(
+            F.avg(nan_to_null(F.col("temp_max").cast("double"))).alias("avg_temp"),
+            F.avg(nan_to_null(F.col("pop").cast("double"))).alias("avg_rain"),
+        )
+    )
+    hotels_avg = (
+        hotels.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.avg(coerce_numeric("score")).alias("avg_score"))
+    )
+    score = F.col("avg_temp") - F.col("avg_rain") * F.lit(RAIN_WEIGHT) + F.col("avg_score")
+    return (
+        weather_avg.join(hotels_avg, key)
+        .withColumn("score", score)
+        .orderBy(F.col("score").desc_nulls_last(), F.col(key))
+    )
+
+
+def place_scores(weather: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS, key: str = "city") -> DataFrame:
+    """Per-place means, then the weighted rank score."""
+    return weighted_score(place_means(weather, key), weights)
+
+
+def top_places(scores: DataFrame, k: int = TOP_PLACES, key: str = "city") -> DataFrame:
+    """The ``k`` best places (ties by key)."""
+    return top_k(scores, k, "score", (key,))
+
+
+def notebook_ranking(weather: DataFrame, key: str = "city") -> DataFrame:
+    """Unweighted rank sum over the four means."""
+    means = place_means(
+        weather,
+        key,
+        {"avg_temp_max": "temp_max", "avg_temp_min": "temp_min", "avg_humidity": "humidity", "avg_pop": "pop"},
+    )
+    return rank_sum(means)
+
+
+def top_map(cities: DataFrame, top: DataFrame, key: str = "city") -> DataFrame:
+    """Coordinates of the best places with their score.
+
+    ``top`` is a top-k table, so broadcasting it is bounded by k rows.
+    """
+    return cities.join(F.broadcast(top.select(key, "score")), key).select(key, "latitude", "longitude", "score")
+
+
+def top_hotels(hotels: DataFrame, top: DataFrame, k: int = TOP_HOTELS, key: str = "city") -> DataFrame:
+    """C4: the ``k`` best-scored hotels located in the best places.
+
+    Scores are coerced to numbers (text becomes NULL and sorts last);
+    ties are broken by URL so the cut is deterministic.
+    """
+    in_top = semi_filter(hotels, top, key, bounded=True).withColumn("score", coerce_numeric("score"))
+    return top_k(in_top, k, "score", ("url",)).select("name", key, "latitude", "longitude", "score")
+
+
+def forecast_collection(places: DataFrame, responses: DataFrame) -> DataFrame:
+    """Landed forecast responses -> one weather row per place and day."""
+    readings = readings_for_places(places, flatten_forecasts(responses))
+    return daily_rollup(readings).select(
+        "city", "date", "temp_min", "temp_max", "humidity", "pop", "description"
+    )
+
+
+def hotel_collection(search_pages: DataFrame, detail_pages: DataFrame) -> DataFrame:
+    """Crawled search and detail pages -> hotel rows."""
+    return collect_hotels(search_pages, detail_pages)
+
+
+@dataclass
+class PipelineResult:
+    recommendations: DataFrame
+    scores: DataFrame
+    top_places: DataFrame
+    top_map: DataFrame
+    top_hotels: DataFrame
+    counts: dict[str, int]
+
+
+def run_pipeline(
+    spark: SparkSession,
+    weather: DataFrame,
+    hotels: DataFrame,
+    cities: DataFrame,
+    out_dir: str | None = None,
+    weights: Sequence[int] = DEFAULT_WEIGHTS,
+    key: str = "city",
+) -> PipelineResult:
+    """The scheduled batch as one application.
+
+    The per-place means are small (one row per place); they are
+    checkpointed to the shared checkpoint folder so the ranking's stats
+    job and the final tables do not re-read the readings, and a lost
+    executor never forces a recompute from the raw data. When
+    ``out_dir`` is given the tables are written there as CSV and the row
+    counts come from observations on those writes.
+    """
+    means = place_means(weather, key).checkpoint()
+    scores = weighted_score(means, weights)
+    top = top_places(scores, TOP_PLACES, key).checkpoint()
+    tables = {
+        "recommendations": recommendations(weather, hotels, key),
+        "top_map": top_map(cities, top, key),
+        "top_hotels": top_hotels(hotels, top, TOP_HOTELS, key),
+    }
+    counts: dict[str, int] = {}
+    if out_dir is not None:
+        for name, df in tables.items():
+            watched, obs = quality.observed(df, name)
+            files.write_csv(watched, f"{out_dir.rstrip('/')}/{name}")
+            counts[name] = int(obs.get["rows"])
+    return PipelineResult(tables["recommendations"], scores, top, tables["top_map"], tables["top_hotels"], counts)
