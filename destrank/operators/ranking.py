@@ -15,7 +15,8 @@ into one task, so ranks are computed from a value histogram instead:
    ``criteria x groups x N`` rows) give each bucket its offset.
 4. Inside a bucket a windowed running count gives the number of rows
    strictly before the value; the average rank is
-   ``offset + before + (count + 1) / 2``.
+   ``offset + before + (count + 1) / 2``. When every criterion fits in
+   one bucket (``N = 1``) steps 3's offsets are all zero and skipped.
 5. Ranks are joined back on the value; histograms whose size the stats
    job proved small are broadcast, larger ones go through a shuffle join
    that adaptive execution splits if a value is hot.
@@ -73,11 +74,17 @@ def average_ranks(
     ``specs`` holds ``RankSpec(source, output, ascending)`` (or tuples of
     the same). With ``partition_by`` ranks restart in every group.
     NULL and NaN values get a NULL rank and do not take a position.
+
+    Runs two small jobs eagerly (histogram checkpoint + stats, ranked
+    histogram checkpoint); both land in the shared checkpoint folder, so
+    the input is computed once for the histogram and once for the final
+    join, and a lost executor never forces a recompute of the ranking.
     """
     specs = [s if isinstance(s, RankSpec) else RankSpec(*s) for s in specs]
     part = list(partition_by)
     values = [nan_to_null(F.col(s.source).cast("double")) for s in specs]
 
+    # Step 1: value histogram, map-side combined.
     entries = F.array(*[F.struct(F.lit(i).alias("c"), v.alias("v")) for i, v in enumerate(values)])
     hist = (
         df.select(*part, F.explode(entries).alias("_e"))
@@ -85,6 +92,7 @@ def average_ranks(
         .where(F.col("_v").isNotNull())
         .groupBy("_c", *part, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .checkpoint()
     )
 
     # Step 2: one small job, at most len(specs) rows of GRID numbers.
@@ -98,45 +106,47 @@ def average_ranks(
         )
         .collect()
     }
-    split_points = {i: _splits(stats.get(i, (0, None))[1], stats.get(i, (0, None))[0], rows_per_bucket)
-                    for i in range(len(specs))}
+    sizes = {i: stats.get(i, (0, None))[0] for i in range(len(specs))}
+    split_points = {i: _splits(stats.get(i, (0, None))[1], sizes[i], rows_per_bucket) for i in range(len(specs))}
     max_bucket = max([len(v) for v in split_points.values()] + [0])
 
-    splits_col = F.lit(None).cast("array<double>")
-    sort_key = F.col("_v")
-    for i, spec in enumerate(specs):
-        splits_col = F.when(F.col("_c") == i, _double_array(split_points[i])).otherwise(splits_col)
     ascending = F.lit(True)
+    splits_col = F.lit(None).cast("array<double>")
     for i, spec in enumerate(specs):
         ascending = F.when(F.col("_c") == i, F.lit(spec.ascending)).otherwise(ascending)
+        splits_col = F.when(F.col("_c") == i, _double_array(split_points[i])).otherwise(splits_col)
 
-    bucket = F.size(F.filter(splits_col, lambda q: q < F.col("_v")))
+    bucket = F.size(F.filter(splits_col, lambda q: q < F.col("_v"))) if max_bucket else F.lit(0)
     bucketed = (
         hist.withColumn("_asc", ascending)
         .withColumn("_b", F.when(F.col("_asc"), bucket).otherwise(F.lit(max_bucket) - bucket))
-        .withColumn("_s", F.when(F.col("_asc"), sort_key).otherwise(-sort_key))
+        .withColumn("_s", F.when(F.col("_asc"), F.col("_v")).otherwise(-F.col("_v")))
         .drop("_asc")
     )
 
-    # Step 3: bucket offsets.
+    # Step 3: bucket offsets (only when some criterion needs several buckets).
     before = Window.unboundedPreceding
-    totals = bucketed.groupBy("_c", *part, "_b").agg(F.sum("_n").alias("_t"))
-    offsets = totals.select(
-        "_c",
-        *part,
-        "_b",
-        F.coalesce(
-            F.sum("_t").over(Window.partitionBy("_c", *part).orderBy("_b").rowsBetween(before, -1)),
-            F.lit(0),
-        ).alias("_off"),
-    )
-    if not part:
-        # At most len(specs) * GRID rows: a proven bound.
-        offsets = F.broadcast(offsets)
-
-    # Step 4: rank inside the bucket.
+    if max_bucket:
+        totals = bucketed.groupBy("_c", *part, "_b").agg(F.sum("_n").alias("_t"))
+        offsets = totals.select(
+            "_c",
+            *part,
+            "_b",
+            F.coalesce(
+                F.sum("_t").over(Window.partitionBy("_c", *part).orderBy("_b").rowsBetween(before, -1)),
+                F.lit(0),
+            ).alias("_off"),
+        )
+        if not part:
+            # At most len(specs) * GRID rows: a proven bound.
+            offsets = F.broadcast(offsets)
+        bucketed = bucketed.join(offsets, ["_c", *part, "_b"])
+    else:
+        bucketed = bucketed.withColumn("_off", F.lit(0).cast("long"))
+
+    # Step 4: rank inside the bucket; at most rows_per_bucket rows per task.
     in_bucket = Window.partitionBy("_c", *part, "_b").orderBy("_s").rowsBetween(before, -1)
-    ranked = bucketed.join(offsets, ["_c", *part, "_b"]).select(
+    ranked = bucketed.select(
         "_c",
         *part,
         "_v",
@@ -145,7 +155,7 @@ def average_ranks(
             + F.coalesce(F.sum("_n").over(in_bucket), F.lit(0))
             + (F.col("_n") + F.lit(1)) / F.lit(2.0)
         ).alias("_r"),
-    )
+    ).checkpoint()
 
     # Step 5: join back per criterion.
     out = df
@@ -153,7 +163,7 @@ def average_ranks(
         key = f"_rank_key_{i}"
         out = out.withColumn(key, values[i])
         table = ranked.where(F.col("_c") == i).select(*part, F.col("_v").alias(key), F.col("_r").alias(spec.output))
-        if not part and stats.get(i, (0, None))[0] <= broadcast_max_rows:
+        if not part and sizes[i] <= broadcast_max_rows:
             table = F.broadcast(table)
         out = out.join(table, [*part, key], "left").drop(key)
     return out.select(*df.columns, *[s.output for s in specs])
