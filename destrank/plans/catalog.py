@@ -32,6 +32,7 @@ from destrank.plans import pipeline, standins
 from destrank.plans.standins import table
 from destrank.session import scratch_dir
 from destrank.sources import files
+from destrank.sources.seed import seed_table
 from destrank.sources.landing import flatten_forecasts, readings_for_places, responses_from_bodies
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,6 +241,18 @@ def q_dedup_by_url(spark, d):
 
 
 # -------------------------------------------------------- sources/sinks
+# The configured list of places (event types) to process.
+SEEDED_PLACES = ["view", "click", "signup", "error", "purchase"]
+
+
+def q_city_seed(spark, d):
+    seed = seed_table(spark, SEEDED_PLACES)
+    readings = standins.event_readings(table(spark, d, "events"), "event_type")
+    # The seed is a literal of known size: broadcasting it is bounded.
+    kept = readings.join(F.broadcast(seed), "city", "left_semi")
+    return kept.groupBy("city").agg(F.count(F.lit(1)).alias("n_readings"))
+
+
 def q_sql_scan(spark, d):
     table(spark, d, "supplier").createOrReplaceTempView("destrank_supplier")
     return spark.sql("SELECT * FROM destrank_supplier")
@@ -304,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "geocode_left": q_geocode_left,
     "detail_merge": q_detail_merge,
     "dedup_by_url": q_dedup_by_url,
+    "city_seed": q_city_seed,
     "sql_scan": q_sql_scan,
     "csv_roundtrip": q_csv_roundtrip,
     "json_roundtrip": q_json_roundtrip,

@@ -217,6 +217,10 @@ SELECT host, page_id, url FROM (
   SELECT NULLIF(regexp_extract(url, '{HOST_PATTERN}', 1), '') AS host, page_id, url FROM pages)
 WHERE host IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY host ORDER BY page_id) = 1
+""",
+    "city_seed": """
+SELECT event_type AS city, count(*) AS n_readings FROM events
+WHERE event_type IN ('view', 'click', 'signup', 'error', 'purchase') GROUP BY 1
 """,
     "sql_scan": "SELECT * FROM supplier",
     "csv_roundtrip": "SELECT * FROM conversations",
