@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from destrank.functions.numeric import nan_to_null
+from destrank.session import ensure_checkpoint_dir
 
 GRID = 1024
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
@@ -80,6 +81,7 @@ def average_ranks(
     the input is computed once for the histogram and once for the final
     join, and a lost executor never forces a recompute of the ranking.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     specs = [s if isinstance(s, RankSpec) else RankSpec(*s) for s in specs]
     part = list(partition_by)
     values = [nan_to_null(F.col(s.source).cast("double")) for s in specs]

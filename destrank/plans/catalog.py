@@ -226,12 +226,12 @@ def q_geocode_left(spark, d):
 def q_detail_merge(spark, d):
     pages = table(spark, d, "pages")
     listing = pages.where(F.col("url").isNotNull() & (F.col("url") != "")).select("page_id", strip_query("url").alias("url"))
-    fields = _page_fields(pages).select(F.col("page_id").alias("detail_page"), "title")
     details = pages.select(
         F.col("page_id").alias("detail_page"),
         strip_query("url").alias("url"),
+        H.element_text(H.drop_noise("html"), "title").alias("title"),
         capture_number("html", rf"track\({SIGNED_NUMBER}\)").alias("track_no"),
-    ).join(fields, "detail_page")
+    )
     return detail_merge(listing, details, "url", ["detail_page"], ["title", "track_no"])
 
 
