@@ -148,6 +148,14 @@ def q_json_salvage(spark, d):
     return kept.groupBy("user_id").agg(F.sum("k").alias("k_sum"), F.count(F.lit(1)).alias("n_objects"))
 
 
+def q_salvage_report(spark, d):
+    objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), "k bigint, user_id bigint")
+    return objs.agg(
+        F.count(F.when(F.col("_valid"), 1)).alias("kept"),
+        F.count(F.when(~F.col("_valid"), 1)).alias("rejected"),
+    )
+
+
 # ------------------------------------------------------ numbers and text
 def q_coerce_numeric(spark, d):
     part = table(spark, d, "part")
@@ -306,6 +314,7 @@ QUERIES: dict[str, Query] = {
     "json_field": q_json_field,
     "forecast_flatten": q_forecast_flatten,
     "json_salvage": q_json_salvage,
+    "salvage_report": q_salvage_report,
     "coerce_numeric": q_coerce_numeric,
     "capture_number": q_capture_number,
     "url_strip": q_url_strip,

@@ -164,7 +164,11 @@ WHERE CAST(user_id AS VARCHAR) IN (SELECT CAST(c_custkey AS VARCHAR) FROM custom
 """,
     "json_salvage": """
 SELECT user_id, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_sum, count(*) AS n_objects
-FROM events GROUP BY user_id
+FROM events WHERE event_type <> 'error' GROUP BY user_id
+""",
+    "salvage_report": """
+SELECT count(*) FILTER (WHERE event_type <> 'error') AS kept, count(*) FILTER (WHERE event_type = 'error') AS rejected
+FROM events
 """,
     "coerce_numeric": f"""
 SELECT p_partkey, {_coerce("split_part(p_brand, '#', 2)")} AS brand_number, {_coerce('p_type')} AS type_number,

@@ -110,6 +110,10 @@ def customer_places(customer: DataFrame) -> DataFrame:
 
 def feed_lines(events: DataFrame) -> DataFrame:
     """A hotel-feed-like text: each line one JSON array holding one object
-    (the file is a concatenation of arrays)."""
-    obj = F.regexp_replace("props", r"\}$", F.concat(F.lit(', "user_id": '), F.col("user_id").cast("string"), F.lit("}")))
+    (the file is a concatenation of arrays). Error events carry a note
+    with braces inside a string, which the object pattern cannot salvage
+    (only the inner ``{error}`` fragment matches and fails to parse)."""
+    note = F.when(F.col("event_type") == "error", F.lit("{error}")).otherwise(F.col("event_type"))
+    extra = F.concat(F.lit(', "user_id": '), F.col("user_id").cast("string"), F.lit(', "note": "'), note, F.lit('"}'))
+    obj = F.regexp_replace("props", r"\}$", extra)
     return events.select(F.concat(F.lit("["), obj, F.lit("]")).alias("value"))

@@ -1,0 +1,49 @@
+"""Landing readers and the end-to-end batch."""
+
+import json
+
+from destrank import schemas
+from destrank.plans.catalog import QUERIES
+from destrank.plans.pipeline import forecast_collection, run_pipeline
+from destrank.plans import standins
+from destrank.session import scratch_dir
+from destrank.sources.landing import cities_from_geocodes, read_forecasts, read_geocodes
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_geocode_first_hit_and_miss(spark):
+    path = scratch_dir(spark, "geo")
+    rows = [
+        {"city": "Paris", "hits": [{"lat": "48.85", "lon": "2.35"}, {"lat": "1", "lon": "1"}]},
+        {"city": "Nowhere", "hits": []},
+        {"city": "Biarritz", "hits": [{"lat": "43.48", "lon": "-1.56"}]},
+    ]
+    spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1).write.text(path)
+    got = {r.city: (r.latitude, r.longitude) for r in cities_from_geocodes(read_geocodes(spark, path)).collect()}
+    assert got == {"Paris": (48.85, 2.35), "Nowhere": (None, None), "Biarritz": (43.48, -1.56)}
+
+
+def test_forecast_collection_skips_unlocated_places(spark):
+    path = scratch_dir(spark, "fc")
+    resp = lambda c: {"city": c, "list": [{"dt_txt": "2026-06-03 00:00:00", "main": {"temp": 1.0, "humidity": 10},
+                                           "pop": 0.5, "weather": [{"description": "x"}]}]}
+    spark.createDataFrame([(json.dumps(resp(c)),) for c in ("A", "B")], "value string").coalesce(1).write.text(path)
+    places = spark.createDataFrame([("A", 1.0, 2.0), ("B", None, None)], schemas.CITIES)
+    rows = forecast_collection(places, read_forecasts(spark, path)).collect()
+    assert [(r.city, r.date, r.temp_max, r.description) for r in rows] == [("A", "2026-06-03", 1.0, "x")]
+
+
+def test_run_pipeline_writes_tables_with_counts(spark):
+    t = lambda n: standins.table(spark, SF, n)
+    weather = standins.nation_weather(t("orders"), t("customer"))
+    hotels = standins.supplier_hotels(t("supplier"))
+    cities = standins.nation_cities(t("nation"))
+    out = scratch_dir(spark, "pipe")
+    result = run_pipeline(spark, weather, hotels, cities, out_dir=out)
+    assert result.counts["top_map"] == 5
+    assert result.counts["top_hotels"] == result.top_hotels.count() <= 20
+    assert result.counts["recommendations"] == QUERIES["recommendations"](spark, SF).count()
+    back = spark.read.schema("city string, latitude double, longitude double, score double") \
+        .option("header", True).csv(f"{out}/top_map")
+    assert back.count() == 5
