@@ -105,13 +105,40 @@ def zip_positions(
     return lp.join(rp, on=[*group, "pos"], how="full_outer")
 
 
-def join_group_texts(df: DataFrame, group: Sequence[str], order: str, text: str, sep: str = " ", output: str = "text") -> DataFrame:
+def join_group_texts(
+    df: DataFrame,
+    group: Sequence[str],
+    order: str,
+    text: str,
+    sep: str = " ",
+    output: str = "text",
+    run_length: int = 1024,
+) -> DataFrame:
     """One row per group: the texts joined by ``sep`` in ``order``.
 
-    The output row holds the whole group's text by definition; pieces are
-    gathered with a partial ``collect_list`` and sorted once per group.
+    Two levels, so a huge group is not gathered and sorted by one task:
+    pieces are first joined within runs of ``run_length`` consecutive
+    order values (``floor(order / run_length)``, order-preserving for a
+    numeric ``order``), then the few run strings of a group are joined.
+    The final row holds the group's whole text, which is the output.
+    NULL pieces are skipped; a group without any text gives ''.
     """
-    pieces = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
-    return df.groupBy(*group).agg(
-        F.coalesce(F.array_join(F.transform(pieces, lambda p: p["t"]), sep), F.lit("")).alias(output)
+    group = list(group)
+
+    def ordered_join(pairs):
+        return F.array_join(F.transform(F.array_sort(pairs), lambda p: p["t"]), sep)
+
+    run = F.floor(F.col(order) / F.lit(run_length)).alias("_run")
+    runs = df.groupBy(*group, run).agg(
+        F.min(order).alias("_first"),
+        F.when(
+            F.count(text) > 0,
+            ordered_join(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))),
+        ).alias("_piece"),
+    )
+    return runs.groupBy(*group).agg(
+        F.coalesce(
+            ordered_join(F.collect_list(F.struct(F.col("_first").alias("o"), F.col("_piece").alias("t")))),
+            F.lit(""),
+        ).alias(output)
     )

@@ -163,7 +163,7 @@ WHERE CAST(user_id AS VARCHAR) IN (SELECT CAST(c_custkey AS VARCHAR) FROM custom
                                    WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL)
 """,
     "json_salvage": """
-SELECT user_id, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_sum, count(*) AS n_objects
+SELECT user_id, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, count(*) AS n_objects
 FROM events WHERE event_type <> 'error' GROUP BY user_id
 """,
     "salvage_report": """

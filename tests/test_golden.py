@@ -130,3 +130,13 @@ def test_b9_null_handling(spark):
     assert len(out) == 1
     r = out[0]
     assert (r.city, r.temp_min, r.temp_max, r.humidity, r.description) == ("A", 5.0, 5.0, 3.0, "late")
+
+
+def test_join_group_texts_runs(spark):
+    from destrank.operators.enrich import join_group_texts
+
+    rows = [(1, t, None if t == 5 else f"w{t}") for t in range(40)] + [(2, 0, None), (3, 3, "b"), (3, 1, "a")]
+    df = spark.createDataFrame(rows, "g long, o long, s string").repartition(4)
+    got = {r.g: r.text for r in join_group_texts(df, ["g"], "o", "s", run_length=8).collect()}
+    assert got[1] == " ".join(f"w{t}" for t in range(40) if t != 5)
+    assert got[2] == "" and got[3] == "a b"
