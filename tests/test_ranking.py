@@ -41,3 +41,19 @@ def test_hot_value_single_histogram_row(spark):
     got = average_ranks(df, [RankSpec("v", "r")], rows_per_bucket=50).toPandas().sort_values("id")
     expected = pd.Series([r[1] for r in rows]).rank()
     assert got["r"].tolist() == expected.tolist()
+
+
+def test_multi_bucket_matches_duckdb_on_lineitem(spark):
+    import duckdb
+
+    from destrank.plans.oracle import ORACLE
+    from destrank.plans.standins import table
+
+    sf = "/root/testdata/sf0.001"
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    # 50 distinct quantities, 4 per bucket: 13 range buckets with offsets.
+    got = average_ranks(li, [RankSpec("l_quantity", "rank_qty")], rows_per_bucket=4)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{sf}/lineitem.parquet')")
+    want = sorted(con.execute(ORACLE["average_rank"]).fetchall())
+    assert sorted(tuple(r) for r in got.collect()) == want
