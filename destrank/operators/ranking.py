@@ -6,8 +6,9 @@ into one task, so ranks are computed from a value histogram instead:
 
 1. ``(criterion, group, value) -> count``: a partial aggregation, so a
    value held by a third of all rows becomes a single histogram row.
-2. One small job returns, per criterion, the histogram size and up to
-   ``GRID - 1`` approximate quantiles; from these the driver keeps
+2. The same job (as an observation) returns, per criterion, the
+   histogram size and up to ``GRID - 1`` approximate quantiles; from
+   these the driver keeps
    ``N - 1`` split points, ``N`` chosen so each bucket holds about
    ``rows_per_bucket`` histogram rows. Equal values always fall in the
    same bucket, so ties never straddle a split.
@@ -30,7 +31,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from destrank.functions.numeric import nan_to_null
@@ -76,8 +79,8 @@ def average_ranks(
     the same). With ``partition_by`` ranks restart in every group.
     NULL and NaN values get a NULL rank and do not take a position.
 
-    Runs two small jobs eagerly (histogram checkpoint + stats, ranked
-    histogram checkpoint); both land in the shared checkpoint folder, so
+    Runs two jobs eagerly (histogram checkpoint with observed stats,
+    ranked histogram checkpoint); both land in the shared checkpoint folder, so
     the input is computed once for the histogram and once for the final
     join, and a lost executor never forces a recompute of the ranking.
     """
@@ -86,7 +89,17 @@ def average_ranks(
     part = list(partition_by)
     values = [nan_to_null(F.col(s.source).cast("double")) for s in specs]
 
-    # Step 1: value histogram, map-side combined.
+    # Step 1: value histogram, map-side combined, written to the shared
+    # checkpoint folder. Step 2 rides on the same job as an observation:
+    # per criterion the histogram size and up to GRID - 1 quantiles
+    # (at most len(specs) x GRID numbers reach the driver).
+    fractions = [j / GRID for j in range(1, GRID)]
+    metrics = []
+    for i in range(len(specs)):
+        mine = F.col("_c") == i
+        metrics.append(F.count(F.when(mine, 1)).alias(f"m{i}"))
+        metrics.append(F.percentile_approx(F.when(mine, F.col("_v")), fractions, QUANTILE_ACCURACY).alias(f"q{i}"))
+    obs = Observation(f"rank-stats-{uuid.uuid4().hex}")
     entries = F.array(*[F.struct(F.lit(i).alias("c"), v.alias("v")) for i, v in enumerate(values)])
     hist = (
         df.select(*part, F.explode(entries).alias("_e"))
@@ -94,20 +107,11 @@ def average_ranks(
         .where(F.col("_v").isNotNull())
         .groupBy("_c", *part, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .observe(obs, *metrics)
         .checkpoint()
     )
-
-    # Step 2: one small job, at most len(specs) rows of GRID numbers.
-    fractions = [j / GRID for j in range(1, GRID)]
-    stats = {
-        row["_c"]: (row["m"], row["q"])
-        for row in hist.groupBy("_c")
-        .agg(
-            F.count(F.lit(1)).alias("m"),
-            F.percentile_approx("_v", fractions, QUANTILE_ACCURACY).alias("q"),
-        )
-        .collect()
-    }
+    observed = obs.get
+    stats = {i: (observed[f"m{i}"], observed[f"q{i}"]) for i in range(len(specs))}
     sizes = {i: stats.get(i, (0, None))[0] for i in range(len(specs))}
     split_points = {i: _splits(stats.get(i, (0, None))[1], sizes[i], rows_per_bucket) for i in range(len(specs))}
     max_bucket = max([len(v) for v in split_points.values()] + [0])
