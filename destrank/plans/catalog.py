@@ -203,6 +203,21 @@ def q_page_extract(spark, d):
     return _page_fields(table(spark, d, "pages"))
 
 
+# Fixed value: the repeated-block marker of the stand-in pages (list items).
+BLOCK_MARKER = r"(?i)<li\b[^>]*>"
+
+
+def q_page_blocks(spark, d):
+    pages = table(spark, d, "pages")
+    blocks = pages.select("page_id", F.posexplode(H.blocks(H.drop_noise("html"), BLOCK_MARKER)).alias("block_pos", "_b"))
+    return blocks.select(
+        "page_id",
+        "block_pos",
+        H.attribute("_b", "a", "href").alias("href"),
+        H.element_text("_b", "a").alias("label"),
+    )
+
+
 def q_text_join(spark, d):
     return join_group_texts(table(spark, d, "conversations"), ["conv_id"], "turn", "text")
 
@@ -320,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "url_strip": q_url_strip,
     "page_links": q_page_links,
     "page_extract": q_page_extract,
+    "page_blocks": q_page_blocks,
     "text_join": q_text_join,
     "build_lookup_key": q_build_lookup_key,
     "zip_positions": q_zip_positions,

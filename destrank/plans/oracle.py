@@ -187,6 +187,12 @@ SELECT page_id, CAST(len(l) AS INTEGER) AS n_links, array_to_string(l, ' ') AS l
 FROM (SELECT page_id, regexp_extract_all({NOISE_FREE}, '(?is)<a\\b[^>]*?\\shref\\s*=\\s*"([^"]*)"', 1) AS l FROM pages)
 """,
     "page_extract": f"SELECT *, substring(title, 1, 20) AS title_preview FROM ({PAGE_FIELDS})",
+    "page_blocks": f"""
+SELECT page_id, CAST(i - 2 AS INTEGER) AS block_pos, {_attribute('parts[i]', 'a', 'href')} AS href,
+       {_element_text('parts[i]', 'a')} AS label
+FROM (SELECT page_id, parts, unnest(generate_series(2, len(parts))) AS i
+      FROM (SELECT page_id, regexp_split_to_array({NOISE_FREE}, '(?i)<li\\b[^>]*>') AS parts FROM pages))
+""",
     "text_join": "SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS text FROM conversations GROUP BY conv_id",
     "build_lookup_key": """
 SELECT p_partkey, p_name || ', France' AS lookup_key,
