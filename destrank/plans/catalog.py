@@ -141,6 +141,12 @@ def q_forecast_flatten(spark, d):
     return readings_for_places(places, flatten_forecasts(responses))
 
 
+def q_forecast_rollup(spark, d):
+    responses = responses_from_bodies(standins.forecast_bodies(table(spark, d, "events")))
+    places = standins.customer_places(table(spark, d, "customer"))
+    return _rounded(pipeline.forecast_collection(places, responses), {"humidity"})
+
+
 def q_json_salvage(spark, d):
     schema = "k bigint, user_id bigint"
     objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), schema)
@@ -328,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "preview": q_preview,
     "json_field": q_json_field,
     "forecast_flatten": q_forecast_flatten,
+    "forecast_rollup": q_forecast_rollup,
     "json_salvage": q_json_salvage,
     "salvage_report": q_salvage_report,
     "coerce_numeric": q_coerce_numeric,

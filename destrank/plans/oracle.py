@@ -155,12 +155,21 @@ ORDER BY s_acctbal DESC NULLS LAST, 'https://hotels.example.com/' || CAST(s_supp
     "preview": "SELECT * FROM part ORDER BY p_partkey LIMIT 5",
     "json_field": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "forecast_flatten": """
-SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
+SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
        value AS temp, CAST(json_extract_string(props, '$.k') AS BIGINT) AS humidity, value / 500.0 AS pop,
        event_type AS description
 FROM events
 WHERE CAST(user_id AS VARCHAR) IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer
                                    WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL)
+""",
+    "forecast_rollup": f"""
+SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, min(value) AS temp_min, max(value) AS temp_max,
+       {_round("avg(CAST(json_extract_string(props, '$.k') AS BIGINT))")} AS humidity, max(value / 500.0) AS pop,
+       arg_min(event_type, ts) AS description
+FROM events
+WHERE CAST(user_id AS VARCHAR) IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer
+                                   WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL)
+GROUP BY 1, 2
 """,
     "json_salvage": """
 SELECT user_id, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum, count(*) AS n_objects

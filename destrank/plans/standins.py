@@ -84,7 +84,8 @@ def forecast_bodies(events: DataFrame) -> DataFrame:
     """Landed forecast responses: per user, consecutive events grouped by
     ``event_id div 64`` into one JSON body (at most 64 slices each)."""
     entry = F.struct(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("dt_txt"),
+        # Microseconds keep slice times unique, so "first" stays deterministic.
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("dt_txt"),
         F.struct(
             F.col("value").alias("temp"),
             json_field("props", "$.k").cast("bigint").alias("humidity"),
