@@ -8,7 +8,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from destrank.operators.ranking import positions
+from destrank.operators.ranking import BROADCAST_MAX_ROWS, positions
+from destrank.session import ensure_checkpoint_dir
+
+# A key is "hot" when the big side holds more rows for it than one task
+# should join; such keys are spread over up to MAX_SALTS tasks.
+HOT_KEY_ROWS = 2_000_000
+MAX_SALTS = 64
 
 
 def first_per_key(
@@ -32,6 +38,54 @@ def first_per_key(
     return rows.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    hot_key_rows: int = HOT_KEY_ROWS,
+    max_salts: int = MAX_SALTS,
+) -> DataFrame:
+    """Join ``left`` to ``right``, which holds at most one row per key.
+
+    ``right`` is checkpointed and counted first. Up to
+    ``broadcast_max_rows`` it is broadcast (a proven bound), and ``left``
+    is never shuffled. A larger ``right`` is shuffle-joined. Keys holding
+    more than ``hot_key_rows`` left rows are salted: their left rows are
+    spread over ``ceil(rows / hot_key_rows)`` (at most ``max_salts``)
+    deterministic hash salts, and their single right row is repeated once
+    per salt. Other keys keep salt 0. This is needed because the
+    adaptive skew split does not apply when ``right`` comes straight from
+    an aggregation on the join key.
+    """
+    on = list(on)
+    ensure_checkpoint_dir(left.sparkSession)
+    right = right.checkpoint()
+    if right.count() <= broadcast_max_rows:
+        return left.join(F.broadcast(right), on, how)
+
+    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = (
+        counts.where(F.col("_rows") > hot_key_rows)
+        .select(*on, F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_key_rows))).cast("int").alias("_k"))
+        .checkpoint()
+    )
+    # At most (left rows / hot_key_rows) keys: a proven bound.
+    if hot.count() == 0:
+        return left.join(right, on, how)
+    hot = F.broadcast(hot)
+    salted_left = left.join(hot, on, "left").withColumn(
+        "_salt",
+        F.when(F.col("_k").isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_k"))).otherwise(F.lit(0)),
+    ).drop("_k")
+    salted_right = right.join(hot, on, "left").withColumn(
+        "_salt",
+        F.explode(F.when(F.col("_k").isNotNull(), F.sequence(F.lit(0), F.col("_k") - 1)).otherwise(F.array(F.lit(0)))),
+    ).drop("_k")
+    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+
+
 def lookup_first(
     left: DataFrame,
     lookup: DataFrame,
@@ -45,7 +99,7 @@ def lookup_first(
     the lookup side is reduced to one row per key first, so the join can
     never multiply left rows.
     """
-    return left.join(first_per_key(lookup, [on], order, columns), on=on, how="left")
+    return lookup_join(left, first_per_key(lookup, [on], order, columns), [on], "left")
 
 
 def semi_filter(df: DataFrame, keys: DataFrame, on: str | Sequence[str], bounded: bool = True) -> DataFrame:
@@ -76,7 +130,7 @@ def detail_merge(
     cols = list(columns) if columns is not None else [c for c in details.columns if c != on and c not in order]
     usable = details.where(F.col(on).isNotNull() & (F.col(on) != ""))
     once = first_per_key(usable, [on], order or cols, cols)
-    return listing.join(once, on=on, how="left")
+    return lookup_join(listing, once, [on], "left")
 
 
 def dedup_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
