@@ -52,13 +52,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor
     can reach; it is read from the session and never replaced. Only when
-    nothing is configured (a bare local run) a fresh folder is made.
+    nothing is configured and the master is local (tests, a laptop) a
+    fresh folder is made; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local"):
+        # A machine-local folder is useless to executors on other hosts.
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     target = configured or tempfile.mkdtemp(prefix="destrank-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
