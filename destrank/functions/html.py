@@ -74,17 +74,23 @@ def all_attributes(html: Column | str, tag: str, attr: str) -> Column:
     return F.regexp_extract_all(_col(html), F.lit(rf'(?is)<{tag}\b[^>]*?\s{attr}\s*=\s*"([^"]*)"'), F.lit(1))
 
 
+def _testid_element(testid: str) -> str:
+    # Content up to the closing tag of the same element name (Java regex
+    # back-reference), so nested markup inside it is kept and stripped.
+    return rf'(?is)<([a-z0-9]+)\b[^>]*data-testid="{testid}"[^>]*>(.*?)</\1\s*>'
+
+
 def testid_text(html: Column | str, testid: str) -> Column:
-    """Text of the first element whose ``data-testid`` equals ``testid``."""
-    # Text up to the next closing tag: the element's direct text.
-    pattern = rf'(?is)<[a-z0-9]+\b[^>]*data-testid="{testid}"[^>]*>(.*?)</'
-    return clean_text(_first(_col(html), pattern))
+    """Text of the first element whose ``data-testid`` equals ``testid``
+    (all nested text, tags stripped; SURVEY T15)."""
+    inner = F.nullif(F.regexp_extract(_col(html), _testid_element(testid), 2), F.lit(""))
+    return clean_text(inner)
 
 
 def testid_texts(html: Column | str, testid: str) -> Column:
     """Texts of every element with that ``data-testid``, in order."""
-    pattern = rf'(?is)<[a-z0-9]+\b[^>]*data-testid="{testid}"[^>]*>(.*?)</'
-    return F.transform(F.regexp_extract_all(_col(html), F.lit(pattern), F.lit(1)), clean_text)
+    found = F.regexp_extract_all(_col(html), F.lit(_testid_element(testid)), F.lit(2))
+    return F.transform(found, clean_text)
 
 
 def testid_attribute(html: Column | str, testid: str, attr: str) -> Column:

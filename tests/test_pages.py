@@ -14,7 +14,7 @@ LISTING = """<html><head><script>var s = "<div data-testid=\\"property-card\\">"
 <div data-testid="property-card"><div data-testid="title">No Link</div></div>
 </body></html>"""
 
-DETAIL_ONE = """<html><body><div data-testid="property-description">Nice <b>place</b></div>
+DETAIL_ONE = """<html><body><div data-testid="property-description">Nice <b>place</b> to stay</div>
 <p data-testid="property-description">Second part</p>
 <script>b_map_center_latitude = 48.87; b_map_center_longitude = -2.02;</script></body></html>"""
 
@@ -35,7 +35,8 @@ def test_details_and_merge(spark):
         "url string, html string",
     )
     d = hotel_details(details).collect()[0]
-    assert d.description.startswith("Nice") and d.latitude == 48.87 and d.longitude == -2.02
+    assert d.description == "Nice place to stay Second part"
+    assert d.latitude == 48.87 and d.longitude == -2.02
     hotels = {r.name: r for r in collect_hotels(search, details).collect()}
     assert len(hotels) == 2  # duplicate detail pages do not multiply the listing
     assert hotels["Hotel One"].latitude == 48.87
