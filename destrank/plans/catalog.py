@@ -92,6 +92,10 @@ def q_rank_sum(spark, d):
     return rank_sum(_user_means(spark, d))
 
 
+def q_notebook_ranking(spark, d):
+    return pipeline.notebook_ranking(_user_daily(spark, d), "city", digits=4)
+
+
 def q_weighted_score(spark, d):
     return weighted_score(_user_means(spark, d), (5, 5, 5))
 
@@ -326,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "average_rank": q_average_rank,
     "average_rank_desc": q_average_rank_desc,
     "rank_sum": q_rank_sum,
+    "notebook_ranking": q_notebook_ranking,
     "weighted_score": q_weighted_score,
     "weighted_score_10_0_3": q_weighted_score_10_0_3,
     "top_places": q_top_places,

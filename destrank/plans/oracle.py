@@ -138,6 +138,15 @@ SELECT user_id, avg_value, {_avg_rank('avg_value', True)} AS rank_value_desc
 FROM (SELECT user_id, {_round('avg(value)')} AS avg_value FROM events GROUP BY user_id)
 """,
     "rank_sum": _scores(USER_MEANS, 1, 1, 1),
+    "notebook_ranking": f"""
+SELECT city, avg_temp_max, avg_temp_min, avg_humidity, avg_pop, rank_temp, rank_rain, rank_humidity,
+       CAST(rank_temp + rank_rain + rank_humidity AS DOUBLE) AS score
+FROM (SELECT *, {_avg_rank('avg_temp_max')} AS rank_temp, {_avg_rank('avg_pop', True)} AS rank_rain,
+             {_avg_rank('avg_humidity', True)} AS rank_humidity
+      FROM (SELECT city, {_round('avg(temp_max)')} AS avg_temp_max, {_round('avg(temp_min)')} AS avg_temp_min,
+                   {_round('avg(humidity)')} AS avg_humidity, {_round('avg(pop)')} AS avg_pop
+            FROM ({USER_DAILY}) GROUP BY city))
+""",
     "weighted_score": _scores(USER_MEANS, 5, 5, 5),
     "weighted_score_10_0_3": _scores(USER_MEANS, 10, 0, 3),
     "top_places": f"SELECT * FROM ({_scores(USER_MEANS, 5, 5, 5)}) ORDER BY score DESC NULLS LAST, city LIMIT 5",

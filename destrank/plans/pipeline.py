@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from destrank.functions.numeric import coerce_numeric, nan_to_null
+from destrank.functions.numeric import coerce_numeric, nan_to_null, round_nudged
 from destrank.operators import quality
 from destrank.operators.enrich import semi_filter
 from destrank.operators.pages import collect_hotels
@@ -68,13 +68,16 @@ def top_places(scores: DataFrame, k: int = TOP_PLACES, key: str = "city") -> Dat
     return top_k(scores, k, "score", (key,))
 
 
-def notebook_ranking(weather: DataFrame, key: str = "city") -> DataFrame:
-    """Unweighted rank sum over the four means."""
+def notebook_ranking(weather: DataFrame, key: str = "city", digits: int | None = None) -> DataFrame:
+    """Unweighted rank sum over the four means (min temperature is
+    reported, not ranked). ``digits`` rounds the means before ranking."""
     means = place_means(
         weather,
         key,
         {"avg_temp_max": "temp_max", "avg_temp_min": "temp_min", "avg_humidity": "humidity", "avg_pop": "pop"},
     )
+    if digits is not None:
+        means = means.select(key, *[round_nudged(c, digits).alias(c) for c in means.columns if c != key])
     return rank_sum(means)
 
 
