@@ -5,7 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from destrank.operators.ranking import BROADCAST_MAX_ROWS, positions
@@ -38,6 +40,13 @@ def first_per_key(
     return rows.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
+def _checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` and count its rows in the same job."""
+    obs = Observation(f"rows-{uuid.uuid4().hex}")
+    saved = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint()
+    return saved, int(obs.get["n"])
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -61,18 +70,18 @@ def lookup_join(
     """
     on = list(on)
     ensure_checkpoint_dir(left.sparkSession)
-    right = right.checkpoint()
-    if right.count() <= broadcast_max_rows:
+    right, n_right = _checkpoint_counted(right)
+    if n_right <= broadcast_max_rows:
         return left.join(F.broadcast(right), on, how)
 
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = (
-        counts.where(F.col("_rows") > hot_key_rows)
-        .select(*on, F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_key_rows))).cast("int").alias("_k"))
-        .checkpoint()
+    hot, n_hot = _checkpoint_counted(
+        counts.where(F.col("_rows") > hot_key_rows).select(
+            *on, F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_key_rows))).cast("int").alias("_k")
+        )
     )
     # At most (left rows / hot_key_rows) keys: a proven bound.
-    if hot.count() == 0:
+    if n_hot == 0:
         return left.join(right, on, how)
     hot = F.broadcast(hot)
     salted_left = left.join(hot, on, "left").withColumn(
