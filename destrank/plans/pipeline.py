@@ -37,14 +37,19 @@ def recommendations(weather: DataFrame, hotels: DataFrame, key: str = "city") ->
     Both sides are reduced to one row per place before the join, and the
     join reuses the aggregation's hash partitioning.
     """
-    weather_avg = (
-        weather.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.avg(nan_to_null(F.col("temp_max").cast("double"))).alias("avg_temp"),
-            F.avg(nan_to_null(F.col("pop").cast("double"))).alias("avg_rain"),
-        )
-    )
+    means = place_means(weather, key, {"avg_temp_max": "temp_max", "avg_pop": "pop"})
+    return recommendations_from_means(means, hotels, key)
+
+
+def recommendations_from_means(
+    means: DataFrame,
+    hotels: DataFrame,
+    key: str = "city",
+    temp: str = "avg_temp_max",
+    rain: str = "avg_pop",
+) -> DataFrame:
+    """C1 from per-place means already computed (e.g. checkpointed for the
+    ranking), so the readings are not aggregated a second time."""
     hotels_avg = (
         hotels.where(F.col(key).isNotNull())
         .groupBy(key)
@@ -52,7 +57,8 @@ def recommendations(weather: DataFrame, hotels: DataFrame, key: str = "city") ->
     )
     score = F.col("avg_temp") - F.col("avg_rain") * F.lit(RAIN_WEIGHT) + F.col("avg_score")
     return (
-        weather_avg.join(hotels_avg, key)
+        means.select(key, F.col(temp).alias("avg_temp"), F.col(rain).alias("avg_rain"))
+        .join(hotels_avg, key)
         .withColumn("score", score)
         .orderBy(F.col("score").desc_nulls_last(), F.col(key))
     )
@@ -133,9 +139,9 @@ def run_pipeline(
 ) -> PipelineResult:
     """The scheduled batch as one application.
 
-    The per-place means are small (one row per place); they are
-    checkpointed to the shared checkpoint folder so the ranking's stats
-    job and the final tables do not re-read the readings, and a lost
+    The readings are aggregated once: the per-place means (one row per
+    place) are checkpointed to the shared checkpoint folder and feed the
+    ranking, the top-k tables and the recommendation table, so a lost
     executor never forces a recompute from the raw data. When
     ``out_dir`` is given the tables are written there as CSV and the row
     counts come from observations on those writes.
@@ -145,7 +151,7 @@ def run_pipeline(
     scores = weighted_score(means, weights)
     top = top_places(scores, TOP_PLACES, key).checkpoint()
     tables = {
-        "recommendations": recommendations(weather, hotels, key),
+        "recommendations": recommendations_from_means(means, hotels, key),
         "top_map": top_map(cities, top, key),
         "top_hotels": top_hotels(hotels, top, TOP_HOTELS, key),
     }
