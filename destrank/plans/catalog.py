@@ -28,7 +28,7 @@ from destrank.operators.enrich import (
 )
 from destrank.operators.ranking import average_rank, rank_sum, weighted_score
 from destrank.operators.rollup import daily_rollup, place_means, tag, union_rollups
-from destrank.plans import pipeline, standins
+from destrank.plans import composite, standins
 from destrank.plans.standins import table
 from destrank.session import scratch_dir
 from destrank.sources import files
@@ -93,7 +93,7 @@ def q_rank_sum(spark, d):
 
 
 def q_notebook_ranking(spark, d):
-    return pipeline.notebook_ranking(_user_daily(spark, d), "city", digits=4)
+    return composite.notebook_ranking(_user_daily(spark, d), "city", digits=4)
 
 
 def q_weighted_score(spark, d):
@@ -105,28 +105,28 @@ def q_weighted_score_10_0_3(spark, d):
 
 
 def q_top_places(spark, d):
-    return pipeline.top_places(weighted_score(_user_means(spark, d), (5, 5, 5)))
+    return composite.top_places(weighted_score(_user_means(spark, d), (5, 5, 5)))
 
 
 def _nation_top(spark, d):
     weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
     means = _rounded(place_means(weather, "city", MEANS), set(MEANS))
-    return pipeline.top_places(weighted_score(means, (5, 5, 5)))
+    return composite.top_places(weighted_score(means, (5, 5, 5)))
 
 
 def q_top_map(spark, d):
-    return pipeline.top_map(standins.nation_cities(table(spark, d, "nation")), _nation_top(spark, d))
+    return composite.top_map(standins.nation_cities(table(spark, d, "nation")), _nation_top(spark, d))
 
 
 def q_top_hotels(spark, d):
     hotels = standins.supplier_hotels(table(spark, d, "supplier"))
-    return pipeline.top_hotels(hotels, _nation_top(spark, d))
+    return composite.top_hotels(hotels, _nation_top(spark, d))
 
 
 def q_recommendations(spark, d):
     weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
     hotels = standins.supplier_hotels(table(spark, d, "supplier"))
-    out = pipeline.recommendations(weather, hotels)
+    out = composite.recommendations(weather, hotels)
     return _rounded(out, {"avg_temp", "avg_rain", "avg_score", "score"})
 
 
@@ -148,7 +148,7 @@ def q_forecast_flatten(spark, d):
 def q_forecast_rollup(spark, d):
     responses = responses_from_bodies(standins.forecast_bodies(table(spark, d, "events")))
     places = standins.customer_places(table(spark, d, "customer"))
-    return _rounded(pipeline.forecast_collection(places, responses), {"humidity"})
+    return _rounded(composite.forecast_collection(places, responses), {"humidity"})
 
 
 def q_json_salvage(spark, d):
@@ -314,11 +314,11 @@ def q_null_audit(spark, d):
     return quality.null_audit(table(spark, d, "customer"), table="customer")
 
 
-def q_run_pipeline(spark, d):
+def q_full_batch(spark, d):
     weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
     hotels = standins.supplier_hotels(table(spark, d, "supplier"))
     cities = standins.nation_cities(table(spark, d, "nation"))
-    result = pipeline.run_pipeline(spark, weather, hotels, cities, out_dir=scratch_dir(spark, "pipeline"))
+    result = composite.run_batch(spark, weather, hotels, cities, out_dir=scratch_dir(spark, "batch"))
     return result.top_hotels
 
 
@@ -360,5 +360,5 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": q_json_roundtrip,
     "row_count_report": q_row_count_report,
     "null_audit": q_null_audit,
-    "run_pipeline": q_run_pipeline,
+    "full_batch": q_full_batch,
 }

@@ -2,7 +2,7 @@
 
 C1 recommendations, C2 weighted ranking + top-5, C3 map table of the
 best places, C4 best hotels in them, C5 unweighted ranking, C6 forecast
-collection, C7 hotel collection, C8 the whole batch as one application.
+collection, C7 hotel collection, C8 the whole batch as one application (`run_batch`).
 """
 
 from __future__ import annotations
@@ -119,7 +119,7 @@ def hotel_collection(search_pages: DataFrame, detail_pages: DataFrame) -> DataFr
 
 
 @dataclass
-class PipelineResult:
+class BatchResult:
     recommendations: DataFrame
     scores: DataFrame
     top_places: DataFrame
@@ -128,7 +128,7 @@ class PipelineResult:
     counts: dict[str, int]
 
 
-def run_pipeline(
+def run_batch(
     spark: SparkSession,
     weather: DataFrame,
     hotels: DataFrame,
@@ -136,7 +136,7 @@ def run_pipeline(
     out_dir: str | None = None,
     weights: Sequence[int] = DEFAULT_WEIGHTS,
     key: str = "city",
-) -> PipelineResult:
+) -> BatchResult:
     """The scheduled batch as one application.
 
     The readings are aggregated once: the per-place means (one row per
@@ -161,4 +161,4 @@ def run_pipeline(
             watched, obs = quality.observed(df, name)
             files.write_csv(watched, f"{out_dir.rstrip('/')}/{name}")
             counts[name] = int(obs.get["rows"])
-    return PipelineResult(tables["recommendations"], scores, top, tables["top_map"], tables["top_hotels"], counts)
+    return BatchResult(tables["recommendations"], scores, top, tables["top_map"], tables["top_hotels"], counts)

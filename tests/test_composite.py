@@ -4,7 +4,7 @@ import json
 
 from destrank import schemas
 from destrank.plans.catalog import QUERIES
-from destrank.plans.pipeline import forecast_collection, run_pipeline
+from destrank.plans.composite import forecast_collection, run_batch
 from destrank.plans import standins
 from destrank.session import scratch_dir
 from destrank.sources.landing import cities_from_geocodes, read_forecasts, read_geocodes
@@ -34,13 +34,13 @@ def test_forecast_collection_skips_unlocated_places(spark):
     assert [(r.city, r.date, r.temp_max, r.description) for r in rows] == [("A", "2026-06-03", 1.0, "x")]
 
 
-def test_run_pipeline_writes_tables_with_counts(spark):
+def test_run_batch_writes_tables_with_counts(spark):
     t = lambda n: standins.table(spark, SF, n)
     weather = standins.nation_weather(t("orders"), t("customer"))
     hotels = standins.supplier_hotels(t("supplier"))
     cities = standins.nation_cities(t("nation"))
     out = scratch_dir(spark, "pipe")
-    result = run_pipeline(spark, weather, hotels, cities, out_dir=out)
+    result = run_batch(spark, weather, hotels, cities, out_dir=out)
     assert result.counts["top_map"] == 5
     assert result.counts["top_hotels"] == result.top_hotels.count() <= 20
     assert result.counts["recommendations"] == QUERIES["recommendations"](spark, SF).count()

@@ -8,7 +8,7 @@ from destrank.functions.html import map_coordinate, LONGITUDE_VAR
 from destrank.functions.numeric import coerce_numeric
 from destrank.operators.ranking import weighted_score
 from destrank.operators.rollup import daily_rollup, place_means
-from destrank.plans.pipeline import recommendations
+from destrank.plans.composite import recommendations
 from destrank.sources.files import salvage_lines
 from destrank.sources.landing import flatten_forecasts, responses_from_bodies
 from destrank.operators.pages import zip_lists

@@ -50,4 +50,4 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_listed():
-    assert set(queries()) - set(oracle_sql()) == {"run_pipeline"}
+    assert set(queries()) - set(oracle_sql()) == {"full_batch"}
