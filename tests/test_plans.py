@@ -35,3 +35,23 @@ def test_ranking_never_single_partition(spark):
 def test_rollup_is_partial_aggregate(spark):
     plan = _plan(QUERIES["daily_rollup"](spark, SF))
     assert "partial_min_by" in plan and "partial_avg" in plan
+
+
+def test_small_lookup_side_is_broadcast_big_side_not_shuffled(spark):
+    df = QUERIES["geocode_left"](spark, SF)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final
+    assert "Exchange hashpartitioning" not in final  # customers are never shuffled
+
+
+def test_recommendations_from_means_equal(spark):
+    from destrank.plans import composite, standins
+    from destrank.operators.rollup import place_means
+
+    t = lambda n: standins.table(spark, SF, n)
+    weather = standins.nation_weather(t("orders"), t("customer"))
+    hotels = standins.supplier_hotels(t("supplier"))
+    direct = composite.recommendations(weather, hotels).collect()
+    reused = composite.recommendations_from_means(place_means(weather), hotels).collect()
+    assert direct == reused
