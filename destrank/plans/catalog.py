@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from destrank.functions import html as H
 from destrank.functions.jsonx import json_field
-from destrank.functions.numeric import NUMERIC_TEXT, SIGNED_NUMBER, capture_number, coerce_numeric, round_nudged
-from destrank.functions.text import HOST_PATTERN, lookup_key, preview, search_url, strip_query, url_host
+from destrank.functions.numeric import SIGNED_NUMBER, capture_number, coerce_numeric, round_nudged
+from destrank.functions.text import lookup_key, preview, search_url, strip_query, url_host
 from destrank.operators import quality
 from destrank.operators.enrich import (
     dedup_first,

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from destrank.functions.numeric import coerce_numeric, nan_to_null, round_nudged
+from destrank.functions.numeric import coerce_numeric, round_nudged
 from destrank.operators import quality
 from destrank.operators.enrich import semi_filter
 from destrank.operators.pages import collect_hotels
