@@ -61,9 +61,11 @@ def _splits(quantiles: list[float] | None, n_rows: int, rows_per_bucket: int) ->
 
 
 def _double_array(values: list[float]) -> Column:
+    """A literal array<double>, parsed once on the JVM side (building it
+    element by element would cost one gateway call per number)."""
     if not values:
         return F.array().cast("array<double>")
-    return F.array(*[F.lit(v) for v in values])
+    return F.expr("array(" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in values) + ")")
 
 
 def average_ranks(
@@ -93,12 +95,15 @@ def average_ranks(
     # checkpoint folder. Step 2 rides on the same job as an observation:
     # per criterion the histogram size and up to GRID - 1 quantiles
     # (at most len(specs) x GRID numbers reach the driver).
-    fractions = [j / GRID for j in range(1, GRID)]
+    fractions = ", ".join(repr(j / GRID) for j in range(1, GRID))
     metrics = []
     for i in range(len(specs)):
-        mine = F.col("_c") == i
-        metrics.append(F.count(F.when(mine, 1)).alias(f"m{i}"))
-        metrics.append(F.percentile_approx(F.when(mine, F.col("_v")), fractions, QUANTILE_ACCURACY).alias(f"q{i}"))
+        metrics.append(F.count(F.when(F.col("_c") == i, 1)).alias(f"m{i}"))
+        metrics.append(
+            F.expr(
+                f"percentile_approx(CASE WHEN _c = {i} THEN _v END, array({fractions}), {QUANTILE_ACCURACY})"
+            ).alias(f"q{i}")
+        )
     obs = Observation(f"rank-stats-{uuid.uuid4().hex}")
     entries = F.array(*[F.struct(F.lit(i).alias("c"), v.alias("v")) for i, v in enumerate(values)])
     hist = (
