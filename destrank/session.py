@@ -17,6 +17,9 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Python call-site capture for error messages costs two gateway calls
+    # per Column function; plans here are built from many such calls.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
