@@ -20,9 +20,6 @@ BASE_CONF = {
     # Python call-site capture for error messages costs two gateway calls
     # per Column function; plans here are built from many such calls.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Rank and lookup checkpoints are intermediate: remove their files once
-    # the DataFrames that use them are garbage collected.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
