@@ -47,3 +47,25 @@ def test_run_batch_writes_tables_with_counts(spark):
     back = spark.read.schema("city string, latitude double, longitude double, score double") \
         .option("header", True).csv(f"{out}/top_map")
     assert back.count() == 5
+
+
+def test_cli_rank_and_recommend(spark):
+    from destrank.__main__ import main
+    from destrank.sources import files as F_
+
+    w = spark.createDataFrame(
+        [("A", "d1", 1.0, 20.0, 60.0, 0.1, "x"), ("B", "d1", 1.0, 25.0, 50.0, 0.0, "y"), ("C", "d1", 1.0, 21.0, 80.0, 0.9, "z")],
+        schemas.WEATHER,
+    )
+    h = spark.createDataFrame([("A", "h1", "8.0", "u1", None, 1.0, 2.0), ("B", "h2", "7.0", "u2", None, 3.0, 4.0)], schemas.HOTELS)
+    c = spark.createDataFrame([("A", 1.0, 2.0), ("B", 3.0, 4.0), ("C", 5.0, 6.0)], schemas.CITIES)
+    base = scratch_dir(spark, "cli")
+    for name, df in (("w", w), ("h", h), ("c", c)):
+        F_.write_csv(df, f"{base}/{name}")
+    main(["rank", "--format", "csv", "--weather", f"{base}/w", "--hotels", f"{base}/h", "--cities", f"{base}/c",
+          "--out", f"{base}/out", "--weights", "10", "0", "3"])
+    top = F_.read_csv(spark, f"{base}/out/top_places", "city string, latitude double, longitude double, score double")
+    assert top.count() == 3
+    main(["recommend", "--format", "csv", "--weather", f"{base}/w", "--hotels", f"{base}/h", "--out", f"{base}/rec"])
+    rec = F_.read_csv(spark, f"{base}/rec/city_recommendations", schemas.RECOMMENDATIONS)
+    assert sorted(r.city for r in rec.collect()) == ["A", "B"]
