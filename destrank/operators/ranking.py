@@ -74,6 +74,7 @@ def average_ranks(
     partition_by: Sequence[str] = (),
     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    checkpoint_input: bool = False,
 ) -> DataFrame:
     """Add one average-rank column per spec (pandas ``rank()`` semantics).
 
@@ -82,11 +83,16 @@ def average_ranks(
     NULL and NaN values get a NULL rank and do not take a position.
 
     Runs two jobs eagerly (histogram checkpoint with observed stats,
-    ranked histogram checkpoint); both land in the shared checkpoint folder, so
-    the input is computed once for the histogram and once for the final
-    join, and a lost executor never forces a recompute of the ranking.
+    ranked histogram checkpoint); both land in the shared checkpoint
+    folder, so a lost executor never forces a recompute of the ranking.
+    The input is read twice (histogram, final join). With
+    ``checkpoint_input`` it is first written to the checkpoint folder, so
+    an expensive input (per-place means over all readings) is computed
+    exactly once; leave it off for plain table scans.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    if checkpoint_input:
+        df = df.checkpoint()
     specs = [s if isinstance(s, RankSpec) else RankSpec(*s) for s in specs]
     part = list(partition_by)
     values = [nan_to_null(F.col(s.source).cast("double")) for s in specs]
@@ -214,12 +220,15 @@ def weighted_score(
     temp: str = "avg_temp_max",
     rain: str = "avg_pop",
     humidity: str = "avg_humidity",
+    checkpoint_input: bool = True,
     **kw,
 ) -> DataFrame:
     """Score = rank(temp asc)*w_temp + rank(rain desc)*w_rain + rank(humidity desc)*w_hum.
 
     Warmer, drier and less humid places score higher. A NULL criterion
-    makes the score NULL; such places sort last.
+    makes the score NULL; such places sort last. ``means`` is an
+    aggregate (one row per place), so by default it is checkpointed once
+    and the readings behind it are not aggregated twice.
     """
     w_temp, w_rain, w_hum = _check_weights(weights)
     ranked = average_ranks(
@@ -229,6 +238,7 @@ def weighted_score(
             RankSpec(rain, "rank_rain", False),
             RankSpec(humidity, "rank_humidity", False),
         ],
+        checkpoint_input=checkpoint_input,
         **kw,
     )
     score = (

@@ -85,7 +85,7 @@ def q_average_rank(spark, d):
 
 def q_average_rank_desc(spark, d):
     users = table(spark, d, "events").groupBy("user_id").agg(round_nudged(F.avg("value")).alias("avg_value"))
-    return average_rank(users, "avg_value", "rank_value_desc", ascending=False)
+    return average_rank(users, "avg_value", "rank_value_desc", ascending=False, checkpoint_input=True)
 
 
 def q_rank_sum(spark, d):

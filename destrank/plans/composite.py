@@ -148,7 +148,7 @@ def run_batch(
     """
     ensure_checkpoint_dir(spark)
     means = place_means(weather, key).checkpoint()
-    scores = weighted_score(means, weights)
+    scores = weighted_score(means, weights, checkpoint_input=False)  # already checkpointed
     top = top_places(scores, TOP_PLACES, key).checkpoint()
     tables = {
         "recommendations": recommendations_from_means(means, hotels, key),
