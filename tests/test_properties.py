@@ -46,3 +46,34 @@ def test_rank_invariant_under_row_order(spark, vals, seed):
     shuffled = df.orderBy(F.rand(seed)).repartition(3)
     again = {r.id: r.r for r in average_ranks(shuffled, [RankSpec("v", "r")], rows_per_bucket=2).collect()}
     assert base == again
+
+
+numberish = st.builds(
+    lambda lead, sign, body, exp, tail: f"{lead}{sign}{body}{exp}{tail}",
+    st.sampled_from(["", " ", "  "]),
+    st.sampled_from(["", "+", "-"]),
+    st.one_of(
+        st.from_regex(r"\d{1,6}(\.\d{0,4})?", fullmatch=True),
+        st.from_regex(r"\.\d{1,4}", fullmatch=True),
+        st.sampled_from(["", ".", "1,5", "1_000", "0x1F", "abc", "1d", "2.5f", "inf", "nan", "1e", "--1"]),
+    ),
+    st.sampled_from(["", "e3", "E-2", "e+1"]),
+    st.sampled_from(["", " ", "x"]),
+)
+
+
+@SETTINGS
+@given(texts=st.lists(numberish, min_size=1, max_size=40))
+def test_coerce_numeric_matches_pandas(spark, texts):
+    import math
+
+    import pandas as pd
+
+    from destrank.functions.numeric import coerce_numeric
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, s string")
+    got = {r.i: r.v for r in df.select("i", coerce_numeric("s").alias("v")).collect()}
+    want = pd.to_numeric(pd.Series(texts, dtype="object"), errors="coerce")
+    for i, w in enumerate(want):
+        w = None if (w is None or (isinstance(w, float) and (math.isnan(w) or math.isinf(w)))) else float(w)
+        assert got[i] == w, (texts[i], got[i], w)
