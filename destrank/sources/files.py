@@ -48,12 +48,17 @@ def salvage_lines(lines: DataFrame, schema: T.StructType, text: str = "value") -
     ).select("_rec.*", "_valid")
 
 
-def read_salvaged_feed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_salvaged_feed(
+    spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = False
+) -> DataFrame:
     """Read a feed of several concatenated JSON arrays and keep the objects.
 
-    The feed writer puts one object per line, so the file is read by line
-    (splittable across tasks) and the object pattern is applied per line.
-    Rejected candidates are dropped; count them with ``salvage_lines``.
+    The feed writer puts one object per line, so by default the file is
+    read by line (splittable across tasks) and the object pattern is
+    applied per line. ``whole_file=True`` reads each file as one text, for
+    pretty-printed feeds whose objects span lines; each file is then one
+    task. Rejected candidates are dropped; count them with
+    ``salvage_lines``.
     """
-    lines = spark.read.text(path)
+    lines = spark.read.text(path, wholetext=whole_file)
     return salvage_lines(lines, schema).where("_valid").drop("_valid")

@@ -57,3 +57,13 @@ def test_jdbc_options():
         jdbc_read_options("jdbc:x", table="t", partition_column="id")
     w = jdbc_write_options("jdbc:x", "city_recommendations", truncate=True)
     assert w["truncate"] == "true" and w["dbtable"] == "city_recommendations"
+
+
+def test_salvaged_feed_pretty_printed(spark, tmp_out):
+    path = tmp_out + ".json"
+    text = '[\n  {\n    "city": "A",\n    "name": "n1"\n  },\n  {\n    "city": "B"\n  }\n][\n  {"city": "C"}\n]'
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    by_line = files.read_salvaged_feed(spark, path, "city string, name string")
+    whole = files.read_salvaged_feed(spark, path, "city string, name string", whole_file=True)
+    assert sorted(r.city for r in whole.collect()) == ["A", "B", "C"]
+    assert sorted(r.city for r in by_line.collect()) == ["C"]  # objects spanning lines need whole_file
