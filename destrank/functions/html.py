@@ -10,10 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from destrank.fixed import (  # noqa: F401  (re-exported for callers)
+    CARD_TESTID,
+    DESCRIPTION_TESTID,
+    LATITUDE_VAR,
+    LONGITUDE_VAR,
+    SCORE_CLASSES,
+    TITLE_LINK_TESTID,
+    TITLE_TESTID,
+)
+
 NOISE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 TAG = r"<[^>]*>"
 
-# Entity replacements, applied in this order ('&amp;' last).
+# Entity replacements (own choice, SURVEY T15), applied in this order ('&amp;' last).
 ENTITIES = [
     ("&lt;", "<"),
     ("&gt;", ">"),
@@ -23,14 +33,7 @@ ENTITIES = [
     ("&amp;", "&"),
 ]
 
-# Markers of the listing and detail templates of the crawled site.
-CARD_MARKER = r'(?i)<[a-z0-9]+[^>]*data-testid="property-card"[^>]*>'
-TITLE_TESTID = "title"
-TITLE_LINK_TESTID = "title-link"
-DESCRIPTION_TESTID = "property-description"
-SCORE_CLASSES = ("f63b14ab7a", "dff2e52086")
-LATITUDE_VAR = "b_map_center_latitude"
-LONGITUDE_VAR = "b_map_center_longitude"
+CARD_MARKER = rf'(?i)<[a-z0-9]+[^>]*data-testid="{CARD_TESTID}"[^>]*>'
 
 
 def _col(c: Column | str) -> Column:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the accepted numeric text, "coerce" semantics.
+# Accepted numeric text, "coerce" semantics (decision SURVEY T6).
 # Optional sign, digits with an optional fraction or a bare fraction, an
 # optional exponent, surrounding blanks allowed. Java suffixes such as
 # '1d' or '1.5f', hex, thousands separators and words stay NULL.
 NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
-# Fixed value: signed decimal capture used for coordinates.
+# Signed decimal capture used for coordinates (deliberate fix, SURVEY T7).
 SIGNED_NUMBER = r"(-?\d+(?:\.\d+)?)"
 
 

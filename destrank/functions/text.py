@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Lookup suffix and search URL template of the collection side.
-LOOKUP_SUFFIX = ", France"
-SEARCH_URL = "https://www.booking.com/searchresults.html?ss=%s&lang=en-gb"
+from destrank.fixed import LOOKUP_SUFFIX, SEARCH_URL
+
 HOST_PATTERN = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)"
 
 

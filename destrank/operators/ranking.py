@@ -36,6 +36,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from destrank.fixed import DEFAULT_WEIGHTS, WEIGHT_MAX, WEIGHT_MIN
 from destrank.functions.numeric import nan_to_null
 from destrank.session import ensure_checkpoint_dir
 
@@ -201,16 +202,14 @@ def positions(df: DataFrame, partition_by: Sequence[str], order: str, output: st
     return ranked.withColumn(output, F.col(output).cast("long"))
 
 
-# Defaults of the dashboard sliders: each weight is an integer 0..10.
-DEFAULT_WEIGHTS = (5, 5, 5)
 
 
 def _check_weights(weights: Sequence[int]) -> tuple[int, int, int]:
     if len(weights) != 3:
         raise ValueError("three weights expected: temperature, rain, humidity")
     for w in weights:
-        if not isinstance(w, int) or not 0 <= w <= 10:
-            raise ValueError(f"weight {w!r} outside 0..10")
+        if not isinstance(w, int) or not WEIGHT_MIN <= w <= WEIGHT_MAX:
+            raise ValueError(f"weight {w!r} outside {WEIGHT_MIN}..{WEIGHT_MAX}")
     return tuple(weights)  # type: ignore[return-value]
 
 

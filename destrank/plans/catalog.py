@@ -213,7 +213,7 @@ def q_page_extract(spark, d):
     return _page_fields(table(spark, d, "pages"))
 
 
-# Fixed value: the repeated-block marker of the stand-in pages (list items).
+# Stand-in: the repeated-block marker of the test pages (list items).
 BLOCK_MARKER = r"(?i)<li\b[^>]*>"
 
 
@@ -274,7 +274,7 @@ def q_dedup_by_url(spark, d):
 
 
 # -------------------------------------------------------- sources/sinks
-# The configured list of places (event types) to process.
+# Stand-in: the configured list of places (event types) to process.
 SEEDED_PLACES = ["view", "click", "signup", "error", "purchase"]
 
 

@@ -13,19 +13,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from destrank.fixed import DEFAULT_WEIGHTS, RAIN_WEIGHT, TOP_HOTELS, TOP_PLACES
 from destrank.functions.numeric import coerce_numeric, round_nudged
 from destrank.operators import quality
 from destrank.operators.enrich import semi_filter
 from destrank.operators.pages import collect_hotels
-from destrank.operators.ranking import DEFAULT_WEIGHTS, rank_sum, top_k, weighted_score
+from destrank.operators.ranking import rank_sum, top_k, weighted_score
 from destrank.operators.rollup import daily_rollup, place_means
 from destrank.session import ensure_checkpoint_dir
 from destrank.sources import files
 from destrank.sources.landing import flatten_forecasts, readings_for_places
 
-TOP_PLACES = 5
-TOP_HOTELS = 20
-RAIN_WEIGHT = 10.0
 
 
 def recommendations(weather: DataFrame, hotels: DataFrame, key: str = "city") -> DataFrame:

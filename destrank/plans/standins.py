@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from destrank.functions.jsonx import json_field
 
-# The stand-in mapping (also spelled out in the oracle SQL).
+# Stand-in mapping constants (also spelled out in the oracle SQL).
 RAIN_BY_STATUS = {"F": 1.0, "P": 0.5}
 PRICE_SCALE = 10000.0
 PRIORITY_SCALE = 20.0
