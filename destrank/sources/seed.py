@@ -8,5 +8,5 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def seed_table(spark: SparkSession, values: Sequence[str], column: str = "city") -> DataFrame:
-    """One-column table from a short literal list."""
+    """One-column table from a short literal list (e.g. ``fixed.PLACES``)."""
     return spark.createDataFrame([(v,) for v in values], f"{column} string")

@@ -67,3 +67,13 @@ def test_salvaged_feed_pretty_printed(spark, tmp_out):
     whole = files.read_salvaged_feed(spark, path, "city string, name string", whole_file=True)
     assert sorted(r.city for r in whole.collect()) == ["A", "B", "C"]
     assert sorted(r.city for r in by_line.collect()) == ["C"]  # objects spanning lines need whole_file
+
+
+def test_seed_of_original_places(spark):
+    from destrank.fixed import PLACES
+    from destrank.functions.text import lookup_key, search_url
+
+    seed = seed_table(spark, PLACES)
+    rows = seed.select("city", lookup_key("city").alias("q"), search_url("city").alias("u")).collect()
+    assert len(rows) == 35 and rows[0].q == "Mont Saint Michel, France"
+    assert rows[0].u == "https://www.booking.com/searchresults.html?ss=Mont%20Saint%20Michel&lang=en-gb"
