@@ -154,6 +154,7 @@ def zip_positions(
     right_order: str,
     left_cols: Sequence[str],
     right_cols: Sequence[str],
+    **rank_options,
 ) -> DataFrame:
     """Pair the i-th row of ``left`` with the i-th row of ``right`` per group.
 
@@ -162,8 +163,8 @@ def zip_positions(
     a full outer join on (group, position) whose keys are unique per side.
     """
     group = list(group)
-    lp = positions(left.select(*group, left_order, *left_cols), group, left_order, "pos").drop(left_order)
-    rp = positions(right.select(*group, right_order, *right_cols), group, right_order, "pos").drop(right_order)
+    lp = positions(left.select(*group, left_order, *left_cols), group, left_order, "pos", **rank_options).drop(left_order)
+    rp = positions(right.select(*group, right_order, *right_cols), group, right_order, "pos", **rank_options).drop(right_order)
     return lp.join(rp, on=[*group, "pos"], how="full_outer")
 
 

@@ -57,3 +57,36 @@ def test_multi_bucket_matches_duckdb_on_lineitem(spark):
     con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{sf}/lineitem.parquet')")
     want = sorted(con.execute(ORACLE["average_rank"]).fetchall())
     assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_multi_bucket_scores_and_positions_match_oracle_sf001(spark):
+    import duckdb
+
+    from destrank.operators.enrich import zip_positions
+    from destrank.operators.ranking import weighted_score
+    from destrank.plans import catalog
+    from destrank.plans.oracle import ORACLE
+    from destrank.plans.standins import table
+
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ("events", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+
+    # 150 user means, 10 per bucket: 15 range buckets per criterion.
+    scores = weighted_score(catalog._user_means(spark, sf), (5, 5, 5), rows_per_bucket=10)
+    want = con.execute(ORACLE["weighted_score"])
+    cols = [d[0] for d in want.description]
+    assert sorted(tuple(r[c] for c in cols) for r in scores.collect()) == sorted(want.fetchall())
+
+    conv = table(spark, sf, "conversations")
+    users = conv.where("role = 'user'").selectExpr("conv_id", "turn", "turn AS user_turn")
+    assistants = conv.where("role = 'assistant'").selectExpr("conv_id", "turn", "turn AS assistant_turn")
+    # 279 user turns over ~20 turn values: several buckets per side, offsets per conversation.
+    zipped = zip_positions(
+        users, assistants, ["conv_id"], "turn", "turn", ["user_turn"], ["assistant_turn"], rows_per_bucket=16
+    )
+    key = lambda r: tuple(-1 if v is None else v for v in r)
+    got = sorted((tuple(r[c] for c in ("conv_id", "pos", "user_turn", "assistant_turn")) for r in zipped.collect()), key=key)
+    want = con.execute(f"SELECT conv_id, pos, user_turn, assistant_turn FROM ({ORACLE['zip_positions']})").fetchall()
+    assert got == sorted(want, key=key)
