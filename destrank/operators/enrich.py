@@ -3,14 +3,13 @@ positional zip, de-duplication and ordered text assembly."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from destrank.operators.ranking import BROADCAST_MAX_ROWS, positions
-from destrank.session import ensure_checkpoint_dir
+from destrank.session import checkpoint_counted, ensure_checkpoint_dir
 
 # A key is "hot" when the big side holds more rows for it than one task
 # should join; such keys are spread over up to MAX_SALTS tasks.
@@ -39,13 +38,6 @@ def first_per_key(
     return rows.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
-def _checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` and count its rows in the same job."""
-    obs = Observation(f"rows-{uuid.uuid4().hex}")
-    saved = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint()
-    return saved, int(obs.get["n"])
-
-
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -69,12 +61,12 @@ def lookup_join(
     """
     on = list(on)
     ensure_checkpoint_dir(left.sparkSession)
-    right, n_right = _checkpoint_counted(right)
+    right, n_right = checkpoint_counted(right)
     if n_right <= broadcast_max_rows:
         return left.join(F.broadcast(right), on, how)
 
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    hot, n_hot = _checkpoint_counted(
+    hot, n_hot = checkpoint_counted(
         counts.where(F.col("_rows") > hot_key_rows).select(
             *on, F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_key_rows))).cast("int").alias("_k")
         )

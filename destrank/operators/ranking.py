@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from destrank.fixed import DEFAULT_WEIGHTS, WEIGHT_MAX, WEIGHT_MIN
 from destrank.functions.numeric import nan_to_null
-from destrank.session import ensure_checkpoint_dir
+from destrank.session import checkpoint_counted, ensure_checkpoint_dir
 
 GRID = 1024
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
@@ -87,31 +87,21 @@ def average_ranks(
     ranked histogram checkpoint); both land in the shared checkpoint
     folder, so a lost executor never forces a recompute of the ranking.
     The input is read twice (histogram, final join). With
-    ``checkpoint_input`` it is first written to the checkpoint folder, so
-    an expensive input (per-place means over all readings) is computed
-    exactly once; leave it off for plain table scans.
+    ``checkpoint_input`` it is first written to the checkpoint folder (its
+    row count observed on the same job), so an expensive input (per-place
+    means over all readings) is computed exactly once; leave it off for
+    plain table scans. When that count is at most ``rows_per_bucket``,
+    one bucket per criterion is proven and the histogram job is skipped.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    known_rows = None
     if checkpoint_input:
-        df = df.checkpoint()
+        df, known_rows = checkpoint_counted(df)
     specs = [s if isinstance(s, RankSpec) else RankSpec(*s) for s in specs]
     part = list(partition_by)
     values = [nan_to_null(F.col(s.source).cast("double")) for s in specs]
 
-    # Step 1: value histogram, map-side combined, written to the shared
-    # checkpoint folder. Step 2 rides on the same job as an observation:
-    # per criterion the histogram size and up to GRID - 1 quantiles
-    # (at most len(specs) x GRID numbers reach the driver).
-    fractions = ", ".join(repr(j / GRID) for j in range(1, GRID))
-    metrics = []
-    for i in range(len(specs)):
-        metrics.append(F.count(F.when(F.col("_c") == i, 1)).alias(f"m{i}"))
-        metrics.append(
-            F.expr(
-                f"percentile_approx(CASE WHEN _c = {i} THEN _v END, array({fractions}), {QUANTILE_ACCURACY})"
-            ).alias(f"q{i}")
-        )
-    obs = Observation(f"rank-stats-{uuid.uuid4().hex}")
+    # Step 1: value histogram, map-side combined.
     entries = F.array(*[F.struct(F.lit(i).alias("c"), v.alias("v")) for i, v in enumerate(values)])
     hist = (
         df.select(*part, F.explode(entries).alias("_e"))
@@ -119,13 +109,34 @@ def average_ranks(
         .where(F.col("_v").isNotNull())
         .groupBy("_c", *part, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .observe(obs, *metrics)
-        .checkpoint()
     )
-    observed = obs.get
-    stats = {i: (observed[f"m{i}"], observed[f"q{i}"]) for i in range(len(specs))}
-    sizes = {i: stats.get(i, (0, None))[0] for i in range(len(specs))}
-    split_points = {i: _splits(stats.get(i, (0, None))[1], sizes[i], rows_per_bucket) for i in range(len(specs))}
+
+    if known_rows is not None and known_rows <= rows_per_bucket:
+        # The input's observed size bounds every histogram: one bucket per
+        # criterion is proven, so no quantiles are needed and the
+        # histogram feeds the ranking directly in one job.
+        sizes = {i: known_rows for i in range(len(specs))}
+        split_points = {i: [] for i in range(len(specs))}
+    else:
+        # Written to the shared checkpoint folder. Step 2 rides on the same
+        # job as an observation: per criterion the histogram size and up to
+        # GRID - 1 quantiles (at most len(specs) x GRID numbers reach the
+        # driver).
+        fractions = ", ".join(repr(j / GRID) for j in range(1, GRID))
+        metrics = []
+        for i in range(len(specs)):
+            metrics.append(F.count(F.when(F.col("_c") == i, 1)).alias(f"m{i}"))
+            metrics.append(
+                F.expr(
+                    f"percentile_approx(CASE WHEN _c = {i} THEN _v END, array({fractions}), {QUANTILE_ACCURACY})"
+                ).alias(f"q{i}")
+            )
+        obs = Observation(f"rank-stats-{uuid.uuid4().hex}")
+        hist = hist.observe(obs, *metrics).checkpoint()
+        observed = obs.get
+        stats = {i: (observed[f"m{i}"], observed[f"q{i}"]) for i in range(len(specs))}
+        sizes = {i: stats[i][0] for i in range(len(specs))}
+        split_points = {i: _splits(stats[i][1], sizes[i], rows_per_bucket) for i in range(len(specs))}
     max_bucket = max([len(v) for v in split_points.values()] + [0])
 
     ascending = F.lit(True)

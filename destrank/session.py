@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on. Time zone is pinned so that day strings
 # cut from timestamps never depend on the machine; adaptive
@@ -71,6 +72,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or target
 
 
+def checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """Checkpoint ``df`` to the shared folder and count its rows in the
+    same job (an observation), so the count costs no extra pass."""
+    ensure_checkpoint_dir(df.sparkSession)
+    obs = Observation(f"rows-{uuid.uuid4().hex}")
+    saved = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint()
+    return saved, int(obs.get["n"])
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
