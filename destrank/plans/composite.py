@@ -145,11 +145,13 @@ def run_batch(
     counts come from observations on those writes.
     """
     ensure_checkpoint_dir(spark)
-    means = place_means(weather, key).checkpoint()
-    scores = weighted_score(means, weights, checkpoint_input=False)  # already checkpointed
+    # weighted_score checkpoints the per-place means (one row per place)
+    # and keeps them as columns, so every table below reads that
+    # checkpoint instead of the readings.
+    scores = weighted_score(place_means(weather, key), weights)
     top = top_places(scores, TOP_PLACES, key).checkpoint()
     tables = {
-        "recommendations": recommendations_from_means(means, hotels, key),
+        "recommendations": recommendations_from_means(scores, hotels, key),
         "top_map": top_map(cities, top, key),
         "top_hotels": top_hotels(hotels, top, TOP_HOTELS, key),
     }
