@@ -41,7 +41,7 @@ def salvage_lines(lines: DataFrame, schema: T.StructType, text: str = "value") -
     Adds ``_valid``: False for candidates that are not valid JSON (kept so
     callers can count them; the salvage itself drops them).
     """
-    found = lines.select(F.posexplode(salvage_objects(text)).alias("_pos", "_obj"))
+    found = lines.select(F.explode(salvage_objects(text)).alias("_obj"))
     return found.select(
         F.from_json("_obj", schema).alias("_rec"),
         F.try_parse_json("_obj").isNotNull().alias("_valid"),
