@@ -61,12 +61,39 @@ def _splits(quantiles: list[float] | None, n_rows: int, rows_per_bucket: int) ->
     return sorted(set(float(x) for x in picks if x is not None))
 
 
+GROUP = 32
+
+
+def _bucket_of(value: Column, splits: list[float]) -> Column:
+    """Number of split points strictly below ``value`` (its range bucket).
+
+    ``splits`` is sorted, so the count is found in two short scans: the
+    coarse group among every GROUP-th split, then the splits of that one
+    group - about 2 * GROUP comparisons instead of len(splits).
+    """
+    if not splits:
+        return F.lit(0)
+    if len(splits) <= GROUP:
+        return F.size(F.filter(_double_array(splits), lambda q: q < value))
+    groups = [splits[i : i + GROUP] for i in range(0, len(splits), GROUP)]
+    # Last split of every group but the final one: the groups before the
+    # found one lie entirely below the value, those after it at or above.
+    coarse = F.size(F.filter(_double_array([g[-1] for g in groups[:-1]]), lambda q: q < value))
+    fine_arrays = F.expr("array(" + ", ".join(_double_array_sql(g) for g in groups) + ")")
+    fine = F.size(F.filter(F.element_at(fine_arrays, coarse + 1), lambda q: q < value))
+    return coarse * F.lit(GROUP) + fine
+
+
+def _double_array_sql(values: list[float]) -> str:
+    return "array(" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in values) + ")"
+
+
 def _double_array(values: list[float]) -> Column:
     """A literal array<double>, parsed once on the JVM side (building it
     element by element would cost one gateway call per number)."""
     if not values:
         return F.array().cast("array<double>")
-    return F.expr("array(" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in values) + ")")
+    return F.expr(_double_array_sql(values))
 
 
 def average_ranks(
@@ -140,12 +167,11 @@ def average_ranks(
     max_bucket = max([len(v) for v in split_points.values()] + [0])
 
     ascending = F.lit(True)
-    splits_col = F.lit(None).cast("array<double>")
+    bucket = F.lit(0)
     for i, spec in enumerate(specs):
         ascending = F.when(F.col("_c") == i, F.lit(spec.ascending)).otherwise(ascending)
-        splits_col = F.when(F.col("_c") == i, _double_array(split_points[i])).otherwise(splits_col)
+        bucket = F.when(F.col("_c") == i, _bucket_of(F.col("_v"), split_points[i])).otherwise(bucket)
 
-    bucket = F.size(F.filter(splits_col, lambda q: q < F.col("_v"))) if max_bucket else F.lit(0)
     bucketed = (
         hist.withColumn("_asc", ascending)
         .withColumn("_b", F.when(F.col("_asc"), bucket).otherwise(F.lit(max_bucket) - bucket))

@@ -90,3 +90,20 @@ def test_multi_bucket_scores_and_positions_match_oracle_sf001(spark):
     got = sorted((tuple(r[c] for c in ("conv_id", "pos", "user_turn", "assistant_turn")) for r in zipped.collect()), key=key)
     want = con.execute(f"SELECT conv_id, pos, user_turn, assistant_turn FROM ({ORACLE['zip_positions']})").fetchall()
     assert got == sorted(want, key=key)
+
+
+def test_bucket_lookup_equals_bisect(spark):
+    import bisect
+    import random
+
+    from pyspark.sql import functions as F
+
+    from destrank.operators.ranking import _bucket_of
+
+    rnd = random.Random(7)
+    for n in (0, 1, 31, 32, 33, 64, 65, 1023):
+        splits = sorted({round(rnd.uniform(-100, 100), 3) for _ in range(n)})
+        vals = [round(rnd.uniform(-110, 110), 3) for _ in range(200)] + splits + [-1e9, 1e9]
+        df = spark.createDataFrame([(v,) for v in vals], "v double")
+        got = [r.b for r in df.select(_bucket_of(F.col("v"), splits).alias("b")).collect()]
+        assert got == [bisect.bisect_left(splits, v) for v in vals], n
