@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from destrank.operators.ranking import BROADCAST_MAX_ROWS, positions
-from destrank.session import checkpoint_counted, ensure_checkpoint_dir
+from destrank.session import checkpoint_counted, checkpoint_measured, ensure_checkpoint_dir
 
 # A key is "hot" when the big side holds more rows for it than one task
 # should join; such keys are spread over up to MAX_SALTS tasks.
 HOT_KEY_ROWS = 2_000_000
 MAX_SALTS = 64
+# A lookup side is broadcast only below both bounds.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
 def first_per_key(
@@ -44,13 +46,15 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+    broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
     hot_key_rows: int = HOT_KEY_ROWS,
     max_salts: int = MAX_SALTS,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds at most one row per key.
 
-    ``right`` is checkpointed and counted first. Up to
-    ``broadcast_max_rows`` it is broadcast (a proven bound), and ``left``
+    ``right`` is checkpointed first, its rows and approximate bytes
+    observed on the same job. Within ``broadcast_max_rows`` and
+    ``broadcast_max_bytes`` it is broadcast (a proven bound), and ``left``
     is never shuffled. A larger ``right`` is shuffle-joined. Keys holding
     more than ``hot_key_rows`` left rows are salted: their left rows are
     spread over ``ceil(rows / hot_key_rows)`` (at most ``max_salts``)
@@ -61,8 +65,8 @@ def lookup_join(
     """
     on = list(on)
     ensure_checkpoint_dir(left.sparkSession)
-    right, n_right = checkpoint_counted(right)
-    if n_right <= broadcast_max_rows:
+    right, n_right, right_bytes = checkpoint_measured(right)
+    if n_right <= broadcast_max_rows and right_bytes <= broadcast_max_bytes:
         return left.join(F.broadcast(right), on, how)
 
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))

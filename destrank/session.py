@@ -75,10 +75,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_counted(df: DataFrame) -> tuple[DataFrame, int]:
     """Checkpoint ``df`` to the shared folder and count its rows in the
     same job (an observation), so the count costs no extra pass."""
+    saved, rows, _ = checkpoint_measured(df)
+    return saved, rows
+
+
+def checkpoint_measured(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Like :func:`checkpoint_counted`, also observing an approximate
+    size in bytes: string and binary lengths plus 8 bytes per other value."""
     ensure_checkpoint_dir(df.sparkSession)
+    widths = [
+        F.coalesce(F.octet_length(F.col(name)), F.lit(0)) if dtype in ("string", "binary") else F.lit(8)
+        for name, dtype in df.dtypes
+    ]
+    row_bytes = sum(widths[1:], widths[0]) if widths else F.lit(0)
     obs = Observation(f"rows-{uuid.uuid4().hex}")
-    saved = df.observe(obs, F.count(F.lit(1)).alias("n")).checkpoint()
-    return saved, int(obs.get["n"])
+    saved = df.observe(obs, F.count(F.lit(1)).alias("n"), F.sum(row_bytes.cast("long")).alias("b")).checkpoint()
+    got = obs.get
+    return saved, int(got["n"]), int(got["b"] or 0)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

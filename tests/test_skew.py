@@ -49,3 +49,26 @@ def test_hot_key_dedup(spark):
     df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("url"), F.col("id"))
     out = {r.url: r.id for r in dedup_first(df, ["url"], ["id"]).collect()}
     assert out["hot"] == 0 and len(out) == 20_001
+
+
+def test_lookup_broadcast_respects_byte_bound(spark):
+    left = spark.range(100).select(F.col("id"), (F.col("id") % 10).alias("k"))
+    right = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("payload"))
+    auto = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in auto}
+    for k, v in auto.items():
+        spark.conf.set(k, v)
+    try:
+        plans = {}
+        for limit in (5_000, 1_000_000):  # payload is about 10 kB
+            out = lookup_join(left, right, ["k"], "left", broadcast_max_bytes=limit)
+            assert sorted(r.id for r in out.where("payload IS NOT NULL").collect()) == list(range(100))
+            plans[limit] = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plans[5_000] and "SortMergeJoin" in plans[5_000]
+        assert "BroadcastHashJoin" in plans[1_000_000]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
