@@ -77,3 +77,39 @@ def test_coerce_numeric_matches_pandas(spark, texts):
     for i, w in enumerate(want):
         w = None if (w is None or (isinstance(w, float) and (math.isnan(w) or math.isinf(w)))) else float(w)
         assert got[i] == w, (texts[i], got[i], w)
+
+
+@SETTINGS
+@given(
+    rows=st.lists(
+        st.tuples(st.integers(0, 3), st.one_of(st.none(), st.sampled_from(["a", "b", "c d", ""]))), min_size=0, max_size=40
+    ),
+    run_length=st.sampled_from([1, 2, 3, 1024]),
+)
+def test_join_group_texts_matches_python(spark, rows, run_length):
+    from destrank.operators.enrich import join_group_texts
+
+    data = [(g, i, t) for i, (g, t) in enumerate(rows)]  # i is a unique order
+    df = spark.createDataFrame(data, "g long, o long, s string")
+    got = {r.g: r.text for r in join_group_texts(df, ["g"], "o", "s", run_length=run_length).collect()}
+    want = {}
+    for g, _, t in data:
+        want.setdefault(g, [])
+        if t is not None:
+            want[g].append(t)
+    assert got == {g: " ".join(ts) for g, ts in want.items()}
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["k1", "k2", None]), st.integers(0, 50), st.text(max_size=3)), max_size=40))
+def test_first_per_key_matches_python(spark, rows):
+    from destrank.operators.enrich import first_per_key
+
+    data = [(k, o, i, v) for i, (k, o, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k string, o long, i long, v string")
+    got = {r.k: (r.o, r.i, r.v) for r in first_per_key(df, ["k"], ["o", "i"], ["o", "i", "v"]).collect()}
+    want = {}
+    for k, o, i, v in sorted(data, key=lambda r: (r[1], r[2])):
+        if k is not None and k not in want:
+            want[k] = (o, i, v)
+    assert got == want
