@@ -113,3 +113,22 @@ def test_first_per_key_matches_python(spark, rows):
         if k is not None and k not in want:
             want[k] = (o, i, v)
     assert got == want
+
+
+@SETTINGS
+@given(
+    keys=st.lists(st.sampled_from(["hot", "hot", "hot", "a", "b", None]), min_size=1, max_size=60),
+    lookup_keys=st.sets(st.sampled_from(["hot", "a", "c"])),
+    how=st.sampled_from(["left", "inner"]),
+)
+def test_salted_lookup_join_equals_plain_join(spark, keys, lookup_keys, how):
+    from destrank.operators.enrich import lookup_join
+
+    left = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id long, k string")
+    right = spark.createDataFrame([(k, f"v-{k}") for k in sorted(lookup_keys)], "k string, v string")
+    # Force the shuffle path and salt any key with more than 2 rows.
+    out = lookup_join(left, right, ["k"], how, broadcast_max_rows=0, hot_key_rows=2, max_salts=4)
+    got = sorted((r.id, r.v) for r in out.collect())
+    table = {k: f"v-{k}" for k in lookup_keys}
+    want = sorted((i, table.get(k)) for i, k in enumerate(keys) if how == "left" or k in table)
+    assert got == want
