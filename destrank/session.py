@@ -17,6 +17,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Coalesce small shuffle outputs to the advisory partition size rather
+    # than to the default parallelism: on a large cluster the latter turns
+    # small stages (place-level tables) into thousands of tiny tasks.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.ui.enabled": "false",
     # Python call-site capture for error messages costs two gateway calls
     # per Column function; plans here are built from many such calls.
