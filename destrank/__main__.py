@@ -3,6 +3,8 @@
     python -m destrank recommend --weather W --hotels H --out O [--format jdbc ...]
     python -m destrank rank --weather W --hotels H --cities C --out O --weights 5 5 5
     python -m destrank batch --weather W --hotels H --cities C --out O
+    python -m destrank weather --forecasts F --geocodes G --out O   (landed JSON lines)
+    python -m destrank hotels --search-pages S --detail-pages D --out O   (parquet pages)
 
 Inputs are ``parquet``, ``csv``, ``json`` paths (any Hadoop URI) or JDBC
 tables (``--jdbc-url`` plus the table name as the path). CSV and JSON
@@ -20,6 +22,7 @@ from destrank import schemas
 from destrank.plans import composite
 from destrank.session import get_session
 from destrank.sources import files, jdbc
+from destrank.sources.landing import cities_from_geocodes, read_forecasts, read_geocodes
 
 SCHEMAS = {"weather": schemas.WEATHER, "hotels": schemas.HOTELS, "cities": schemas.CITIES}
 
@@ -52,10 +55,14 @@ def _props(args: argparse.Namespace) -> dict[str, str]:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="destrank")
-    parser.add_argument("command", choices=["recommend", "rank", "batch"])
-    parser.add_argument("--weather", required=True, help="daily weather table")
-    parser.add_argument("--hotels", required=True, help="hotels table")
+    parser.add_argument("command", choices=["recommend", "rank", "batch", "weather", "hotels"])
+    parser.add_argument("--weather", help="daily weather table")
+    parser.add_argument("--hotels", help="hotels table")
     parser.add_argument("--cities", help="places with coordinates (rank, batch)")
+    parser.add_argument("--forecasts", help="landed forecast responses, JSON lines (weather)")
+    parser.add_argument("--geocodes", help="landed geocoder responses, JSON lines (weather)")
+    parser.add_argument("--search-pages", help="crawled search pages, parquet (city, url, html) (hotels)")
+    parser.add_argument("--detail-pages", help="crawled detail pages, parquet (url, html) (hotels)")
     parser.add_argument("--out", help="output folder (files) or table-name prefix (jdbc)")
     parser.add_argument("--format", choices=["parquet", "csv", "json", "jdbc"], default="parquet")
     parser.add_argument("--jdbc-url")
@@ -63,10 +70,31 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--weights", type=int, nargs=3, default=list(composite.DEFAULT_WEIGHTS),
                         metavar=("TEMP", "RAIN", "HUMIDITY"))
     args = parser.parse_args(argv)
-    if args.command in ("rank", "batch") and not args.cities:
-        parser.error("--cities is required for rank and batch")
+    needed = {
+        "recommend": ["weather", "hotels"],
+        "rank": ["weather", "hotels", "cities"],
+        "batch": ["weather", "hotels", "cities"],
+        "weather": ["forecasts", "geocodes"],
+        "hotels": ["search_pages", "detail_pages"],
+    }[args.command]
+    missing = [f"--{n.replace('_', '-')}" for n in needed if not getattr(args, n)]
+    if missing:
+        parser.error(f"{args.command} needs {' '.join(missing)}")
 
     spark = get_session(app_name=f"destrank-{args.command}")
+    if args.command == "weather":
+        # One row per place and day; also the places table.
+        cities = cities_from_geocodes(read_geocodes(spark, args.geocodes)).checkpoint()
+        _write(cities, args, "cities")
+        _write(composite.forecast_collection(cities, read_forecasts(spark, args.forecasts)), args, "weather")
+        return
+    if args.command == "hotels":
+        # Cards of the search pages merged with their detail pages.
+        search = spark.read.parquet(args.search_pages)
+        details = spark.read.parquet(args.detail_pages)
+        _write(composite.hotel_collection(search, details), args, "hotels")
+        return
+
     weather = _read(spark, args, "weather")
     hotels = _read(spark, args, "hotels")
     if args.command == "recommend":

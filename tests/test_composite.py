@@ -69,3 +69,30 @@ def test_cli_rank_and_recommend(spark):
     main(["recommend", "--format", "csv", "--weather", f"{base}/w", "--hotels", f"{base}/h", "--out", f"{base}/rec"])
     rec = F_.read_csv(spark, f"{base}/rec/city_recommendations", schemas.RECOMMENDATIONS)
     assert sorted(r.city for r in rec.collect()) == ["A", "B"]
+
+
+def test_cli_collection_side(spark):
+    from destrank.__main__ import main
+    from destrank.sources import files as F_
+    from test_pages import DETAIL_ONE, LISTING
+
+    base = scratch_dir(spark, "cli-collect")
+    geo = [{"city": "Paris", "hits": [{"lat": "48.85", "lon": "2.35"}]}, {"city": "Nowhere", "hits": []}]
+    fc = [{"city": c, "list": [{"dt_txt": "2026-06-03 09:00:00", "main": {"temp": 20.0, "humidity": 50},
+                                "pop": 0.1, "weather": [{"description": "sun"}]}]} for c in ("Paris", "Nowhere")]
+    for name, rows in (("geo", geo), ("fc", fc)):
+        spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1).write.text(f"{base}/{name}")
+    main(["weather", "--geocodes", f"{base}/geo", "--forecasts", f"{base}/fc", "--out", f"{base}/out"])
+    weather = spark.read.parquet(f"{base}/out/weather").collect()
+    assert [(r.city, r.date, r.temp_max) for r in weather] == [("Paris", "2026-06-03", 20.0)]  # unlocated place skipped
+    assert spark.read.parquet(f"{base}/out/cities").count() == 2
+
+    spark.createDataFrame([("Paris", "https://s.example/search", LISTING)], "city string, url string, html string") \
+        .write.parquet(f"{base}/search")
+    spark.createDataFrame([("https://x.example/h/one.html?x=1", DETAIL_ONE)], "url string, html string") \
+        .write.parquet(f"{base}/detail")
+    main(["hotels", "--search-pages", f"{base}/search", "--detail-pages", f"{base}/detail", "--out", f"{base}/h",
+          "--format", "csv"])
+    hotels = {r.name: r for r in F_.read_csv(spark, f"{base}/h/hotels", schemas.HOTELS).collect()}
+    assert hotels["Hotel One"].latitude == 48.87 and hotels["Hotel One"].score == "8.2"
+    assert hotels["Hotel & Two"].description is None
