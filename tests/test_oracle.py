@@ -14,7 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
+        return "nan" if math.isnan(v) else repr(v)
     return "NULL" if v is None else repr(v)
 
 
