@@ -49,6 +49,7 @@ def _rounded(df: DataFrame, cols) -> DataFrame:
 
 # --------------------------------------------------------------- rollups
 def q_daily_rollup(spark, d):
+    """A1 (A1a-d, P3, P27, T4): events as slices of an event type, one row per (type, day)."""
     readings = standins.event_readings(table(spark, d, "events"), "event_type")
     out = daily_rollup(readings, order=("ts", "event_id"))
     return _rounded(out, {"humidity"})
@@ -59,10 +60,12 @@ def _user_daily(spark, d):
 
 
 def q_place_means(spark, d):
+    """A2: per user, the mean of the daily max/min/mean humidity/max pop."""
     return _rounded(place_means(_user_daily(spark, d), "city", USER_MEANS4), set(USER_MEANS4))
 
 
 def q_union_rollups(spark, d):
+    """U1 + P17: two landed batches rolled up separately (the second in another column order), unioned by name."""
     events = table(spark, d, "events")
     first = events.where(F.col("ts") < F.lit(SPLIT_DAY).cast("timestamp_ntz"))
     second = events.where(F.col("ts") >= F.lit(SPLIT_DAY).cast("timestamp_ntz"))
@@ -79,32 +82,39 @@ def _user_means(spark, d):
 
 
 def q_average_rank(spark, d):
+    """Average rank of every lineitem quantity (heavy ties)."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     return average_rank(li, "l_quantity", "rank_qty")
 
 
 def q_average_rank_desc(spark, d):
+    """Descending average rank of the per-user mean value."""
     users = table(spark, d, "events").groupBy("user_id").agg(round_nudged(F.avg("value")).alias("avg_value"))
     return average_rank(users, "avg_value", "rank_value_desc", ascending=False, checkpoint_input=True)
 
 
 def q_rank_sum(spark, d):
+    """Unweighted three-criterion rank sum over user means."""
     return rank_sum(_user_means(spark, d))
 
 
 def q_notebook_ranking(spark, d):
+    """Four means per user, three of them ranked and summed."""
     return composite.notebook_ranking(_user_daily(spark, d), "city", digits=4)
 
 
 def q_weighted_score(spark, d):
+    """Weighted rank score with the default weights (5, 5, 5)."""
     return weighted_score(_user_means(spark, d), (5, 5, 5))
 
 
 def q_weighted_score_10_0_3(spark, d):
+    """Weighted rank score with non-default weights (10, 0, 3)."""
     return weighted_score(_user_means(spark, d), (10, 0, 3))
 
 
 def q_top_places(spark, d):
+    """O2: the five best users by weighted score, ties by key."""
     return composite.top_places(weighted_score(_user_means(spark, d), (5, 5, 5)))
 
 
@@ -115,15 +125,18 @@ def _nation_top(spark, d):
 
 
 def q_top_map(spark, d):
+    """The five best nations joined with their coordinates."""
     return composite.top_map(standins.nation_cities(table(spark, d, "nation")), _nation_top(spark, d))
 
 
 def q_top_hotels(spark, d):
+    """Suppliers in the five best nations, top 20 by coerced score."""
     hotels = standins.supplier_hotels(table(spark, d, "supplier"))
     return composite.top_hotels(hotels, _nation_top(spark, d))
 
 
 def q_recommendations(spark, d):
+    """C1 (A3, A4, J1, P20, O1): nation weather means joined with hotel score means."""
     weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
     hotels = standins.supplier_hotels(table(spark, d, "supplier"))
     out = composite.recommendations(weather, hotels)
@@ -131,27 +144,32 @@ def q_recommendations(spark, d):
 
 
 def q_preview(spark, d):
+    """First five parts by key."""
     return table(spark, d, "part").orderBy("p_partkey").limit(5)
 
 
 # --------------------------------------------------------- JSON sources
 def q_json_field(spark, d):
+    """A field of the JSON props text."""
     return table(spark, d, "events").select("event_id", json_field("props", "$.k").cast("bigint").alias("k"))
 
 
 def q_forecast_flatten(spark, d):
+    """Landed forecast bodies parsed and exploded, gated by located places."""
     responses = responses_from_bodies(standins.forecast_bodies(table(spark, d, "events")))
     places = standins.customer_places(table(spark, d, "customer"))
     return readings_for_places(places, flatten_forecasts(responses))
 
 
 def q_forecast_rollup(spark, d):
+    """Landed forecast bodies to one weather row per place and day."""
     responses = responses_from_bodies(standins.forecast_bodies(table(spark, d, "events")))
     places = standins.customer_places(table(spark, d, "customer"))
     return _rounded(composite.forecast_collection(places, responses), {"humidity"})
 
 
 def q_json_salvage(spark, d):
+    """Objects salvaged from a concatenated-array feed and summed per user."""
     schema = "k bigint, user_id bigint"
     objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), schema)
     kept = objs.where("_valid")
@@ -159,6 +177,7 @@ def q_json_salvage(spark, d):
 
 
 def q_salvage_report(spark, d):
+    """Kept and rejected object candidates of the feed."""
     objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), "k bigint, user_id bigint")
     return objs.agg(
         F.count(F.when(F.col("_valid"), 1)).alias("kept"),
@@ -168,6 +187,7 @@ def q_salvage_report(spark, d):
 
 # ------------------------------------------------------ numbers and text
 def q_coerce_numeric(spark, d):
+    """Text coerced to numbers, non-numbers to NULL."""
     part = table(spark, d, "part")
     return part.select(
         "p_partkey",
@@ -178,6 +198,7 @@ def q_coerce_numeric(spark, d):
 
 
 def q_capture_number(spark, d):
+    """Numbers captured from page scripts; absent variables give NULL."""
     pages = table(spark, d, "pages")
     return pages.select(
         "page_id",
@@ -188,11 +209,13 @@ def q_capture_number(spark, d):
 
 
 def q_url_strip(spark, d):
+    """Page URLs up to the query string."""
     pages = table(spark, d, "pages").where(F.col("url").isNotNull() & (F.col("url") != ""))
     return pages.select("page_id", strip_query("url").alias("url"))
 
 
 def q_page_links(spark, d):
+    """Every link of a page, counted and listed in order."""
     pages = table(spark, d, "pages")
     hrefs = H.all_attributes(H.drop_noise("html"), "a", "href")
     return pages.select("page_id", F.size(hrefs).alias("n_links"), F.array_join(hrefs, " ").alias("links"))
@@ -210,6 +233,7 @@ def _page_fields(pages: DataFrame) -> DataFrame:
 
 
 def q_page_extract(spark, d):
+    """Language, title, first heading and link of every page."""
     return _page_fields(table(spark, d, "pages"))
 
 
@@ -218,6 +242,7 @@ BLOCK_MARKER = r"(?i)<li\b[^>]*>"
 
 
 def q_page_blocks(spark, d):
+    """P14 (per block): repeated list-item blocks with their position, link and label."""
     pages = table(spark, d, "pages")
     blocks = pages.select("page_id", F.posexplode(H.blocks(H.drop_noise("html"), BLOCK_MARKER)).alias("block_pos", "_b"))
     return blocks.select(
@@ -229,15 +254,18 @@ def q_page_blocks(spark, d):
 
 
 def q_text_join(spark, d):
+    """Conversation turns joined in order."""
     return join_group_texts(table(spark, d, "conversations"), ["conv_id"], "turn", "text")
 
 
 def q_build_lookup_key(spark, d):
+    """Geocoder query text and search URL per part name."""
     part = table(spark, d, "part")
     return part.select("p_partkey", lookup_key("p_name").alias("lookup_key"), search_url("p_name").alias("search_url"))
 
 
 def q_zip_positions(spark, d):
+    """P25: i-th user turn paired with i-th assistant turn, shorter side padded."""
     conv = table(spark, d, "conversations")
     users = conv.where(F.col("role") == "user").select("conv_id", "turn", F.col("turn").alias("user_turn"))
     assistants = conv.where(F.col("role") == "assistant").select("conv_id", "turn", F.col("turn").alias("assistant_turn"))
@@ -246,6 +274,7 @@ def q_zip_positions(spark, d):
 
 # ---------------------------------------------------------------- joins
 def q_geocode_left(spark, d):
+    """Customers with the first gazetteer hit of their nation, NULL on a miss."""
     customer = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     gazetteer = table(spark, d, "supplier").where(F.col("s_acctbal") >= GAZETTEER_MIN_BALANCE).select(
         F.col("s_nationkey").alias("c_nationkey"),
@@ -257,6 +286,7 @@ def q_geocode_left(spark, d):
 
 
 def q_detail_merge(spark, d):
+    """Listing rows with the details of their stripped URL."""
     pages = table(spark, d, "pages")
     listing = pages.where(F.col("url").isNotNull() & (F.col("url") != "")).select("page_id", strip_query("url").alias("url"))
     details = pages.select(
@@ -269,6 +299,7 @@ def q_detail_merge(spark, d):
 
 
 def q_dedup_by_url(spark, d):
+    """D3: one page per host, the first by id."""
     pages = table(spark, d, "pages").select(url_host("url").alias("host"), "page_id", "url")
     return dedup_first(pages, ["host"], ["page_id"])
 
@@ -279,6 +310,7 @@ SEEDED_PLACES = ["view", "click", "signup", "error", "purchase"]
 
 
 def q_city_seed(spark, d):
+    """Readings of the configured places, counted."""
     seed = seed_table(spark, SEEDED_PLACES)
     readings = standins.event_readings(table(spark, d, "events"), "event_type")
     # The seed is a literal of known size: broadcasting it is bounded.
@@ -287,11 +319,13 @@ def q_city_seed(spark, d):
 
 
 def q_sql_scan(spark, d):
+    """S3: SQL text over a temporary view."""
     table(spark, d, "supplier").createOrReplaceTempView("destrank_supplier")
     return spark.sql("SELECT * FROM destrank_supplier")
 
 
 def q_csv_roundtrip(spark, d):
+    """Conversations (multi-line quoted text) written as CSV and read back."""
     conv = table(spark, d, "conversations")
     path = scratch_dir(spark, "csv")
     files.write_csv(conv, path)
@@ -299,6 +333,7 @@ def q_csv_roundtrip(spark, d):
 
 
 def q_json_roundtrip(spark, d):
+    """K2: pages written as JSON lines and read back."""
     pages = table(spark, d, "pages")
     path = scratch_dir(spark, "json")
     files.write_json_lines(pages, path)
@@ -306,15 +341,18 @@ def q_json_roundtrip(spark, d):
 
 
 def q_row_count_report(spark, d):
+    """K6 / A5: row count per table."""
     names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
     return quality.row_counts({n: table(spark, d, n) for n in names})
 
 
 def q_null_audit(spark, d):
+    """NULL (and NaN) count per column."""
     return quality.null_audit(table(spark, d, "customer"), table="customer")
 
 
 def q_full_batch(spark, d):
+    """The whole batch, three tables written with observed counts; returns the hotel table."""
     weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
     hotels = standins.supplier_hotels(table(spark, d, "supplier"))
     cities = standins.nation_cities(table(spark, d, "nation"))
