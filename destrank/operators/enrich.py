@@ -75,10 +75,12 @@ def lookup_join(
             *on, F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_key_rows))).cast("int").alias("_k")
         )
     )
-    # At most (left rows / hot_key_rows) keys: a proven bound.
     if n_hot == 0:
         return left.join(right, on, how)
-    hot = F.broadcast(hot)
+    # At most (left rows / hot_key_rows) keys by construction; broadcast
+    # only below the same observed row bound as any other side.
+    if n_hot <= broadcast_max_rows:
+        hot = F.broadcast(hot)
     salted_left = left.join(hot, on, "left").withColumn(
         "_salt",
         F.when(F.col("_k").isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_k"))).otherwise(F.lit(0)),
