@@ -107,3 +107,20 @@ def test_bucket_lookup_equals_bisect(spark):
         df = spark.createDataFrame([(v,) for v in vals], "v double")
         got = [r.b for r in df.select(_bucket_of(F.col("v"), splits).alias("b")).collect()]
         assert got == [bisect.bisect_left(splits, v) for v in vals], n
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    rows=st.lists(st.tuples(st.sampled_from([1, 2, 3]), st.one_of(st.none(), st.integers(0, 4).map(float))), min_size=1, max_size=40),
+    per_bucket=st.sampled_from([1, 2, 1000]),
+)
+def test_grouped_ranks_match_pandas(spark, rows, per_bucket):
+    df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id long, g long, v double")
+    got = average_ranks(
+        df, [RankSpec("v", "up", True), RankSpec("v", "down", False)], partition_by=["g"], rows_per_bucket=per_bucket
+    ).toPandas().sort_values("id")
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    up = pdf.groupby("g")["v"].rank()
+    down = pdf.groupby("g")["v"].rank(ascending=False)
+    assert got["up"].fillna(-1).tolist() == up.fillna(-1).tolist()
+    assert got["down"].fillna(-1).tolist() == down.fillna(-1).tolist()
