@@ -41,6 +41,7 @@ MEANS = {"avg_temp_max": "temp_max", "avg_humidity": "humidity", "avg_pop": "pop
 USER_MEANS4 = {"avg_temp_max": "temp_max", "avg_temp_min": "temp_min", "avg_humidity": "humidity", "avg_pop": "pop"}
 SPLIT_DAY = "2024-01-16"
 GAZETTEER_MIN_BALANCE = 5000.0
+FEED_SCHEMA = "k bigint, user_id bigint"
 
 
 def _rounded(df: DataFrame, cols) -> DataFrame:
@@ -170,15 +171,14 @@ def q_forecast_rollup(spark, d):
 
 def q_json_salvage(spark, d):
     """Objects salvaged from a concatenated-array feed and summed per user."""
-    schema = "k bigint, user_id bigint"
-    objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), schema)
+    objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), FEED_SCHEMA)
     kept = objs.where("_valid")
     return kept.groupBy("user_id").agg(F.sum("k").alias("k_sum"), F.count(F.lit(1)).alias("n_objects"))
 
 
 def q_salvage_report(spark, d):
     """Kept and rejected object candidates of the feed."""
-    objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), "k bigint, user_id bigint")
+    objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), FEED_SCHEMA)
     return objs.agg(
         F.count(F.when(F.col("_valid"), 1)).alias("kept"),
         F.count(F.when(~F.col("_valid"), 1)).alias("rejected"),
