@@ -16,11 +16,13 @@ from __future__ import annotations
 import argparse
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from destrank import schemas
+from destrank.operators import quality
 from destrank.plans import composite
-from destrank.session import get_session
+from destrank.session import checkpoint_counted, get_session
 from destrank.sources import files, jdbc
 from destrank.sources.landing import cities_from_geocodes, read_forecasts, read_geocodes
 
@@ -84,15 +86,26 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_session(app_name=f"destrank-{args.command}")
     if args.command == "weather":
         # One row per place and day; also the places table.
-        cities = cities_from_geocodes(read_geocodes(spark, args.geocodes)).checkpoint()
+        # Counts (K6, D2) are observations of the write jobs: no extra pass.
+        cities, n_cities = checkpoint_counted(cities_from_geocodes(read_geocodes(spark, args.geocodes)))
         _write(cities, args, "cities")
-        _write(composite.forecast_collection(cities, read_forecasts(spark, args.forecasts)), args, "weather")
+        seen = Observation("responses")
+        responses = read_forecasts(spark, args.forecasts).observe(
+            seen,
+            F.count(F.lit(1)).alias("responses"),
+            F.count(F.when(F.col("list").isNull(), 1)).alias("rejected"),
+        )
+        weather, written = quality.observed(composite.forecast_collection(cities, responses), "weather")
+        _write(weather, args, "weather")
+        print(json.dumps({"cities": n_cities, **seen.get, "weather": written.get["rows"]}))
         return
     if args.command == "hotels":
         # Cards of the search pages merged with their detail pages.
         search = spark.read.parquet(args.search_pages)
         details = spark.read.parquet(args.detail_pages)
-        _write(composite.hotel_collection(search, details), args, "hotels")
+        hotels, written = quality.observed(composite.hotel_collection(search, details), "hotels")
+        _write(hotels, args, "hotels")
+        print(json.dumps({"hotels": written.get["rows"]}))
         return
 
     weather = _read(spark, args, "weather")

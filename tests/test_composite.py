@@ -71,7 +71,7 @@ def test_cli_rank_and_recommend(spark):
     assert sorted(r.city for r in rec.collect()) == ["A", "B"]
 
 
-def test_cli_collection_side(spark):
+def test_cli_collection_side(spark, capsys):
     from destrank.__main__ import main
     from destrank.sources import files as F_
     from test_pages import DETAIL_ONE, LISTING
@@ -80,9 +80,12 @@ def test_cli_collection_side(spark):
     geo = [{"city": "Paris", "hits": [{"lat": "48.85", "lon": "2.35"}]}, {"city": "Nowhere", "hits": []}]
     fc = [{"city": c, "list": [{"dt_txt": "2026-06-03 09:00:00", "main": {"temp": 20.0, "humidity": 50},
                                 "pop": 0.1, "weather": [{"description": "sun"}]}]} for c in ("Paris", "Nowhere")]
+    fc.append({"city": "Paris", "cod": "401"})  # an error body: no forecast list
     for name, rows in (("geo", geo), ("fc", fc)):
         spark.createDataFrame([(json.dumps(r),) for r in rows], "value string").coalesce(1).write.text(f"{base}/{name}")
     main(["weather", "--geocodes", f"{base}/geo", "--forecasts", f"{base}/fc", "--out", f"{base}/out"])
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts == {"cities": 2, "responses": 3, "rejected": 1, "weather": 1}
     weather = spark.read.parquet(f"{base}/out/weather").collect()
     assert [(r.city, r.date, r.temp_max) for r in weather] == [("Paris", "2026-06-03", 20.0)]  # unlocated place skipped
     assert spark.read.parquet(f"{base}/out/cities").count() == 2
