@@ -110,13 +110,19 @@ def main(argv: list[str] | None = None) -> None:
 
     weather = _read(spark, args, "weather")
     hotels = _read(spark, args, "hotels")
-    if args.command == "recommend":
-        _write(composite.recommendations(weather, hotels), args, "city_recommendations")
-    elif args.command == "rank":
-        cities = _read(spark, args, "cities")
-        top = composite.top_places(composite.place_scores(weather, args.weights)).checkpoint()
-        _write(composite.top_map(cities, top), args, "top_places")
-        _write(composite.top_hotels(hotels, top), args, "top_hotels")
+    if args.command in ("recommend", "rank"):
+        if args.command == "recommend":
+            tables = {"city_recommendations": composite.recommendations(weather, hotels)}
+        else:
+            cities = _read(spark, args, "cities")
+            top = composite.top_places(composite.place_scores(weather, args.weights)).checkpoint()
+            tables = {"top_places": composite.top_map(cities, top), "top_hotels": composite.top_hotels(hotels, top)}
+        counts = {}
+        for name, df in tables.items():
+            watched, obs = quality.observed(df, name)
+            _write(watched, args, name)
+            counts[name] = obs.get["rows"]
+        print(json.dumps(counts))
     else:
         cities = _read(spark, args, "cities")
         out = None if args.format == "jdbc" else args.out
