@@ -46,6 +46,32 @@ def read_jdbc(spark: SparkSession, url: str, **kw) -> DataFrame:
     return spark.read.format("jdbc").options(**jdbc_read_options(url, **kw)).load()
 
 
+def modulo_predicates(int_expression: str, num_partitions: int) -> list[str]:
+    """Disjoint WHERE clauses covering every row, one per partition.
+
+    For tables without a numeric key (the warehouse tables are keyed by
+    place name): ``int_expression`` is any integer expression the
+    database evaluates, e.g. ``abs(hashtext(city))`` on PostgreSQL. Rows
+    where it is NULL go to the first partition.
+    """
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be positive")
+    clauses = [f"mod({int_expression}, {num_partitions}) = {i}" for i in range(num_partitions)]
+    clauses[0] = f"({clauses[0]} OR ({int_expression}) IS NULL)"
+    return clauses
+
+
+def read_jdbc_predicates(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    predicates: list[str],
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """One task per predicate (each a WHERE clause run by the database)."""
+    return spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
+
+
 def jdbc_write_options(
     url: str,
     table: str,

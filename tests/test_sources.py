@@ -77,3 +77,13 @@ def test_seed_of_original_places(spark):
     rows = seed.select("city", lookup_key("city").alias("q"), search_url("city").alias("u")).collect()
     assert len(rows) == 35 and rows[0].q == "Mont Saint Michel, France"
     assert rows[0].u == "https://www.booking.com/searchresults.html?ss=Mont%20Saint%20Michel&lang=en-gb"
+
+
+def test_modulo_predicates_cover_every_row():
+    from destrank.sources.jdbc import modulo_predicates
+
+    preds = modulo_predicates("abs(hashtext(city))", 4)
+    assert len(preds) == 4 and preds[3] == "mod(abs(hashtext(city)), 4) = 3"
+    assert "IS NULL" in preds[0]
+    with pytest.raises(ValueError):
+        modulo_predicates("x", 0)
