@@ -250,24 +250,24 @@ def _check_weights(weights: Sequence[int]) -> tuple[int, int, int]:
     return tuple(weights)  # type: ignore[return-value]
 
 
-def weighted_score(
+def criterion_ranks(
     means: DataFrame,
-    weights: Sequence[int] = DEFAULT_WEIGHTS,
     temp: str = "avg_temp_max",
     rain: str = "avg_pop",
     humidity: str = "avg_humidity",
     checkpoint_input: bool = True,
     **kw,
 ) -> DataFrame:
-    """Score = rank(temp asc)*w_temp + rank(rain desc)*w_rain + rank(humidity desc)*w_hum.
-
-    Warmer, drier and less humid places score higher. A NULL criterion
-    makes the score NULL; such places sort last. ``means`` is an
-    aggregate (one row per place), so by default it is checkpointed once
-    and the readings behind it are not aggregated twice.
+    """The three criterion ranks: warmth ascending, rain and humidity
+    descending (warmer, drier, less humid ranks higher).
+
+    They do not depend on the weights, so an interactive caller ranks
+    once and re-scores each slider change with :func:`score_from_ranks`
+    (a projection). ``means`` is an aggregate (one row per place), so by
+    default it is checkpointed once and the readings behind it are not
+    aggregated twice.
     """
-    w_temp, w_rain, w_hum = _check_weights(weights)
-    ranked = average_ranks(
+    return average_ranks(
         means,
         [
             RankSpec(temp, "rank_temp", True),
@@ -277,12 +277,35 @@ def weighted_score(
         checkpoint_input=checkpoint_input,
         **kw,
     )
+
+
+def score_from_ranks(ranks: DataFrame, weights: Sequence[int] = DEFAULT_WEIGHTS) -> DataFrame:
+    """Score = rank_temp*w_temp + rank_rain*w_rain + rank_humidity*w_hum.
+
+    A NULL criterion makes the score NULL; such places sort last.
+    """
+    w_temp, w_rain, w_hum = _check_weights(weights)
     score = (
         F.col("rank_temp") * F.lit(w_temp)
         + F.col("rank_rain") * F.lit(w_rain)
         + F.col("rank_humidity") * F.lit(w_hum)
     )
-    return ranked.withColumn("score", score.cast("double"))
+    return ranks.withColumn("score", score.cast("double"))
+
+
+def weighted_score(
+    means: DataFrame,
+    weights: Sequence[int] = DEFAULT_WEIGHTS,
+    temp: str = "avg_temp_max",
+    rain: str = "avg_pop",
+    humidity: str = "avg_humidity",
+    checkpoint_input: bool = True,
+    **kw,
+) -> DataFrame:
+    """Criterion ranks and their weighted sum in one call."""
+    _check_weights(weights)
+    ranks = criterion_ranks(means, temp, rain, humidity, checkpoint_input=checkpoint_input, **kw)
+    return score_from_ranks(ranks, weights)
 
 
 def rank_sum(means: DataFrame, **kw) -> DataFrame:

@@ -140,3 +140,13 @@ def test_join_group_texts_runs(spark):
     got = {r.g: r.text for r in join_group_texts(df, ["g"], "o", "s", run_length=8).collect()}
     assert got[1] == " ".join(f"w{t}" for t in range(40) if t != 5)
     assert got[2] == "" and got[3] == "a b"
+
+
+def test_rank_once_rescore_many(spark):
+    from destrank.operators.ranking import criterion_ranks, score_from_ranks
+
+    w = spark.createDataFrame(WEATHER_B2, "city string, temp_max double, humidity double, pop double")
+    ranks = criterion_ranks(place_means(w)).checkpoint()
+    for weights, expected in {(1, 1, 1): 7.5, (5, 5, 5): 37.5, (10, 0, 3): 31.0}.items():
+        got = {r.city: r.score for r in score_from_ranks(ranks, weights).collect()}
+        assert got["A"] == expected and got["D"] is None
