@@ -1,7 +1,7 @@
 """Command-line entry: run the batch jobs with ``spark-submit`` or ``python -m``.
 
     python -m destrank recommend --weather W --hotels H --out O [--format jdbc ...]
-    python -m destrank rank --weather W --hotels H --cities C --out O --weights 5 5 5
+    python -m destrank rank --weather W --hotels H --cities C --out O --weights 5 5 5 [--weights 10 0 3 ...]
     python -m destrank batch --weather W --hotels H --cities C --out O
     python -m destrank weather --forecasts F --geocodes G --out O   (landed JSON lines)
     python -m destrank hotels --search-pages S --detail-pages D --out O   (parquet pages)
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from destrank import schemas
 from destrank.operators import quality
+from destrank.operators.ranking import criterion_ranks, score_from_ranks
+from destrank.operators.rollup import place_means
 from destrank.plans import composite
 from destrank.session import checkpoint_counted, get_session
 from destrank.sources import files, jdbc
@@ -69,9 +71,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=["parquet", "csv", "json", "jdbc"], default="parquet")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-properties", help='JSON object, e.g. {"user": "u", "driver": "org.postgresql.Driver"}')
-    parser.add_argument("--weights", type=int, nargs=3, default=list(composite.DEFAULT_WEIGHTS),
-                        metavar=("TEMP", "RAIN", "HUMIDITY"))
+    parser.add_argument("--weights", type=int, nargs=3, action="append", metavar=("TEMP", "RAIN", "HUMIDITY"),
+                        help="criterion weights 0..10; repeat for several settings (rank ranks once)")
     args = parser.parse_args(argv)
+    settings = [tuple(w) for w in (args.weights or [list(composite.DEFAULT_WEIGHTS)])]
     needed = {
         "recommend": ["weather", "hotels"],
         "rank": ["weather", "hotels", "cities"],
@@ -115,8 +118,14 @@ def main(argv: list[str] | None = None) -> None:
             tables = {"city_recommendations": composite.recommendations(weather, hotels)}
         else:
             cities = _read(spark, args, "cities")
-            top = composite.top_places(composite.place_scores(weather, args.weights)).checkpoint()
-            tables = {"top_places": composite.top_map(cities, top), "top_hotels": composite.top_hotels(hotels, top)}
+            # Ranks do not depend on the weights: rank once, re-score per setting.
+            ranks = criterion_ranks(place_means(weather)).checkpoint()
+            tables = {}
+            for w in settings:
+                suffix = "" if len(settings) == 1 else "_" + "_".join(map(str, w))
+                top = composite.top_places(score_from_ranks(ranks, w)).checkpoint()
+                tables[f"top_places{suffix}"] = composite.top_map(cities, top)
+                tables[f"top_hotels{suffix}"] = composite.top_hotels(hotels, top)
         counts = {}
         for name, df in tables.items():
             watched, obs = quality.observed(df, name)
@@ -126,7 +135,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         cities = _read(spark, args, "cities")
         out = None if args.format == "jdbc" else args.out
-        result = composite.run_batch(spark, weather, hotels, cities, out_dir=out, weights=args.weights)
+        result = composite.run_batch(spark, weather, hotels, cities, out_dir=out, weights=settings[0])
         if args.format == "jdbc":
             for name in ("recommendations", "top_map", "top_hotels"):
                 _write(getattr(result, name), args, name)

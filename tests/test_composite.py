@@ -66,6 +66,12 @@ def test_cli_rank_and_recommend(spark):
           "--out", f"{base}/out", "--weights", "10", "0", "3"])
     top = F_.read_csv(spark, f"{base}/out/top_places", "city string, latitude double, longitude double, score double")
     assert top.count() == 3
+    main(["rank", "--format", "csv", "--weather", f"{base}/w", "--hotels", f"{base}/h", "--cities", f"{base}/c",
+          "--out", f"{base}/multi", "--weights", "10", "0", "3", "--weights", "1", "1", "1"])
+    schema = "city string, latitude double, longitude double, score double"
+    one = {r.city: r.score for r in F_.read_csv(spark, f"{base}/multi/top_places_10_0_3", schema).collect()}
+    assert one == {r.city: r.score for r in top.collect()}
+    assert F_.read_csv(spark, f"{base}/multi/top_places_1_1_1", schema).count() == 3
     main(["recommend", "--format", "csv", "--weather", f"{base}/w", "--hotels", f"{base}/h", "--out", f"{base}/rec"])
     rec = F_.read_csv(spark, f"{base}/rec/city_recommendations", schemas.RECOMMENDATIONS)
     assert sorted(r.city for r in rec.collect()) == ["A", "B"]
