@@ -56,3 +56,39 @@ def test_element_and_attribute(spark):
         F.size(H.all_attributes(body, "a", "href")).alias("n"),
     ).collect()[0]
     assert (r.lang, r.title, r.h1, r.n) == ("de", "A & B", "Big one", 1)
+
+
+def _card(name, score, link):
+    parts = ['<div data-testid="property-card"><div class="wrap">']
+    inner = f'<div data-testid="title">{name}</div>'
+    if link is not None:
+        parts.append(f'<h3><a data-testid="title-link" href="{link}?aid=9">{inner}</a></h3>')
+    else:
+        parts.append(f"<h3>{inner}</h3>")
+    if score is not None:
+        parts.append(f'<div class="x f63b14ab7a dff2e52086">{score}</div>')
+    parts.append("</div></div>")
+    return "".join(parts)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    cards=st.lists(
+        st.tuples(
+            st.sampled_from(["Alpha", "Beta Inn", "Gamma & Co"]),
+            st.one_of(st.none(), st.sampled_from(["7.1", "8.5", "9.0"])),
+            st.one_of(st.none(), st.sampled_from(["https://x.example/a", "https://x.example/b"])),
+        ),
+        max_size=8,
+    )
+)
+def test_cards_stay_aligned_when_fields_are_missing(spark, cards):
+    html = "<html><body>" + "".join(_card(n, s, u) for n, s, u in cards) + "</body></html>"
+    pages = spark.createDataFrame([("P", html.replace("&", "&amp;"))], "city string, html string")
+    got = [(r.card_pos, r.name, r.score, r.url) for r in listing_cards(pages).orderBy("card_pos").collect()]
+    want = [(i, n, s, u) for i, (n, s, u) in enumerate(cards) if u is not None]
+    assert got == want
