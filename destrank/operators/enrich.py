@@ -59,9 +59,11 @@ def lookup_join(
     more than ``hot_key_rows`` left rows are salted: their left rows are
     spread over ``ceil(rows / hot_key_rows)`` (at most ``max_salts``)
     deterministic hash salts, and their single right row is repeated once
-    per salt. Other keys keep salt 0. This is needed because the
-    adaptive skew split does not apply when ``right`` comes straight from
-    an aggregation on the join key.
+    per salt. Other keys keep salt 0. Finding the hot keys costs one
+    extra pass over ``left``'s key columns (a partial count), paid only
+    on this large-lookup path. Salting is needed because the adaptive
+    skew split does not apply when ``right`` comes straight from an
+    aggregation on the join key.
     """
     on = list(on)
     ensure_checkpoint_dir(left.sparkSession)
