@@ -30,7 +30,9 @@ from destrank.operators.ranking import average_rank, rank_sum, weighted_score
 from destrank.operators.rollup import daily_rollup, place_means, tag, union_rollups
 from destrank.plans import composite, standins
 from destrank.plans.standins import table
+from destrank import schemas
 from destrank.session import scratch_dir
+from destrank.streaming import ingest_forecasts
 from destrank.sources import files
 from destrank.sources.seed import seed_table
 from destrank.sources.landing import flatten_forecasts, readings_for_places, responses_from_bodies
@@ -169,6 +171,15 @@ def q_forecast_rollup(spark, d):
     return _rounded(composite.forecast_collection(places, responses), {"humidity"})
 
 
+def q_forecast_ingest(spark, d):
+    """C6 landing: responses landed as JSON lines, picked up by the availableNow stream, read back."""
+    responses = responses_from_bodies(standins.forecast_bodies(table(spark, d, "events")))
+    landing, readings = scratch_dir(spark, "landing"), scratch_dir(spark, "readings")
+    files.write_json_lines(responses, landing)
+    ingest_forecasts(spark, landing, readings, scratch_dir(spark, "ingest-ckpt")).awaitTermination()
+    return spark.read.schema(schemas.READINGS).parquet(readings)
+
+
 def q_json_salvage(spark, d):
     """Objects salvaged from a concatenated-array feed and summed per user."""
     objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), FEED_SCHEMA)
@@ -378,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "json_field": q_json_field,
     "forecast_flatten": q_forecast_flatten,
     "forecast_rollup": q_forecast_rollup,
+    "forecast_ingest": q_forecast_ingest,
     "json_salvage": q_json_salvage,
     "salvage_report": q_salvage_report,
     "coerce_numeric": q_coerce_numeric,

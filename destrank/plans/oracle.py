@@ -170,6 +170,12 @@ SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, strft
 FROM events
 WHERE CAST(user_id AS VARCHAR) IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer
                                    WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL)
+""",
+    "forecast_ingest": """
+SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+       value AS temp, CAST(json_extract_string(props, '$.k') AS BIGINT) AS humidity, value / 500.0 AS pop,
+       event_type AS description
+FROM events
 """,
     "forecast_rollup": f"""
 SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, min(value) AS temp_min, max(value) AS temp_max,
