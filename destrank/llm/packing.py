@@ -43,7 +43,7 @@ PLAN_ROWS = 1_000_000
 PIECES = "piece int, start long, length long, ids_crc32 long, task int, task_rank long"
 
 
-def _public_vocabulary() -> str:
+def op3_vocabulary() -> str:
     import public_tokenizers
 
     return public_tokenizers.path("word_bpe_49k.json")
@@ -170,4 +170,4 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 tokens."""
-    return pack(table(spark, sf_dir, "documents"), _public_vocabulary())
+    return pack(table(spark, sf_dir, "documents"), op3_vocabulary())

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import fresh_name, saved, table
 from .components import connected_components
 
 WORDS = 5
@@ -391,30 +391,62 @@ def _round_pairs(members: DataFrame, roots: DataFrame, past: DataFrame | None) -
     return centres.select("sig", "centre"), pairs
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
-    """(id, n_shingles, component_id) of every row of ``docs``."""
-    source = docs.select(F.col(id_col), F.col(text).cast("string").alias("text"))
+def _class_roots(docs: DataFrame, id_col: str, text: str, group: int) -> DataFrame:
+    """(id, n_shingles, cls, root, least) of every row: its class, the least
+    class of its component and the least id of the component; the last two
+    null without words."""
+    source = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
     id_type = source.schema[0].dataType.simpleString()
-    rows = source.mapInArrow(_class_rows(id_col), f"`{id_col}` {id_type}, n_shingles long, cls long")
+    rows = source.mapInArrow(_class_rows("id"), f"id {id_type}, n_shingles long, cls long")
     rows = saved(rows, "classes")
-    classes = rows.filter("n_shingles > 0").groupBy("cls").agg(F.min("n_shingles").alias("n_shingles"), F.min(id_col).alias("least"))
+    classes = rows.filter("n_shingles > 0").groupBy("cls").agg(F.min("n_shingles").alias("n_shingles"), F.min("id").alias("least"))
     classes = saved(classes, "class-ids")
     roots = class_components(source.select("text"), classes.select("cls", "n_shingles"), group)
     keyed = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", F.col("cls")))
-    least = keyed.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_class = keyed.join(least, "root").select("cls", "component_id")
-    linked = rows.filter("n_shingles > 0").join(by_class, "cls").select(F.col(id_col), "n_shingles", "component_id")
-    return linked.unionByName(rows.filter("n_shingles = 0").select(F.col(id_col), "n_shingles", F.col(id_col).alias("component_id")))
+    least = keyed.groupBy("root").agg(F.min("least").alias("least"))
+    by_class = keyed.select("cls", "root").join(least, "root")
+    linked = rows.filter("n_shingles > 0").join(by_class, "cls").select("id", "n_shingles", "cls", "root", "least")
+    none = [F.lit(None).cast("long").alias("root"), F.lit(None).cast(id_type).alias("least")]
+    return linked.unionByName(rows.filter("n_shingles = 0").select("id", "n_shingles", "cls", *none))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
+    """(id, n_shingles, component_id) of every row of ``docs``."""
+    found = _class_roots(docs, id_col, text, group)
+    component = F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("least"))
+    return found.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"))
+
+
+def _class_column(text: Column) -> Column:
+    @F.pandas_udf("long")
+    def classes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
+        for texts in batches:
+            yield texts.map(lambda t: class_of(shingle_set((t or "").encode(), hashes))).astype("int64")
+
+    return classes(text)
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of linked or equal texts: the first
-    by id, then by its other columns. Texts without words all stay."""
-    components = jaccard_components(docs, id_col, text)
-    leaders = components.filter(F.col("n_shingles") > 0).select(F.col("component_id").alias("_leader")).distinct()
-    empty = components.filter(F.col("n_shingles") == 0).select(F.col(id_col).alias("_leader")).distinct()
-    kept = docs.join(leaders.unionByName(empty).distinct(), docs[id_col].eqNullSafe(F.col("_leader")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    """``docs`` with one row of each group of linked or equal texts, one with
+    the least id; rows without words all stay."""
+    rows = saved(_class_roots(docs, id_col, text, GROUP), "groups").filter("n_shingles > 0")
+    same = rows.groupBy("root", "id", "cls").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("cls"), F.col("n")))
+    leaders = saved(same.groupBy("root").agg(first.alias("f")).select("f.id", "f.cls", "f.n"), "leaders")
+    few = leaders.count() <= PICKED_CLASSES
+    mark = fresh_name(docs, "_class")
+    marked = docs.withColumn(mark, _class_column(F.col(text).cast("string")))
+
+    def among(chosen: DataFrame) -> DataFrame:
+        chosen = F.broadcast(chosen) if few else chosen
+        return marked.join(chosen, docs[id_col].eqNullSafe(chosen["id"]) & (marked[mark] == chosen["cls"]), "left_semi")
+
+    kept = marked.filter(F.col(mark) == class_of(np.zeros(0, np.uint64))).unionByName(among(leaders.filter("n = 1")))
+    repeated = leaders.filter("n > 1")  # rows that share id and text: one of them
+    if repeated.head(1):
+        kept = kept.unionByName(among(repeated).dropDuplicates([id_col, mark]))
+    return kept.drop(mark)
 
 
 def op9_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
