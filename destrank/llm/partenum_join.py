@@ -14,15 +14,18 @@ without a shared non-empty part are both short of parts, so none is lost.
 
 1. Tasks compute the sets' digests (a class is a set; copies share it) and
    packed signatures, which Spark shuffles by signature bucket.
-2. In a group of equal signatures every class is paired with the least one
-   only. Pairs are verified on the whole sets; components of the links follow.
+2. A link ensures not one but several shared signatures; classes that share
+   fewer with others, all together, drop out. In a group of equal signatures
+   every class is paired with the least one only. Pairs are verified on the
+   whole sets; components of the links follow.
 3. What remains are pairs of different components in a group that was not
    linked through. Groups of up to ``GROUP`` classes give those pairs. Larger
    ones are passed over by every class that has, not counting them, still
-   more shared parts than the bound needs; the classes for which that is not
-   so are matched with every member of the group in turn, one member a round.
-   So no group is ever expanded into all its pairs, and no link between
-   components is lost.
+   more shared parts than the bound needs. The classes for which that is not
+   so are matched in rounds: a few members from outside the group's largest
+   component with all members of other components, until each such member had
+   its turn or the group is one component. So no group is expanded into all its
+   pairs, and no link between components is lost.
 
 A class is told by a 64-bit digest of its shingle set, a shingle by a 64-bit
 hash: N classes coincide with probability N * N / 2**65.
@@ -52,6 +55,8 @@ NUMERATOR, DENOMINATOR, DIFFERENCE = 75, 100, 7
 FIRST_SUM, BAND_RATIO = 6, 1.6
 SPARE_SHARE, SPARE_PARTS = 0.15, 6
 GROUP = 32
+#: Members of a large open group that are matched in the first round; later rounds double it.
+CENTRES = 4
 BUCKET_SIGNATURES = 1_500_000
 LEAST_BUCKETS = 64
 HASHED_WORDS = 400_000
@@ -148,63 +153,72 @@ def _class_rows(id_name: str) -> Callable:
     return rows
 
 
-PACKED = "bucket int, classes binary, counts binary, signatures binary"
+PACKED = "bucket int, classes binary, bands binary, spares binary, counts binary, signatures binary"
 
 
 def _signature_rows(buckets: int) -> Callable:
-    """Packed rows (bucket, classes, signatures of each) of a batch's texts."""
+    """Packed rows of a batch's texts: a bucket's (class, band) entries, and
+    the signatures of each."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ends = WordHashes(), bands()
         for batch in batches:
             told: set[int] = set()
-            classes, found = [], []
+            entries, found = [], []
             for text in _binary_texts(batch, 0):
                 shingles = shingle_set(text, hashes)
                 cls = class_of(shingles)
                 if len(shingles) and cls not in told:
                     told.add(cls)
-                    for _, sigs, _ in signatures(shingles, ends):
-                        classes.append(np.full(len(sigs), cls, np.int64))
+                    for band, sigs, spare in signatures(shingles, ends):
+                        entries.append((cls, band, spare))
                         found.append(sigs)
             if not found:
                 continue
-            cls, sig = np.concatenate(classes), np.concatenate(found)
+            classes, band, spare = (np.array(c) for c in zip(*entries))
+            entry, sig = np.repeat(np.arange(len(found)), list(map(len, found))), np.concatenate(found)
             bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            order = np.argsort(bucket, kind="stable")  # a class's signatures stay together
-            cls, sig, bucket = cls[order], sig[order], bucket[order]
+            order = np.argsort(bucket, kind="stable")  # an entry's signatures stay together
+            entry, sig, bucket = entry[order], sig[order], bucket[order]
             cuts = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
             out = []
-            for b in range(buckets):
-                c, s = cls[cuts[b] : cuts[b + 1]], sig[cuts[b] : cuts[b + 1]]
-                if len(c):
-                    at = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
-                    counts = np.diff(np.append(at, len(c))).astype(np.uint32)
-                    out.append((b, c[at].tobytes(), counts.tobytes(), s.tobytes()))
-            frame = pd.DataFrame(out, columns=["bucket", "classes", "counts", "signatures"]).astype({"bucket": "int32"})
+            for k in range(buckets):
+                e, s = entry[cuts[k] : cuts[k + 1]], sig[cuts[k] : cuts[k + 1]]
+                if len(e):
+                    at = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]]))
+                    counts, e = np.diff(np.append(at, len(e))), e[at]
+                    columns = (classes[e].astype(np.int64), band[e].astype(np.uint8), spare[e].astype(np.int32), counts.astype(np.uint32), s)
+                    out.append((k, *[c.tobytes() for c in columns]))
+            frame = pd.DataFrame(out, columns=[c.split()[0] for c in PACKED.split(", ")]).astype({"bucket": "int32"})
             yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
     return rows
 
 
-def _grouped(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (sig, cls) sorted, and where each signature group starts."""
-    order = np.lexsort((cls, sig))
-    sig, cls = sig[order], cls[order]
-    new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])]) if len(sig) else np.zeros(0, bool)
-    sig, cls = sig[new], cls[new]
-    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
-    return sig, cls, starts
-
-
-def _star_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Each class of a signature group with the least class of the group."""
-    cls = np.repeat(np.frombuffer(b"".join(pdf["classes"]), np.int64), np.frombuffer(b"".join(pdf["counts"]), np.uint32))
-    sig, cls, starts = _grouped(np.frombuffer(b"".join(pdf["signatures"]), np.uint64), cls)
-    sizes = np.diff(np.append(starts, len(sig)))
-    least = np.repeat(cls[starts], sizes)
-    pairs = pd.DataFrame({"a": least[least != cls], "b": cls[least != cls]})
-    return pairs.drop_duplicates()
+def _shared_members(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(sig, cls, band, spare) of the signatures that several classes have."""
+    kinds = {"classes": np.int64, "bands": np.uint8, "spares": np.int32, "counts": np.uint32, "signatures": np.uint64}
+    cls, band, spare, counts, sig = (np.frombuffer(b"".join(pdf[c]), k) for c, k in kinds.items())
+    entry = np.repeat(np.arange(len(cls)), counts)
+    order = np.argsort(sig, kind="stable")
+    entry, sig = entry[order], sig[order]
+    edge = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1], [True]]))
+    entry, sig = (x[np.repeat(np.diff(edge) > 1, np.diff(edge))] for x in (entry, sig))
+    members = pd.DataFrame({"sig": sig.view(np.int64), "cls": cls[entry], "band": band[entry].astype(np.int32), "spare": spare[entry]})
+    members = members.drop_duplicates(["sig", "cls"])  # copies in several batches
+    return members[members.duplicated("sig", keep=False)]
+
+
+def _pruned(members: DataFrame) -> DataFrame:
+    """``members`` without the classes that share fewer signatures in a band
+    than a link there ensures, and without signatures left with one class."""
+    for _ in range(2):
+        enough = members.groupBy("cls", "band").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("least"))
+        enough = enough.filter(F.col("n") >= F.col("least")).select("cls", "band")
+        members = members.join(enough, ["cls", "band"], "left_semi").drop("size")
+        several = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        members = saved(members.join(several, "sig"), "members")
+    return members
 
 
 def _picked_sets(wanted) -> Callable:
@@ -258,53 +272,6 @@ def verified(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
     return compared.unionByName(pairs.filter(~near).select("a", "b", F.lit(False).alias("linked")))
 
 
-HELD = "kind string, sig long, a long, b long, band int, spare int"
-
-
-def _remaining_rows(buckets: int) -> Callable:
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ends = bands()
-        for batch in batches:
-            out = []
-            for cls, root, shingles in zip(batch["cls"], batch["root"], batch["shingles"]):
-                for band, sigs, spare in signatures(np.frombuffer(shingles, np.uint64), ends):
-                    n = len(sigs)
-                    out.append((np.full(n, cls), np.full(n, root), sigs, np.full(n, band, np.int32), np.full(n, spare, np.int32)))
-            if not out:
-                continue
-            cls, root, sig, band, spare = map(np.concatenate, zip(*out))
-            bucket = ((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            for b in np.unique(bucket):
-                at = bucket == b
-                packed = [x[at].tobytes() for x in (cls, root, sig, band, spare)]
-                yield pd.DataFrame([(int(b), *packed)], columns=["bucket", "cls", "root", "sig", "band", "spare"])
-
-    return rows
-
-
-def _remaining_pairs(group: int) -> Callable:
-    """Of each signature group with several components: the pairs between
-    them if the group is small ('pair'), else its members ('member')."""
-
-    def rows(pdf: pd.DataFrame) -> pd.DataFrame:
-        kinds = {"cls": np.int64, "root": np.int64, "sig": np.uint64, "band": np.int32, "spare": np.int32}
-        t = pd.DataFrame({c: np.frombuffer(b"".join(pdf[c]), k) for c, k in kinds.items()}).drop_duplicates(["sig", "cls"])
-        t = t[t.groupby("sig")["root"].transform("nunique") > 1]
-        size = t.groupby("sig")["cls"].transform("size")
-        small, large = t[size <= group], t[size > group]
-        pairs: set[tuple[int, int]] = set()
-        for _, g in small.groupby("sig"):
-            c, r = g["cls"].tolist(), g["root"].tolist()
-            pairs |= {(min(x, y), max(x, y)) for i, x in enumerate(c) for j, y in enumerate(c[:i]) if r[i] != r[j]}
-        out = pd.DataFrame(sorted(pairs), columns=["a", "b"], dtype="int64")
-        out = out.assign(kind="pair", sig=0, band=0, spare=0)
-        members = large.assign(kind="member", a=large["cls"], b=large["root"], sig=large["sig"].to_numpy().view(np.int64))
-        columns = [c.split()[0] for c in HELD.split(", ")]
-        return pd.concat([out[columns], members[columns]], ignore_index=True)
-
-    return rows
-
-
 def _picked(texts: DataFrame, classes: DataFrame) -> DataFrame:
     """(cls, shingles) of the given classes, one row each."""
     spark = texts.sparkSession
@@ -322,73 +289,81 @@ def class_components(texts: DataFrame, sizes: DataFrame, group: int = GROUP) ->
     total = sizes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).head()[0]
     buckets = max(LEAST_BUCKETS, total // BUCKET_SIGNATURES + 1)
     packed = texts.mapInArrow(_signature_rows(buckets), PACKED)
-    stars = packed.groupBy("bucket").applyInPandas(_star_pairs, "a long, b long").distinct()
-    stars = saved(stars, "star-pairs")
-    classes = stars.select(F.col("a").alias("cls")).unionByName(stars.select(F.col("b").alias("cls"))).distinct()
-    sets = saved(_picked(texts, classes), "sets")
+    members = packed.groupBy("bucket").applyInPandas(_shared_members, "sig long, cls long, band int, spare int")
+    members = _pruned(saved(members, "shared"))
+    sets = saved(_picked(texts, members.select("cls").distinct()), "sets")
+    least = members.groupBy("sig").agg(F.min("cls").alias("a"))
+    stars = members.join(least, "sig").filter("cls <> a").select("a", F.col("cls").alias("b")).distinct()
     done = saved(verified(stars, sets, sizes), "verified")
-    links = done.filter("linked").select("a", "b")
-    roots = saved(connected_components(links), "roots")
-    held = saved(_open_groups(done, sets, roots, group, buckets), "open")
-    pairs = held.filter("kind = 'pair'").select("a", "b").distinct()
-    members = _bound_members(held)
-    past = None
+    roots = saved(connected_components(done.filter("linked").select("a", "b")), "roots")
+    open_members = saved(_open(members, roots), "open")
+    pairs = _small_group_pairs(open_members.filter(F.col("size") <= group))
+    large = _bound_members(open_members.filter(F.col("size") > group))
+    past, centres = None, CENTRES
     while True:
         fresh = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         more = saved(verified(fresh, sets, sizes), "verified")
-        done = done.unionByName(more)
         new = more.filter("linked").select("a", "b")
         if new.head(1):
-            links = links.unionByName(new)
-            roots = saved(connected_components(links), "roots")
-        if members is None:
+            # Earlier links are kept as their components: as good, and no longer than the classes.
+            joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = saved(connected_components(joined.unionByName(new)), "roots")
+        if large is None:
             return roots
-        past, pairs = _round_pairs(members, roots, past)
-        if not pairs.head(1):
+        done = saved(done.unionByName(more), "verified")
+        now, pairs = _round_pairs(large, roots, past, centres)
+        if not now.head(1):
             return roots
+        past = now if past is None else saved(past.unionByName(now), "centres")
+        centres *= 2
+
+
+def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
+    known = members.drop("root").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
+    return known.withColumn("root", F.coalesce("root", F.col("cls")))
+
+
+def _open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members, with their roots, of groups that hold several components."""
+    known = _with_roots(members, roots)
+    several = known.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("sig")
+    return known.join(several, "sig", "left_semi")
+
+
+def _small_group_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of classes of different components in groups of a bounded size."""
+    left = members.select("sig", F.col("cls").alias("a"), F.col("root").alias("root_a"))
+    right = members.select("sig", F.col("cls").alias("b"), F.col("root").alias("root_b"))
+    return left.join(right, "sig").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
+
+
+def _bound_members(members: DataFrame) -> DataFrame | None:
+    """The members of large open groups whose class cannot pass over all of
+    its own; None if there is no such class."""
+    passed = members.groupBy("cls", "band").agg(F.count(F.lit(1)).alias("open"), F.min("spare").alias("least"))
+    bound = saved(members.join(passed.filter("open >= least").select("cls", "band"), ["cls", "band"], "left_semi"), "bound")
+    return bound.select("sig", "cls") if bound.head(1) else None
 
 
-def _bound_members(held: DataFrame) -> DataFrame | None:
-    """(sig, cls) of large open groups, for the classes that cannot pass over
-    all of theirs; None if there is no such class."""
-    members = held.filter("kind = 'member'").select("sig", F.col("a").alias("cls"), "band", "spare")
-    passed = members.groupBy("cls", "band").agg(F.count(F.lit(1)).alias("open"), F.min("spare").alias("spare"))
-    bound = saved(members.join(passed.filter("open >= spare").select("cls", "band"), ["cls", "band"], "left_semi").select("sig", "cls"), "members")
-    return bound if bound.head(1) else None
-
-
-def _open_groups(done: DataFrame, sets: DataFrame, roots: DataFrame, group: int, buckets: int) -> DataFrame:
-    """The HELD rows of the classes whose component has a refuted pair."""
-    def root(side: str) -> DataFrame:
-        return roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-
-    refuted = done.filter("NOT linked").join(root("a"), "a", "left").join(root("b"), "b", "left")
-    ends = [F.coalesce(f"root_{s}", F.col(s)).alias(f"root_{s}") for s in ("a", "b")]
-    refuted = refuted.select(*ends).filter("root_a <> root_b")
-    touched = refuted.select(F.col("root_a").alias("root")).unionByName(refuted.select(F.col("root_b").alias("root"))).distinct()
-    own = sets.select("cls").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
-    own = own.select("cls", F.coalesce("root", F.col("cls")).alias("root")).join(touched, "root", "left_semi")
-    rows = sets.join(own, "cls").mapInPandas(
-        _remaining_rows(buckets), "bucket int, cls binary, root binary, sig binary, band binary, spare binary"
-    )
-    return rows.groupBy("bucket").applyInPandas(_remaining_pairs(group), HELD)
-
-
-def _round_pairs(members: DataFrame, roots: DataFrame, past: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """The next centre (sig, centre) of each large group that still has several
-    components, and its pairs with the members of other components."""
-    known = members.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
-    known = known.select("sig", "cls", F.coalesce("root", F.col("cls")).alias("root"))
-    spans = known.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    known = known.join(spans.filter("lo <> hi").select("sig"), "sig", "left_semi")
-    left = known
+def _round_pairs(members: DataFrame, roots: DataFrame, past: DataFrame | None, centres: int) -> tuple[DataFrame, DataFrame]:
+    """The next centres (sig, cls) of each large group that still has several
+    components, at most ``centres`` a group and none from the group's largest
+    component, and their pairs with the members of other components. When all
+    members outside the largest component were centres, the group is done."""
+    known = saved(_with_roots(members, roots), "members")
+    parts = known.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("sig").agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+    outside = known.join(largest, "sig").filter("root <> main").drop("main")
     if past is not None:
-        left = known.join(past, "sig", "left").filter("centre IS NULL OR cls > centre").drop("centre")
-    centres = saved(left.groupBy("sig").agg(F.min(F.struct("cls", "root")).alias("c")).select("sig", "c.*"), "centres")
-    centres = centres.select("sig", F.col("cls").alias("centre"), F.col("root").alias("centre_root"))
-    pairs = known.join(centres, "sig").filter("root <> centre_root")
+        outside = outside.join(past, ["sig", "cls"], "left_anti")
+    # The least ``centres`` classes of each group, as slots: no group is sorted in one task.
+    slot = F.pmod(F.xxhash64("cls"), F.lit(centres))
+    chosen = outside.groupBy("sig", slot.alias("slot")).agg(F.min(F.struct("cls", "root")).alias("c")).select("sig", "c.*")
+    chosen = saved(chosen, "centres")
+    ends = chosen.select("sig", F.col("cls").alias("centre"), F.col("root").alias("centre_root"))
+    pairs = known.join(ends, "sig").filter("root <> centre_root")
     pairs = pairs.select(F.least("cls", "centre").alias("a"), F.greatest("cls", "centre").alias("b")).distinct()
-    return centres.select("sig", "centre"), pairs
+    return chosen.select("sig", "cls"), pairs
 
 
 def _class_roots(docs: DataFrame, id_col: str, text: str, group: int) -> DataFrame:
