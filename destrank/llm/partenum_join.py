@@ -16,8 +16,9 @@ without a shared non-empty part are both short of parts, so none is lost.
    packed signatures, which Spark shuffles by signature bucket.
 2. A link ensures not one but several shared signatures; classes that share
    fewer with others, all together, drop out. In a group of equal signatures
-   every class is paired with the least one only. Pairs are verified on the
-   whole sets; components of the links follow.
+   every class is paired with one only, the class that shares most (in a family
+   of copies, the original). Pairs are verified on the whole sets; components
+   of the links follow.
 3. What remains are pairs of different components in a group that was not
    linked through. Groups of up to ``GROUP`` classes give those pairs. Larger
    ones are passed over by every class that has, not counting them, still
@@ -211,14 +212,15 @@ def _shared_members(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _pruned(members: DataFrame) -> DataFrame:
     """``members`` without the classes that share fewer signatures in a band
-    than a link there ensures, and without signatures left with one class."""
-    for _ in range(2):
-        enough = members.groupBy("cls", "band").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("least"))
-        enough = enough.filter(F.col("n") >= F.col("least")).select("cls", "band")
-        members = members.join(enough, ["cls", "band"], "left_semi").drop("size")
-        several = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        members = saved(members.join(several, "sig"), "members")
-    return members
+    than a link there ensures, and without signatures left with one class;
+    with the group's size and the class's weight, the sum of its groups' sizes."""
+    enough = members.groupBy("cls", "band").agg(F.count(F.lit(1)).alias("n"), F.min("spare").alias("least"))
+    enough = enough.filter(F.col("n") >= F.col("least")).select("cls", "band")
+    members = members.join(enough, ["cls", "band"], "left_semi")
+    several = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = saved(members.join(several, "sig"), "members")
+    weights = members.groupBy("cls").agg(F.sum("size").alias("weight"))
+    return members.join(weights, "cls")
 
 
 def _picked_sets(wanted) -> Callable:
@@ -273,27 +275,31 @@ def verified(pairs: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def _picked(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, shingles) of the given classes, one row each."""
+    """(cls, shingles) of the given (cls, least id) classes, one row each; only
+    texts with such an id, or without one, are read again."""
     spark = texts.sparkSession
-    n = classes.count()
-    if n <= PICKED_CLASSES:
-        wanted = spark.sparkContext.broadcast(np.sort(classes.toPandas()["cls"].to_numpy(np.int64)))
-        return texts.mapInArrow(_picked_sets(wanted), "cls long, shingles binary").dropDuplicates(["cls"])
-    found = texts.mapInArrow(_picked_sets(None), "cls long, shingles binary")
+    if classes.count() <= PICKED_CLASSES:
+        wanted = classes.select("cls").toPandas()["cls"].to_numpy(np.int64)
+        ids = classes.select(F.col("least").alias("id")).distinct()
+        some = texts.join(F.broadcast(ids), "id", "left_semi").select("text").unionByName(texts.filter("id IS NULL").select("text"))
+        found = some.mapInArrow(_picked_sets(spark.sparkContext.broadcast(np.sort(wanted))), "cls long, shingles binary")
+        return found.dropDuplicates(["cls"])
+    found = texts.select("text").mapInArrow(_picked_sets(None), "cls long, shingles binary")
     return found.join(classes, "cls", "left_semi").dropDuplicates(["cls"])
 
 
 def class_components(texts: DataFrame, sizes: DataFrame, group: int = GROUP) -> DataFrame:
-    """(node, root) of the classes that have a link; ``texts`` one text column,
-    ``sizes`` (cls, n_shingles) of all classes with words."""
+    """(node, root) of the classes that have a link; ``texts`` (id, text),
+    ``sizes`` (cls, n_shingles, least id) of all classes with words."""
     total = sizes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).head()[0]
     buckets = max(LEAST_BUCKETS, total // BUCKET_SIGNATURES + 1)
-    packed = texts.mapInArrow(_signature_rows(buckets), PACKED)
+    packed = texts.select("text").mapInArrow(_signature_rows(buckets), PACKED)
     members = packed.groupBy("bucket").applyInPandas(_shared_members, "sig long, cls long, band int, spare int")
-    members = _pruned(saved(members, "shared"))
-    sets = saved(_picked(texts, members.select("cls").distinct()), "sets")
-    least = members.groupBy("sig").agg(F.min("cls").alias("a"))
-    stars = members.join(least, "sig").filter("cls <> a").select("a", F.col("cls").alias("b")).distinct()
+    members = saved(_pruned(saved(members, "shared")), "weighted")
+    sets = saved(_picked(texts, sizes.join(members.select("cls").distinct(), "cls")), "sets")
+    hubs = members.groupBy("sig").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
+    stars = members.join(hubs, "sig").filter("cls <> hub")
+    stars = stars.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
     done = saved(verified(stars, sets, sizes), "verified")
     roots = saved(connected_components(done.filter("linked").select("a", "b")), "roots")
     open_members = saved(_open(members, roots), "open")
@@ -376,7 +382,7 @@ def _class_roots(docs: DataFrame, id_col: str, text: str, group: int) -> DataFra
     rows = saved(rows, "classes")
     classes = rows.filter("n_shingles > 0").groupBy("cls").agg(F.min("n_shingles").alias("n_shingles"), F.min("id").alias("least"))
     classes = saved(classes, "class-ids")
-    roots = class_components(source.select("text"), classes.select("cls", "n_shingles"), group)
+    roots = class_components(source, classes, group)
     keyed = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", F.col("cls")))
     least = keyed.groupBy("root").agg(F.min("least").alias("least"))
     by_class = keyed.select("cls", "root").join(least, "root")
