@@ -36,7 +36,7 @@ from .common import saved, table
 CAPACITY = 2048
 CLOSING = (0).to_bytes(4, "little")
 SEGMENT_BYTES = 1 << 20
-CACHED_WORDS = 200_000
+CACHED_WORDS = 700_000
 #: A plan of at most so many rows is broadcast.
 PLAN_ROWS = 1_000_000
 
@@ -74,7 +74,7 @@ class WordEncoder:
         if len(self.known) + len(missing) > CACHED_WORDS:
             self.known.clear()
             missing = list(set(words))
-        for word, got in zip(missing, self.tokenizer.encode_batch([w.decode() for w in missing], add_special_tokens=False)):
+        for word, got in zip(missing, self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
             self.known[word] = b"".join(i.to_bytes(4, "little") for i in got.ids)
         return b"".join([self.known[w] for w in words])
 
