@@ -125,10 +125,10 @@ def corpus_log_probabilities(totals: DataFrame) -> DataFrame:
     trusted count, for the languages that have trusted text."""
     seen = {ORDER: totals.filter("c > 0")}
     for n in range(ORDER - 1, 0, -1):  # continuation counts: distinct symbols before
-        seen[n] = seen[n + 1].groupBy("lang", _low(F.col("g"), n).alias("g")).agg(F.count(F.lit(1)).alias("c"))
+        seen[n] = saved(seen[n + 1].groupBy("lang", _low(F.col("g"), n).alias("g")).agg(F.count(F.lit(1)).alias("c")), "seen")
     wanted = {ORDER: totals.select("lang", "g")}
     for n in range(ORDER - 1, 0, -1):
-        wanted[n] = wanted[n + 1].select("lang", _low(F.col("g"), n).alias("g")).distinct()
+        wanted[n] = saved(wanted[n + 1].select("lang", _low(F.col("g"), n).alias("g")).distinct(), "wanted")
     lower = None
     for n in range(1, ORDER + 1):
         history = F.shiftright("g", SYMBOL_BITS)
@@ -146,10 +146,18 @@ def corpus_log_probabilities(totals: DataFrame) -> DataFrame:
         else:
             rows = rows.withColumn("s", _low(F.col("g"), n - 1)).join(lower.select("lang", F.col("g").alias("s"), F.col("p").alias("below")), ["lang", "s"])
             below = F.col("below")
-        lower = rows.select("lang", "g", F.coalesce(own + F.col("held") / F.col("total") * below, below).alias("p"))
+        lower = saved(rows.select("lang", "g", F.coalesce(own + F.col("held") / F.col("total") * below, below).alias("p")), "order")
     return lower.select("lang", "g", F.log("p").alias("logp"))
 
 
+def _sorted_arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams, ascending, and their log-probabilities."""
+    got = rows.select("g", F.col("logp").cast("float")).toArrow()
+    keys, values = got["g"].to_numpy(), got["logp"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
 def _score(shared) -> "F.UserDefinedFunction":
     """By (text, lang): the sum of -logp over the n-grams that the shard has,
     and the number of n-grams."""
@@ -164,6 +172,8 @@ def _score(shared) -> "F.UserDefinedFunction":
                 if name not in shard:
                     continue
                 keys, values = shard[name]
+                if not len(keys):
+                    keys, values = np.zeros(1, np.int64), np.zeros(1, np.float32)
                 codes = [grams(t) for t in part["text"]]
                 sizes[part.index] = list(map(len, codes))
                 at, found = pd.factorize(np.concatenate(codes))
@@ -192,15 +202,13 @@ def with_perplexity(docs: DataFrame, trusted: str, out: str, text: str = "text",
     language = F.coalesce(F.concat(F.lit("="), F.col(lang)), F.lit(""))  # a null language is one of its own
     source = docs.select(F.col(text).cast("string").alias("text"), language.alias("lang"), F.col(trusted).alias("trusted"))
     totals = source.mapInPandas(_count_rows, "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
-    model = saved(corpus_log_probabilities(saved(totals, "grams")), "kneser-ney")
+    model = corpus_log_probabilities(saved(totals, "grams"))
     shards = max(1, -(-model.count() // shard_rows))
+    langs = [r["lang"] for r in model.select("lang").distinct().collect()]
     got = docs.withColumn(out, F.struct(F.lit(0.0).alias("nll"), F.lit(0).cast("long").alias("n")))
     for k in range(shards):
-        rows = model.filter(F.pmod(F.xxhash64("g"), F.lit(shards)) == k).withColumn("logp", F.col("logp").cast("float")).toPandas()
-        shard = {}
-        for name, part in rows.groupby("lang"):
-            order = np.argsort(part["g"].to_numpy())
-            shard[name] = part["g"].to_numpy()[order], part["logp"].to_numpy()[order]
+        rows = model.filter(F.pmod(F.xxhash64("g"), F.lit(shards)) == k)
+        shard = {name: _sorted_arrays(rows.filter(F.col("lang") == name)) for name in langs}
         step = fresh_name(got, f"{out}_part")
         got = got.withColumn(step, _score(spark.sparkContext.broadcast(shard))(F.col(text).cast("string"), language))
         total = F.struct((F.col(out)["nll"] + F.col(step)["nll"]).alias("nll"), F.greatest(F.col(out)["n"], F.col(step)["n"]).alias("n"))
