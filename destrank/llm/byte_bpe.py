@@ -268,7 +268,7 @@ def encode_documents(
     encoded = saved(encode_words(words, ranks), "words")
     n, m = encoded.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids")), F.lit(0))).head()
     if 20 * n + 4 * m <= broadcast_bytes:
-        packed = encoded.mapInPandas(_packed_rows, "hashes binary, sizes binary, ids binary").toPandas()
+        packed = encoded.mapInPandas(_packed_rows, "hashes binary, sizes binary, ids binary").toArrow().to_pandas()
         arrays = WordTable(packed)
         if arrays.exact:
             shared = sc.broadcast(arrays)

@@ -130,7 +130,7 @@ def fit(labelled: DataFrame, buckets: int = SAMPLE_BUCKETS) -> tuple[list[str],
     least = rows.groupBy("lang", "bucket").agg(F.min("h").alias("h"))
     sample = rows.join(least, ["lang", "bucket", "h"], "left_semi").dropDuplicates(["lang", "bucket", "h"])
     counts = sample.select("lang", "text").mapInPandas(_count_rows, "lang string, feature int, n double")
-    sums = counts.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toPandas()  # FEATURES rows a language at most
+    sums = counts.groupBy("lang", "feature").agg(F.sum("n").alias("n")).toArrow().to_pandas()  # FEATURES rows a language at most
     langs = sorted(sums["lang"].unique())
     model = np.full((len(langs), FEATURES), SMOOTHING)
     model[sums["lang"].map({c: i for i, c in enumerate(langs)}).to_numpy(int), sums["feature"].to_numpy(int)] += sums["n"].to_numpy()

@@ -279,7 +279,7 @@ def _picked(texts: DataFrame, classes: DataFrame) -> DataFrame:
     texts with such an id, or without one, are read again."""
     spark = texts.sparkSession
     if classes.count() <= PICKED_CLASSES:
-        wanted = classes.select("cls").toPandas()["cls"].to_numpy(np.int64)
+        wanted = classes.select("cls").toArrow().to_pandas()["cls"].to_numpy(np.int64)
         ids = classes.select(F.col("least").alias("id")).distinct()
         some = texts.join(F.broadcast(ids), "id", "left_semi").select("text").unionByName(texts.filter("id IS NULL").select("text"))
         found = some.mapInArrow(_picked_sets(spark.sparkContext.broadcast(np.sort(wanted))), "cls long, shingles binary")

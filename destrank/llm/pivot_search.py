@@ -121,7 +121,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     vectors; ``is_query`` marks the query rows."""
     spark = vectors.sparkSession
     rows = vectors.filter("vec_id IS NOT NULL AND v IS NOT NULL").select(F.col("vec_id").cast("long"), "v").distinct()
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).toPandas()
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).toArrow().to_pandas()
     pivots = {}
     for dim, part in sample.groupby(sample["v"].map(len)) if len(sample) else ():
         pivots[dim] = np.vstack([np.zeros(dim), np.unique(np.stack(part["v"].to_numpy()).astype(float), axis=0)])
@@ -134,7 +134,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     rings = keyed.groupBy(place).agg(
         F.count(F.lit(1)).alias("n"), F.min("dist").alias("lo"), F.max("dist").alias("hi"), F.max("norm2").alias("norm2")
     )
-    known = rings.toPandas().sort_values(place).reset_index(drop=True)  # bounded by pivots x rings
+    known = rings.toArrow().to_pandas().sort_values(place).reset_index(drop=True)  # bounded by pivots x rings
     known["parts"] = -(-known["n"] // BLOCK_ROWS)
     known["block"] = known["parts"].cumsum() - known["parts"]  # first block number of the ring
 
@@ -149,7 +149,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     # Queries in packs of neighbours: same dimension, pivot and ring.
     asked = keyed.filter(is_query)
-    per_ring = asked.groupBy(place).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(place)
+    per_ring = asked.groupBy(place).agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas().sort_values(place)
     per_ring["packs"] = -(-per_ring["n"] // PACK_QUERIES)
     per_ring["pack"] = per_ring["packs"].cumsum() - per_ring["packs"]
     firsts = spark.createDataFrame(per_ring[[*place, "packs", "pack"]], "dim int, pivot int, ring int, packs long, pack long")
