@@ -142,7 +142,9 @@ def _distinct_rows(pattern: str) -> Callable:
             texts = batch["text"].tolist()
             for at in range(0, len(texts), ROWS_AT_ONCE):
                 pieces = {p for t in texts[at : at + ROWS_AT_ONCE] for p in pieces_of(t or "")} - told
-                yield pd.DataFrame({"word": list({w for p in pieces for w in find(p)})})
+                words = list({w for p in pieces for w in find(p)})
+                if words:
+                    yield pd.DataFrame({"word": words})
                 told = pieces if len(told) > CACHED_PIECES else told | pieces
 
     return rows

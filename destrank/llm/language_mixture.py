@@ -119,7 +119,8 @@ def _count_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sums.setdefault(lang, np.zeros(FEATURES))[found] += counts
     for lang, counts in sums.items():
         found = np.flatnonzero(counts)
-        yield pd.DataFrame({"lang": lang, "feature": found, "n": counts[found]})
+        if len(found):
+            yield pd.DataFrame({"lang": lang, "feature": found, "n": counts[found]})
 
 
 def fit(labelled: DataFrame, buckets: int = SAMPLE_BUCKETS) -> tuple[list[str], np.ndarray]:

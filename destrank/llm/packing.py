@@ -21,11 +21,13 @@ segments cut at white space.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import Counter, deque
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -37,6 +39,7 @@ CAPACITY = 2048
 CLOSING = (0).to_bytes(4, "little")
 SEGMENT_BYTES = 1 << 20
 CACHED_WORDS = 700_000
+TEXTS_AT_ONCE = 500
 #: A plan of at most so many rows is broadcast.
 PLAN_ROWS = 1_000_000
 
@@ -55,28 +58,25 @@ class WordEncoder:
     ``CACHED_WORDS`` of them."""
 
     def __init__(self, vocabulary: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self._segment, _segments(text)))
-
-    def _segment(self, text: bytes) -> bytes:
-        words = text.split()  # ASCII white space only
-        try:
-            return b"".join([self.known[w] for w in words])
-        except KeyError:
-            pass
-        missing = list({w for w in words if w not in self.known})
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text; the unknown words of all are encoded at once."""
+        parts = [[segment.split() for segment in _segments(t)] for t in texts]  # ASCII white space only
+        words = {w for segments in parts for ws in segments for w in ws}
+        missing = list(words.difference(self.known))
         if len(self.known) + len(missing) > CACHED_WORDS:
             self.known.clear()
-            missing = list(set(words))
+            missing = list(words)
         for word, got in zip(missing, self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
-            self.known[word] = b"".join(i.to_bytes(4, "little") for i in got.ids)
-        return b"".join([self.known[w] for w in words])
+            self.known[word] = np.array(got.ids, "<u4").tobytes()
+        known = self.known
+        return [b"".join([known[w] for ws in segments for w in ws]) for segments in parts]
 
 
 def _segments(text: bytes) -> Iterator[bytes]:
@@ -103,11 +103,13 @@ def _piece_rows(vocabulary: str, capacity: int, id_name: str) -> Callable:
         for batch in batches:
             encoder = encoder or WordEncoder(vocabulary)
             index, out = [], []
-            for i, text in enumerate(batch.column(1).cast(pa.binary()).to_pylist()):
-                for piece in pieces_of(encoder.encode(text or b"") + CLOSING, capacity):
-                    index.append(i)
-                    out.append((*piece, task, ranks[piece[2]]))
-                    ranks[piece[2]] += 1
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                for i, ids in enumerate(encoder.encode(texts[at : at + TEXTS_AT_ONCE]), at):
+                    for piece in pieces_of(ids + CLOSING, capacity):
+                        index.append(i)
+                        out.append((*piece, task, ranks[piece[2]]))
+                        ranks[piece[2]] += 1
             columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))]
             if out:
                 names = [id_name, *[c.split()[0] for c in PIECES.split(", ")]]
