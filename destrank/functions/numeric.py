@@ -20,9 +20,9 @@ def _col(c: Column | str) -> Column:
 
 
 def nan_to_null(c: Column | str) -> Column:
-    """NaN and infinities become NULL, so means and sorts skip them."""
+    """NaN becomes NULL, so means and sorts skip it (T2, T3); infinities are values."""
     c = _col(c)
-    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(c)
+    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
 
 
 def coerce_numeric(c: Column | str) -> Column:

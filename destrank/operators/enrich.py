@@ -71,6 +71,14 @@ def lookup_join(
     if n_right <= broadcast_max_rows and right_bytes <= broadcast_max_bytes:
         return left.join(F.broadcast(right), on, how)
 
+    # A NULL key matches nothing: those rows need no join and no shuffle.
+    no_key = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+    unmatched = left.where(no_key) if how == "left" else None
+    left = left.where(~no_key)
+
+    def whole(joined: DataFrame) -> DataFrame:
+        return joined if unmatched is None else joined.unionByName(unmatched, allowMissingColumns=True)
+
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     hot, n_hot = checkpoint_counted(
         counts.where(F.col("_rows") > hot_key_rows).select(
@@ -78,7 +86,7 @@ def lookup_join(
         )
     )
     if n_hot == 0:
-        return left.join(right, on, how)
+        return whole(left.join(right, on, how))
     # At most (left rows / hot_key_rows) keys by construction; broadcast
     # only below the same observed row bound as any other side.
     if n_hot <= broadcast_max_rows:
@@ -91,7 +99,7 @@ def lookup_join(
         "_salt",
         F.explode(F.when(F.col("_k").isNotNull(), F.sequence(F.lit(0), F.col("_k") - 1)).otherwise(F.array(F.lit(0)))),
     ).drop("_k")
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    return whole(salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt"))
 
 
 def lookup_first(

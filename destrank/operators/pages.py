@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from destrank.functions import html as H
 from destrank.functions.text import join_texts, strip_query
-from destrank.operators.enrich import detail_merge
+from destrank.operators.enrich import dedup_first, detail_merge
 
 
 def listing_cards(pages: DataFrame, city: str = "city") -> DataFrame:
@@ -46,7 +46,14 @@ def hotel_details(pages: DataFrame) -> DataFrame:
 def collect_hotels(search_pages: DataFrame, detail_pages: DataFrame) -> DataFrame:
     """Cards joined with their details -> ``schemas.HOTELS`` columns."""
     cards = listing_cards(search_pages)
-    merged = detail_merge(cards, hotel_details(detail_pages), on="url")
+    # One hotel can stand on several search pages; cards without a URL all stay.
+    known = F.col("url").isNotNull() & (F.col("url") != "")
+    once = dedup_first(cards.where(known), ["url"], ["city", "name", "score"])
+    cards = once.unionByName(cards.where(~known | F.col("url").isNull()))
+    # An error page has no details; it must not hide a good page of the same URL.
+    details = hotel_details(detail_pages)
+    usable = (F.col("description") != "") | F.col("latitude").isNotNull() | F.col("longitude").isNotNull()
+    merged = detail_merge(cards, details.where(usable), on="url")
     return merged.select("city", "name", "score", "url", "description", "latitude", "longitude")
 
 

@@ -31,16 +31,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from destrank.fixed import DEFAULT_WEIGHTS, WEIGHT_MAX, WEIGHT_MIN
 from destrank.functions.numeric import nan_to_null
 from destrank.session import checkpoint_counted, ensure_checkpoint_dir
 
-GRID = 1024
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 BROADCAST_MAX_ROWS = 1_000_000
 QUANTILE_ACCURACY = 20_000
@@ -53,12 +50,16 @@ class RankSpec:
     ascending: bool = True
 
 
-def _splits(quantiles: list[float] | None, n_rows: int, rows_per_bucket: int) -> list[float]:
-    buckets = max(1, min(GRID, math.ceil(n_rows / max(1, rows_per_bucket))))
-    if buckets == 1 or not quantiles:
+def _splits(hist: DataFrame, n_rows: int, rows_per_bucket: int) -> list[float]:
+    """Distinct split points of ``_v`` into as many buckets as ``n_rows`` needs."""
+    buckets = max(1, math.ceil(n_rows / max(1, rows_per_bucket)))
+    if buckets == 1:
         return []
-    picks = [quantiles[min(len(quantiles) - 1, round(j * GRID / buckets) - 1)] for j in range(1, buckets)]
-    return sorted(set(float(x) for x in picks if x is not None))
+    fractions = F.expr("array(" + ", ".join(f"{j / buckets!r}D" for j in range(1, buckets)) + ")")
+    accuracy = max(QUANTILE_ACCURACY, 20 * buckets)
+    # Grouped, so that partial digests meet in an executor and not in the driver.
+    row = hist.groupBy("_c").agg(F.percentile_approx("_v", fractions, accuracy).alias("q")).head()
+    return sorted(set(float(x) for x in row["q"])) if row and row["q"] else []
 
 
 GROUP = 32
@@ -85,7 +86,7 @@ def _bucket_of(value: Column, splits: list[float]) -> Column:
 
 
 def _double_array_sql(values: list[float]) -> str:
-    return "array(" + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in values) + ")"
+    return "array(" + ", ".join(f"CAST('{v!r}' AS DOUBLE)" for v in values) + ")"
 
 
 def _double_array(values: list[float]) -> Column:
@@ -108,10 +109,11 @@ def average_ranks(
 
     ``specs`` holds ``RankSpec(source, output, ascending)`` (or tuples of
     the same). With ``partition_by`` ranks restart in every group.
-    NULL and NaN values get a NULL rank and do not take a position.
+    NULL and NaN values get a NULL rank and do not take a position;
+    infinities are values and rank at the ends.
 
-    Runs two jobs eagerly (histogram checkpoint with observed stats,
-    ranked histogram checkpoint); both land in the shared checkpoint
+    Runs its jobs eagerly (histogram checkpoint, bucket statistics on the
+    executors, ranked histogram checkpoint); both land in the shared checkpoint
     folder, so a lost executor never forces a recompute of the ranking.
     The input is read twice (histogram, final join). With
     ``checkpoint_input`` it is first written to the checkpoint folder (its
@@ -145,25 +147,13 @@ def average_ranks(
         sizes = {i: known_rows for i in range(len(specs))}
         split_points = {i: [] for i in range(len(specs))}
     else:
-        # Written to the shared checkpoint folder. Step 2 rides on the same
-        # job as an observation: per criterion the histogram size and up to
-        # GRID - 1 quantiles (at most len(specs) x GRID numbers reach the
-        # driver).
-        fractions = ", ".join(repr(j / GRID) for j in range(1, GRID))
-        metrics = []
-        for i in range(len(specs)):
-            metrics.append(F.count(F.when(F.col("_c") == i, 1)).alias(f"m{i}"))
-            metrics.append(
-                F.expr(
-                    f"percentile_approx(CASE WHEN _c = {i} THEN _v END, array({fractions}), {QUANTILE_ACCURACY})"
-                ).alias(f"q{i}")
-            )
-        obs = Observation(f"rank-stats-{uuid.uuid4().hex}")
-        hist = hist.observe(obs, *metrics).checkpoint()
-        observed = obs.get
-        stats = {i: (observed[f"m{i}"], observed[f"q{i}"]) for i in range(len(specs))}
-        sizes = {i: stats[i][0] for i in range(len(specs))}
-        split_points = {i: _splits(stats[i][1], sizes[i], rows_per_bucket) for i in range(len(specs))}
+        # Written to the shared checkpoint folder. The sizes (one row per
+        # criterion) and the split points are aggregated on the executors;
+        # the driver receives one number per bucket.
+        hist = hist.checkpoint()
+        counts = {r["_c"]: r["n"] for r in hist.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+        sizes = {i: counts.get(i, 0) for i in range(len(specs))}
+        split_points = {i: _splits(hist.where(F.col("_c") == i), sizes[i], rows_per_bucket) for i in range(len(specs))}
     max_bucket = max([len(v) for v in split_points.values()] + [0])
 
     ascending = F.lit(True)
@@ -193,8 +183,8 @@ def average_ranks(
             ).alias("_off"),
         )
         if not part:
-            # At most len(specs) * GRID rows: a proven bound.
-            offsets = F.broadcast(offsets)
+            # One row per bucket; broadcast below the same bound as any other side.
+            offsets = F.broadcast(offsets) if sum(len(v) + 1 for v in split_points.values()) <= broadcast_max_rows else offsets
         bucketed = bucketed.join(offsets, ["_c", *part, "_b"])
     else:
         bucketed = bucketed.withColumn("_off", F.lit(0).cast("long"))

@@ -7,19 +7,37 @@ machine-local folder first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from destrank.functions.jsonx import salvage_objects
 
-# Text fields may hold line breaks and quotes: quote them, double the
-# quote inside fields, and read records that span lines.
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"'}
+# Text fields may hold line breaks, quotes and blanks: quote them, double the
+# quote inside fields, read records that span lines, trim nothing.
+# NULL is written as \\N, so that an empty text stays an empty text.
+CSV_OPTIONS = {
+    "header": "true", "multiLine": "true", "quote": '"', "escape": '"', "nullValue": "\\N",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, empty_is_null: bool = False) -> DataFrame:
+    """A CSV table with a header, columns taken by name and cast to ``schema``
+    (text that does not parse becomes NULL). Other columns are ignored; a
+    missing one raises. ``empty_is_null`` is for files of other writers, which
+    leave NULL empty."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    raw = spark.read.options(**CSV_OPTIONS).csv(path)
+    missing = [f.name for f in schema if f.name.lower() not in {c.lower() for c in raw.columns}]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+
+    def column(f: T.StructField) -> Column:
+        text = F.nullif(F.col(f"`{f.name}`"), F.lit("")) if empty_is_null else F.col(f"`{f.name}`")
+        return (text if f.dataType == T.StringType() else F.trim(text).try_cast(f.dataType)).alias(f.name)
+
+    return raw.select(*[column(f) for f in schema])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -41,24 +59,29 @@ def salvage_lines(lines: DataFrame, schema: T.StructType, text: str = "value") -
     Adds ``_valid``: False for candidates that are not valid JSON (kept so
     callers can count them; the salvage itself drops them).
     """
-    found = lines.select(F.explode(salvage_objects(text)).alias("_obj"))
+    return _parsed(lines.select(F.explode(salvage_objects(text)).alias("_obj")), schema)
+
+
+def _parsed(found: DataFrame, schema: T.StructType | str) -> DataFrame:
+    # A probe without the caller's fields tells malformed text apart: repeated
+    # keys, NaN and values of other types are no reason to drop a record.
+    probe = F.from_json("_obj", "_none string, _bad string", {"columnNameOfCorruptRecord": "_bad"})
     return found.select(
         F.from_json("_obj", schema).alias("_rec"),
-        F.try_parse_json("_obj").isNotNull().alias("_valid"),
+        probe["_bad"].isNull().alias("_valid"),
     ).select("_rec.*", "_valid")
 
 
-def read_salvaged_feed(
-    spark: SparkSession, path: str, schema: T.StructType | str, whole_file: bool = False
-) -> DataFrame:
+def read_salvaged_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read a feed of several concatenated JSON arrays and keep the objects.
 
-    The feed writer puts one object per line, so by default the file is
-    read by line (splittable across tasks) and the object pattern is
-    applied per line. ``whole_file=True`` reads each file as one text, for
-    pretty-printed feeds whose objects span lines; each file is then one
-    task. Rejected candidates are dropped; count them with
-    ``salvage_lines``.
+    The file is split at each opening brace, so it is read by many tasks and an
+    object may span lines. A candidate runs from the brace to the first closing
+    brace; a piece without one (an outer object, or one cut off at the end of
+    the file) is none. Candidates that are not JSON are dropped; count them
+    with ``salvage_lines``.
     """
-    lines = spark.read.text(path, wholetext=whole_file)
-    return salvage_lines(lines, schema).where("_valid").drop("_valid")
+    pieces = spark.read.option("lineSep", "{").text(path)
+    inner = F.regexp_extract("value", r"(?s)^([^}]*\})", 1)
+    found = pieces.where(F.contains("value", F.lit("}"))).select(F.concat(F.lit("{"), inner).alias("_obj"))
+    return _parsed(found, schema).where("_valid").drop("_valid")

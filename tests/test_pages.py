@@ -92,3 +92,13 @@ def test_cards_stay_aligned_when_fields_are_missing(spark, cards):
     got = [(r.card_pos, r.name, r.score, r.url) for r in listing_cards(pages).orderBy("card_pos").collect()]
     want = [(i, n, s, u) for i, (n, s, u) in enumerate(cards) if u is not None]
     assert got == want
+
+
+def test_one_row_per_hotel_and_error_pages_hide_nothing(spark):
+    cards = [_card("A", "7.1", "https://x.example/a"), _card("B", None, "https://x.example/b")]
+    search = spark.createDataFrame([("P", cards[0] + cards[1]), ("P", cards[0])], "city string, html string")
+    good = '<div data-testid="property-description">Nice</div> b_map_center_latitude = 48.87;'
+    rows = [("https://x.example/a?x=1", "<html>error</html>"), ("https://x.example/a", good)]
+    out = collect_hotels(search, spark.createDataFrame(rows, "url string, html string")).collect()
+    assert sorted((r.name, r.description, r.latitude) for r in out if r.name == "A") == [("A", "Nice", 48.87)]
+    assert len(out) == 2

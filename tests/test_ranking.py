@@ -124,3 +124,24 @@ def test_grouped_ranks_match_pandas(spark, rows, per_bucket):
     down = pdf.groupby("g")["v"].rank(ascending=False)
     assert got["up"].fillna(-1).tolist() == up.fillna(-1).tolist()
     assert got["down"].fillna(-1).tolist() == down.fillna(-1).tolist()
+
+
+def test_infinities_rank_at_the_ends(spark):
+    from destrank.operators.ranking import average_rank
+
+    rows = [(1, float("-inf")), (2, 1.0), (3, float("inf")), (4, float("nan")), (5, None)]
+    for size in (2_000_000, 1):
+        got = average_rank(spark.createDataFrame(rows, "id int, v double"), "v", "r", rows_per_bucket=size)
+        assert {r.id: r.r for r in got.collect()} == {1: 1.0, 2: 2.0, 3: 3.0, 4: None, 5: None}
+
+
+def test_many_buckets_and_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from destrank.operators.ranking import average_rank
+
+    df = spark.range(20_000, numPartitions=256).select("id", (F.col("id") % 7000).cast("double").alias("v"))
+    got = average_rank(df, "v", "r", rows_per_bucket=4)
+    w = df.toPandas()
+    want = dict(zip(w["id"], w["v"].rank()))
+    assert all(want[r.id] == r.r for r in got.collect())

@@ -63,10 +63,28 @@ def test_salvaged_feed_pretty_printed(spark, tmp_out):
     path = tmp_out + ".json"
     text = '[\n  {\n    "city": "A",\n    "name": "n1"\n  },\n  {\n    "city": "B"\n  }\n][\n  {"city": "C"}\n]'
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
-    by_line = files.read_salvaged_feed(spark, path, "city string, name string")
-    whole = files.read_salvaged_feed(spark, path, "city string, name string", whole_file=True)
-    assert sorted(r.city for r in whole.collect()) == ["A", "B", "C"]
-    assert sorted(r.city for r in by_line.collect()) == ["C"]  # objects spanning lines need whole_file
+    found = files.read_salvaged_feed(spark, path, "city string, name string")
+    assert sorted(r.city for r in found.collect()) == ["A", "B", "C"]
+
+
+def test_salvaged_feed_keeps_odd_records(spark, tmp_out):
+    path = tmp_out + ".json"
+    text = '[{"city":"A","city":"A2"},\n{"city":"B","x":NaN},{"city":"x{y}"},{"city":7}][{"city":"C"},{"city":"D"'
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+    got = files.read_salvaged_feed(spark, path, "city string")
+    assert sorted(r.city[0] for r in got.collect()) == ["7", "A", "B", "C"]  # {y} is no JSON, D is cut off
+
+
+def test_csv_columns_by_name_and_exact_text(spark, tmp_out):
+    rows = [(" lead", 1.0, "text \n trailing  ", ""), (None, None, '"q" , x', None)]
+    df = spark.createDataFrame(rows, "b string, a double, c string, d string")
+    files.write_csv(df, tmp_out)
+    back = files.read_csv(spark, tmp_out, "a double, d string, b string, c string")
+    assert back.columns == ["a", "d", "b", "c"]
+    assert sorted(map(str, back.select("b", "a", "c", "d").collect())) == sorted(map(str, df.collect()))
+    assert files.read_csv(spark, tmp_out, "d string", empty_is_null=True).where("d IS NULL").count() == 2
+    with pytest.raises(ValueError):
+        files.read_csv(spark, tmp_out, "a double, missing string")
 
 
 def test_seed_of_original_places(spark):
