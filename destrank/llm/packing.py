@@ -26,6 +26,7 @@ import re
 import zlib
 from collections import Counter, deque
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ CLOSING = (0).to_bytes(4, "little")
 SEGMENT_BYTES = 1 << 20
 CACHED_WORDS = 700_000
 TEXTS_AT_ONCE = 500
+MARK, LINE_WORDS = b"\0", 256
 #: A plan of at most so many rows is broadcast.
 PLAN_ROWS = 1_000_000
 
@@ -64,19 +66,32 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; the unknown words of all are encoded at once."""
-        parts = [[segment.split() for segment in _segments(t)] for t in texts]  # ASCII white space only
-        words = {w for segments in parts for ws in segments for w in ws}
+        parts = [list(chain.from_iterable(map(bytes.split, _segments(t)))) for t in texts]  # ASCII white space only
+        words = set().union(*parts)
         missing = list(words.difference(self.known))
         if len(self.known) + len(missing) > CACHED_WORDS:
             self.known.clear()
             missing = list(words)
-        for word, got in zip(missing, self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)):
-            self.known[word] = np.array(got.ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for ws in segments for w in ws]) for segments in parts]
+        self._learn([w for w in missing if MARK not in w], LINE_WORDS if self.mark is not None else 1)
+        self._learn([w for w in missing if MARK in w], 1)
+        return [b"".join(map(self.known.__getitem__, words)) for words in parts]
+
+    def _learn(self, words: list[bytes], together: int) -> None:
+        """Encodes ``together`` words in one call, a marker word between them:
+        no word here holds the marker, so its id can only come from it."""
+        lines = [words[i : i + together] for i in range(0, len(words), together)]
+        texts = [f" {MARK.decode()} ".join(map(bytes.decode, line)) for line in lines]
+        for line, got in zip(lines, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(got.ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark).tolist() if together > 1 else []
+            octets = ids.tobytes()
+            for word, start, end in zip(line, [0, *[e + 1 for e in ends]], [*ends, len(ids)]):
+                self.known[word] = octets[4 * start : 4 * end]
 
 
 def _segments(text: bytes) -> Iterator[bytes]:
