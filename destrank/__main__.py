@@ -34,6 +34,9 @@ SCHEMAS = {"weather": schemas.WEATHER, "hotels": schemas.HOTELS, "cities": schem
 def _read(spark: SparkSession, args: argparse.Namespace, kind: str) -> DataFrame:
     path = getattr(args, kind)
     if args.format == "jdbc":
+        if args.jdbc_split:
+            parts = jdbc.modulo_predicates(args.jdbc_split, args.jdbc_partitions)
+            return jdbc.read_jdbc_predicates(spark, args.jdbc_url, path, parts, _props(args))
         return jdbc.read_jdbc(spark, args.jdbc_url, table=path, properties=_props(args))
     if args.format == "csv":
         return files.read_csv(spark, path, SCHEMAS[kind], empty_is_null=True)
@@ -71,6 +74,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=["parquet", "csv", "json", "jdbc"], default="parquet")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-properties", help='JSON object, e.g. {"user": "u", "driver": "org.postgresql.Driver"}')
+    parser.add_argument("--jdbc-split", help="integer SQL expression that splits table reads over tasks, e.g. abs(hashtext(city))")
+    parser.add_argument("--jdbc-partitions", type=int, default=64, help="tasks of a split table read")
     parser.add_argument("--weights", type=int, nargs=3, action="append", metavar=("TEMP", "RAIN", "HUMIDITY"),
                         help="criterion weights 0..10; repeat for several settings (rank ranks once)")
     args = parser.parse_args(argv)
@@ -134,11 +139,9 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(counts))
     else:
         cities = _read(spark, args, "cities")
-        out = None if args.format == "jdbc" else args.out
-        result = composite.run_batch(spark, weather, hotels, cities, out_dir=out, weights=settings[0])
-        if args.format == "jdbc":
-            for name in ("recommendations", "top_map", "top_hotels"):
-                _write(getattr(result, name), args, name)
+        result = composite.run_batch(
+            spark, weather, hotels, cities, weights=settings[0], write=lambda df, name: _write(df, args, name)
+        )
         print(json.dumps(result.counts))
 
 

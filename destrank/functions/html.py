@@ -61,10 +61,37 @@ def _first(html: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
 
+def _inner(rest: Column, name: Column | str) -> Column:
+    """Content of an element ``name`` whose start tag ends where ``rest`` begins.
+
+    ``rest`` is cut at the end tags of that name. The element's own end is the
+    first one before which as many elements of the name were opened as closed;
+    an element that is never closed runs to the end.
+    """
+    name = F.lit(name) if isinstance(name, str) else name
+    opening = F.concat(F.lit("(?i)<"), name, F.lit(r"(?=[\s>])[^>]*(?<!/)>"))
+    parts = F.split(rest, F.concat(F.lit("(?i)</"), name, F.lit(r"\s*>")))
+    opened = F.transform(parts, lambda part: F.regexp_count(part, opening))
+    start = F.struct(F.lit(0).alias("opened"), F.lit(0).alias("closed"), F.lit(None).cast("int").alias("end"))
+
+    def step(seen: Column, n: Column) -> Column:
+        total = seen["opened"] + n
+        end = F.coalesce(seen["end"], F.when(total == seen["closed"], seen["closed"] + 1))
+        return F.struct(total.alias("opened"), (seen["closed"] + 1).alias("closed"), end.alias("end"))
+
+    end = F.aggregate(opened, start, step, lambda seen: seen["end"])
+    held = F.slice(parts, 1, F.coalesce(end, F.size(parts)))
+    return F.call_function("array_join", held, F.concat(F.lit("</"), name, F.lit(">")))
+
+
+def _first_inner(html: Column, opening: str, name: Column | str) -> Column:
+    """Content of the first element whose start tag matches ``opening``."""
+    return F.nullif(_inner(F.get(F.split(html, opening, 2), 1), name), F.lit(""))
+
+
 def element_text(html: Column | str, tag: str) -> Column:
     """Text of the first ``<tag>`` element (nested markup stripped)."""
-    inner = _first(_col(html), rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>")
-    return clean_text(inner)
+    return clean_text(_first_inner(_col(html), rf"(?is)<{tag}\b[^>]*>", tag))
 
 
 def attribute(html: Column | str, tag: str, attr: str) -> Column:
@@ -77,23 +104,20 @@ def all_attributes(html: Column | str, tag: str, attr: str) -> Column:
     return F.regexp_extract_all(_col(html), F.lit(rf'(?is)<{tag}\b[^>]*?\s{attr}\s*=\s*"([^"]*)"'), F.lit(1))
 
 
-def _testid_element(testid: str) -> str:
-    # Content up to the closing tag of the same element name (Java regex
-    # back-reference), so nested markup inside it is kept and stripped.
-    return rf'(?is)<([a-z0-9]+)\b[^>]*data-testid="{testid}"[^>]*>(.*?)</\1\s*>'
+def _testid_opening(testid: str) -> str:
+    return rf'(?is)<([a-z0-9]+)\b[^>]*data-testid="{testid}"[^>]*>'
 
 
 def testid_text(html: Column | str, testid: str) -> Column:
     """Text of the first element whose ``data-testid`` equals ``testid``
     (all nested text, tags stripped; SURVEY T15)."""
-    inner = F.nullif(F.regexp_extract(_col(html), _testid_element(testid), 2), F.lit(""))
-    return clean_text(inner)
+    opening = _testid_opening(testid)
+    return clean_text(_first_inner(_col(html), opening, F.regexp_extract(_col(html), opening, 1)))
 
 
 def testid_texts(html: Column | str, testid: str) -> Column:
     """Texts of every element with that ``data-testid``, in order."""
-    found = F.regexp_extract_all(_col(html), F.lit(_testid_element(testid)), F.lit(2))
-    return F.transform(found, clean_text)
+    return F.transform(blocks(html, _testid_opening(testid)), clean_text)
 
 
 def testid_attribute(html: Column | str, testid: str, attr: str) -> Column:
@@ -106,31 +130,25 @@ def testid_attribute(html: Column | str, testid: str, attr: str) -> Column:
 
 def class_text(html: Column | str, classes: tuple[str, ...]) -> Column:
     """Text of the first element whose class list holds all ``classes``
-    (any order, other classes allowed; SURVEY T14)."""
+    (any order, other classes allowed; SURVEY T14), nested text included."""
     c = _col(html)
-    opening = r'(?is)<[a-z0-9]+\b[^>]*class="([^"]*)"[^>]*>([^<]*)'
-    tags = F.regexp_extract_all(c, F.lit(opening), F.lit(0))
-
-    def has_all(tag: Column) -> Column:
-        cls = F.concat(F.lit(" "), F.regexp_extract(tag, r'class="([^"]*)"', 1), F.lit(" "))
-        cond = F.lit(True)
-        for name in classes:
-            cond = cond & F.contains(cls, F.lit(f" {name} "))
-        return cond
-
-    hit = F.get(F.filter(tags, has_all), 0)
-    return F.nullif(clean_text(F.regexp_extract(hit, r"(?s)>([^<]*)$", 1)), F.lit(""))
+    held = "".join(rf'(?=[^>]*\sclass="(?:[^"]*\s)?{name}(?:\s[^"]*)?")' for name in classes)
+    opening = rf"(?is)<([a-z0-9]+)\b{held}[^>]*>"
+    return F.nullif(clean_text(_first_inner(c, opening, F.regexp_extract(c, opening, 1))), F.lit(""))
 
 
 def blocks(html: Column | str, marker: str = CARD_MARKER) -> Column:
-    """Repeated blocks: the text from each marker to the next one.
+    """Repeated blocks: from each marker (a start tag) to the end of its
+    element, at most to the next marker.
 
-    Regex cannot balance nested tags, but every field of a card lies
-    between its own marker and the next card's, so per-card extraction
-    stays aligned even when a card lacks a field (SURVEY T16).
+    So a card that lacks a field takes none from the next card nor from the
+    rest of the page, and per-card fields stay aligned (SURVEY T16).
     """
-    parts = F.split(_col(html), marker)
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
+    c = _col(html)
+    parts = F.split(c, marker)
+    tags = F.regexp_extract_all(c, F.lit(marker), F.lit(0))
+    names = F.transform(tags, lambda t: F.regexp_extract(t, r"^<([A-Za-z0-9]+)", 1))
+    return F.zip_with(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), names, _inner)
 
 
 def map_coordinate(html: Column | str, var: str) -> Column:

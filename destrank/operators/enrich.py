@@ -12,9 +12,8 @@ from destrank.operators.ranking import BROADCAST_MAX_ROWS, positions
 from destrank.session import checkpoint_counted, checkpoint_measured, ensure_checkpoint_dir
 
 # A key is "hot" when the big side holds more rows for it than one task
-# should join; such keys are spread over up to MAX_SALTS tasks.
+# should join; such keys are spread over as many tasks as they need.
 HOT_KEY_ROWS = 2_000_000
-MAX_SALTS = 64
 # A lookup side is broadcast only below both bounds.
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
@@ -48,7 +47,7 @@ def lookup_join(
     broadcast_max_rows: int = BROADCAST_MAX_ROWS,
     broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
     hot_key_rows: int = HOT_KEY_ROWS,
-    max_salts: int = MAX_SALTS,
+    max_salts: int | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, which holds at most one row per key.
 
@@ -57,9 +56,10 @@ def lookup_join(
     ``broadcast_max_bytes`` it is broadcast (a proven bound), and ``left``
     is never shuffled. A larger ``right`` is shuffle-joined. Keys holding
     more than ``hot_key_rows`` left rows are salted: their left rows are
-    spread over ``ceil(rows / hot_key_rows)`` (at most ``max_salts``)
-    deterministic hash salts, and their single right row is repeated once
-    per salt. Other keys keep salt 0. Finding the hot keys costs one
+    spread over ``ceil(rows / hot_key_rows)`` salts (at most ``max_salts``, if
+    given), and their single right row is repeated once per salt. The salt is
+    the row's number in its partition, so equal rows spread too. Other keys
+    keep salt 0. Finding the hot keys costs one
     extra pass over ``left``'s key columns (a partial count), paid only
     on this large-lookup path. Salting is needed because the adaptive
     skew split does not apply when ``right`` comes straight from an
@@ -79,10 +79,12 @@ def lookup_join(
     def whole(joined: DataFrame) -> DataFrame:
         return joined if unmatched is None else joined.unionByName(unmatched, allowMissingColumns=True)
 
+    salts = F.ceil(F.col("_rows") / F.lit(hot_key_rows))
+    salts = salts if max_salts is None else F.least(F.lit(max_salts), salts)
     counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     hot, n_hot = checkpoint_counted(
         counts.where(F.col("_rows") > hot_key_rows).select(
-            *on, F.least(F.lit(max_salts), F.ceil(F.col("_rows") / F.lit(hot_key_rows))).cast("int").alias("_k")
+            *on, salts.cast("int").alias("_k")
         )
     )
     if n_hot == 0:
@@ -93,7 +95,7 @@ def lookup_join(
         hot = F.broadcast(hot)
     salted_left = left.join(hot, on, "left").withColumn(
         "_salt",
-        F.when(F.col("_k").isNotNull(), F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_k"))).otherwise(F.lit(0)),
+        F.when(F.col("_k").isNotNull(), F.pmod(F.monotonically_increasing_id(), F.col("_k"))).otherwise(F.lit(0)),
     ).drop("_k")
     salted_right = right.join(hot, on, "left").withColumn(
         "_salt",
@@ -118,7 +120,7 @@ def lookup_first(
     return lookup_join(left, first_per_key(lookup, [on], order, columns), [on], "left")
 
 
-def semi_filter(df: DataFrame, keys: DataFrame, on: str | Sequence[str], bounded: bool = True) -> DataFrame:
+def semi_filter(df: DataFrame, keys: DataFrame, on: str | Sequence[str], bounded: bool = False) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys`` (``isin`` as a join).
 
     ``bounded`` states that ``keys`` has a fixed small size (a top-k),

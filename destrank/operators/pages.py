@@ -16,14 +16,20 @@ from destrank.functions.text import join_texts, strip_query
 from destrank.operators.enrich import dedup_first, detail_merge
 
 
+#: Pages are numbered in crawl order.
+CRAWL_ORDER = "page_id"
+
+
 def listing_cards(pages: DataFrame, city: str = "city") -> DataFrame:
     """Search pages -> one row per card: (city, card_pos, name, score, url).
 
-    Cards without a link are dropped, as the crawler follows links only.
+    Cards without a link are dropped, as the crawler follows links only. A
+    ``page_id`` of the pages is passed on.
     """
-    cards = pages.select(city, F.posexplode(H.blocks(H.drop_noise("html"))).alias("card_pos", "_card"))
+    kept = [city, *[c for c in pages.columns if c == CRAWL_ORDER]]
+    cards = pages.select(*kept, F.posexplode(H.blocks(H.drop_noise("html"))).alias("card_pos", "_card"))
     out = cards.select(
-        city,
+        *kept,
         "card_pos",
         H.testid_text("_card", H.TITLE_TESTID).alias("name"),
         H.class_text("_card", H.SCORE_CLASSES).alias("score"),
@@ -33,9 +39,11 @@ def listing_cards(pages: DataFrame, city: str = "city") -> DataFrame:
 
 
 def hotel_details(pages: DataFrame) -> DataFrame:
-    """Detail pages -> (url, description, latitude, longitude)."""
+    """Detail pages -> (url, description, latitude, longitude), and the
+    ``page_id`` if the pages have one."""
     body = H.drop_noise("html")
     return pages.select(
+        *[c for c in pages.columns if c == CRAWL_ORDER],
         strip_query("url").alias("url"),
         join_texts(F.filter(H.testid_texts(body, H.DESCRIPTION_TESTID), lambda t: t != "")).alias("description"),
         H.map_coordinate("html", H.LATITUDE_VAR).alias("latitude"),
@@ -44,17 +52,24 @@ def hotel_details(pages: DataFrame) -> DataFrame:
 
 
 def collect_hotels(search_pages: DataFrame, detail_pages: DataFrame) -> DataFrame:
-    """Cards joined with their details -> ``schemas.HOTELS`` columns."""
+    """Cards joined with their details -> ``schemas.HOTELS`` columns.
+
+    One row per URL: the first card in crawl order (``page_id``, then position
+    on the page) with the first usable detail page. Pages without ``page_id``
+    have no crawl order; the least card and the least details are taken then.
+    """
+    def ordered(df: DataFrame, *columns: str) -> list[str]:
+        return [c for c in (CRAWL_ORDER, *columns) if c in df.columns]
+
     cards = listing_cards(search_pages)
-    # One hotel can stand on several search pages; cards without a URL all stay.
-    known = F.col("url").isNotNull() & (F.col("url") != "")
-    once = dedup_first(cards.where(known), ["url"], ["city", "name", "score"])
-    cards = once.unionByName(cards.where(~known | F.col("url").isNull()))
+    # One hotel can stand on several search pages.
+    once = dedup_first(cards, ["url"], ordered(cards, "card_pos", "city", "name", "score"))
     # An error page has no details; it must not hide a good page of the same URL.
     details = hotel_details(detail_pages)
     usable = (F.col("description") != "") | F.col("latitude").isNotNull() | F.col("longitude").isNotNull()
-    merged = detail_merge(cards, details.where(usable), on="url")
-    return merged.select("city", "name", "score", "url", "description", "latitude", "longitude")
+    fields = ["description", "latitude", "longitude"]
+    merged = detail_merge(once, details.where(usable), "url", ordered(details, *fields), fields)
+    return merged.select("city", "name", "score", "url", *fields)
 
 
 def zip_lists(names: F.Column, scores: F.Column, links: F.Column) -> F.Column:

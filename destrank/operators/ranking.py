@@ -6,11 +6,9 @@ into one task, so ranks are computed from a value histogram instead:
 
 1. ``(criterion, group, value) -> count``: a partial aggregation, so a
    value held by a third of all rows becomes a single histogram row.
-2. The same job (as an observation) returns, per criterion, the
-   histogram size and up to ``GRID - 1`` approximate quantiles; from
-   these the driver keeps
-   ``N - 1`` split points, ``N`` chosen so each bucket holds about
-   ``rows_per_bucket`` histogram rows. Equal values always fall in the
+2. Per criterion, the checkpointed histogram's size and ``N - 1``
+   approximate quantiles are aggregated on the executors, ``N`` chosen so
+   that each bucket holds about ``rows_per_bucket`` histogram rows. Equal values always fall in the
    same bucket, so ties never straddle a split.
 3. Bucket totals and their running sum (a table of at most
    ``criteria x groups x N`` rows) give each bucket its offset.
@@ -22,7 +20,8 @@ into one task, so ranks are computed from a value histogram instead:
    job proved small are broadcast, larger ones go through a shuffle join
    that adaptive execution splits if a value is hot.
 
-Descending ranks use the same steps on a reversed order.
+Descending ranks use the same steps on a reversed order. Whole numbers,
+decimals and points in time are ranked by their exact values.
 """
 
 from __future__ import annotations
@@ -33,6 +32,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from destrank.fixed import DEFAULT_WEIGHTS, WEIGHT_MAX, WEIGHT_MIN
 from destrank.functions.numeric import nan_to_null
@@ -62,6 +62,22 @@ def _splits(hist: DataFrame, n_rows: int, rows_per_bucket: int) -> list[float]:
     return sorted(set(float(x) for x in row["q"])) if row and row["q"] else []
 
 
+def _exact_keys(df: DataFrame, specs: Sequence[RankSpec]) -> list[Column]:
+    """One rank key per spec, all of one type: bigint, decimal, microseconds,
+    or double where some source is floating."""
+    sources = [F.col(s.source) for s in specs]
+    types = [f.dataType for f in df.select(*sources).schema]
+    times = (T.TimestampType, T.TimestampNTZType, T.DateType)
+    if types and all(isinstance(t, T.IntegralType) for t in types):
+        return [c.cast("bigint") for c in sources]
+    if types and all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        scale = max(t.scale for t in types if isinstance(t, T.DecimalType))
+        return [c.cast(T.DecimalType(38, scale)) for c in sources]
+    if types and all(isinstance(t, times) for t in types):
+        return [F.unix_micros(c.cast("timestamp")) for c in sources]
+    return [nan_to_null(c.cast("double")) for c in sources]
+
+
 GROUP = 32
 
 
@@ -128,7 +144,7 @@ def average_ranks(
         df, known_rows = checkpoint_counted(df)
     specs = [s if isinstance(s, RankSpec) else RankSpec(*s) for s in specs]
     part = list(partition_by)
-    values = [nan_to_null(F.col(s.source).cast("double")) for s in specs]
+    values = _exact_keys(df, specs)
 
     # Step 1: value histogram, map-side combined.
     entries = F.array(*[F.struct(F.lit(i).alias("c"), v.alias("v")) for i, v in enumerate(values)])
@@ -165,7 +181,8 @@ def average_ranks(
     bucketed = (
         hist.withColumn("_asc", ascending)
         .withColumn("_b", F.when(F.col("_asc"), bucket).otherwise(F.lit(max_bucket) - bucket))
-        .withColumn("_s", F.when(F.col("_asc"), F.col("_v")).otherwise(-F.col("_v")))
+        .withColumn("_up", F.when(F.col("_asc"), F.col("_v")))
+        .withColumn("_down", F.when(~F.col("_asc"), F.col("_v")))
         .drop("_asc")
     )
 
@@ -190,7 +207,7 @@ def average_ranks(
         bucketed = bucketed.withColumn("_off", F.lit(0).cast("long"))
 
     # Step 4: rank inside the bucket; at most rows_per_bucket rows per task.
-    in_bucket = Window.partitionBy("_c", *part, "_b").orderBy("_s").rowsBetween(before, -1)
+    in_bucket = Window.partitionBy("_c", *part, "_b").orderBy(F.col("_up").asc(), F.col("_down").desc()).rowsBetween(before, -1)
     ranked = bucketed.select(
         "_c",
         *part,
@@ -235,7 +252,7 @@ def _check_weights(weights: Sequence[int]) -> tuple[int, int, int]:
     if len(weights) != 3:
         raise ValueError("three weights expected: temperature, rain, humidity")
     for w in weights:
-        if not isinstance(w, int) or not WEIGHT_MIN <= w <= WEIGHT_MAX:
+        if isinstance(w, bool) or not isinstance(w, int) or not WEIGHT_MIN <= w <= WEIGHT_MAX:
             raise ValueError(f"weight {w!r} outside {WEIGHT_MIN}..{WEIGHT_MAX}")
     return tuple(weights)  # type: ignore[return-value]
 

@@ -42,7 +42,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 MEANS = {"avg_temp_max": "temp_max", "avg_humidity": "humidity", "avg_pop": "pop"}
 USER_MEANS4 = {"avg_temp_max": "temp_max", "avg_temp_min": "temp_min", "avg_humidity": "humidity", "avg_pop": "pop"}
 SPLIT_DAY = "2024-01-16"
-GAZETTEER_MIN_BALANCE = 5000.0
 FEED_SCHEMA = "k bigint, user_id bigint"
 
 
@@ -157,16 +156,24 @@ def q_json_field(spark, d):
     return table(spark, d, "events").select("event_id", json_field("props", "$.k").cast("bigint").alias("k"))
 
 
+def _landed_responses(spark, d):
+    """Forecast bodies written as text first, so that the JSON is really parsed."""
+    path = scratch_dir(spark, "bodies")
+    bodies = standins.forecast_bodies(table(spark, d, "events"))
+    bodies.write.parquet(path)
+    return responses_from_bodies(spark.read.schema(bodies.schema).parquet(path))
+
+
 def q_forecast_flatten(spark, d):
     """Landed forecast bodies parsed and exploded, gated by located places."""
-    responses = responses_from_bodies(standins.forecast_bodies(table(spark, d, "events")))
+    responses = _landed_responses(spark, d)
     places = standins.customer_places(table(spark, d, "customer"))
     return readings_for_places(places, flatten_forecasts(responses))
 
 
 def q_forecast_rollup(spark, d):
     """Landed forecast bodies to one weather row per place and day."""
-    responses = responses_from_bodies(standins.forecast_bodies(table(spark, d, "events")))
+    responses = _landed_responses(spark, d)
     places = standins.customer_places(table(spark, d, "customer"))
     return _rounded(composite.forecast_collection(places, responses), {"humidity"})
 
@@ -285,15 +292,9 @@ def q_zip_positions(spark, d):
 
 # ---------------------------------------------------------------- joins
 def q_geocode_left(spark, d):
-    """Customers with the first gazetteer hit of their nation, NULL on a miss."""
-    customer = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
-    gazetteer = table(spark, d, "supplier").where(F.col("s_acctbal") >= GAZETTEER_MIN_BALANCE).select(
-        F.col("s_nationkey").alias("c_nationkey"),
-        "s_suppkey",
-        F.col("s_name").alias("hit_name"),
-        F.col("s_acctbal").alias("hit_balance"),
-    )
-    return lookup_first(customer, gazetteer, "c_nationkey", ["s_suppkey"], ["hit_name", "hit_balance"])
+    """Documents with their first label, NULL on a miss (most documents)."""
+    labels = table(spark, d, "labels").select("doc_id", "quality", "toxic")
+    return lookup_first(table(spark, d, "documents").select("doc_id", "lang"), labels, "doc_id", ["quality", "toxic"], ["quality", "toxic"])
 
 
 def q_detail_merge(spark, d):
@@ -353,22 +354,41 @@ def q_json_roundtrip(spark, d):
 
 def q_row_count_report(spark, d):
     """K6 / A5: row count per table."""
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+    names = [
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+        "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+    ]
     return quality.row_counts({n: table(spark, d, n) for n in names})
 
 
 def q_null_audit(spark, d):
-    """NULL (and NaN) count per column."""
-    return quality.null_audit(table(spark, d, "customer"), table="customer")
+    """NULL (and NaN) count per column of documents with their labels, which most lack."""
+    labels = table(spark, d, "labels").select("doc_id", "quality", "toxic")
+    joined = table(spark, d, "documents").select("doc_id", "lang").join(labels, "doc_id", "left")
+    return quality.null_audit(joined, table="labelled")
+
+
+def q_hotel_collection(spark, d):
+    """Cards and details of search and detail pages derived from every page, one row per hotel."""
+    pages = table(spark, d, "pages")
+    return composite.hotel_collection(standins.hotel_search_pages(pages), standins.hotel_detail_pages(pages))
 
 
 def q_full_batch(spark, d):
-    """The whole batch, three tables written with observed counts; returns the hotel table."""
+    """The whole batch; the three written tables read back, with their observed counts."""
     weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
     hotels = standins.supplier_hotels(table(spark, d, "supplier"))
     cities = standins.nation_cities(table(spark, d, "nation"))
-    result = composite.run_batch(spark, weather, hotels, cities, out_dir=scratch_dir(spark, "batch"))
-    return result.top_hotels
+    out = scratch_dir(spark, "batch")
+    result = composite.run_batch(spark, weather, hotels, cities, out_dir=out)
+    rows = None
+    for name, key in (("recommendations", "city"), ("top_map", "city"), ("top_hotels", "name")):
+        written = files.read_csv(spark, f"{out}/{name}", f"{key} string, score double").select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_key"), round_nudged("score").alias("score"),
+            F.lit(result.counts[name]).cast("long").alias("n_rows"),
+        )
+        rows = written if rows is None else rows.unionByName(written)
+    return rows
 
 
 QUERIES: dict[str, Query] = {
@@ -410,5 +430,6 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": q_json_roundtrip,
     "row_count_report": q_row_count_report,
     "null_audit": q_null_audit,
+    "hotel_collection": q_hotel_collection,
     "full_batch": q_full_batch,
 }

@@ -7,7 +7,7 @@ collection, C7 hotel collection, C8 the whole batch as one application (`run_bat
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,15 +134,16 @@ def run_batch(
     out_dir: str | None = None,
     weights: Sequence[int] = DEFAULT_WEIGHTS,
     key: str = "city",
+    write: Callable[[DataFrame, str], None] | None = None,
 ) -> BatchResult:
     """The scheduled batch as one application.
 
     The readings are aggregated once: the per-place means (one row per
     place) are checkpointed to the shared checkpoint folder and feed the
     ranking, the top-k tables and the recommendation table, so a lost
-    executor never forces a recompute from the raw data. When
-    ``out_dir`` is given the tables are written there as CSV and the row
-    counts come from observations on those writes.
+    executor never forces a recompute from the raw data. The tables are
+    handed to ``write(table, name)``, or written as CSV when ``out_dir`` is
+    given; the row counts come from observations on those writes.
     """
     ensure_checkpoint_dir(spark)
     # weighted_score checkpoints the per-place means (one row per place)
@@ -156,9 +157,12 @@ def run_batch(
         "top_hotels": top_hotels(hotels, top, TOP_HOTELS, key),
     }
     counts: dict[str, int] = {}
-    if out_dir is not None:
+    if write is None and out_dir is not None:
+        def write(df: DataFrame, name: str) -> None:
+            files.write_csv(df, f"{out_dir.rstrip('/')}/{name}")
+    if write is not None:
         for name, df in tables.items():
             watched, obs = quality.observed(df, name)
-            files.write_csv(watched, f"{out_dir.rstrip('/')}/{name}")
+            write(watched, name)
             counts[name] = int(obs.get["rows"])
     return BatchResult(tables["recommendations"], scores, top, tables["top_map"], tables["top_hotels"], counts)

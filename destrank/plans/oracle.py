@@ -232,11 +232,9 @@ SELECT COALESCE(u.conv_id, a.conv_id) AS conv_id, COALESCE(u.pos, a.pos) AS pos,
 FROM u FULL OUTER JOIN a ON u.conv_id = a.conv_id AND u.pos = a.pos
 """,
     "geocode_left": """
-WITH g AS (SELECT s_nationkey, s_name AS hit_name, s_acctbal AS hit_balance FROM supplier
-           WHERE s_acctbal >= 5000.0
-           QUALIFY row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) = 1)
-SELECT c.c_custkey, c.c_name, c.c_nationkey, g.hit_name, g.hit_balance
-FROM customer c LEFT JOIN g ON c.c_nationkey = g.s_nationkey
+WITH l AS (SELECT doc_id, quality, toxic FROM labels
+           QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY quality, toxic) = 1)
+SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id
 """,
     "detail_merge": f"""
 WITH l AS (SELECT page_id, split_part(url, '?', 1) AS url FROM pages WHERE url IS NOT NULL AND url <> ''),
@@ -261,17 +259,37 @@ WHERE event_type IN ('view', 'click', 'signup', 'error', 'purchase') GROUP BY 1
     "json_roundtrip": "SELECT * FROM pages",
     "row_count_report": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
-        for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+        for t in [
+            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+            "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+        ]
     ),
     "null_audit": " UNION ALL ".join(
-        f"SELECT 'customer' AS table_name, '{c}' AS column_name, "
-        f"CAST(count(*) FILTER (WHERE {c} IS NULL{nan}) AS BIGINT) AS null_count FROM customer"
-        for c, nan in [
-            ("c_custkey", ""),
-            ("c_name", ""),
-            ("c_nationkey", ""),
-            ("c_acctbal", " OR isnan(c_acctbal)"),
-            ("c_mktsegment", ""),
-        ]
+        f"SELECT 'labelled' AS table_name, '{c}' AS column_name, "
+        f"CAST(count(*) FILTER (WHERE {t}.{c} IS NULL) AS BIGINT) AS null_count "
+        "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+        for t, c in [("d", "doc_id"), ("d", "lang"), ("l", "quality"), ("l", "toxic")]
     ),
+    "hotel_collection": """
+WITH h AS (SELECT page_id, url, split_part(split_part(split_part(url, '//', 2), '/', 1), '?', 1) AS host FROM pages WHERE url LIKE '%//%'),
+c AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY host ORDER BY page_id) = 1),
+d AS (SELECT * FROM h WHERE url LIKE '%page=%' AND page_id % 4 <> 0 QUALIFY row_number() OVER (PARTITION BY host ORDER BY page_id) = 1)
+SELECT CAST(c.page_id % 7 AS VARCHAR) AS city, 'Hotel ' || c.page_id AS name,
+       CASE WHEN c.page_id % 3 <> 0 THEN (c.page_id % 10) || '.5' END AS score, 'https://' || c.host || '/hotel.html' AS url,
+       'Room ' || d.page_id AS description, d.page_id + CAST(0.25 AS DOUBLE) AS latitude, -(d.page_id + CAST(0.5 AS DOUBLE)) AS longitude
+FROM c LEFT JOIN d USING (host)
+""",
+    "full_batch": f"""
+WITH w AS ({NATION_WEATHER}),
+m AS (SELECT city, avg(temp_max) AS avg_temp_max, avg(humidity) AS avg_humidity, avg(pop) AS avg_pop FROM w GROUP BY city),
+top AS (SELECT city, score FROM ({_scores('SELECT * FROM m', 5, 5, 5)}) ORDER BY score DESC NULLS LAST, city LIMIT 5),
+s AS (SELECT CAST(s_nationkey AS VARCHAR) AS city, avg(s_acctbal) AS avg_score FROM supplier GROUP BY 1),
+hotels AS (SELECT s_name AS row_key, s_acctbal AS score FROM supplier WHERE CAST(s_nationkey AS VARCHAR) IN (SELECT city FROM top)
+           ORDER BY s_acctbal DESC NULLS LAST, 'https://hotels.example.com/' || CAST(s_suppkey AS VARCHAR) LIMIT 20),
+written AS (
+  SELECT 'recommendations' AS table_name, city AS row_key, avg_temp_max - avg_pop * 10 + avg_score AS score FROM m JOIN s USING (city)
+  UNION ALL SELECT 'top_map', city, score FROM top JOIN nation ON CAST(n_nationkey AS VARCHAR) = city
+  UNION ALL SELECT 'top_hotels', row_key, score FROM hotels)
+SELECT table_name, row_key, {_round('score')} AS score, count(*) OVER (PARTITION BY table_name) AS n_rows FROM written
+""",
 }

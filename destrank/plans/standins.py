@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from destrank.functions.jsonx import json_field
+from destrank.functions.text import url_host
 
 # Stand-in mapping constants (also spelled out in the oracle SQL).
 RAIN_BY_STATUS = {"F": 1.0, "P": 0.5}
@@ -118,3 +119,30 @@ def feed_lines(events: DataFrame) -> DataFrame:
     extra = F.concat(F.lit(', "user_id": '), F.col("user_id").cast("string"), F.lit(', "note": "'), note, F.lit('"}'))
     obj = F.regexp_replace("props", r"\}$", extra)
     return events.select(F.concat(F.lit("["), obj, F.lit("]")).alias("value"))
+
+
+def hotel_search_pages(pages: DataFrame) -> DataFrame:
+    """A search page per crawled page: one card for the page's host, with a
+    score on two of three, and markup with the card's attributes behind it."""
+    score = F.when(F.col("page_id") % 3 != 0, F.concat(
+        F.lit('<div class="x f63b14ab7a dff2e52086"><b>'), (F.col("page_id") % 10).cast("string"), F.lit(".5</b></div>")
+    )).otherwise("")
+    html = F.concat(
+        F.lit('<html><body><div data-testid="property-card"><div><h3><a data-testid="title-link" href="https://'), url_host("url"),
+        F.lit('/hotel.html?page='), F.col("page_id").cast("string"),
+        F.lit('"><div data-testid="title"><div>Hotel</div> '), F.col("page_id").cast("string"), F.lit("</div></a></h3>"),
+        score, F.lit('</div></div><div class="f63b14ab7a dff2e52086">9.9</div></body></html>'),
+    )
+    return pages.select("page_id", (F.col("page_id") % 7).cast("string").alias("city"), "url", html.alias("html"))
+
+
+def hotel_detail_pages(pages: DataFrame) -> DataFrame:
+    """A detail page per crawled page with a ``page`` parameter; one of four is
+    an error page, and so hosts lack details or have several."""
+    number = F.col("page_id").cast("string")
+    html = F.when(F.col("page_id") % 4 == 0, "<html>error</html>").otherwise(F.concat(
+        F.lit('<html><div data-testid="property-description">Room <b>'), number,
+        F.lit("</b></div><script>b_map_center_latitude = "), number, F.lit(".25; b_map_center_longitude = -"), number, F.lit(".5;</script></html>"),
+    ))
+    found = pages.where(F.contains("url", F.lit("page=")))
+    return found.select("page_id", F.concat(F.lit("https://"), url_host("url"), F.lit("/hotel.html?d="), number).alias("url"), html.alias("html"))

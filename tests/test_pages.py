@@ -102,3 +102,33 @@ def test_one_row_per_hotel_and_error_pages_hide_nothing(spark):
     out = collect_hotels(search, spark.createDataFrame(rows, "url string, html string")).collect()
     assert sorted((r.name, r.description, r.latitude) for r in out if r.name == "A") == [("A", "Nice", 48.87)]
     assert len(out) == 2
+
+
+def test_last_card_ends_with_its_element_and_nested_text_is_whole(spark):
+    footer = '<div class="f63b14ab7a dff2e52086">9.9</div><a data-testid="title-link" href="https://x.example/z">z</a>'
+    nested = (
+        '<div data-testid="property-card"><a data-testid="title-link" href="https://x.example/n">'
+        '<div data-testid="title"><div>Grand</div> <DIV>Old</DIV > Hotel</div></a>'
+        '<div class="f63b14ab7a dff2e52086"><b>8.1</b></div></div>'
+    )
+    html = nested + _card("Last", None, "https://x.example/l") + footer
+    pages = spark.createDataFrame([("P", html)], "city string, html string")
+    got = [(r.name, r.score, r.url) for r in listing_cards(pages).orderBy("card_pos").collect()]
+    assert got == [("Grand Old Hotel", "8.1", "https://x.example/n"), ("Last", None, "https://x.example/l")]
+
+
+def test_unclosed_and_absent_elements(spark):
+    df = spark.createDataFrame([("<h1>open <b>end",), ("<p>none</p>",), (None,), ("<h1></h1>x",)], "html string")
+    assert [r[0] for r in df.select(H.element_text("html", "h1")).collect()] == ["open end", None, None, None]
+
+
+def test_first_card_and_first_usable_details_in_crawl_order(spark):
+    url = "https://x.example/a"
+    search = spark.createDataFrame([(2, "Q", _card("A", "1.0", url)), (1, "P", _card("B", "2.0", url))], "page_id long, city string, html string")
+
+    def described(text):
+        return f'<div data-testid="property-description">{text}</div>'
+
+    rows = [(1, url, "<html>error</html>"), (3, url, described("aaa")), (2, url + "?x=1", described("zzz"))]
+    details = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert [(r.city, r.name, r.score, r.description) for r in collect_hotels(search, details).collect()] == [("P", "B", "2.0", "zzz")]

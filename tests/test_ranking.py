@@ -4,6 +4,8 @@ import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from destrank.operators.ranking import RankSpec, average_ranks, positions
 
 values = st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float)), min_size=1, max_size=40)
@@ -145,3 +147,21 @@ def test_many_buckets_and_partitions(spark):
     w = df.toPandas()
     want = dict(zip(w["id"], w["v"].rank()))
     assert all(want[r.id] == r.r for r in got.collect())
+
+
+def test_positions_and_ranks_use_exact_keys(spark):
+    from decimal import Decimal
+
+    from destrank.operators.ranking import average_rank, positions
+
+    big = 2**53
+    df = spark.createDataFrame([(1, big + 1), (2, big), (3, big + 2)], "id int, k long")
+    for rows_per_bucket in (1, 100):
+        got = {r.id: r.pos for r in positions(df.withColumn("g", F.lit(0)), ["g"], "k", rows_per_bucket=rows_per_bucket).collect()}
+        assert got == {2: 1, 1: 2, 3: 3}
+    lows = spark.createDataFrame([(1, -(2**63)), (2, 2**63 - 1), (3, 0)], "id int, k long")
+    assert {r.id: r.r for r in average_rank(lows, "k", "r", ascending=False).collect()} == {2: 1.0, 3: 2.0, 1: 3.0}
+    tiny = spark.createDataFrame([(1, Decimal("9007199254740993.1")), (2, Decimal("9007199254740993.0"))], "id int, k decimal(30,1)")
+    assert {r.id: r.r for r in average_rank(tiny, "k", "r").collect()} == {2: 1.0, 1: 2.0}
+    times = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP '2024-01-01 00:00:00.000002'), (2, TIMESTAMP '2024-01-01 00:00:00.000001'), (3, NULL) t(id, k)")
+    assert {r.id: r.r for r in average_rank(times, "k", "r").collect()} == {2: 1.0, 1: 2.0, 3: None}

@@ -72,3 +72,22 @@ def test_lookup_broadcast_respects_byte_bound(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_equal_rows_of_a_hot_key_are_split(spark):
+    left = spark.range(20_000).select(F.lit(0).alias("k"), F.lit("same").alias("v"))
+    right = spark.createDataFrame([(0, "x"), (1, "y")], "k int, name string")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = lookup_join(left, right, ["k"], "left", broadcast_max_rows=0, hot_key_rows=1_000)
+        tasks = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(tasks) == 20_000 and len(tasks) >= 5 and max(tasks) <= 10_000
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
