@@ -26,6 +26,7 @@ import re
 import zlib
 from collections import Counter, deque
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -57,7 +58,7 @@ def op3_vocabulary() -> str:
 class WordEncoder:
     """Token ids of a text as little-endian 32-bit words. The vocabulary drops
     white space, so words are encoded apart and remembered; at most
-    ``CACHED_WORDS`` of them."""
+    ``CACHED_WORDS`` of them, of which those not met again go first."""
 
     def __init__(self, vocabulary: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -66,6 +67,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
         mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
 
@@ -73,10 +75,12 @@ class WordEncoder:
         """Ids of each text; the unknown words of all are encoded at once."""
         parts = [list(chain.from_iterable(map(bytes.split, _segments(t)))) for t in texts]  # ASCII white space only
         words = set().union(*parts)
-        missing = list(words.difference(self.known))
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known.clear()
-            missing = list(words)
+        missing = words.difference(self.known)
+        if len(self.known) + len(missing) > CACHED_WORDS // 2:
+            self.earlier, self.known, missing = self.known, {}, words
+        again = {w: self.earlier[w] for w in missing if w in self.earlier}
+        self.known.update(again)
+        missing = missing.difference(again)
         self._learn([w for w in missing if MARK not in w], LINE_WORDS if self.mark is not None else 1)
         self._learn([w for w in missing if MARK in w], 1)
         return [b"".join(map(self.known.__getitem__, words)) for words in parts]
@@ -94,6 +98,12 @@ class WordEncoder:
                 self.known[word] = octets[4 * start : 4 * end]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(vocabulary: str) -> WordEncoder:
+    """The encoder of this worker process, kept for its next task."""
+    return WordEncoder(vocabulary)
+
+
 def _segments(text: bytes) -> Iterator[bytes]:
     """Slices of about SEGMENT_BYTES, cut at white space."""
     at = 0
@@ -114,9 +124,9 @@ def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
 
 def _piece_rows(vocabulary: str, capacity: int, id_name: str) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task, ranks = None, TaskContext.get().partitionId(), Counter()
+        task, ranks = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            encoder = encoder or WordEncoder(vocabulary)
+            encoder = encoder_of(vocabulary)
             index, out = [], []
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for at in range(0, len(texts), TEXTS_AT_ONCE):
