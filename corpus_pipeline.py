@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and
 returns a DataFrame; ``run`` writes each result as Parquet and reads it back
 as the next stage's documents. All but the last return the columns of
-``documents``; the last returns the packed pieces. No stage samples or caps
+``documents``; the last returns the packed pieces with their token ids. No stage samples or caps
 rows, and an empty table passes through all of them.
 """
 
@@ -49,7 +49,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, packed into sequences."""
+    """The pieces of all documents with their token ids, packed into sequences."""
     return pack(docs, op3_vocabulary())
 
 

@@ -8,10 +8,12 @@
    each length and interval of ranks, the first sequence and the offset.
 3. A piece's rank within its length is its task's base (a running sum of
    counts per task) plus its rank in the task; a join on length and rank
-   gives it its place.
+   gives it its place beside its token ids; ``sequences`` lays the ids of
+   each sequence together.
 
 The plan has a few rows per length whatever the number of documents. No
-document moves in step 1; later steps shuffle only (length, rank) rows.
+document moves in step 1, and while plan and bases have at most ``PLAN_ROWS``
+rows, no piece moves later either; ``sequences`` shuffles the ids once.
 
 Defined cases: null and empty texts have the single closing id; repeated rows
 are packed each; null ids are kept; equal lengths are ranked in any order;
@@ -23,7 +25,6 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
 from collections import Counter, deque
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -43,10 +44,11 @@ SEGMENT_BYTES = 1 << 20
 CACHED_WORDS = 700_000
 TEXTS_AT_ONCE = 500
 MARK, LINE_WORDS = b"\0", 256
-#: A plan of at most so many rows is broadcast.
+#: A plan, or table of bases, of at most so many rows is broadcast.
 PLAN_ROWS = 1_000_000
 
-PIECES = "piece int, start long, length long, ids_crc32 long, task int, task_rank long"
+#: ``ids``: the token ids as little-endian 32-bit words.
+PIECES = "piece int, start long, length long, ids binary, task int, task_rank long"
 
 
 def op3_vocabulary() -> str:
@@ -114,12 +116,12 @@ def _segments(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
-    """(piece, start, length, crc32) of the cut id sequence."""
+def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(piece, start, length, ids) of the cut id sequence."""
     step = 4 * capacity
     for k, at in enumerate(range(0, len(ids), step)):
         part = ids[at : at + step]
-        yield k, at // 4, len(part) // 4, zlib.crc32(part)
+        yield k, at // 4, len(part) // 4, part
 
 
 def _piece_rows(vocabulary: str, capacity: int, id_name: str) -> Callable:
@@ -127,16 +129,15 @@ def _piece_rows(vocabulary: str, capacity: int, id_name: str) -> Callable:
         task, ranks = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             encoder = encoder_of(vocabulary)
-            index, out = [], []
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for at in range(0, len(texts), TEXTS_AT_ONCE):
+                index, out = [], []
                 for i, ids in enumerate(encoder.encode(texts[at : at + TEXTS_AT_ONCE]), at):
                     for piece in pieces_of(ids + CLOSING, capacity):
                         index.append(i)
                         out.append((*piece, task, ranks[piece[2]]))
                         ranks[piece[2]] += 1
-            columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()))]
-            if out:
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()))]
                 names = [id_name, *[c.split()[0] for c in PIECES.split(", ")]]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(index)), *columns], names=names)
 
@@ -173,13 +174,14 @@ def plan_best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
 
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece of every document, with its sequence and offset."""
+    """One row per piece of every document, with its token ids, sequence and offset."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col), F.col(text).cast("string").alias("_text"))
     id_type = source.schema[0].dataType.simpleString()
     pieces = saved(source.mapInArrow(_piece_rows(vocabulary, capacity, id_col), f"`{id_col}` {id_type}, {PIECES}"), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
-    counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
+    per_length = per_task.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks")).collect()  # capacity rows at most
+    counts = {r["length"]: r["n"] for r in per_length}
     plan = plan_best_fit(counts, capacity)
     schema = "length long, first_rank long, end_rank long, first_sequence long, offset long"
     places = spark.createDataFrame(plan, schema)
@@ -187,14 +189,23 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "
         places = F.broadcast(places)
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("length", "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    if sum(r["tasks"] for r in per_length) <= PLAN_ROWS:
+        bases = F.broadcast(bases)
     ranked = pieces.join(bases, ["length", "task"]).withColumn("rank", F.col("base") + F.col("task_rank"))
     on = (ranked["length"] == places["length"]) & ranked["rank"].between(places["first_rank"], places["end_rank"] - 1)
     return ranked.join(places, on).select(
-        id_col, "piece", "start", ranked["length"], "ids_crc32",
+        id_col, "piece", "start", ranked["length"], "ids", F.crc32("ids").alias("ids_crc32"),
         (F.col("first_sequence") + F.col("rank") - F.col("first_rank")).alias("sequence_id"), "offset",
     )
 
 
+def sequences(packed: DataFrame) -> DataFrame:
+    """(sequence_id, ids) of the pieces that ``pack`` placed, each piece at its offset."""
+    parts = F.sort_array(F.collect_list(F.struct("offset", "ids")))
+    joined = F.aggregate(parts, F.lit(b""), lambda a, p: F.concat(a, p["ids"]))
+    return packed.groupBy("sequence_id").agg(joined.alias("ids"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of at most 2048 tokens."""
-    return pack(table(spark, sf_dir, "documents"), op3_vocabulary())
+    """All documents packed into sequences of at most 2048 tokens; ids as checksums."""
+    return pack(table(spark, sf_dir, "documents"), op3_vocabulary()).drop("ids")

@@ -84,6 +84,21 @@ def test_packing(spark, docs):
     assert packing.pack(empty(docs), vocabulary).count() == 0
 
 
+def test_packing_gives_the_sequences(spark, docs):
+    vocabulary = P.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary)
+    out = packing.pack(docs, vocabulary, capacity=64)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    laid = {r.sequence_id: np.frombuffer(r.ids, "<u4") for r in packing.sequences(out).collect()}
+    rows = out.collect()
+    assert set(laid) == {r.sequence_id for r in rows} and sum(map(len, laid.values())) == sum(r.length for r in rows)
+    for r in rows:
+        want = [*plain.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 0][r.start : r.start + r.length]
+        assert np.frombuffer(r.ids, "<u4").tolist() == want == laid[r.sequence_id][r.offset : r.offset + r.length].tolist()
+
+
 def test_best_fit_plan_matches_item_by_item():
     rng = np.random.default_rng(0)
     for _ in range(50):
