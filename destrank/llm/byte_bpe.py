@@ -7,8 +7,8 @@ of small maps, addressed by checksum.) Words of more than ``FOLD_BYTES`` bytes
 go through a heap instead, whose work does not grow with the square of the
 length. Bytes are written as hexadecimal pairs while they are merged.
 
-Documents are then put together from their words' ids, and decoded by
-concatenating the ids' binary pieces. The table of distinct words is counted:
+Documents are then put together from their words' ids (``encode``), and
+decoded by concatenating the ids' binary pieces (``decode``). The table of distinct words is counted:
 up to ``BROADCAST_BYTES`` it is broadcast as sorted arrays and no document
 moves; beyond it, the documents' words are joined to it by shuffle and gathered
 per distinct text. Both ways give the same rows and both are tested.
@@ -22,7 +22,6 @@ ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import json
 import zlib
@@ -195,22 +194,14 @@ class WordTable:
         return [self.ids[s : s + n] for s, n in zip(self.starts[at], self.sizes[at])]
 
 
-def _digest_row(ids: bytes, decoded: bytes) -> tuple[int, str, str]:
-    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded).hexdigest()
-
-
-DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-
-def _assembled_rows(shared, pattern: str, tokens, id_name: str) -> Callable:
+def _assembled_rows(shared, pattern: str, id_name: str) -> Callable:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import regex
 
         find, known = regex.compile(pattern).findall, {}
-        words_table, vocabulary = shared.value, tokens.value
+        words_table = shared.value
         for batch in batches:
             texts = batch["text"].tolist()
-            out = []
             for at in range(0, len(texts), ROWS_AT_ONCE):
                 cut = [pieces_of(t or "") for t in texts[at : at + ROWS_AT_ONCE]]
                 if len(known) > CACHED_PIECES:
@@ -219,20 +210,15 @@ def _assembled_rows(shared, pattern: str, tokens, id_name: str) -> Callable:
                 found = [find(p) for p in new]
                 ids = iter(words_table.ids_of([w for ws in found for w in ws]))
                 for p, ws in zip(new, found):
-                    own = np.concatenate([next(ids) for _ in ws]) if ws else np.zeros(0, np.uint32)
-                    known[p] = own.tobytes(), b"".join([vocabulary[i] for i in own.tolist()])
-                for parts in cut:
-                    pairs = [known[p] for p in parts]
-                    out.append(_digest_row(b"".join([a for a, _ in pairs]), b"".join([b for _, b in pairs])))
-            got = pd.DataFrame(out, columns=[c.split()[0] for c in DIGESTS.split(", ")])
-            got.insert(0, id_name, batch[id_name].array)
-            yield got
+                    known[p] = b"".join([next(ids).tobytes() for _ in ws])
+                out = [b"".join([known[p] for p in parts]) for parts in cut]
+                yield pd.DataFrame({id_name: batch[id_name].array[at : at + ROWS_AT_ONCE], "ids": out})
 
     return rows
 
 
-def _joined_digests(docs: DataFrame, encoded: DataFrame, pattern: str, tokens) -> DataFrame:
-    """(key, digests) per distinct text, with the words joined by shuffle."""
+def _joined_ids(docs: DataFrame, encoded: DataFrame, pattern: str) -> DataFrame:
+    """(key, ids) per distinct text, with the words joined by shuffle."""
 
     @F.pandas_udf("array<string>")
     def words_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -242,29 +228,22 @@ def _joined_digests(docs: DataFrame, encoded: DataFrame, pattern: str, tokens) -
         for texts in batches:
             yield texts.map(lambda t: [w for p in pieces_of(t) for w in find(p)])
 
-    @F.pandas_udf(DIGESTS)
-    def digests(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = tokens.value
-        for rows in batches:
-            out = [_digest_row(np.asarray(ids, "<u4").tobytes(), b"".join([vocabulary[i] for i in ids])) for ids in rows]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in DIGESTS.split(", ")])
+    @F.pandas_udf("binary")
+    def octets(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda x: np.asarray(x, "<u4").tobytes())
 
     words = docs.select("key", "text").dropDuplicates(["key"]).select("key", F.posexplode_outer(words_of("text")).alias("pos", "word"))
     found = words.join(encoded, "word", "left").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("w"))
     ids = F.flatten(F.transform("w", lambda x: F.coalesce(x["ids"], F.array().cast("array<int>"))))
-    return found.select("key", digests(ids).alias("d")).select("key", "d.*")
+    return found.select("key", octets(ids).alias("ids"))
 
 
-def encode_documents(
+def encode(
     docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of every document."""
+    """(id, ids) of every document: its token ids as little-endian 32-bit words."""
     sc = docs.sparkSession.sparkContext
     ranks = read_ranks(vocabulary)
-    pieces: list[bytes] = [b""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        pieces[rank] = token
-    tokens = sc.broadcast(pieces)  # the vocabulary: a fixed size
     source = docs.select(F.col(id_col), F.col(text).cast("string").alias("text"))
     words = source.select("text").mapInPandas(_distinct_rows(pattern), "word string").distinct()
     encoded = saved(encode_words(words, ranks), "words")
@@ -275,16 +254,43 @@ def encode_documents(
         if arrays.exact:
             shared = sc.broadcast(arrays)
             id_type = source.schema[0].dataType.simpleString()
-            return source.mapInPandas(_assembled_rows(shared, pattern, tokens, id_col), f"`{id_col}` {id_type}, {DIGESTS}")
+            return source.mapInPandas(_assembled_rows(shared, pattern, id_col), f"`{id_col}` {id_type}, ids binary")
     source = source.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", text_key(F.col("text")))
-    return source.join(_joined_digests(source, encoded, pattern, tokens), "key").select(
-        F.col(id_col), *[c.split()[0] for c in DIGESTS.split(", ")]
-    )
+    return source.join(_joined_ids(source, encoded, pattern), "key").select(F.col(id_col), "ids")
+
+
+def decode(spark: SparkSession, ids: Column, vocabulary: str) -> Column:
+    """The bytes of each id sequence that ``encode`` gives: its ids' binary pieces, concatenated."""
+    ranks = read_ranks(vocabulary)
+    pieces: list[bytes] = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token
+    tokens = spark.sparkContext.broadcast(pieces)  # the vocabulary: a fixed size
+
+    @F.pandas_udf("binary")
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        piece = tokens.value.__getitem__
+        for rows in batches:
+            yield rows.map(lambda x: b"".join(map(piece, np.frombuffer(x, "<u4").tolist())))
+
+    return decoded(ids)
+
+
+def encode_documents(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(id, ids, n_tokens, ids_sha256, decoded_sha256) of every document."""
+    got = encode(docs, vocabulary, pattern, id_col, text, broadcast_bytes)
+    decoded = decode(docs.sparkSession, F.col("ids"), vocabulary)
+    return got.select(
+        F.col(id_col), "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded, 256).alias("decoded_sha256"),
+    )
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents encoded by the 50k byte-level ranks, and decoded again."""
+    """All documents encoded by the 50k byte-level ranks, and decoded again, as digests."""
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
-    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("ids")

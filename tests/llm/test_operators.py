@@ -134,6 +134,21 @@ def test_byte_bpe_both_ways(spark, docs):
     assert byte_bpe.heap_merges(word.encode(), ranks) == plain.encode_ordinary(word)
 
 
+def test_byte_bpe_gives_ids_and_decodes_them(spark, docs):
+    import tiktoken
+
+    vocabulary = P.path("byte_bpe_50k.tiktoken")
+    plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(vocabulary), special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for limit in (byte_bpe.BROADCAST_BYTES, 0):
+        got = byte_bpe.encode(docs, vocabulary, P.PATTERN, broadcast_bytes=limit)
+        rows = got.withColumn("decoded", byte_bpe.decode(spark, F.col("ids"), vocabulary)).collect()
+        assert len(rows) == docs.count()
+        for r in rows:
+            assert np.frombuffer(r.ids, "<u4").tolist() == plain.encode_ordinary(texts[r.doc_id])
+            assert r.decoded.decode() == texts[r.doc_id]
+
+
 def brute_components(rows):
     hashes = partenum_join.WordHashes()
     sets = {d: set(partenum_join.shingle_set((t or "").encode(), hashes).tolist()) for d, t in rows}
