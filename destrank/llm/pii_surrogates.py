@@ -10,6 +10,11 @@ keeps it with and without the given name). Draws are checked over the whole
 corpus: a surrogate that two entities share, or that is itself an entity of
 the corpus, is drawn again, so distinct entities stay distinct.
 
+Cards are looked for at every digit group of a run of digits, before the other
+types: a number beside a card does not hide it, and what is not a card is
+searched for the other types. A card is made of whole groups, so no card is
+read out of the middle of a longer unbroken number.
+
 Texts without an entity never move. The others are cut at their entities once
 per distinct text; the distinct entities are one grouped table; pieces are
 joined to it by entity and put together again by text digest.
@@ -21,6 +26,8 @@ their names, are passed on; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,13 +49,20 @@ EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-
 IP = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])(?!\.[0-9])"
 SSN = r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])"
+#: A run of at least 13 digits in whole groups, in which cards are looked for.
+RUN = r"(?<![0-9A-Za-z+])(?=[0-9](?:[ \-]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ \-][0-9]++(?![A-Za-z]))*+"
 PHONE = (
     r"\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?(?:[ .\-][0-9]{2,4}){1,4}(?![0-9])"
     r"|(?<![0-9A-Za-z])\(?[0-9]{3}\)?[ .\-][0-9]{3}[ .\-][0-9]{4}(?![0-9])"
 )
 SECRET = r"(?i:token|secret|password|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_\-+/]{8,}"
 PERSON = rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE + OTHER)})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+){{0,2}}"
-ENTITY = "|".join((EMAIL, IP, SSN, CARD, PHONE, SECRET, PERSON))
+#: Usual groupings of a card; other groupings count unless they cut a phone or social security number.
+CARD_LAYOUT = r"^(?:[0-9]+|[0-9]{4}([ \-])(?:[0-9]{4}\1){2}[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ \-])[0-9]{6}\2[0-9]{4,5})$"
+#: What may hold an entity; what a run of digits is cut out of; what is looked for outside cards.
+ENTITY = "|".join((EMAIL, IP, SSN, CARD, RUN, PHONE, SECRET, PERSON))
+AROUND_CARDS = "|".join((EMAIL, IP, SSN, RUN, SECRET))
+OTHER_THAN_CARDS = "|".join((EMAIL, IP, SSN, PHONE, SECRET, PERSON))
 
 ROUNDS = 64
 DEFAULT_KEY = "surrogate-key-1"
@@ -91,17 +105,91 @@ def _tokens(entity: Column) -> Column:
 
     return (
         F.when(entity.contains("@"), single("email")).when(whole(IP), single("ip")).when(whole(SSN), single("ssn"))
-        .when(whole(CARD), F.when(_luhn_sum(_digits(entity)) % 10 == 0, single("card")).otherwise(single("")))
         .when(whole(PHONE), single("phone")).when(whole(SECRET), secret).otherwise(person)
     )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _cut(text: Column, pattern: str, tokens: Callable[[Column], Column]) -> Column:
+    """The text as literal tokens and the tokens of the pattern's matches, in order."""
+    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    between = F.split(text, pattern, -1)
+    return _let(found, lambda e: F.flatten(F.transform(between, lambda b, i: F.when(
+        i < F.size(e), F.concat(F.array(_token("", "", b)), tokens(F.get(e, i)))).otherwise(F.array(_token("", "", b))))))
+
+
+def _cards(run: Column) -> Column:
+    """The cards of a run of digits as (start, stop), in order: whole groups of
+    13 to 19 digits that pass the Luhn check; usual layouts go first, of these
+    the longest, then the first. Others must not cut a number of 3-3-4 or 3-2-4."""
+    at = F.filter(F.sequence(F.lit(1), F.length(run)), lambda p: F.substring(run, p, F.lit(1)).rlike("[0-9]") & ~F.substring(run, p - 1, F.least(p - 1, F.lit(1))).rlike("[0-9]"))
+    sizes = [(n, rf"^[0-9](?:[ \-]?[0-9]){{{n - 1}}}(?![0-9])") for n in range(19, 12, -1)]
+
+    def cuts(at: Column) -> Column:
+        """Whether a phone or social security number stands across the group start ``at``."""
+        before = F.substring(run, F.greatest(at - 9, F.lit(1)), at - F.greatest(at - 9, F.lit(1)))
+        after = F.substring(run, at, F.lit(9))
+        return (before.rlike("(?<![0-9])[0-9]{3}[ -]$") & after.rlike("^[0-9]{2,3}[ -][0-9]{4}(?![0-9])")) | (
+            before.rlike("(?<![0-9])[0-9]{3}[ -][0-9]{2,3}[ -]$") & after.rlike("^[0-9]{4}(?![0-9])"))
+
+    def from_start(p: Column) -> Column:
+        rest = F.substring(run, p, F.lit(38))
+        found = F.array(*[_let(F.regexp_extract(rest, pattern, 0), lambda v, n=n: F.struct(F.lit(-n).alias("size"), p.alias("start"), (p + F.length(v)).alias("stop"), v.alias("value"))) for n, pattern in sizes])
+        valid = F.filter(found, lambda c: (c["value"] != "") & (_luhn_sum(_digits(c["value"])) % 10 == 0))
+        return F.filter(valid, lambda c: c["value"].rlike(CARD_LAYOUT) | ~(cuts(c["start"]) | cuts(c["stop"] + 1)))
+
+    valid = F.sort_array(F.transform(F.flatten(F.transform(at, from_start)), lambda c: F.struct(
+        (~c["value"].rlike(CARD_LAYOUT)).alias("unusual"), c["size"], c["start"], c["stop"])))
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    chosen = F.aggregate(valid, none, lambda done, c: F.when(
+        F.exists(done, lambda d: (d["start"] < c["stop"]) & (c["start"] < d["stop"])), done
+    ).otherwise(F.concat(done, F.array(F.struct(c["start"].alias("start"), c["stop"].alias("stop"))))))
+    return F.sort_array(chosen)
+
+
+def _run_tokens(run: Column) -> Column:
+    """A run of digits as card tokens and the literal text around them."""
+
+    def tokens(cards: Column) -> Column:
+        def with_text_before(c: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(cards, i - 1)["stop"]).otherwise(F.lit(1))
+            return F.array(_token("", "", F.substring(run, before, c["start"] - before)), _token("card", "", F.substring(run, c["start"], c["stop"] - c["start"])))
+
+        last = F.coalesce(F.get(cards, F.size(cards) - 1)["stop"], F.lit(1))
+        return F.concat(F.flatten(F.transform(cards, with_text_before)), F.array(_token("", "", F.substring(run, last, F.length(run)))))
+
+    return _let(_cards(run), tokens)
+
+
 def _pieces(text: Column) -> Column:
-    """The text as literal and entity tokens, in order."""
-    entities = F.regexp_extract_all(text, F.lit(ENTITY), 0)
-    between = F.split(text, ENTITY, -1)
-    mixed = F.transform(between, lambda b, i: F.when(i < F.size(entities), F.concat(F.array(_token("", "", b)), _tokens(F.get(entities, i)))).otherwise(F.array(_token("", "", b))))
-    return F.flatten(mixed)
+    """The text as literal and entity tokens, in order: cut at its cards, the
+    whole text between two cards is searched for the other types."""
+
+    def others(part: Column) -> Column:
+        return _cut(part, OTHER_THAN_CARDS, _tokens)
+
+    def around(tokens: Column) -> Column:
+        cards = F.filter(F.transform(tokens, lambda t, i: F.when(t["kind"] == "card", i)), lambda i: i.isNotNull())
+        ends = F.concat(F.array(F.lit(-1)), cards, F.array(F.size(tokens)))
+
+        def part(ends: Column) -> Column:
+            def after(end: Column, k: Column) -> Column:
+                own = F.slice(tokens, end + 2, F.get(ends, k + 1) - end - 1)
+                card = F.when(k > 0, F.array(F.get(tokens, end))).otherwise(F.slice(tokens, 1, 0))
+                return F.concat(card, others(F.array_join(F.transform(own, lambda t: t["value"]), "")))
+
+            return F.flatten(F.transform(F.slice(ends, 1, F.size(ends) - 1), after))
+
+        return _let(ends, part)
+
+    def run_or_other(found: Column) -> Column:
+        return F.when(found.rlike(f"^(?:{RUN})$"), _run_tokens(found)).otherwise(F.array(_token("", "", found)))
+
+    return F.when(text.rlike(RUN), _let(_cut(text, AROUND_CARDS, run_or_other), around)).otherwise(others(text))
 
 
 def _normal(kind: Column, value: Column) -> Column:

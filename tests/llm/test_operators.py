@@ -234,6 +234,21 @@ def test_surrogates(spark):
     assert pii_surrogates.with_surrogates(empty(table), "n").count() == 0
 
 
+def test_cards_and_phones_beside_other_numbers(spark):
+    card = "4785380592391139"
+    texts = [f"{card} 12/27", f"{card} 123", f"order 12 {card}", "2024 4785 3805 9239 1139", f"{card} {card}",
+             f"{card} 12.a@mail.example.com", f"{card} 227.5.221.1", f"555-123-4567 {card}", f"{card} 123-45-6789",
+             f"password: {card}", f"+1 555-123-4567 {card}"]
+    texts += ["555-123-4567 555-987-6543", "4785380592391138", "47853805923911391234567"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n) for r in pii_surrogates.with_surrogates(table, "n").collect()}
+    for i, text in enumerate(texts[:-2]):
+        assert not re.search("4785 ?3805 ?9239 ?1139|555-123|555-987|mail|227.5|123-45", got[i][0]), (text, got[i])
+    assert [got[i][1] for i in range(len(texts))] == [1, 1, 1, 1, 2, 2, 2, 2, 2, 1, 2, 2, 0, 0]
+    assert got[0][0].endswith(" 12/27") and got[1][0].endswith(" 123") and got[2][0].startswith("order 12 ")
+    assert [got[i][0] for i in (12, 13)] == texts[-2:]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(300, 8))
