@@ -1,8 +1,9 @@
 """Surrogates for personal data: DataFrame functions only.
 
-Detected entities (e-mail and IP addresses, phone numbers, payment cards that
-pass the Luhn check, social security numbers, secrets after a key word, names
-after a form of address) are replaced by surrogates of the same type: digits
+Detected entities (e-mail, IPv4 and IPv6 addresses, phone numbers, payment
+cards that pass the Luhn check, social security numbers, secrets after a key
+word, names after a form of address, and these family and full names anywhere
+in the same text) are replaced by surrogates of the same type: digits
 for digits in the same format, names of the same gender and script, valid
 check digits. A surrogate is drawn from a keyed hash of the normalised entity,
 so an entity has one surrogate wherever it occurs (coreference; a family name
@@ -46,7 +47,14 @@ SCRIPTS = {
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
-IP = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])(?!\.[0-9])"
+IP4 = rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])(?!\.[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
+#: Eight groups, or fewer with one double colon; a digit is in it, so words joined by colons are none.
+IP6 = (
+    rf"(?<![0-9A-Za-z:.])(?=[0-9A-Fa-f]{{0,4}}:)(?=[0-9A-Fa-f:]*[0-9])(?:{_HEX}(?::{_HEX}){{7}}"
+    rf"|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![0-9A-Za-z:])(?!\.[0-9])"
+)
+IP = f"{IP4}|{IP6}"
 SSN = r"(?<![0-9A-Za-z\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z\-])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z])"
 #: A run of at least 13 digits in whole groups, in which cards are looked for.
@@ -54,7 +62,13 @@ RUN = r"(?<![0-9A-Za-z+])(?=[0-9](?:[ \-]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ \-]
 PHONE = (
     r"\+[0-9]{1,3}[ .\-]?\(?[0-9]{2,4}\)?(?:[ .\-][0-9]{2,4}){1,4}(?![0-9])"
     r"|(?<![0-9A-Za-z])\(?[0-9]{3}\)?[ .\-][0-9]{3}[ .\-][0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}(?![0-9])"
+    r"|\+[0-9]{7,15}(?![0-9])"
+    r"|\+[0-9]{1,3}[ .\-](?:\(?[0-9]{1,4}\)?[ .\-]?){0,2}[0-9]{5,12}(?![0-9])"
+    r"|\+[0-9](?:[ .\-]?\(?[0-9]\)?){6,14}(?![0-9])"
 )
+#: The country code of a phone number: what stands apart, or by the code's first digits.
+COUNTRY = r"^(\+(?:[0-9]{1,3}(?![0-9])|[17]|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}))"
 SECRET = r"(?i:token|secret|password|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9_\-+/]{8,}"
 PERSON = rf"(?<!\p{{L}})(?:{'|'.join(MALE + FEMALE + OTHER)})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+){{0,2}}"
 #: Usual groupings of a card; other groupings count unless they cut a phone or social security number.
@@ -104,7 +118,7 @@ def _tokens(entity: Column) -> Column:
         return entity.rlike(f"^(?:{pattern})$")
 
     return (
-        F.when(entity.contains("@"), single("email")).when(whole(IP), single("ip")).when(whole(SSN), single("ssn"))
+        F.when(entity.contains("@"), single("email")).when(whole(IP4), single("ip")).when(whole(IP6), single("ip6")).when(whole(SSN), single("ssn"))
         .when(whole(PHONE), single("phone")).when(whole(SECRET), secret).otherwise(person)
     )
 
@@ -114,9 +128,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _cut(text: Column, pattern: str, tokens: Callable[[Column], Column]) -> Column:
+def _cut(text: Column, pattern: str | Column, tokens: Callable[[Column], Column]) -> Column:
     """The text as literal tokens and the tokens of the pattern's matches, in order."""
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+    found = F.regexp_extract_all(text, F.lit(pattern) if isinstance(pattern, str) else pattern, F.lit(0))
     between = F.split(text, pattern, -1)
     return _let(found, lambda e: F.flatten(F.transform(between, lambda b, i: F.when(
         i < F.size(e), F.concat(F.array(_token("", "", b)), tokens(F.get(e, i)))).otherwise(F.array(_token("", "", b))))))
@@ -165,7 +179,39 @@ def _run_tokens(run: Column) -> Column:
     return _let(_cards(run), tokens)
 
 
+def _named_again(tokens: Column) -> Column:
+    """The tokens with the family and full names found in them also found where
+    they stand without a form of address."""
+    names = F.filter(tokens, lambda t: t["kind"].isin("given", "family"))
+
+    def of(kind: str, known: Column) -> Column:
+        return F.array_join(F.array_distinct(F.transform(F.filter(known, lambda t: t["kind"] == kind), lambda t: t["value"])), "|")
+
+    def again(known: Column) -> Column:
+        given = F.when(of("given", known) != "", F.concat(F.lit("(?:(?:"), of("given", known), F.lit(") )*"))).otherwise(F.lit(""))
+        pattern = F.concat(F.lit(r"(?<!\p{L})"), given, F.lit("(?:"), of("family", known), F.lit(r")(?!\p{L})"))
+
+        def mention(found: Column) -> Column:
+            words = F.split(found, " ")
+
+            def word(w: Column, i: Column) -> Column:
+                first = F.get(F.filter(known, lambda t: (t["kind"] == "given") & (t["value"] == w)), F.lit(0))
+                name = F.when(i == F.size(words) - 1, _token("family", "", w)).otherwise(first)
+                return F.when(i > 0, F.array(_token("", "", F.lit(" ")), name)).otherwise(F.array(name))
+
+            return F.flatten(F.transform(words, word))
+
+        return _let(pattern, lambda p: F.flatten(F.transform(tokens, lambda t: F.when(t["kind"] == "", _cut(t["value"], p, mention)).otherwise(F.array(t)))))
+
+    return F.when(F.size(names) > 0, _let(names, again)).otherwise(tokens)
+
+
 def _pieces(text: Column) -> Column:
+    """All tokens of the text."""
+    return _let(_found(text), _named_again)
+
+
+def _found(text: Column) -> Column:
     """The text as literal and entity tokens, in order: cut at its cards, the
     whole text between two cards is searched for the other types."""
 
@@ -195,7 +241,7 @@ def _pieces(text: Column) -> Column:
 def _normal(kind: Column, value: Column) -> Column:
     """What mentions of one entity have in common."""
     return F.when(kind.isin("card", "ssn"), _digits(value)).when(
-        kind == "phone", F.concat(F.regexp_extract(value, r"^(\+[0-9]{1,3})", 1), F.lit("|"), _digits(F.regexp_replace(value, r"^\+[0-9]{1,3}", "")))
+        kind == "phone", F.concat(F.regexp_extract(value, COUNTRY, 1), F.lit("|"), _digits(F.regexp_replace(value, COUNTRY, "")))
     ).when(kind == "secret", value).otherwise(F.lower(value))
 
 
@@ -220,6 +266,7 @@ def _drawn(kind: Column, gender: Column, norm: Column, key: str, attempt: int) -
     email = F.concat(like(F.substring_index(norm, "@", 1)), F.lit("@x"), F.substring(letters, 97, 10), F.lit(".example"))
     top = 240 + byte(0) % 16 if attempt < 8 else byte(0)
     ip = F.concat_ws(".", *[c.cast("string") for c in (top, byte(1), byte(2), byte(3))])
+    ip6 = F.concat_ws(":", F.lit("2001:db8"), *[F.substring(hexes, 4 * i + 1, 4) for i in range(6)])
     body = F.concat(F.substring(norm, 1, 1), F.substring(digits, F.lit(1), F.length(norm) - 2))
     card = F.concat(body, ((10 - _luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string"))
     phone = F.concat(F.substring_index(norm, "|", 1), F.lit("|"), F.substring(digits, F.lit(1), F.length(F.substring_index(norm, "|", -1))))
@@ -236,7 +283,7 @@ def _drawn(kind: Column, gender: Column, norm: Column, key: str, attempt: int) -
     for pattern, *rest in SCRIPTS.values():
         names = F.when(norm.rlike(pattern), name(*rest)) if names is None else names.when(norm.rlike(pattern), name(*rest))
     return (
-        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
+        F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "ip6", ip6).when(kind == "card", card).when(kind == "phone", phone)
         .when(kind == "ssn", ssn).when(kind == "secret", secret).otherwise(names)
     )
 
@@ -274,7 +321,8 @@ def surrogates(entities: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
 
 def replaced_texts(texts: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """(key, text, n_entities) of distinct texts (key, text) that may hold entities."""
-    pieces = texts.select("key", F.posexplode(_pieces(F.col("text"))).alias("pos", "t")).select("key", "pos", "t.*")
+    # outer: a plain explode would have the pieces computed again for a filter
+    pieces = texts.select("key", F.posexplode_outer(_pieces(F.col("text"))).alias("pos", "t")).select("key", "pos", "t.*")
     pieces = saved(pieces.withColumn("norm", F.when(F.col("kind") != "", _normal(F.col("kind"), F.col("value")))), "pieces")
     mentions = pieces.filter("kind <> ''")
     found = mentions.join(surrogates(mentions, key), ["kind", "gender", "norm"])

@@ -249,6 +249,25 @@ def test_cards_and_phones_beside_other_numbers(spark):
     assert [got[i][0] for i in (12, 13)] == texts[-2:]
 
 
+def test_more_phones_addresses_and_untitled_names(spark):
+    phones = ["+15551234567", "+44 2071234567", "+49 30 1234567", "(555)123-4567", "+33 1 42 68 53 00", "+44 (0)20 7123 4567", "+1 (555) 123-4567"]
+    ips = ["2001:db8:85a3:0:0:8a2e:370:7334", "fe80::1ff:fe23:4567:890a", "::1"]
+    texts = [f"call {x} now" for x in phones + ips]
+    texts += ["at 12:30:45 std::vector a::b 3:2", "Mr. John Smith came. Smith left, John Smith stayed; Smithson and John not.", "Smith and John Smith"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n) for r in pii_surrogates.with_surrogates(table, "n").collect()}
+    for i, x in enumerate(phones):
+        assert got[i][1] == 1 and x not in got[i][0] and re.sub("[0-9]", "0", got[i][0]) == re.sub("[0-9]", "0", texts[i]), got[i]
+    digits = [re.sub("[^0-9]", "", got[i][0]) for i in (0, 6)]
+    assert digits[0] == digits[1]  # one number in two forms
+    for i, x in enumerate(ips, len(phones)):
+        assert got[i][1] == 1 and x not in got[i][0] and re.fullmatch("call 2001:db8(:[0-9a-f]{4}){6} now", got[i][0]), got[i]
+    assert got[len(phones + ips)] == (texts[-3], 0) and got[len(texts) - 1] == (texts[-1], 0)
+    text, n = got[len(texts) - 2]
+    found = re.fullmatch(r"Mr\. (\w+) (\w+) came\. (\w+) left, (\w+) (\w+) stayed; Smithson and John not\.", text)
+    assert found and n == 5 and found[1] == found[4] != "John" and found[2] == found[3] == found[5] != "Smith"
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(300, 8))
