@@ -5,6 +5,7 @@
     python -m destrank batch --weather W --hotels H --cities C --out O
     python -m destrank weather --forecasts F --geocodes G --out O   (landed JSON lines)
     python -m destrank hotels --search-pages S --detail-pages D --out O   (parquet pages)
+    python -m destrank landed --geocodes G --forecasts F --feed H --out O   (landed files to all tables, resumes)
 
 Inputs are ``parquet``, ``csv``, ``json`` paths (any Hadoop URI) or JDBC
 tables (``--jdbc-url`` plus the table name as the path). CSV and JSON
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from destrank import schemas
 from destrank.operators import quality
+from destrank.operators.numbering import with_row_numbers
 from destrank.operators.ranking import criterion_ranks, score_from_ranks
 from destrank.operators.rollup import place_means
 from destrank.plans import composite
@@ -62,12 +64,13 @@ def _props(args: argparse.Namespace) -> dict[str, str]:
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="destrank")
-    parser.add_argument("command", choices=["recommend", "rank", "batch", "weather", "hotels"])
+    parser.add_argument("command", choices=["recommend", "rank", "batch", "weather", "hotels", "landed"])
     parser.add_argument("--weather", help="daily weather table")
     parser.add_argument("--hotels", help="hotels table")
     parser.add_argument("--cities", help="places with coordinates (rank, batch)")
-    parser.add_argument("--forecasts", help="landed forecast responses, JSON lines (weather)")
-    parser.add_argument("--geocodes", help="landed geocoder responses, JSON lines (weather)")
+    parser.add_argument("--forecasts", help="landed forecast responses, JSON lines (weather, landed)")
+    parser.add_argument("--geocodes", help="landed geocoder responses, JSON lines (weather, landed)")
+    parser.add_argument("--feed", help="hotel feed of concatenated JSON arrays (landed)")
     parser.add_argument("--search-pages", help="crawled search pages, parquet (city, url, html) (hotels)")
     parser.add_argument("--detail-pages", help="crawled detail pages, parquet (url, html) (hotels)")
     parser.add_argument("--out", help="output folder (files) or table-name prefix (jdbc)")
@@ -86,6 +89,7 @@ def main(argv: list[str] | None = None) -> None:
         "batch": ["weather", "hotels", "cities"],
         "weather": ["forecasts", "geocodes"],
         "hotels": ["search_pages", "detail_pages"],
+        "landed": ["geocodes", "forecasts", "feed", "out"],
     }[args.command]
     missing = [f"--{n.replace('_', '-')}" for n in needed if not getattr(args, n)]
     if missing:
@@ -116,11 +120,22 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps({"hotels": written.get["rows"]}))
         return
 
+    if args.command == "landed":
+        # C8 from landed files: a failed run is started again with the same command.
+        snapshot, run = composite.run_landed_batch(
+            spark, args.geocodes, args.forecasts, args.feed, args.out, weights=settings[0]
+        )
+        counts = {name: t.rows for name, t in snapshot.tables.items()}
+        print(json.dumps({"version": snapshot.version, "computed": run.computed, **counts}))
+        return
+
     weather = _read(spark, args, "weather")
     hotels = _read(spark, args, "hotels")
     if args.command in ("recommend", "rank"):
         if args.command == "recommend":
-            tables = {"city_recommendations": composite.recommendations(weather, hotels)}
+            # A table has no order of its own: the rank is a column (K5).
+            best = composite.recommendations(weather, hotels)
+            tables = {"city_recommendations": with_row_numbers(best, [F.col("score").desc_nulls_last(), F.col("city")])}
         else:
             cities = _read(spark, args, "cities")
             # Ranks do not depend on the weights: rank once, re-score per setting.

@@ -35,6 +35,7 @@ from destrank.session import scratch_dir
 from destrank.streaming import ingest_forecasts
 from destrank.sources import files
 from destrank.sources.seed import seed_table
+from destrank.sources.versions import VersionedTables
 from destrank.sources.landing import flatten_forecasts, readings_for_places, responses_from_bodies
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -391,6 +392,59 @@ def q_full_batch(spark, d):
     return rows
 
 
+def _land(df: DataFrame, folder: str) -> str:
+    df.write.text(folder)
+    return folder
+
+
+def q_landed_batch(spark, d):
+    """Landed geocodes, forecasts and hotel feed to the six tables that become current together."""
+    landing = scratch_dir(spark, "landed")
+    nation, supplier = table(spark, d, "nation"), table(spark, d, "supplier")
+    geocodes = _land(standins.nation_geocodes(nation), f"{landing}/geocodes")
+    forecasts = _land(standins.nation_forecasts(table(spark, d, "orders"), table(spark, d, "customer")), f"{landing}/forecasts")
+    feed = _land(standins.supplier_feed(supplier), f"{landing}/feed")
+    snapshot, _ = composite.run_landed_batch(spark, geocodes, forecasts, feed, scratch_dir(spark, "warehouse"))
+    no_score, no_rank = F.lit(None).cast("double"), F.lit(None).cast("long")
+    shown = {
+        "cities": ("city", F.col("latitude"), no_rank),
+        "weather": (F.concat_ws(" ", "city", "date"), F.col("temp_max"), no_rank),
+        "hotels": ("name", F.col("score").cast("double"), no_rank),
+        "city_recommendations": ("city", F.col("score"), F.col("rank")),
+        "top_map": ("city", F.col("score"), no_rank),
+        "top_hotels": ("name", F.col("score"), no_rank),
+    }
+    rows = None
+    for name, (key, score, rank) in shown.items():
+        part = snapshot.read(spark, name).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_key") if isinstance(key, str) else key.alias("row_key"),
+            round_nudged(F.coalesce(score, no_score)).alias("score"), rank.alias("rank"),
+            F.lit(snapshot.tables[name].rows).cast("long").alias("n_rows"), F.lit(snapshot.version).cast("long").alias("version"),
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
+def q_tables_replaced(spark, d):
+    """K4: two loads of the three tables, the second of two of them; the rows of both versions."""
+    warehouse = VersionedTables(spark, scratch_dir(spark, "versions"))
+    weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
+    hotels = standins.supplier_hotels(table(spark, d, "supplier"))
+    first = warehouse.replace(
+        {"cities": standins.nation_cities(table(spark, d, "nation")), "weather": weather.where("pop = 1"), "hotels": hotels}
+    )
+    second = warehouse.replace({"weather": weather, "hotels": hotels.where(coerce_numeric("score") > 0)})
+    rows = None
+    for snapshot in (first, second):
+        for name, key in (("cities", "city"), ("weather", "city"), ("hotels", "name")):
+            part = snapshot.read(spark, name).select(
+                F.lit(snapshot.version).cast("long").alias("version"), F.lit(name).alias("table_name"),
+                F.lit(snapshot.tables[name].rows).cast("long").alias("n_rows"), F.col(key).alias("row_key"),
+            )
+            rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 QUERIES: dict[str, Query] = {
     "recommendations": q_recommendations,
     "daily_rollup": q_daily_rollup,
@@ -432,4 +486,6 @@ QUERIES: dict[str, Query] = {
     "null_audit": q_null_audit,
     "hotel_collection": q_hotel_collection,
     "full_batch": q_full_batch,
+    "landed_batch": q_landed_batch,
+    "tables_replaced": q_tables_replaced,
 }

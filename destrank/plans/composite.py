@@ -2,7 +2,8 @@
 
 C1 recommendations, C2 weighted ranking + top-5, C3 map table of the
 best places, C4 best hotels in them, C5 unweighted ranking, C6 forecast
-collection, C7 hotel collection, C8 the whole batch as one application (`run_batch`).
+collection, C7 hotel collection, C8 the whole batch as one application
+(`run_batch` from ready tables, `run_landed_batch` from landed files).
 """
 
 from __future__ import annotations
@@ -18,11 +19,21 @@ from destrank.functions.numeric import coerce_numeric, round_nudged
 from destrank.operators import quality
 from destrank.operators.enrich import semi_filter
 from destrank.operators.pages import collect_hotels
+from destrank.operators.numbering import with_row_numbers
 from destrank.operators.ranking import rank_sum, top_k, weighted_score
 from destrank.operators.rollup import daily_rollup, place_means
+from destrank import schemas
+from destrank.plans.stages import Run, Stage, run_stages
 from destrank.session import ensure_checkpoint_dir
 from destrank.sources import files
-from destrank.sources.landing import flatten_forecasts, readings_for_places
+from destrank.sources.landing import (
+    cities_from_geocodes,
+    flatten_forecasts,
+    read_forecasts,
+    read_geocodes,
+    readings_for_places,
+)
+from destrank.sources.versions import Snapshot, VersionedTables
 
 
 
@@ -166,3 +177,50 @@ def run_batch(
             write(watched, name)
             counts[name] = int(obs.get["rows"])
     return BatchResult(tables["recommendations"], scores, top, tables["top_map"], tables["top_hotels"], counts)
+
+
+#: The tables that a landed batch makes current together: the loaded ones and the results.
+LOADED_TABLES = ("cities", "weather", "hotels")
+RESULT_TABLES = ("city_recommendations", "top_map", "top_hotels")
+
+
+def landed_stages(geocodes: str, forecasts: str, feed: str, weights: Sequence[int] = DEFAULT_WEIGHTS) -> list[Stage]:
+    """The stages from landed responses and the hotel feed to the result tables."""
+
+    def scores(spark, t):
+        return weighted_score(place_means(t["weather"]), weights)
+
+    def ranked(spark, t):
+        return with_row_numbers(
+            recommendations_from_means(t["scores"], t["hotels"]), [F.col("score").desc_nulls_last(), F.col("city")], "rank"
+        )
+
+    return [
+        Stage("cities", lambda spark, t: cities_from_geocodes(read_geocodes(spark, geocodes)), inputs=[geocodes]),
+        Stage(
+            "weather", lambda spark, t: forecast_collection(t["cities"], read_forecasts(spark, forecasts)),
+            ["cities"], [forecasts],
+        ),
+        Stage("hotels", lambda spark, t: files.read_salvaged_feed(spark, feed, schemas.HOTELS), inputs=[feed]),
+        Stage("scores", scores, ["weather"], params=list(weights)),
+        Stage("top_places", lambda spark, t: top_places(t["scores"]), ["scores"]),
+        Stage("city_recommendations", ranked, ["scores", "hotels"]),
+        Stage("top_map", lambda spark, t: top_map(t["cities"], t["top_places"]), ["cities", "top_places"]),
+        Stage("top_hotels", lambda spark, t: top_hotels(t["hotels"], t["top_places"]), ["hotels", "top_places"]),
+    ]
+
+
+def run_landed_batch(
+    spark: SparkSession, geocodes: str, forecasts: str, feed: str, out_dir: str, weights: Sequence[int] = DEFAULT_WEIGHTS
+) -> tuple[Snapshot, Run]:
+    """C8 from landed files: every stage is kept, a rerun resumes at the first
+    missing one, and at the end the loaded tables and the results become
+    current together (K4). A rerun on unchanged files adds no version."""
+    ensure_checkpoint_dir(spark)
+    warehouse = VersionedTables(spark, out_dir)
+    base = warehouse.snapshot()
+    run = run_stages(spark, landed_stages(geocodes, forecasts, feed, weights), f"{out_dir.rstrip('/')}/stages")
+    tables = {name: run.tables[name] for name in (*LOADED_TABLES, *RESULT_TABLES)}
+    if dict(base.tables) == tables:
+        return base, run
+    return warehouse.commit(base, tables, {"weights": list(weights)}), run

@@ -73,6 +73,9 @@ SELECT CAST(c.c_nationkey AS VARCHAR) AS city, o.o_totalprice / 10000.0 AS temp_
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 """
 
+# The same with the day of every row in front.
+NATION_DAYS = NATION_WEATHER.replace("SELECT ", "SELECT strftime(o.o_orderdate, '%Y-%m-%d') AS date, ", 1)
+
 NATION_MEANS = f"""
 SELECT city, {_round('avg(temp_max)')} AS avg_temp_max, {_round('avg(humidity)')} AS avg_humidity,
        {_round('avg(pop)')} AS avg_pop
@@ -291,5 +294,36 @@ written AS (
   UNION ALL SELECT 'top_map', city, score FROM top JOIN nation ON CAST(n_nationkey AS VARCHAR) = city
   UNION ALL SELECT 'top_hotels', row_key, score FROM hotels)
 SELECT table_name, row_key, {_round('score')} AS score, count(*) OVER (PARTITION BY table_name) AS n_rows FROM written
+""",
+    "landed_batch": f"""
+WITH w AS (SELECT city, date, max(temp_max) AS temp_max, avg(humidity) AS humidity, max(pop) AS pop FROM ({NATION_DAYS})
+           WHERE CAST(city AS INT) % 7 <> 3 GROUP BY city, date),
+m AS (SELECT city, avg(temp_max) AS avg_temp_max, avg(humidity) AS avg_humidity, avg(pop) AS avg_pop FROM w GROUP BY city),
+top AS (SELECT city, score FROM ({_scores('SELECT * FROM m', 5, 5, 5)}) ORDER BY score DESC NULLS LAST, city LIMIT 5),
+s AS (SELECT CAST(s_nationkey AS VARCHAR) AS city, avg(s_acctbal) AS avg_score FROM supplier GROUP BY 1),
+best AS (SELECT s_name AS row_key, s_acctbal AS score FROM supplier WHERE CAST(s_nationkey AS VARCHAR) IN (SELECT city FROM top)
+         ORDER BY s_acctbal DESC NULLS LAST, 'https://hotels.example.com/' || CAST(s_suppkey AS VARCHAR) LIMIT 20),
+r AS (SELECT city, avg_temp_max - avg_pop * 10 + avg_score AS score FROM m JOIN s USING (city)),
+written AS (
+  SELECT 'cities' AS table_name, CAST(n_nationkey AS VARCHAR) AS row_key,
+         CASE WHEN n_nationkey % 7 <> 3 THEN CAST(n_regionkey AS DOUBLE) END AS score, CAST(NULL AS BIGINT) AS rank FROM nation
+  UNION ALL SELECT 'weather', city || ' ' || date, temp_max, NULL FROM w
+  UNION ALL SELECT 'hotels', s_name, s_acctbal, NULL FROM supplier
+  UNION ALL SELECT 'city_recommendations', city, score, row_number() OVER (ORDER BY score DESC NULLS LAST, city) FROM r
+  UNION ALL SELECT 'top_map', city, score, NULL FROM top
+  UNION ALL SELECT 'top_hotels', row_key, score, NULL FROM best)
+SELECT table_name, row_key, {_round('score')} AS score, rank, count(*) OVER (PARTITION BY table_name) AS n_rows,
+       CAST(1 AS BIGINT) AS version FROM written
+""",
+    "tables_replaced": f"""
+WITH w AS ({NATION_WEATHER}),
+named AS (
+  SELECT v AS version, 'cities' AS table_name, CAST(n_nationkey AS VARCHAR) AS row_key
+  FROM nation, (SELECT unnest([1, 2])::BIGINT AS v)
+  UNION ALL SELECT 1, 'weather', city FROM w WHERE pop = 1
+  UNION ALL SELECT 2, 'weather', city FROM w
+  UNION ALL SELECT 1, 'hotels', s_name FROM supplier
+  UNION ALL SELECT 2, 'hotels', s_name FROM supplier WHERE s_acctbal > 0)
+SELECT version, table_name, count(*) OVER (PARTITION BY version, table_name) AS n_rows, row_key FROM named
 """,
 }

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def nation_weather(orders: DataFrame, customer: DataFrame) -> DataFrame:
+def nation_weather(orders: DataFrame, customer: DataFrame, *keep: str) -> DataFrame:
     """Orders as weather rows of the customer's nation.
 
     temp_max = total price / 10^4, humidity = priority digit * 20,
@@ -42,6 +42,7 @@ def nation_weather(orders: DataFrame, customer: DataFrame) -> DataFrame:
         (F.col("o_totalprice") / F.lit(PRICE_SCALE)).alias("temp_max"),
         (F.substring("o_orderpriority", 1, 1).cast("int") * F.lit(PRIORITY_SCALE)).alias("humidity"),
         pop.alias("pop"),
+        *keep,
     )
 
 
@@ -67,6 +68,32 @@ def nation_cities(nation: DataFrame) -> DataFrame:
     )
 
 
+def nation_geocodes(nation: DataFrame) -> DataFrame:
+    """Landed geocoder responses of the nations; every seventh found nothing."""
+    hit = F.struct(F.col("n_regionkey").cast("string").alias("lat"), F.col("n_nationkey").cast("string").alias("lon"))
+    hits = F.when(F.col("n_nationkey") % 7 == 3, F.array().cast("array<struct<lat:string,lon:string>>")).otherwise(F.array(hit))
+    return nation.select(F.to_json(F.struct(F.col("n_nationkey").cast("string").alias("city"), hits.alias("hits"))).alias("value"))
+
+
+def nation_forecasts(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Landed forecast responses of the nations: their weather rows as slices,
+    at most 64 orders in one response."""
+    weather = nation_weather(orders.withColumn("o_chunk", F.floor(F.col("o_orderkey") / CHUNK)), customer, "o_chunk")
+    entry = F.struct(
+        F.concat("date", F.lit(" 00:00:00")).alias("dt_txt"),
+        F.struct(F.col("temp_max").alias("temp"), F.col("humidity").cast("bigint").alias("humidity")).alias("main"),
+        "pop",
+        F.array(F.struct(F.lit("fair").alias("description"))).alias("weather"),
+    )
+    bodies = weather.groupBy("city", "o_chunk").agg(F.collect_list(entry).alias("list"))
+    return bodies.select(F.to_json(F.struct("city", "list")).alias("value"))
+
+
+def supplier_feed(supplier: DataFrame) -> DataFrame:
+    """The hotels as a feed of concatenated arrays, one object each."""
+    return supplier_hotels(supplier).select(F.concat(F.lit("["), F.to_json(F.struct("*")), F.lit("]")).alias("value"))
+
+
 def event_readings(events: DataFrame, place: str) -> DataFrame:
     """Events as forecast slices of a place column (``user_id`` or ``event_type``)."""
     return events.select(
