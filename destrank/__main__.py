@@ -41,7 +41,7 @@ def _read(spark: SparkSession, args: argparse.Namespace, kind: str) -> DataFrame
             return jdbc.read_jdbc_predicates(spark, args.jdbc_url, path, parts, _props(args))
         return jdbc.read_jdbc(spark, args.jdbc_url, table=path, properties=_props(args))
     if args.format == "csv":
-        return files.read_csv(spark, path, SCHEMAS[kind], empty_is_null=True)
+        return files.read_csv_blocks(spark, path, SCHEMAS[kind], empty_is_null=True)
     if args.format == "json":
         return files.read_json_lines(spark, path, SCHEMAS[kind])
     return spark.read.parquet(path)

@@ -345,6 +345,25 @@ def q_csv_roundtrip(spark, d):
     return files.read_csv(spark, path, conv.schema)
 
 
+def q_csv_blocks(spark, d):
+    """Documents written as CSV and read back by blocks, line breaks in fields and all."""
+    docs = table(spark, d, "documents")
+    path = scratch_dir(spark, "csv-blocks")
+    files.write_csv(docs, path)
+    return files.read_csv_blocks(spark, path, docs.schema)
+
+
+def q_feed_objects(spark, d):
+    """S5 / D2 without loss: the feed's objects by balanced braces, also those that the pattern loses, per user."""
+    path = scratch_dir(spark, "feed-objects")
+    standins.feed_lines(table(spark, d, "events")).write.text(path)
+    found = files.feed_objects(spark, path, FEED_SCHEMA + ", note string")
+    return found.groupBy("user_id", "note").agg(
+        F.count(F.when(F.col("_valid"), 1)).alias("kept"), F.count(F.when(~F.col("_valid"), 1)).alias("rejected"),
+        F.sum("k").alias("sum_k"),
+    )
+
+
 def q_json_roundtrip(spark, d):
     """K2: pages written as JSON lines and read back."""
     pages = table(spark, d, "pages")
@@ -481,6 +500,8 @@ QUERIES: dict[str, Query] = {
     "city_seed": q_city_seed,
     "sql_scan": q_sql_scan,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_blocks": q_csv_blocks,
+    "feed_objects": q_feed_objects,
     "json_roundtrip": q_json_roundtrip,
     "row_count_report": q_row_count_report,
     "null_audit": q_null_audit,

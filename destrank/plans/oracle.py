@@ -325,5 +325,11 @@ named AS (
   UNION ALL SELECT 1, 'hotels', s_name FROM supplier
   UNION ALL SELECT 2, 'hotels', s_name FROM supplier WHERE s_acctbal > 0)
 SELECT version, table_name, count(*) OVER (PARTITION BY version, table_name) AS n_rows, row_key FROM named
+""",
+    "csv_blocks": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "feed_objects": """
+SELECT user_id, CASE event_type WHEN 'error' THEN '{error}' ELSE event_type END AS note, count(*) AS kept,
+       CAST(0 AS BIGINT) AS rejected, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k
+FROM events GROUP BY ALL
 """,
 }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from destrank.functions.jsonx import salvage_objects
+from destrank.sources.blocks import BalancedObjects, QuotedLines, records
 
 # Text fields may hold line breaks, quotes and blanks: quote them, double the
 # quote inside fields, read records that span lines, trim nothing.
@@ -26,9 +27,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, empty_i
     """A CSV table with a header, columns taken by name and cast to ``schema``
     (text that does not parse becomes NULL). Other columns are ignored; a
     missing one raises. ``empty_is_null`` is for files of other writers, which
-    leave NULL empty."""
+    leave NULL empty. Each file is read by one task; see ``read_csv_blocks``."""
+    return _by_name(spark.read.options(**CSV_OPTIONS).csv(path), path, schema, empty_is_null)
+
+
+def read_csv_blocks(spark: SparkSession, path: str, schema: T.StructType | str, empty_is_null: bool = False) -> DataFrame:
+    """The rows of ``read_csv``, each file read by many tasks although its
+    fields may hold line breaks: the state at every cut is worked out first.
+    All files must have the same header. Line breaks inside fields stay as they
+    are (``read_csv`` makes them \\n where a file's lines end with \\r\\n)."""
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    places = ", ".join(f"c{i} string" for i in range(len(header)))
+    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine")}
+    found = records(spark, path, QuotedLines(quote=CSV_OPTIONS["quote"])).where(~F.col("first") & (F.col("text") != ""))
+    row = found.select(F.from_csv("text", places, options).alias("row"))
+    return _by_name(row.select(*[row.row[f"c{i}"].alias(c) for i, c in enumerate(header)]), path, schema, empty_is_null)
+
+
+def _by_name(raw: DataFrame, path: str, schema: T.StructType | str, empty_is_null: bool) -> DataFrame:
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    raw = spark.read.options(**CSV_OPTIONS).csv(path)
     missing = [f.name for f in schema if f.name.lower() not in {c.lower() for c in raw.columns}]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
@@ -72,6 +89,20 @@ def _parsed(found: DataFrame, schema: T.StructType | str) -> DataFrame:
     ).select("_rec.*", "_valid")
 
 
+def feed_objects(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Every JSON object of a feed of concatenated arrays, balanced braces and
+    strings taken into account, with ``_valid``: False for what is no JSON (an
+    object broken off, also by the end of the file), so callers can count it."""
+    return _parsed(records(spark, path, BalancedObjects()).select(F.col("text").alias("_obj")), schema)
+
+
+def read_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The valid objects of ``feed_objects``. Unlike the salvage by pattern
+    (``read_salvaged_feed``) it keeps objects with braces in their texts or
+    with objects inside, and it reads one file by many tasks too."""
+    return feed_objects(spark, path, schema).where("_valid").drop("_valid")
+
+
 def read_salvaged_feed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Read a feed of several concatenated JSON arrays and keep the objects.
 
