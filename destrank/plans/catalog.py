@@ -32,7 +32,7 @@ from destrank.plans import composite, standins
 from destrank.plans.standins import table
 from destrank import schemas
 from destrank.session import scratch_dir
-from destrank.streaming import ingest_forecasts
+from destrank.streaming import NewestForecasts, ingest_forecasts, keep_newest_forecasts
 from destrank.sources import files
 from destrank.sources.seed import seed_table
 from destrank.sources.versions import VersionedTables
@@ -188,6 +188,18 @@ def q_forecast_ingest(spark, d):
     return spark.read.schema(schemas.READINGS).parquet(readings)
 
 
+def q_forecast_newest(spark, d):
+    """C6 without averaging old and new: two landings, the second corrects every third slice; the newest of each."""
+    landing, events = scratch_dir(spark, "landing"), table(spark, d, "events")
+    state = NewestForecasts(spark, scratch_dir(spark, "newest"), buckets=16)
+    seen = scratch_dir(spark, "newest-ckpt")
+    for part in (events.withColumn("value", F.col("value") + 1000), events.where("event_id % 3 = 0")):
+        bodies = responses_from_bodies(standins.forecast_bodies(part))
+        files.write_json_lines(bodies, landing, mode="append")
+        keep_newest_forecasts(spark, landing, state, seen).awaitTermination()
+    return state.readings()
+
+
 def q_json_salvage(spark, d):
     """Objects salvaged from a concatenated-array feed and summed per user."""
     objs = files.salvage_lines(standins.feed_lines(table(spark, d, "events")), FEED_SCHEMA)
@@ -483,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "forecast_flatten": q_forecast_flatten,
     "forecast_rollup": q_forecast_rollup,
     "forecast_ingest": q_forecast_ingest,
+    "forecast_newest": q_forecast_newest,
     "json_salvage": q_json_salvage,
     "salvage_report": q_salvage_report,
     "coerce_numeric": q_coerce_numeric,

@@ -331,5 +331,10 @@ SELECT version, table_name, count(*) OVER (PARTITION BY version, table_name) AS
 SELECT user_id, CASE event_type WHEN 'error' THEN '{error}' ELSE event_type END AS note, count(*) AS kept,
        CAST(0 AS BIGINT) AS rejected, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) AS sum_k
 FROM events GROUP BY ALL
+""",
+    "forecast_newest": """
+SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+       v AS temp, CAST(json_extract(props, '$.k') AS BIGINT) AS humidity, v / 500.0::DOUBLE AS pop, event_type AS description
+FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN value ELSE value + 1000 END AS v FROM events)
 """,
 }

@@ -33,14 +33,15 @@ def responses_from_bodies(bodies: DataFrame, key: str = "city", body: str = "bod
     return bodies.select(F.col(key).alias("city"), parse_forecast(body)["list"].alias("list"))
 
 
-def flatten_forecasts(responses: DataFrame) -> DataFrame:
-    """One reading per forecast slice (``schemas.READINGS``).
+def flatten_forecasts(responses: DataFrame, *keep: str) -> DataFrame:
+    """One reading per forecast slice (``schemas.READINGS``), with the columns
+    ``keep`` of its response.
 
     A response without ``list`` (an error body) gives no rows; an entry
     with an empty ``weather`` array gives a NULL description.
     """
     e = F.col("_e")
-    return responses.select("city", F.explode("list").alias("_e")).select(
+    return responses.select("city", *keep, F.explode("list").alias("_e")).select(
         F.col("city"),
         F.substring(e["dt_txt"], 1, 10).alias("date"),
         e["dt_txt"].alias("ts"),
@@ -48,6 +49,7 @@ def flatten_forecasts(responses: DataFrame) -> DataFrame:
         e["main"]["humidity"].alias("humidity"),
         e["pop"].alias("pop"),
         F.get(e["weather"], 0)["description"].alias("description"),
+        *keep,
     )
 
 

@@ -9,5 +9,6 @@ executors or the driver are lost mid-run.
 """
 
 from destrank.streaming.landing import ingest_forecasts
+from destrank.streaming.newest import NewestForecasts, keep_newest_forecasts
 
-__all__ = ["ingest_forecasts"]
+__all__ = ["NewestForecasts", "ingest_forecasts", "keep_newest_forecasts"]
