@@ -6,16 +6,17 @@ into one task, so ranks are computed from a value histogram instead:
 
 1. ``(criterion, group, value) -> count``: a partial aggregation, so a
    value held by a third of all rows becomes a single histogram row.
-2. Per criterion, the checkpointed histogram's size and ``N - 1``
-   approximate quantiles are aggregated on the executors, ``N`` chosen so
-   that each bucket holds about ``rows_per_bucket`` histogram rows. Equal values always fall in the
-   same bucket, so ties never straddle a split.
+2. The checkpointed histogram is dealt out by ranges of (criterion, value),
+   about ``rows_per_bucket`` rows to a part. Equal values always fall in the
+   same part, so ties never straddle a cut; the part's number is its bucket.
+   The cuts are Spark's own, from a sample: none is in the plan or in a task
+   that gathers all values.
 3. Bucket totals and their running sum (a table of at most
-   ``criteria x groups x N`` rows) give each bucket its offset.
+   ``criteria x groups x buckets`` rows) give each bucket its offset.
 4. Inside a bucket a windowed running count gives the number of rows
    strictly before the value; the average rank is
    ``offset + before + (count + 1) / 2``. When every criterion fits in
-   one bucket (``N = 1``) steps 3's offsets are all zero and skipped.
+   one bucket steps 2 and 3 are skipped.
 5. Ranks are joined back on the value; histograms whose size the stats
    job proved small are broadcast, larger ones go through a shuffle join
    that adaptive execution splits if a value is hot.
@@ -40,7 +41,6 @@ from destrank.session import checkpoint_counted, ensure_checkpoint_dir
 
 DEFAULT_ROWS_PER_BUCKET = 2_000_000
 BROADCAST_MAX_ROWS = 1_000_000
-QUANTILE_ACCURACY = 20_000
 
 
 @dataclass(frozen=True)
@@ -50,18 +50,6 @@ class RankSpec:
     ascending: bool = True
 
 
-def _splits(hist: DataFrame, n_rows: int, rows_per_bucket: int) -> list[float]:
-    """Distinct split points of ``_v`` into as many buckets as ``n_rows`` needs."""
-    buckets = max(1, math.ceil(n_rows / max(1, rows_per_bucket)))
-    if buckets == 1:
-        return []
-    fractions = F.expr("array(" + ", ".join(f"{j / buckets!r}D" for j in range(1, buckets)) + ")")
-    accuracy = max(QUANTILE_ACCURACY, 20 * buckets)
-    # Grouped, so that partial digests meet in an executor and not in the driver.
-    row = hist.groupBy("_c").agg(F.percentile_approx("_v", fractions, accuracy).alias("q")).head()
-    return sorted(set(float(x) for x in row["q"])) if row and row["q"] else []
-
-
 def _exact_keys(df: DataFrame, specs: Sequence[RankSpec]) -> list[Column]:
     """One rank key per spec, all of one type: bigint, decimal, microseconds,
     or double where some source is floating."""
@@ -78,41 +66,6 @@ def _exact_keys(df: DataFrame, specs: Sequence[RankSpec]) -> list[Column]:
     return [nan_to_null(c.cast("double")) for c in sources]
 
 
-GROUP = 32
-
-
-def _bucket_of(value: Column, splits: list[float]) -> Column:
-    """Number of split points strictly below ``value`` (its range bucket).
-
-    ``splits`` is sorted, so the count is found in two short scans: the
-    coarse group among every GROUP-th split, then the splits of that one
-    group - about 2 * GROUP comparisons instead of len(splits).
-    """
-    if not splits:
-        return F.lit(0)
-    if len(splits) <= GROUP:
-        return F.size(F.filter(_double_array(splits), lambda q: q < value))
-    groups = [splits[i : i + GROUP] for i in range(0, len(splits), GROUP)]
-    # Last split of every group but the final one: the groups before the
-    # found one lie entirely below the value, those after it at or above.
-    coarse = F.size(F.filter(_double_array([g[-1] for g in groups[:-1]]), lambda q: q < value))
-    fine_arrays = F.expr("array(" + ", ".join(_double_array_sql(g) for g in groups) + ")")
-    fine = F.size(F.filter(F.element_at(fine_arrays, coarse + 1), lambda q: q < value))
-    return coarse * F.lit(GROUP) + fine
-
-
-def _double_array_sql(values: list[float]) -> str:
-    return "array(" + ", ".join(f"CAST('{v!r}' AS DOUBLE)" for v in values) + ")"
-
-
-def _double_array(values: list[float]) -> Column:
-    """A literal array<double>, parsed once on the JVM side (building it
-    element by element would cost one gateway call per number)."""
-    if not values:
-        return F.array().cast("array<double>")
-    return F.expr(_double_array_sql(values))
-
-
 def average_ranks(
     df: DataFrame,
     specs: Sequence[RankSpec | tuple],
@@ -128,8 +81,8 @@ def average_ranks(
     NULL and NaN values get a NULL rank and do not take a position;
     infinities are values and rank at the ends.
 
-    Runs its jobs eagerly (histogram checkpoint, bucket statistics on the
-    executors, ranked histogram checkpoint); both land in the shared checkpoint
+    Runs its jobs eagerly (checkpoints of the histogram, of its buckets if
+    there are several, and of the ranked histogram); all land in the shared checkpoint
     folder, so a lost executor never forces a recompute of the ranking.
     The input is read twice (histogram, final join). With
     ``checkpoint_input`` it is first written to the checkpoint folder (its
@@ -158,56 +111,36 @@ def average_ranks(
 
     if known_rows is not None and known_rows <= rows_per_bucket:
         # The input's observed size bounds every histogram: one bucket per
-        # criterion is proven, so no quantiles are needed and the
-        # histogram feeds the ranking directly in one job.
+        # criterion is proven and the histogram feeds the ranking directly.
         sizes = {i: known_rows for i in range(len(specs))}
-        split_points = {i: [] for i in range(len(specs))}
     else:
-        # Written to the shared checkpoint folder. The sizes (one row per
-        # criterion) and the split points are aggregated on the executors;
-        # the driver receives one number per bucket.
+        # Written to the shared checkpoint folder; the driver receives one
+        # number per criterion.
         hist = hist.checkpoint()
         counts = {r["_c"]: r["n"] for r in hist.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
         sizes = {i: counts.get(i, 0) for i in range(len(specs))}
-        split_points = {i: _splits(hist.where(F.col("_c") == i), sizes[i], rows_per_bucket) for i in range(len(specs))}
-    max_bucket = max([len(v) for v in split_points.values()] + [0])
 
-    ascending = F.lit(True)
-    bucket = F.lit(0)
-    for i, spec in enumerate(specs):
-        ascending = F.when(F.col("_c") == i, F.lit(spec.ascending)).otherwise(ascending)
-        bucket = F.when(F.col("_c") == i, _bucket_of(F.col("_v"), split_points[i])).otherwise(bucket)
-
-    bucketed = (
-        hist.withColumn("_asc", ascending)
-        .withColumn("_b", F.when(F.col("_asc"), bucket).otherwise(F.lit(max_bucket) - bucket))
-        .withColumn("_up", F.when(F.col("_asc"), F.col("_v")))
-        .withColumn("_down", F.when(~F.col("_asc"), F.col("_v")))
-        .drop("_asc")
-    )
+    ascending = F.col("_c").isin([i for i, spec in enumerate(specs) if spec.ascending])
+    directed = hist.withColumn("_up", F.when(ascending, F.col("_v"))).withColumn("_down", F.when(~ascending, F.col("_v")))
+    order = [F.col("_up").asc(), F.col("_down").desc()]
 
-    # Step 3: bucket offsets (only when some criterion needs several buckets).
+    # Steps 2 and 3: buckets and their offsets.
     before = Window.unboundedPreceding
-    if max_bucket:
+    if max(sizes.values(), default=0) > rows_per_bucket:
+        buckets = math.ceil(sum(sizes.values()) / max(1, rows_per_bucket))
+        bucketed = directed.repartitionByRange(buckets, "_c", *order).withColumn("_b", F.spark_partition_id())
+        bucketed = bucketed.checkpoint()  # so that every row keeps its part
         totals = bucketed.groupBy("_c", *part, "_b").agg(F.sum("_n").alias("_t"))
-        offsets = totals.select(
-            "_c",
-            *part,
-            "_b",
-            F.coalesce(
-                F.sum("_t").over(Window.partitionBy("_c", *part).orderBy("_b").rowsBetween(before, -1)),
-                F.lit(0),
-            ).alias("_off"),
-        )
-        if not part:
-            # One row per bucket; broadcast below the same bound as any other side.
-            offsets = F.broadcast(offsets) if sum(len(v) + 1 for v in split_points.values()) <= broadcast_max_rows else offsets
+        earlier = Window.partitionBy("_c", *part).orderBy("_b").rowsBetween(before, -1)
+        offsets = totals.select("_c", *part, "_b", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
+        if not part and buckets + len(specs) <= broadcast_max_rows:
+            offsets = F.broadcast(offsets)  # a part holds several criteria only where one ends
         bucketed = bucketed.join(offsets, ["_c", *part, "_b"])
     else:
-        bucketed = bucketed.withColumn("_off", F.lit(0).cast("long"))
+        bucketed = directed.withColumn("_b", F.lit(0)).withColumn("_off", F.lit(0).cast("long"))
 
-    # Step 4: rank inside the bucket; at most rows_per_bucket rows per task.
-    in_bucket = Window.partitionBy("_c", *part, "_b").orderBy(F.col("_up").asc(), F.col("_down").desc()).rowsBetween(before, -1)
+    # Step 4: rank inside the bucket; about rows_per_bucket rows per task.
+    in_bucket = Window.partitionBy("_c", *part, "_b").orderBy(*order).rowsBetween(before, -1)
     ranked = bucketed.select(
         "_c",
         *part,

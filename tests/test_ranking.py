@@ -1,12 +1,16 @@
 """Property tests of the bucketed average rank against pandas."""
 
+import random
+from decimal import Decimal
+
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
-from destrank.operators.ranking import RankSpec, average_ranks, positions
+from destrank.operators.ranking import RankSpec, average_rank, average_ranks, positions
 
 values = st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float)), min_size=1, max_size=40)
 
@@ -94,21 +98,19 @@ def test_multi_bucket_scores_and_positions_match_oracle_sf001(spark):
     assert got == sorted(want, key=key)
 
 
-def test_bucket_lookup_equals_bisect(spark):
+def test_ranks_of_many_sizes_equal_bisect(spark):
+    """As many values as buckets, one more and one less: a rank is a place in the sorted values."""
     import bisect
-    import random
-
-    from pyspark.sql import functions as F
-
-    from destrank.operators.ranking import _bucket_of
 
     rnd = random.Random(7)
-    for n in (0, 1, 31, 32, 33, 64, 65, 1023):
-        splits = sorted({round(rnd.uniform(-100, 100), 3) for _ in range(n)})
-        vals = [round(rnd.uniform(-110, 110), 3) for _ in range(200)] + splits + [-1e9, 1e9]
-        df = spark.createDataFrame([(v,) for v in vals], "v double")
-        got = [r.b for r in df.select(_bucket_of(F.col("v"), splits).alias("b")).collect()]
-        assert got == [bisect.bisect_left(splits, v) for v in vals], n
+    for n in (1, 31, 32, 33, 64, 1023):
+        vals = [round(rnd.uniform(-110, 110), 1) for _ in range(n)] + [-1e9, 1e9]
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
+        got = {r.id: r.r for r in average_rank(df, "v", "r", rows_per_bucket=32).collect()}
+        low = sorted(vals)
+        assert [got[i] for i in range(n + 2)] == [
+            (bisect.bisect_left(low, v) + 1 + bisect.bisect_right(low, v)) / 2 for v in vals
+        ]
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -165,3 +167,25 @@ def test_positions_and_ranks_use_exact_keys(spark):
     assert {r.id: r.r for r in average_rank(tiny, "k", "r").collect()} == {2: 1.0, 1: 2.0}
     times = spark.sql("SELECT * FROM VALUES (1, TIMESTAMP '2024-01-01 00:00:00.000002'), (2, TIMESTAMP '2024-01-01 00:00:00.000001'), (3, NULL) t(id, k)")
     assert {r.id: r.r for r in average_rank(times, "k", "r").collect()} == {2: 1.0, 1: 2.0, 3: None}
+
+
+@pytest.mark.parametrize("ascending", [True, False])
+def test_many_buckets_of_any_type(spark, ascending):
+    """Ranks over hundreds of buckets equal pandas' ranks: ties, infinities, decimals beyond a double's digits."""
+    rng = random.Random(11)
+    floats = [rng.choice([float("inf"), float("-inf"), float("nan"), None, -0.0, 0.0, float(rng.randint(0, 300)) / 7]) for _ in range(1200)]
+    digits = [Decimal(10) ** 20 + Decimal(rng.randint(0, 400)) / 1000 for _ in range(1200)]
+    df = spark.createDataFrame([(i, f, d) for i, (f, d) in enumerate(zip(floats, digits))], "id long, f double, d decimal(30,3)")
+    for source, values in (("f", [None if v is None or v != v else v + 0.0 for v in floats]), ("d", [int(d * 1000 - 10**23) for d in digits])):
+        got = {r.id: r.r for r in average_rank(df, source, "r", ascending, rows_per_bucket=3, broadcast_max_rows=10).collect()}
+        want = pd.Series(values, dtype=float).rank(ascending=ascending)
+        assert [got[i] for i in range(1200)] == [None if v != v else v for v in want]
+
+
+def test_plan_does_not_grow_with_the_buckets(spark):
+    df = spark.range(3000).selectExpr("id % 997 AS v", "id")
+
+    def plan(rows):
+        return average_rank(df, "v", "r", rows_per_bucket=rows)._jdf.queryExecution().optimizedPlan().toString()
+
+    assert abs(len(plan(10)) - len(plan(500))) < 50
