@@ -26,6 +26,7 @@ from destrank.operators.enrich import (
     lookup_first,
     zip_positions,
 )
+from destrank.operators.profile import SHOWN_CHARS, column_sketches, profile
 from destrank.operators.ranking import average_rank, rank_sum, weighted_score
 from destrank.operators.rollup import daily_rollup, place_means, tag, union_rollups
 from destrank.plans import composite, standins
@@ -42,6 +43,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MEANS = {"avg_temp_max": "temp_max", "avg_humidity": "humidity", "avg_pop": "pop"}
 USER_MEANS4 = {"avg_temp_max": "temp_max", "avg_temp_min": "temp_min", "avg_humidity": "humidity", "avg_pop": "pop"}
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+FEW_VALUES = 60
 SPLIT_DAY = "2024-01-16"
 FEED_SCHEMA = "k bigint, user_id bigint"
 
@@ -386,11 +392,7 @@ def q_json_roundtrip(spark, d):
 
 def q_row_count_report(spark, d):
     """K6 / A5: row count per table."""
-    names = [
-        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-        "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-    ]
-    return quality.row_counts({n: table(spark, d, n) for n in names})
+    return quality.row_counts({n: table(spark, d, n) for n in TABLES})
 
 
 def q_null_audit(spark, d):
@@ -400,6 +402,25 @@ def q_null_audit(spark, d):
     return quality.null_audit(joined, table="labelled")
 
 
+def q_column_profile(spark, d):
+    """Every column of every table: rows, missing values, shortest and longest text, and the most
+    frequent value of columns with few (where the sketches are exact)."""
+    rows = None
+    for name in TABLES:
+        found = table(spark, d, name)
+        plain = [f.name for f in found.schema if f.dataType.simpleString() in ("string", "int", "bigint")]
+        told = F.coalesce(F.get("lengths", F.lit(4)), F.lit(0)) <= SHOWN_CHARS
+        few = F.col("column_name").isin(plain) & F.col("n_distinct").between(1, FEW_VALUES) & told
+        first = F.when(few, F.get("top_values", F.lit(0)))
+        part = profile(column_sketches(found), top=1).select(
+            F.lit(name).alias("table_name"), "column_name", "n_rows", F.col("n_missing").alias("null_count"),
+            F.get("lengths", F.lit(0)).alias("min_length"), F.get("lengths", F.lit(4)).alias("max_length"),
+            first["value"].alias("top_value"), first["n"].alias("top_count"),
+        )
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 def q_hotel_collection(spark, d):
     """Cards and details of search and detail pages derived from every page, one row per hotel."""
     pages = table(spark, d, "pages")
@@ -518,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": q_json_roundtrip,
     "row_count_report": q_row_count_report,
     "null_audit": q_null_audit,
+    "column_profile": q_column_profile,
     "hotel_collection": q_hotel_collection,
     "full_batch": q_full_batch,
     "landed_batch": q_landed_batch,

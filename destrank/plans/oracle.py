@@ -112,6 +112,38 @@ FROM pages
 
 TRACK = _capture("html", f"track\\({SIGNED_NUMBER}\\)")
 
+#: Column -> kind, per table: t(ext), i(nteger), f(loating) or o(ther).
+COLUMNS = {
+    "region": "r_regionkey i, r_name t",
+    "nation": "n_nationkey i, n_name t, n_regionkey i",
+    "customer": "c_custkey i, c_name t, c_nationkey i, c_acctbal f, c_mktsegment t",
+    "supplier": "s_suppkey i, s_name t, s_nationkey i, s_acctbal f",
+    "part": "p_partkey i, p_name t, p_brand t, p_type t, p_size i, p_retailprice f",
+    "orders": "o_orderkey i, o_custkey i, o_orderstatus t, o_totalprice f, o_orderdate o, o_orderpriority t",
+    "lineitem": "l_orderkey i, l_partkey i, l_suppkey i, l_linenumber i, l_quantity f, l_extendedprice f, l_discount f, "
+    "l_tax f, l_returnflag t, l_linestatus t, l_shipdate o",
+    "events": "event_id i, ts o, user_id i, event_type t, value f, props t",
+    "documents": "doc_id i, text t, lang t, source t, n_chars i",
+    "embeddings": "vec_id i, embedding o, label i",
+    "pages": "page_id i, url t, html t",
+    "benchmark": "item_id i, text t",
+    "labels": "doc_id i, quality i, toxic i",
+    "conversations": "conv_id i, turn i, role t, text t",
+}
+
+
+def _profile(table: str, column: str, kind: str) -> str:
+    missing = f"{column} IS NULL" + (f" OR isnan({column})" if kind == "f" else "")
+    length = f"strlen({column})" if kind == "t" else "CAST(NULL AS BIGINT)"
+    few = f"d BETWEEN 1 AND 60 AND coalesce(hi, 0) <= 64 AND {kind in 'ti'}"
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, n_rows, null_count, CAST(lo AS BIGINT) AS min_length,
+  CAST(hi AS BIGINT) AS max_length, CASE WHEN {few} THEN v END AS top_value, CASE WHEN {few} THEN n END AS top_count
+FROM (SELECT count(*) AS n_rows, count(*) FILTER (WHERE {missing}) AS null_count, min({length}) AS lo, max({length}) AS hi,
+             count(DISTINCT {column}) AS d FROM {table})
+LEFT JOIN (SELECT CAST({column} AS VARCHAR) AS v, count(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY 1
+           ORDER BY n DESC, v LIMIT 1) ON true"""
+
+
 ORACLE: dict[str, str] = {
     "recommendations": f"""
 WITH w AS ({NATION_WEATHER}),
@@ -337,4 +369,7 @@ SELECT CAST(user_id AS VARCHAR) AS city, strftime(ts, '%Y-%m-%d') AS date, strft
        v AS temp, CAST(json_extract(props, '$.k') AS BIGINT) AS humidity, v / 500.0::DOUBLE AS pop, event_type AS description
 FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN value ELSE value + 1000 END AS v FROM events)
 """,
+    "column_profile": " UNION ALL ".join(
+        f"({_profile(t, *column.split())})" for t, columns in COLUMNS.items() for column in columns.split(", ")
+    ),
 }
