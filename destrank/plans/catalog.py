@@ -26,8 +26,9 @@ from destrank.operators.enrich import (
     lookup_first,
     zip_positions,
 )
+from destrank.operators.interactive import RankedLists, write_ranked_lists
 from destrank.operators.profile import SHOWN_CHARS, column_sketches, profile
-from destrank.operators.ranking import average_rank, rank_sum, weighted_score
+from destrank.operators.ranking import average_rank, criterion_ranks, rank_sum, weighted_score
 from destrank.operators.rollup import daily_rollup, place_means, tag, union_rollups
 from destrank.plans import composite, standins
 from destrank.plans.standins import table
@@ -127,6 +128,20 @@ def q_top_places(spark, d):
     return composite.top_places(weighted_score(_user_means(spark, d), (5, 5, 5)))
 
 
+WEIGHT_SETTINGS = [(5, 5, 5), (10, 0, 3), (0, 0, 1), (1, 9, 0), (0, 0, 0)]
+
+
+def q_interactive_top(spark, d):
+    """C2 per slider change: five settings answered from the heads of three lists written once."""
+    folder = scratch_dir(spark, "ranked-lists")
+    write_ranked_lists(criterion_ranks(_user_means(spark, d)), folder)
+    lists, rows = RankedLists(spark, folder), None
+    for weights in WEIGHT_SETTINGS:
+        best = lists.top(weights, 5).select(F.lit(str(weights)).alias("weights"), "city", "score")
+        rows = best if rows is None else rows.unionByName(best)
+    return rows
+
+
 def _nation_top(spark, d):
     weather = standins.nation_weather(table(spark, d, "orders"), table(spark, d, "customer"))
     means = _rounded(place_means(weather, "city", MEANS), set(MEANS))
@@ -509,6 +524,7 @@ QUERIES: dict[str, Query] = {
     "weighted_score": q_weighted_score,
     "weighted_score_10_0_3": q_weighted_score_10_0_3,
     "top_places": q_top_places,
+    "interactive_top": q_interactive_top,
     "top_map": q_top_map,
     "top_hotels": q_top_hotels,
     "preview": q_preview,

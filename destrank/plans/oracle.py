@@ -372,4 +372,8 @@ FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN value ELSE value + 1000 END AS v
     "column_profile": " UNION ALL ".join(
         f"({_profile(t, *column.split())})" for t, columns in COLUMNS.items() for column in columns.split(", ")
     ),
+    "interactive_top": " UNION ALL ".join(
+        f"(SELECT '{w}' AS weights, city, score FROM ({_scores(USER_MEANS, *w)}) ORDER BY score DESC NULLS LAST, city LIMIT 5)"
+        for w in [(5, 5, 5), (10, 0, 3), (0, 0, 1), (1, 9, 0), (0, 0, 0)]
+    ),
 }
