@@ -27,6 +27,7 @@ from destrank.operators.enrich import (
     zip_positions,
 )
 from destrank.operators.interactive import RankedLists, write_ranked_lists
+from destrank.operators.nearest import nearest_places
 from destrank.operators.profile import SHOWN_CHARS, column_sketches, profile
 from destrank.operators.ranking import average_rank, criterion_ranks, rank_sum, weighted_score
 from destrank.operators.rollup import daily_rollup, place_means, tag, union_rollups
@@ -331,6 +332,14 @@ def q_geocode_left(spark, d):
     return lookup_first(table(spark, d, "documents").select("doc_id", "lang"), labels, "doc_id", ["quality", "toxic"], ["quality", "toxic"])
 
 
+def q_nearest_place(spark, d):
+    """J6 by coordinates: the nearest customer of every supplier, ties by key, with the distance."""
+    suppliers = standins.spread_places(table(spark, d, "supplier"), "s_suppkey", "s_acctbal", "s_nationkey")
+    customers = standins.spread_places(table(spark, d, "customer"), "c_custkey", "c_acctbal", "c_nationkey")
+    found = nearest_places(suppliers, customers)
+    return found.select("city", "nearest", F.round("distance_km", 3).alias("distance_km"))
+
+
 def q_detail_merge(spark, d):
     """Listing rows with the details of their stripped URL."""
     pages = table(spark, d, "pages")
@@ -545,6 +554,7 @@ QUERIES: dict[str, Query] = {
     "build_lookup_key": q_build_lookup_key,
     "zip_positions": q_zip_positions,
     "geocode_left": q_geocode_left,
+    "nearest_place": q_nearest_place,
     "detail_merge": q_detail_merge,
     "dedup_by_url": q_dedup_by_url,
     "city_seed": q_city_seed,

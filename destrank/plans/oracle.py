@@ -376,4 +376,19 @@ FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN value ELSE value + 1000 END AS v
         f"(SELECT '{w}' AS weights, city, score FROM ({_scores(USER_MEANS, *w)}) ORDER BY score DESC NULLS LAST, city LIMIT 5)"
         for w in [(5, 5, 5), (10, 0, 3), (0, 0, 1), (1, 9, 0), (0, 0, 0)]
     ),
+    "nearest_place": """
+WITH s AS (SELECT CAST(s_suppkey AS VARCHAR) AS city, s_acctbal AS v, s_nationkey AS g FROM supplier),
+c AS (SELECT CAST(c_custkey AS VARCHAR) AS city, c_acctbal AS v, c_nationkey AS g FROM customer),
+spots AS (SELECT 's' AS side, * FROM s UNION ALL SELECT 'c', * FROM c),
+degrees AS (
+  SELECT side, city, fmod(fmod(v, 180.0::DOUBLE) + 180.0::DOUBLE, 180.0::DOUBLE) - 90 AS lat,
+         fmod(fmod(v * 7 + g * 13, 360.0::DOUBLE) + 360.0::DOUBLE, 360.0::DOUBLE) - 180 AS lon FROM spots),
+sphere AS (SELECT side, city, cos(radians(lat)) * cos(radians(lon)) AS x, cos(radians(lat)) * sin(radians(lon)) AS y,
+                  sin(radians(lat)) AS z FROM degrees),
+pairs AS (
+  SELECT p.city, q.city AS nearest, (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) + (p.z - q.z) * (p.z - q.z) AS d
+  FROM sphere p JOIN sphere q ON p.side = 's' AND q.side = 'c')
+SELECT city, nearest, round(2 * 6371.0088::DOUBLE * asin(least(sqrt(d) / 2, 1.0)), 3) AS distance_km
+FROM pairs QUALIFY row_number() OVER (PARTITION BY city ORDER BY d, nearest) = 1
+""",
 }

@@ -137,6 +137,15 @@ def customer_places(customer: DataFrame) -> DataFrame:
     )
 
 
+def spread_places(df: DataFrame, key: str, number: str, group: str) -> DataFrame:
+    """Rows as places all over the globe: a balance turned into degrees."""
+    return df.select(
+        F.col(key).cast("string").alias("city"),
+        (F.pmod(F.col(number), F.lit(180.0)) - 90).alias("latitude"),
+        (F.pmod(F.col(number) * 7 + F.col(group) * 13, F.lit(360.0)) - 180).alias("longitude"),
+    )
+
+
 def feed_lines(events: DataFrame) -> DataFrame:
     """A hotel-feed-like text: each line one JSON array holding one object
     (the file is a concatenation of arrays). Error events carry a note
