@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from destrank.session import checkpoint_counted, ensure_checkpoint_dir
 
-CROWDED = 8
+CROWDED = 32
 STEP = 2
 MAX_LEVEL = 20
 EARTH_KM = 6371.0088

@@ -51,20 +51,23 @@ def column_sketches(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
         value = F.when(~_missing(c, f.dataType), _told(c, f.dataType))
-        size = F.octet_length(c) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(None)
-        short = F.length(value) <= SHOWN_CHARS
-        mark = F.concat(F.left(value, F.lit(SHOWN_CHARS // 2)), F.lit("... "), F.hex(F.xxhash64(value)))
-        prepared += [
-            F.when(short, value).otherwise(mark).alias(f"v{i}"), F.xxhash64(value).alias(f"h{i}"),
-            value.isNotNull().alias(f"known{i}"), size.cast("long").alias(f"n{i}"),
-        ]
+        nested = isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))
+        known = ~_missing(c, f.dataType)
+        shown = value
+        if nested or isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            mark = F.concat(F.left(value, F.lit(SHOWN_CHARS // 2)), F.lit("... "), F.hex(F.xxhash64(value)))
+            shown = F.when(F.length(value) <= SHOWN_CHARS, value).otherwise(mark)
+        size = F.octet_length(c) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else None
+        prepared += [shown.alias(f"v{i}"), F.xxhash64(value if nested else c).alias(f"h{i}"), known.alias(f"known{i}")]
+        if size is not None:
+            prepared.append(size.cast("long").alias(f"n{i}"))
         sums.append(
             F.struct(
                 F.lit(i).alias("place"), F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("n_rows"),
                 F.count_if(~F.col(f"known{i}")).alias("n_missing"),
                 F.expr(f"hll_sketch_agg(h{i}, {HLL_BITS}) FILTER (WHERE known{i})").alias("distinct_sketch"),
                 F.expr(f"approx_top_k_accumulate(v{i}, {TRACKED}) FILTER (WHERE known{i})").alias("top_sketch"),
-                F.kll_sketch_agg_bigint(f"n{i}").alias("length_sketch"),
+                F.kll_sketch_agg_bigint(F.lit(None).cast("long") if size is None else f"n{i}").alias("length_sketch"),
             )
         )
     return df.select(*prepared).agg(F.array(*sums).alias("rows")).select(F.inline("rows"))

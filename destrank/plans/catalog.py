@@ -26,6 +26,7 @@ from destrank.operators.enrich import (
     lookup_first,
     zip_positions,
 )
+from destrank.operators.fuzzy import nearest_names
 from destrank.operators.interactive import RankedLists, write_ranked_lists
 from destrank.operators.nearest import nearest_places
 from destrank.operators.profile import SHOWN_CHARS, column_sketches, profile
@@ -332,6 +333,17 @@ def q_geocode_left(spark, d):
     return lookup_first(table(spark, d, "documents").select("doc_id", "lang"), labels, "doc_id", ["quality", "toxic"], ["quality", "toxic"])
 
 
+def q_nearest_name(spark, d):
+    """S6 / J4 by free text: every part's name misspelt, looked up among the names by edits, ties by key."""
+    part = table(spark, d, "part")
+    cut = (F.col("p_partkey") % F.length("p_name") + 1).cast("int")
+    misspelt = F.concat(
+        F.upper(F.substring("p_name", F.lit(1), cut - 1)), F.substring("p_name", cut + 1, F.length("p_name")),
+        F.when(F.col("p_partkey") % 3 == 0, "x").when(F.col("p_partkey") % 7 == 0, "xyz").otherwise(""),
+    )
+    return nearest_names(part.select("p_partkey", misspelt.alias("text")), part, "text", "p_name", "p_partkey")
+
+
 def q_nearest_place(spark, d):
     """J6 by coordinates: the nearest customer of every supplier, ties by key, with the distance."""
     suppliers = standins.spread_places(table(spark, d, "supplier"), "s_suppkey", "s_acctbal", "s_nationkey")
@@ -554,6 +566,7 @@ QUERIES: dict[str, Query] = {
     "build_lookup_key": q_build_lookup_key,
     "zip_positions": q_zip_positions,
     "geocode_left": q_geocode_left,
+    "nearest_name": q_nearest_name,
     "nearest_place": q_nearest_place,
     "detail_merge": q_detail_merge,
     "dedup_by_url": q_dedup_by_url,

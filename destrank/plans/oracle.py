@@ -390,5 +390,18 @@ pairs AS (
   FROM sphere p JOIN sphere q ON p.side = 's' AND q.side = 'c')
 SELECT city, nearest, round(2 * 6371.0088::DOUBLE * asin(least(sqrt(d) / 2, 1.0)), 3) AS distance_km
 FROM pairs QUALIFY row_number() OVER (PARTITION BY city ORDER BY d, nearest) = 1
+""",
+    "nearest_name": """
+WITH t AS (
+  SELECT p_partkey, upper(p_name[1:p_partkey % length(p_name)]) || p_name[p_partkey % length(p_name) + 2:] ||
+         CASE WHEN p_partkey % 3 = 0 THEN 'x' WHEN p_partkey % 7 = 0 THEN 'xyz' ELSE '' END AS text FROM part),
+n AS (SELECT p_name AS name, min(p_partkey) AS key FROM part GROUP BY 1),
+a AS (SELECT DISTINCT trim(lower(text)) AS asked FROM t),
+best AS (
+  SELECT asked, key, levenshtein(regexp_replace(asked, ' +', ' ', 'g'), name) AS edits FROM a JOIN n ON true
+  QUALIFY row_number() OVER (PARTITION BY asked ORDER BY edits, key) = 1)
+SELECT p_partkey, text, CASE WHEN edits <= 2 THEN key END AS found,
+       CASE WHEN edits <= 2 THEN CAST(edits AS INTEGER) END AS found_edits
+FROM t JOIN best ON trim(lower(text)) = asked
 """,
 }
