@@ -18,6 +18,8 @@ that share a digest give one result each.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,9 +96,15 @@ def canonical(text: Column) -> Column:
     neighbours do not share a separator when spellings are replaced."""
     out = F.regexp_replace(F.concat(F.lit("\n"), F.lower(text)), COPYRIGHT_LINE, "\n")
     out = F.regexp_replace(F.concat(F.lit(" "), out, F.lit(" ")), SEPARATOR, "  ")
-    for written, usual in EQUIVALENT:
-        out = F.replace(out, F.lit(f" {written} "), F.lit(f" {usual} "))
-    return F.trim(out)
+    some = f" (?:{'|'.join(re.escape(written) for written, _ in EQUIVALENT)}) "
+
+    def respelled(words: Column) -> Column:
+        usually = words
+        for written, usual in EQUIVALENT:
+            usually = F.replace(usually, F.lit(f" {written} "), F.lit(f" {usual} "))
+        return F.when(words.rlike(some), usually).otherwise(words)  # one search instead of one for each spelling
+
+    return F.trim(F.get(F.transform(F.array(out), respelled), F.lit(0)))
 
 
 def canonical_digest(text: Column) -> Column:
