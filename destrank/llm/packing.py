@@ -15,7 +15,8 @@ The plan has a few rows per length whatever the number of documents. No
 document moves in step 1, and while plan and bases have at most ``PLAN_ROWS``
 rows, no piece moves later either; ``sequences`` shuffles the ids once.
 
-Defined cases: null and empty texts have the single closing id; repeated rows
+Defined cases: null and empty texts have the single closing id; the strings of
+special tokens get their ids, as the library gives them, unless asked for as text; repeated rows
 are packed each; null ids are kept; equal lengths are ranked in any order;
 an empty table gives an empty result; very long texts are tokenised in
 segments cut at white space.
@@ -60,14 +61,15 @@ def op3_vocabulary() -> str:
 class WordEncoder:
     """Token ids of a text as little-endian 32-bit words. The vocabulary drops
     white space, so words are encoded apart and remembered; at most
-    ``CACHED_WORDS`` of them, of which those not met again go first."""
+    ``CACHED_WORDS`` of them, of which those not met again go first. With
+    ``special_as_text`` the strings of special tokens are ordinary text."""
 
-    def __init__(self, vocabulary: str) -> None:
+    def __init__(self, vocabulary: str, special_as_text: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         self.known: dict[bytes, bytes] = {}
         self.earlier: dict[bytes, bytes] = {}
         mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
@@ -101,9 +103,9 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=1)
-def encoder_of(vocabulary: str) -> WordEncoder:
+def encoder_of(vocabulary: str, special_as_text: bool = False) -> WordEncoder:
     """The encoder of this worker process, kept for its next task."""
-    return WordEncoder(vocabulary)
+    return WordEncoder(vocabulary, special_as_text)
 
 
 def _segments(text: bytes) -> Iterator[bytes]:
@@ -124,11 +126,11 @@ def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, bytes]
         yield k, at // 4, len(part) // 4, part
 
 
-def _piece_rows(vocabulary: str, capacity: int, id_name: str) -> Callable:
+def _piece_rows(vocabulary: str, special_as_text: bool, capacity: int, id_name: str) -> Callable:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, ranks = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            encoder = encoder_of(vocabulary)
+            encoder = encoder_of(vocabulary, special_as_text)
             texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for at in range(0, len(texts), TEXTS_AT_ONCE):
                 index, out = [], []
@@ -173,12 +175,14 @@ def plan_best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
     return plan
 
 
-def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def pack(
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, special_as_text: bool = False
+) -> DataFrame:
     """One row per piece of every document, with its token ids, sequence and offset."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col), F.col(text).cast("string").alias("_text"))
     id_type = source.schema[0].dataType.simpleString()
-    pieces = saved(source.mapInArrow(_piece_rows(vocabulary, capacity, id_col), f"`{id_col}` {id_type}, {PIECES}"), "pieces")
+    pieces = saved(source.mapInArrow(_piece_rows(vocabulary, special_as_text, capacity, id_col), f"`{id_col}` {id_type}, {PIECES}"), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     per_length = per_task.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks")).collect()  # capacity rows at most
     counts = {r["length"]: r["n"] for r in per_length}

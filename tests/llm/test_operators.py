@@ -99,6 +99,27 @@ def test_packing_gives_the_sequences(spark, docs):
         assert np.frombuffer(r.ids, "<u4").tolist() == want == laid[r.sequence_id][r.offset : r.offset + r.length].tolist()
 
 
+@pytest.mark.parametrize("as_text", [False, True])
+def test_special_strings_and_segments(monkeypatch, as_text):
+    vocabulary = P.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary)
+    plain.encode_special_tokens = as_text
+    monkeypatch.setattr(packing, "SEGMENT_BYTES", 40)
+    texts = ["a<|endoftext|>b", " é,.<|endoftext|>", "<|startoftext|> x <|ENDOFTEXT|>", "<|endoftext", "y" * 500, LONG[:5000], "\x00 z\x00", "", "one\ntwo " * 30]
+    encoder = packing.WordEncoder(vocabulary, as_text)
+    for _ in range(2):  # new words, then known ones
+        for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+            assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_packing_beside_columns_of_its_names(spark):
+    rows = spark.createDataFrame([(7, "<|endoftext|>", 1, 2), (7, None, 1, 2), (None, "x", 1, 2)], "piece long, text string, length int, task int")
+    out = packing.pack(rows.withColumnRenamed("piece", "doc"), P.path("word_bpe_49k.json"), id_col="doc")
+    assert {(r.doc, r.length) for r in out.collect()} == {(7, 2), (7, 1), (None, 2)}
+
+
 def test_best_fit_plan_matches_item_by_item():
     rng = np.random.default_rng(0)
     for _ in range(50):
