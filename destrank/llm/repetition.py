@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 from .common import ASCII_SPACE, WORD, fresh_name, table
 
 #: n-gram length -> largest share of word characters in repeated n-grams that is kept.
-#: Wide enough for a short clean text that quotes one of its lines twice.
-NGRAM_LIMITS = {5: 0.30, 6: 0.29, 7: 0.28, 8: 0.27, 9: 0.26, 10: 0.25}
+NGRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Largest share of word characters in repeated lines that is kept.
-LINE_LIMIT = 0.30
+LINE_LIMIT = 0.10
+#: Repeated characters that any text may have before the limits count: one long
+#: line said again, which is a large share of a short clean text.
+ALLOWED_CHARS = 200
 SYMBOLS = "#*$%&|<>"
 
 MEASURES = (
@@ -127,12 +129,18 @@ def base_failed(m: Column) -> Column:
     return (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
 
 
-def kept_by_coverage(m: Column, limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT) -> Column:
-    """The method's verdict: no coverage above its limit."""
-    chars = m["word_chars"]
-    kept = m["dup_line_chars"] <= line_limit * chars
+def kept_by_coverage(
+    m: Column, limits: dict[int, float] = NGRAM_LIMITS, line_limit: float = LINE_LIMIT, allowed: int = ALLOWED_CHARS
+) -> Column:
+    """The method's verdict: no coverage beyond the ``allowed`` characters is
+    above its limit. ``limits`` has the lengths that were measured."""
+
+    def within(repeated: Column, limit: float) -> Column:
+        return repeated - allowed <= limit * m["word_chars"]
+
+    kept = within(m["dup_line_chars"], line_limit)
     for i, (_, limit) in enumerate(sorted(limits.items())):
-        kept = kept & (m["dup_ngram_chars"][i] <= limit * chars)
+        kept = kept & within(m["dup_ngram_chars"][i], limit)
     return kept
 
 

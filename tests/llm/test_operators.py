@@ -46,6 +46,34 @@ def test_repetition_counts(spark, docs):
     assert repetition.quality_rules(empty(docs)).count() == 0
 
 
+def test_repetition_verdict(spark):
+    """Repeats that the base rule keeps: a passage or a few lines said again in a text of some length."""
+    rng = np.random.default_rng(2)
+
+    def prose(n):
+        return " ".join("".join(rng.choice(list("abcdefghij"), 6)) for _ in range(n))
+
+    passage, lines = prose(120), [prose(9) for _ in range(12)]
+    texts = {
+        "clean": prose(400),
+        "one line again": f"{lines[0]}\n{prose(60)}\n{lines[0]}",
+        "short quote": f"{prose(300)}\n{lines[1]}\n{prose(100)}\n{lines[1]}",
+        "passage again": f"{passage} {prose(300)} {passage}",
+        "lines again": "\n".join([*lines, prose(250), *lines]),
+    }
+    df = spark.createDataFrame(list(texts.items()), "name string, text string")
+    m = F.col("m")
+    got = df.select("name", repetition.repetition_measures(F.col("text")).alias("m")).select(
+        "name", repetition.base_failed(m).alias("base"), repetition.kept_by_coverage(m).alias("kept"), m["n_symbols"].alias("s"),
+        m["dup_line_chars"].alias("lines"),
+    )
+    rows = {r.name: r for r in got.collect()}
+    assert not any(r.base for r in rows.values())
+    assert {n for n, r in rows.items() if r.kept} == {"clean", "one line again", "short quote"}
+    assert rows["lines again"].lines == sum(len(x.replace(" ", "")) for x in lines) and rows["clean"].lines == 0
+    assert {r.name for r in repetition.quality_rules(df).collect()} == {"clean", "one line again", "short quote"}
+
+
 def test_rolling_coverage_is_exact():
     rng = np.random.default_rng(1)
     words = [f"w{i}" for i in rng.integers(0, 6, 300)]
