@@ -2,12 +2,19 @@
 
 A plain ``spark.read.jdbc(url, table)`` reads through one connection in
 one task. Given a numeric column and its bounds the read is split into
-``num_partitions`` range queries instead, each run by its own task.
+``num_partitions`` range queries instead, each run by its own task. Bounds of
+any key, text too, are found from a table of keys (``key_cuts``) and made into
+one predicate a task (``range_predicates``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import date
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def jdbc_read_options(
@@ -61,6 +68,44 @@ def modulo_predicates(int_expression: str, num_partitions: int) -> list[str]:
     return clauses
 
 
+def _sql_value(value: object) -> str:
+    if isinstance(value, bool) or not isinstance(value, (int, float, Decimal, str, date)):
+        raise ValueError(f"no bound can be made of {value!r}")
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def key_cuts(keys: DataFrame, column: str, num_partitions: int) -> list:
+    """Ascending bounds between ranges of about equally many rows of ``keys``.
+
+    ``keys`` is any table with the key column, such as the last load or a read
+    of that column alone; the bounds are Spark's range bounds, from a sample,
+    and only one value a range reaches the driver. Equal keys share a range, so
+    there are fewer bounds when there are few keys."""
+    if num_partitions < 1:
+        raise ValueError("num_partitions must be positive")
+    ranged = keys.select(F.col(column).alias("k")).where(F.col("k").isNotNull()).repartitionByRange(num_partitions, "k")
+    least = ranged.groupBy(F.spark_partition_id().alias("part")).agg(F.min("k").alias("k"))
+    return sorted(r.k for r in least.collect())[1:]
+
+
+def range_predicates(expression: str, cuts: Sequence) -> list[str]:
+    """Disjoint WHERE clauses covering every row: one for each range between
+    the ascending ``cuts``, the first also for NULL.
+
+    ``expression`` is the key as the database evaluates it; text needs the order
+    that Spark has, that of its bytes, e.g. ``city COLLATE "C"`` on PostgreSQL."""
+    bounds = [_sql_value(c) for c in cuts]
+    clauses = []
+    for low, high in zip([None, *bounds], [*bounds, None]):
+        own = [f"{expression} >= {low}"] * (low is not None) + [f"{expression} < {high}"] * (high is not None)
+        clauses.append(" AND ".join(own) or "1 = 1")
+    if bounds:
+        clauses[0] = f"({clauses[0]} OR {expression} IS NULL)"
+    return clauses
+
+
 def read_jdbc_predicates(
     spark: SparkSession,
     url: str,

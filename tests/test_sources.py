@@ -105,3 +105,28 @@ def test_modulo_predicates_cover_every_row():
     assert "IS NULL" in preds[0]
     with pytest.raises(ValueError):
         modulo_predicates("x", 0)
+
+
+def test_key_ranges_cover_every_row_once(spark):
+    """Predicates of found bounds, tried on a table: each row in one range, ranges of like size."""
+    from destrank.sources.jdbc import key_cuts, range_predicates
+
+    df = spark.range(4000).selectExpr(
+        "id", "CASE WHEN id % 9 = 0 THEN NULL ELSE concat(\"o'\", cast((id * 7919) % 4001 AS string)) END AS name",
+        "cast(id % 3 AS decimal(5,2)) AS few", "date_add(date'2024-01-01', cast(id % 100 AS int)) AS day",
+    )
+    for column, parts in (("id", 8), ("name", 8), ("few", 8), ("day", 5), ("id", 1)):
+        cuts = key_cuts(df, column, parts)
+        clauses = range_predicates(column, cuts)
+        assert cuts == sorted(set(cuts)) and len(clauses) == len(cuts) + 1 <= parts
+        sizes = [df.where(c).count() for c in clauses]
+        assert sum(sizes) == 4000 and df.where(" + ".join(f"int(coalesce({c}, false))" for c in clauses) + " <> 1").count() == 0
+        if column in ("id", "day"):
+            assert max(sizes) <= 2 * 4000 / len(clauses)
+        else:
+            assert min(sizes) > 0
+    assert key_cuts(df.limit(0), "id", 4) == [] and range_predicates("id", []) == ["1 = 1"]
+    with pytest.raises(ValueError):
+        range_predicates("x", [b"bytes"])
+    with pytest.raises(ValueError):
+        key_cuts(df, "id", 0)
