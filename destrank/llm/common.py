@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +29,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_in_worker(name: str, made_of: tuple, make: Callable[[], object]) -> object:
+    """``make()``, kept by the worker process for its next task while it is
+    asked for with the same ``made_of``. Task code is shipped by value, so its
+    own globals would not last."""
+    store = vars(sys.modules.setdefault("_kept_by_tasks", ModuleType("_kept_by_tasks")))
+    if name not in store or store[name][0] != made_of:
+        store[name] = (made_of, make())
+    return store[name][1]
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores added until no column has it
     (column names are compared without case, as Spark does)."""

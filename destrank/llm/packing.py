@@ -28,7 +28,6 @@ import os
 import re
 from collections import Counter, deque
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -37,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import kept_in_worker, saved, table
 
 CAPACITY = 2048
 CLOSING = (0).to_bytes(4, "little")
@@ -102,10 +101,9 @@ class WordEncoder:
                 self.known[word] = octets[4 * start : 4 * end]
 
 
-@lru_cache(maxsize=1)
 def encoder_of(vocabulary: str, special_as_text: bool = False) -> WordEncoder:
     """The encoder of this worker process, kept for its next task."""
-    return WordEncoder(vocabulary, special_as_text)
+    return kept_in_worker("word encoder", (vocabulary, special_as_text), lambda: WordEncoder(vocabulary, special_as_text))
 
 
 def _segments(text: bytes) -> Iterator[bytes]:

@@ -31,7 +31,6 @@ id like others; other columns are passed on; an empty table gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -119,7 +118,6 @@ def z_function(s: list) -> list[int]:
     return z
 
 
-@lru_cache(maxsize=1 << 16)
 def prime_factors(n: int) -> tuple[int, ...]:
     out, p = [], 2
     while p * p <= n:

@@ -30,7 +30,6 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -38,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_name, table
+from .common import fresh_name, kept_in_worker, table
 
 #: Tokens a document of the query may have before it is over the limit.
 TOKEN_LIMIT = 1024
@@ -214,10 +213,9 @@ class PrefixCounter:
         return np.concatenate([*parts, self._ordinary(text[at:]) + np.int32(base)])
 
 
-@lru_cache(maxsize=1)
 def counter_of(vocabulary: str) -> PrefixCounter:
     """The counter of this worker process, kept for its next task."""
-    return PrefixCounter(vocabulary)
+    return kept_in_worker("token counter", (vocabulary,), lambda: PrefixCounter(vocabulary))
 
 
 def _counting(vocabulary: str, text: str, columns: list[str]) -> Callable:

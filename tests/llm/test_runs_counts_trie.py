@@ -229,3 +229,24 @@ def test_trie_of_any_conversations(spark):
     assert ends.agg(F.sum(F.size("ids"))).first()[0] == len({r[0] for r in rows} - {None})
     empty, _ = prefix_trie.prefix_trie(prefix_trie.placed(prefix_trie.light_turns(turns.limit(0))))
     assert empty.count() == 0
+
+
+def test_tasks_need_no_package(spark):
+    """Task code is shipped by value: what it refers to must not be looked up in the package by name."""
+    from pyspark import cloudpickle
+
+    from destrank.llm import packing
+
+    shipped = [
+        periodic_runs.exploded, periodic_runs.solved, periodic_runs._collapsed, prefix_trie.summaries, prefix_trie.running,
+        prefix_trie.prefixes, prefix_trie.end_parts, prefix_trie.joined_digests, token_counts._counting("v", "text", []),
+        packing._piece_rows("v", False, 64, "id"),
+    ]
+    code = "import sys, pickle\nfor b in pickle.load(sys.stdin.buffer): pickle.loads(b)\nassert 'destrank' not in sys.modules"
+    import pickle
+    import subprocess
+    import sys
+
+    told = pickle.dumps([cloudpickle.dumps(f) for f in shipped])
+    done = subprocess.run([sys.executable, "-c", code], input=told, capture_output=True, cwd="/")
+    assert done.returncode == 0, done.stderr.decode()
