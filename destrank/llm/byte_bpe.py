@@ -2,16 +2,22 @@
 
 Only the distinct words of the corpus are encoded: Spark higher-order
 functions fold the ranked merges over each word's bytes, looking ranks up in a
-literal map. (Spark searches a map from its start, so the literal is an array
-of small maps, addressed by checksum.) Words of more than ``FOLD_BYTES`` bytes
-go through a heap instead, whose work does not grow with the square of the
+literal map and keeping the neighbours' ranks, of which a merge changes two.
+(Spark searches a map from its start, so the literal is an array of small
+maps, addressed by checksum.) Words of more than ``FOLD_BYTES`` bytes go
+through a heap instead, whose work does not grow with the square of the
 length. Bytes are written as hexadecimal pairs while they are merged.
 
-Documents are then put together from their words' ids (``encode``), and
-decoded by concatenating the ids' binary pieces (``decode``). The table of distinct words is counted:
-up to ``BROADCAST_BYTES`` it is broadcast as sorted arrays and no document
-moves; beyond it, the documents' words are joined to it by shuffle and gathered
-per distinct text. Both ways give the same rows and both are tested.
+1. Tasks cut documents into blocks of about ``BLOCK_WORDS`` different words (at
+   least one document) and write each document as its words' numbers in the
+   block: texts are read once.
+2. Spark groups the blocks' words by word, so that each is folded once, with
+   the places (block, number) that ask for it. A word asks once a block; a word
+   of very many blocks is split by blocks (``PLACES``).
+3. The ids go back to their blocks, packed, and documents are put together
+   there (``encode``). ``decode`` concatenates the ids' binary pieces.
+
+Nothing but the vocabulary is broadcast and only a count reaches the driver.
 
 Words are found by the pattern, in pieces of text cut at single spaces, where
 the pattern always cuts too. Defined cases: null and empty texts have no
@@ -25,20 +31,30 @@ import base64
 import heapq
 import json
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table, text_key
+from .common import saved, table
 
 FOLD_BYTES = 64
 RANK_MAPS = 1 << 14
-BROADCAST_BYTES = 256 << 20
-CACHED_PIECES = 300_000
-ROWS_AT_ONCE = 1000
+#: A block ends with the document that brings it to so many different words, or words.
+BLOCK_WORDS = 60_000
+BLOCK_TOKENS = 1_000_000
+#: Blocks that ask for a word in one row.
+PLACES = 50_000
+#: Places packed at once in a task.
+PACKED_PLACES = 1_000_000
+#: A place is a long: task, block of the task, number in the block.
+BLOCK_BITS, NUMBER_BITS = 15, 28
 _SPACES = "\t\n\x0b\x0c\r\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
@@ -81,30 +97,35 @@ def fold_merges(word: Column, ranks: Column, maps: int = RANK_MAPS) -> Column:
         cell = F.get(ranks, (F.crc32(token.cast("binary")) % F.lit(maps)).cast("int"))
         return F.try_element_at(cell, token)
 
-    def joined(parts: Column, i: Column) -> Column:
-        return F.concat(F.get(parts, i), F.get(parts, i + 1))
+    def apply(state: Column, at: Column) -> Column:  # at, from 1: the left one's place
+        parts, known = state["parts"], state["ranks"]
+        merged = F.concat(F.get(parts, at - 1), F.get(parts, at))
+        beside = F.array(found(F.concat(F.get(parts, at - 2), merged)), found(F.concat(merged, F.get(parts, at + 1))))
+        return F.struct(
+            F.concat(F.slice(parts, 1, at - 1), F.array(merged), F.slice(parts, at + 2, F.size(parts))).alias("parts"),
+            F.concat(F.slice(known, 1, at - 2), beside, F.slice(known, at + 2, F.size(known))).alias("ranks"),
+        )
+
+    def found(token: Column) -> Column:
+        return F.coalesce(rank(token), F.lit(none))
 
     def merge(state: Column, _: Column) -> Column:
-        parts = state["parts"]
-        found = F.transform(F.sequence(F.lit(0), F.size(parts) - 2), lambda i: rank(joined(parts, i)))
-
-        def apply(r: Column) -> Column:
-            at = F.array_position(r, F.array_min(r)).cast("int")  # from 1
-            merged = F.concat(
-                F.slice(parts, 1, at - 1), F.array(joined(parts, at - 1)), F.slice(parts, at + 2, F.size(parts))
-            )
-            return F.when(F.array_min(r).isNull(), F.struct(parts.alias("parts"), F.lit(True).alias("done"))).otherwise(
-                F.struct(merged.alias("parts"), (F.size(merged) < 2).alias("done"))
-            )
-
-        return F.when(state["done"], state).otherwise(F.get(F.transform(F.array(found), apply), F.lit(0)))
-
-    octets = F.regexp_extract_all(F.lower(F.hex(word)), F.lit("(..)"), 1)
-    start = F.struct(octets.alias("parts"), (F.size(octets) < 2).alias("done"))
+        least = F.array_min(state["ranks"])
+        at = F.array_position(state["ranks"], least).cast("int")
+        return F.when(least == none, state).otherwise(F.get(F.transform(F.array(at), lambda i: apply(state, i)), F.lit(0)))
+
+    none, end = 2**31 - 1, F.array(F.lit("-"))  # no token has the end mark
+    octets = F.concat(end, F.regexp_extract_all(F.lower(F.hex(word)), F.lit("(..)"), 1), end)
+
+    def start(parts: Column) -> Column:
+        pairs = F.sequence(F.lit(0), F.size(parts) - 2)
+        ranked = F.transform(pairs, lambda i: found(F.concat(F.get(parts, i), F.get(parts, i + 1))))
+        return F.struct(parts.alias("parts"), ranked.alias("ranks"))
+
     rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word), F.lit(1)))
-    folded = F.aggregate(rounds, start, merge)["parts"]
+    folded = F.aggregate(rounds, F.get(F.transform(F.array(octets), start), F.lit(0)), merge)["parts"]
     whole = rank(F.lower(F.hex(word)))
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(folded, rank))
+    return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(F.slice(folded, 2, F.size(folded) - 2), rank))
 
 
 def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -132,131 +153,170 @@ def heap_merges(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(n) if alive[i]]
 
 
-def _distinct_rows(pattern: str) -> Callable:
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import regex
-
-        find, told = regex.compile(pattern).findall, set()
-        for batch in batches:
-            texts = batch["text"].tolist()
-            for at in range(0, len(texts), ROWS_AT_ONCE):
-                pieces = {p for t in texts[at : at + ROWS_AT_ONCE] for p in pieces_of(t or "")} - told
-                words = list({w for p in pieces for w in find(p)})
-                if words:
-                    yield pd.DataFrame({"word": words})
-                told = pieces if len(told) > CACHED_PIECES else told | pieces
-
-    return rows
-
-
-def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids) of distinct non-empty words."""
-    short = F.octet_length("word") <= FOLD_BYTES
-
-    @F.pandas_udf("array<int>")
-    def heaped(word: pd.Series) -> pd.Series:
-        return word.map(lambda w: heap_merges(w.encode(), ranks))
+class _Numbers(dict):
+    """Pieces of text -> their words' numbers in the block, as 32-bit words."""
 
-    folded = words.filter(short).select("word", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids"))
-    return folded.unionByName(words.filter(~short).select("word", heaped("word").alias("ids")))
+    def __init__(self, find: Callable[[str], list[str]]) -> None:
+        self.find, self.words = find, {}
 
+    def __missing__(self, piece: str) -> bytes:
+        words = self.words
+        value = self[piece] = array("I", [words.setdefault(w, len(words)) for w in self.find(piece)]).tobytes()
+        return value
 
-def _word_hash(word: str) -> int:
-    import xxhash
 
-    return xxhash.xxh64_intdigest(word.encode())
+def _packed(values: np.ndarray, most: int) -> bytes:
+    return zlib.compress(values.astype("<u2" if most <= 1 << 16 else "<u4").tobytes(), 1)
 
 
-def _packed_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        hashes = np.fromiter(map(_word_hash, batch["word"]), np.uint64, len(batch))
-        sizes = batch["ids"].map(len).to_numpy(np.uint32)
-        ids = np.concatenate([*batch["ids"], np.zeros(0, np.int32)]).astype(np.uint32)
-        yield pd.DataFrame([(hashes.tobytes(), sizes.tobytes(), ids.tobytes())], columns=["hashes", "sizes", "ids"])
-
+def _unpacked(data: bytes, most: int) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<u2" if most <= 1 << 16 else "<u4")
 
-class WordTable:
-    """Distinct words' ids as arrays sorted by word hash. All words that are
-    looked up are in the table, so distinct hashes make the lookup exact."""
 
-    def __init__(self, packed: pd.DataFrame) -> None:
-        def column(name: str, kind: type) -> np.ndarray:
-            return np.frombuffer(b"".join(packed[name]), kind)
+def _block_schema(id_type: pa.DataType) -> pa.Schema:
+    kinds = {"block": pa.int64(), "ids": pa.list_(id_type), "sizes": pa.list_(pa.int64()), "numbers": pa.binary(), "words": pa.list_(pa.string())}
+    return pa.schema([*kinds.items(), ("at", pa.list_(pa.int32())), ("heaped", pa.list_(pa.binary()))])
 
-        hashes, sizes, ids = column("hashes", np.uint64), column("sizes", np.uint32), column("ids", np.uint32)
-        order = np.argsort(hashes)
-        starts = np.cumsum(sizes, dtype=np.int64) - sizes
-        self.hashes, self.starts, self.sizes, self.ids = hashes[order], starts[order], sizes[order], ids
-        self.exact = bool((self.hashes[1:] != self.hashes[:-1]).all())
 
-    def ids_of(self, words: list[str]) -> list[np.ndarray]:
-        at = np.searchsorted(self.hashes, np.fromiter(map(_word_hash, words), np.uint64, len(words)))
-        return [self.ids[s : s + n] for s, n in zip(self.starts[at], self.sizes[at])]
+def _block_rows(pattern: str, ranks: Broadcast, block_words: int) -> Callable:
+    """A row per block: its documents' ids, sizes in words and word numbers, and
+    its words by number; null for long ones, whose token ids are given."""
 
-
-def _assembled_rows(shared, pattern: str, id_name: str) -> Callable:
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find, known = regex.compile(pattern).findall, {}
-        words_table = shared.value
+        find = regex.compile(pattern).findall
+        block = TaskContext.get().partitionId() << BLOCK_BITS
+        known, ids, found, size = _Numbers(find), [], [], 0
+
+        def written() -> pa.RecordBatch:
+            words, at, heaped = list(known.words), [], []
+            for i, word in enumerate(words):
+                if 4 * len(word) > FOLD_BYTES and len(octets := word.encode()) > FOLD_BYTES:
+                    words[i] = None
+                    at.append(i)
+                    heaped.append(np.array(heap_merges(octets, ranks.value), "<u4").tobytes())
+            numbers = _packed(np.frombuffer(b"".join(found), "<u4"), len(words))
+            of_docs = pa.concat_arrays(ids)
+            lists = pa.ListArray.from_arrays(pa.array([0, len(of_docs)], pa.int32()), of_docs)
+            sizes = [len(f) // 4 for f in found]
+            schema = _block_schema(of_docs.type)
+            columns = [[block], lists, [sizes], [numbers], [words], [at], [heaped]]
+            return pa.RecordBatch.from_arrays([c if c is lists else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
         for batch in batches:
-            texts = batch["text"].tolist()
-            for at in range(0, len(texts), ROWS_AT_ONCE):
-                cut = [pieces_of(t or "") for t in texts[at : at + ROWS_AT_ONCE]]
-                if len(known) > CACHED_PIECES:
-                    known.clear()
-                new = list({p for parts in cut for p in parts if p not in known})
-                found = [find(p) for p in new]
-                ids = iter(words_table.ids_of([w for ws in found for w in ws]))
-                for p, ws in zip(new, found):
-                    known[p] = b"".join([next(ids).tobytes() for _ in ws])
-                out = [b"".join([known[p] for p in parts]) for parts in cut]
-                yield pd.DataFrame({id_name: batch[id_name].array[at : at + ROWS_AT_ONCE], "ids": out})
+            start = 0
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                found.append(b"".join(map(known.__getitem__, pieces_of(text or ""))))
+                size += len(found[-1])
+                if len(known.words) >= block_words or size >= 4 * BLOCK_TOKENS:
+                    ids.append(batch.column(0).slice(start, i + 1 - start))
+                    yield written()
+                    block, start = block + 1, i + 1
+                    known, ids, found, size = _Numbers(find), [], [], 0
+            if start < len(batch):
+                ids.append(batch.column(0).slice(start))
+        if found:
+            yield written()
 
     return rows
 
 
-def _joined_ids(docs: DataFrame, encoded: DataFrame, pattern: str) -> DataFrame:
-    """(key, ids) per distinct text, with the words joined by shuffle."""
-
-    @F.pandas_udf("array<string>")
-    def words_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import regex
-
-        find = regex.compile(pattern).findall
-        for texts in batches:
-            yield texts.map(lambda t: [w for p in pieces_of(t) for w in find(p)])
-
-    @F.pandas_udf("binary")
-    def octets(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: np.asarray(x, "<u4").tobytes())
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of the stretches (start, size), one stretch after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    return values, pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+_PACKED = "block long, at binary, sizes binary, ids binary"
+
+
+def _packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of words (places, ids), packed by block."""
+
+    def written(held: list[tuple]) -> pa.RecordBatch:
+        places, words, sizes, ids = [], [], [], []
+        n = 0
+        for place, of_word, tokens, of_ids in held:
+            places.append(place)
+            words.append(np.repeat(np.arange(n, n + len(of_word)), of_word))
+            sizes.append(of_ids)
+            ids.append(tokens)
+            n += len(of_word)
+        place, word, size, token = (np.concatenate(c) for c in (places, words, sizes, ids))
+        start = np.cumsum(size) - size
+        order = np.argsort(place)
+        place, word = place[order], word[order]
+        block = place >> NUMBER_BITS
+        cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1], [True]]))
+        out = []
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            some = word[a:b]
+            at = (place[a:b] & ((1 << NUMBER_BITS) - 1)).astype("<u4")
+            got = token[_spread(start[some], size[some])].astype("<u4")
+            out.append((int(block[a]), at.tobytes(), size[some].astype("<u4").tobytes(), got.tobytes()))
+        columns = [pa.array(c, pa.binary() if i else pa.int64()) for i, c in enumerate(zip(*out))]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _PACKED.split(", ")])
+
+    held, n = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append((*_lists(batch.column(0)), *_lists(batch.column(1))))
+            n += len(held[-1][0])
+        if n >= PACKED_PLACES:
+            yield written(held)
+            held, n = [], 0
+    if held:
+        yield written(held)
+
+
+def _assembled(id_name: str) -> Callable:
+    """(id, ids) of a block's documents from its packed words and its row."""
+
+    def rows(packed: pa.Table, block: pa.Table) -> pa.Table:
+        row = {c: block.column(c).combine_chunks() for c in block.column_names}
+        n = pc.list_value_length(row["words"])[0].as_py()
+        heaped = row["heaped"][0].as_py()
+        at, sizes, ids = (np.frombuffer(b"".join(packed.column(c).to_pylist()), "<u4") for c in ("at", "sizes", "ids"))
+        at = np.concatenate([at, np.array(row["at"][0].as_py(), "<u4")])
+        sizes = np.concatenate([sizes, np.array([len(h) // 4 for h in heaped], "<u4")]).astype(np.int64)
+        ids = np.concatenate([ids, np.frombuffer(b"".join(heaped), "<u4")])
+        start, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        start[at], size[at] = np.cumsum(sizes) - sizes, sizes
+        numbers = _unpacked(row["numbers"][0].as_py(), n)
+        out = ids[_spread(start[numbers], size[numbers])]
+        before = np.concatenate([[0], np.cumsum(size[numbers])])
+        ends = np.cumsum(row["sizes"].flatten().to_numpy())
+        offsets = (4 * before[np.concatenate([[0], ends])]).astype(np.int32)
+        octets = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
+        return pa.table([row["ids"].flatten(), octets], names=[id_name, "ids"])
 
-    words = docs.select("key", "text").dropDuplicates(["key"]).select("key", F.posexplode_outer(words_of("text")).alias("pos", "word"))
-    found = words.join(encoded, "word", "left").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("pos", "ids"))).alias("w"))
-    ids = F.flatten(F.transform("w", lambda x: F.coalesce(x["ids"], F.array().cast("array<int>"))))
-    return found.select("key", octets(ids).alias("ids"))
+    return rows
 
 
 def encode(
-    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text: str = "text", block_words: int = BLOCK_WORDS, places: int = PLACES
 ) -> DataFrame:
     """(id, ids) of every document: its token ids as little-endian 32-bit words."""
-    sc = docs.sparkSession.sparkContext
     ranks = read_ranks(vocabulary)
-    source = docs.select(F.col(id_col), F.col(text).cast("string").alias("text"))
-    words = source.select("text").mapInPandas(_distinct_rows(pattern), "word string").distinct()
-    encoded = saved(encode_words(words, ranks), "words")
-    n, m = encoded.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("ids")), F.lit(0))).head()
-    if 20 * n + 4 * m <= broadcast_bytes:
-        packed = encoded.mapInPandas(_packed_rows, "hashes binary, sizes binary, ids binary").toArrow().to_pandas()
-        arrays = WordTable(packed)
-        if arrays.exact:
-            shared = sc.broadcast(arrays)
-            id_type = source.schema[0].dataType.simpleString()
-            return source.mapInPandas(_assembled_rows(shared, pattern, id_col), f"`{id_col}` {id_type}, ids binary")
-    source = source.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("key", text_key(F.col("text")))
-    return source.join(_joined_ids(source, encoded, pattern), "key").select(F.col(id_col), "ids")
+    source = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
+    id_type = source.schema[0].dataType.simpleString()
+    kinds = f"block long, ids array<{id_type}>, sizes array<long>, numbers binary, words array<string>, at array<int>, heaped array<binary>"
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary: a fixed size
+    blocks = saved(source.mapInArrow(_block_rows(pattern, shared, block_words), kinds), "blocks")
+    split = F.pmod(F.xxhash64("block"), F.lit(blocks.count() // places + 1)).alias("split")
+    words = blocks.select("block", F.posexplode("words").alias("number", "word")).filter("word IS NOT NULL")
+    place = F.shiftleft("block", NUMBER_BITS).bitwiseOR(F.col("number").cast("long")).alias("place")
+    # Spread before grouping: a word comes once a block, so there is little to combine earlier.
+    words = words.select("word", split, place).repartition("word", "split").groupBy("word", "split").agg(F.collect_list("place").alias("places"))
+    folded = words.select("places", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids"))
+    packed = folded.mapInArrow(_packed_rows, _PACKED)
+    return packed.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(_assembled(id_col), f"`{id_col}` {id_type}, ids binary")
 
 
 def decode(spark: SparkSession, ids: Column, vocabulary: str) -> Column:
@@ -277,10 +337,10 @@ def decode(spark: SparkSession, ids: Column, vocabulary: str) -> Column:
 
 
 def encode_documents(
-    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST_BYTES
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text: str = "text", block_words: int = BLOCK_WORDS, places: int = PLACES
 ) -> DataFrame:
     """(id, ids, n_tokens, ids_sha256, decoded_sha256) of every document."""
-    got = encode(docs, vocabulary, pattern, id_col, text, broadcast_bytes)
+    got = encode(docs, vocabulary, pattern, id_col, text, block_words, places)
     decoded = decode(docs.sparkSession, F.col("ids"), vocabulary)
     return got.select(
         F.col(id_col), "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

@@ -171,8 +171,8 @@ def test_byte_bpe_both_ways(spark, docs):
     plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     more = spark.createDataFrame([(100, "x" * 70 + "ab" * 40 + "  \n  end ")], "doc_id long, text string")
     table = docs.select("doc_id", "text").unionByName(more)
-    for limit in (byte_bpe.BROADCAST_BYTES, 0):
-        got = byte_bpe.encode_documents(table, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, broadcast_bytes=limit).collect()
+    for words, places in ((byte_bpe.BLOCK_WORDS, byte_bpe.PLACES), (300, 2)):
+        got = byte_bpe.encode_documents(table, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, block_words=words, places=places).collect()
         texts = {r.doc_id: r.text or "" for r in table.collect()}
         assert len(got) == table.count()
         for r in got:
@@ -183,14 +183,23 @@ def test_byte_bpe_both_ways(spark, docs):
     assert byte_bpe.heap_merges(word.encode(), ranks) == plain.encode_ordinary(word)
 
 
+def test_byte_bpe_of_nothing_nulls_and_repeats(spark, docs):
+    vocabulary = P.path("byte_bpe_50k.tiktoken")
+    schema = "block string, ids int, doc_id long, text string"
+    assert byte_bpe.encode_documents(empty(docs), vocabulary, P.PATTERN).count() == 0
+    rows = [("x", 1, None, "a b"), ("x", 1, None, "a b"), (None, None, 2, None), (None, None, 3, "")]
+    got = byte_bpe.encode(spark.createDataFrame(rows, schema), vocabulary, P.PATTERN).collect()
+    assert sorted((r.doc_id or 0, len(r.ids)) for r in got) == [(0, 8), (0, 8), (2, 0), (3, 0)]
+
+
 def test_byte_bpe_gives_ids_and_decodes_them(spark, docs):
     import tiktoken
 
     vocabulary = P.path("byte_bpe_50k.tiktoken")
     plain = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=byte_bpe.read_ranks(vocabulary), special_tokens={})
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    for limit in (byte_bpe.BROADCAST_BYTES, 0):
-        got = byte_bpe.encode(docs, vocabulary, P.PATTERN, broadcast_bytes=limit)
+    for words, places in ((byte_bpe.BLOCK_WORDS, byte_bpe.PLACES), (300, 2)):
+        got = byte_bpe.encode(docs, vocabulary, P.PATTERN, block_words=words, places=places)
         rows = got.withColumn("decoded", byte_bpe.decode(spark, F.col("ids"), vocabulary)).collect()
         assert len(rows) == docs.count()
         for r in rows:
