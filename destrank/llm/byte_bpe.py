@@ -47,12 +47,14 @@ from .common import saved, table
 FOLD_BYTES = 64
 RANK_MAPS = 1 << 14
 #: A block ends with the document that brings it to so many different words, or words.
-BLOCK_WORDS = 60_000
-BLOCK_TOKENS = 1_000_000
+BLOCK_WORDS = 400_000
+BLOCK_TOKENS = 4_000_000
 #: Blocks that ask for a word in one row.
 PLACES = 50_000
 #: Places packed at once in a task.
-PACKED_PLACES = 1_000_000
+PACKED_PLACES = 500_000
+#: Words of a block that are looked up at once.
+ASSEMBLED_WORDS = 500_000
 #: A place is a long: task, block of the task, number in the block.
 BLOCK_BITS, NUMBER_BITS = 15, 28
 _SPACES = "\t\n\x0b\x0c\r\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -89,6 +91,11 @@ def rank_literal(ranks: dict[bytes, int], maps: int = RANK_MAPS) -> Column:
     return F.from_json(F.lit(json.dumps(cells)), "array<map<string,int>>")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row."""
+    return F.aggregate(F.array(F.lit(0)), value, lambda v, _: v, use)
+
+
 def fold_merges(word: Column, ranks: Column, maps: int = RANK_MAPS) -> Column:
     """Token ids of one non-empty word: merges the neighbours of least rank,
     leftmost first, until no neighbours have a rank."""
@@ -110,9 +117,8 @@ def fold_merges(word: Column, ranks: Column, maps: int = RANK_MAPS) -> Column:
         return F.coalesce(rank(token), F.lit(none))
 
     def merge(state: Column, _: Column) -> Column:
-        least = F.array_min(state["ranks"])
-        at = F.array_position(state["ranks"], least).cast("int")
-        return F.when(least == none, state).otherwise(F.get(F.transform(F.array(at), lambda i: apply(state, i)), F.lit(0)))
+        at = F.array_position(state["ranks"], F.array_min(state["ranks"])).cast("int")
+        return F.when(F.array_min(state["ranks"]) == none, state).otherwise(_bound(at, lambda i: apply(state, i)))
 
     none, end = 2**31 - 1, F.array(F.lit("-"))  # no token has the end mark
     octets = F.concat(end, F.regexp_extract_all(F.lower(F.hex(word)), F.lit("(..)"), 1), end)
@@ -123,7 +129,7 @@ def fold_merges(word: Column, ranks: Column, maps: int = RANK_MAPS) -> Column:
         return F.struct(parts.alias("parts"), ranked.alias("ranks"))
 
     rounds = F.sequence(F.lit(1), F.greatest(F.octet_length(word), F.lit(1)))
-    folded = F.aggregate(rounds, F.get(F.transform(F.array(octets), start), F.lit(0)), merge)["parts"]
+    folded = F.aggregate(rounds, _bound(octets, start), merge)["parts"]
     whole = rank(F.lower(F.hex(word)))
     return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.transform(F.slice(folded, 2, F.size(folded) - 2), rank))
 
@@ -174,7 +180,7 @@ def _unpacked(data: bytes, most: int) -> np.ndarray:
 
 
 def _block_schema(id_type: pa.DataType) -> pa.Schema:
-    kinds = {"block": pa.int64(), "ids": pa.list_(id_type), "sizes": pa.list_(pa.int64()), "numbers": pa.binary(), "words": pa.list_(pa.string())}
+    kinds = {"block": pa.int64(), "ids": pa.list_(id_type), "sizes": pa.list_(pa.int64()), "numbers": pa.binary(), "n_words": pa.int64(), "words": pa.list_(pa.string())}
     return pa.schema([*kinds.items(), ("at", pa.list_(pa.int32())), ("heaped", pa.list_(pa.binary()))])
 
 
@@ -201,7 +207,7 @@ def _block_rows(pattern: str, ranks: Broadcast, block_words: int) -> Callable:
             lists = pa.ListArray.from_arrays(pa.array([0, len(of_docs)], pa.int32()), of_docs)
             sizes = [len(f) // 4 for f in found]
             schema = _block_schema(of_docs.type)
-            columns = [[block], lists, [sizes], [numbers], [words], [at], [heaped]]
+            columns = [[block], lists, [sizes], [numbers], [len(words)], [words], [at], [heaped]]
             return pa.RecordBatch.from_arrays([c if c is lists else pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
         for batch in batches:
@@ -280,7 +286,7 @@ def _assembled(id_name: str) -> Callable:
 
     def rows(packed: pa.Table, block: pa.Table) -> pa.Table:
         row = {c: block.column(c).combine_chunks() for c in block.column_names}
-        n = pc.list_value_length(row["words"])[0].as_py()
+        n = row["n_words"][0].as_py()
         heaped = row["heaped"][0].as_py()
         at, sizes, ids = (np.frombuffer(b"".join(packed.column(c).to_pylist()), "<u4") for c in ("at", "sizes", "ids"))
         at = np.concatenate([at, np.array(row["at"][0].as_py(), "<u4")])
@@ -289,11 +295,14 @@ def _assembled(id_name: str) -> Callable:
         start, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
         start[at], size[at] = np.cumsum(sizes) - sizes, sizes
         numbers = _unpacked(row["numbers"][0].as_py(), n)
-        out = ids[_spread(start[numbers], size[numbers])]
+        out = bytearray()
+        for k in range(0, len(numbers), ASSEMBLED_WORDS):
+            some = numbers[k : k + ASSEMBLED_WORDS]
+            out += ids[_spread(start[some], size[some])].tobytes()
         before = np.concatenate([[0], np.cumsum(size[numbers])])
         ends = np.cumsum(row["sizes"].flatten().to_numpy())
         offsets = (4 * before[np.concatenate([[0], ends])]).astype(np.int32)
-        octets = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
+        octets = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out)])
         return pa.table([row["ids"].flatten(), octets], names=[id_name, "ids"])
 
     return rows
@@ -306,7 +315,7 @@ def encode(
     ranks = read_ranks(vocabulary)
     source = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
     id_type = source.schema[0].dataType.simpleString()
-    kinds = f"block long, ids array<{id_type}>, sizes array<long>, numbers binary, words array<string>, at array<int>, heaped array<binary>"
+    kinds = f"block long, ids array<{id_type}>, sizes array<long>, numbers binary, n_words long, words array<string>, at array<int>, heaped array<binary>"
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary: a fixed size
     blocks = saved(source.mapInArrow(_block_rows(pattern, shared, block_words), kinds), "blocks")
     split = F.pmod(F.xxhash64("block"), F.lit(blocks.count() // places + 1)).alias("split")
@@ -314,9 +323,9 @@ def encode(
     place = F.shiftleft("block", NUMBER_BITS).bitwiseOR(F.col("number").cast("long")).alias("place")
     # Spread before grouping: a word comes once a block, so there is little to combine earlier.
     words = words.select("word", split, place).repartition("word", "split").groupBy("word", "split").agg(F.collect_list("place").alias("places"))
-    folded = words.select("places", fold_merges(F.col("word"), rank_literal(ranks)).alias("ids"))
+    folded = words.select("places", _bound(rank_literal(ranks), lambda r: fold_merges(F.col("word"), r)).alias("ids"))
     packed = folded.mapInArrow(_packed_rows, _PACKED)
-    return packed.groupBy("block").cogroup(blocks.groupBy("block")).applyInArrow(_assembled(id_col), f"`{id_col}` {id_type}, ids binary")
+    return packed.groupBy("block").cogroup(blocks.drop("words").groupBy("block")).applyInArrow(_assembled(id_col), f"`{id_col}` {id_type}, ids binary")
 
 
 def decode(spark: SparkSession, ids: Column, vocabulary: str) -> Column:
