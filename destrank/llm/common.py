@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,19 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, plans that are run give Python tasks at most ``rows`` rows a
+    batch: whole texts are large, and a batch is held by both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def kept_in_worker(name: str, made_of: tuple, make: Callable[[], object]) -> object:
     """``make()``, kept by the worker process for its next task while it is
     asked for with the same ``made_of``. Task code is shipped by value, so its

@@ -24,6 +24,7 @@ segments cut at white space.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections import Counter, deque
@@ -36,14 +37,33 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import kept_in_worker, saved, table
+from .common import arrow_rows, kept_in_worker, saved, table
+from .token_counts import byte_letters
 
 CAPACITY = 2048
 CLOSING = (0).to_bytes(4, "little")
 SEGMENT_BYTES = 1 << 20
 CACHED_WORDS = 700_000
+CACHED_PIECES = 350_000
+PIECES_AT_ONCE = 2000
 TEXTS_AT_ONCE = 500
 MARK, LINE_WORDS = b"\0", 256
+#: Letters, digits and signs of ASCII, and the letters of Latin-1, which are
+#: alike in every version and normal form of Unicode, are plain.
+PLAIN = re.compile("(?!.*<)[!-~À-ÖØ-öø-ÿ]+").fullmatch
+PIECES_OF = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+END_OF_PIECE = "</w>"
+#: Normalizer, pre-tokenizer, kind, suffix and options of a vocabulary that cuts words as ``PIECES_OF`` does.
+KNOWN_RULES = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "BPE", END_OF_PIECE, None, False,
+)
+#: The letters that stand for bytes in a byte-level vocabulary; the blank between pieces stays.
+BYTE_LETTERS = {octet: letter for letter, octet in byte_letters().items() if octet != 32}
 #: A plan, or table of bases, of at most so many rows is broadcast.
 PLAN_ROWS = 1_000_000
 
@@ -61,33 +81,75 @@ class WordEncoder:
     """Token ids of a text as little-endian 32-bit words. The vocabulary drops
     white space, so words are encoded apart and remembered; at most
     ``CACHED_WORDS`` of them, of which those not met again go first. With
-    ``special_as_text`` the strings of special tokens are ordinary text."""
+    ``special_as_text`` the strings of special tokens are ordinary text.
+
+    Where the vocabulary is known to lower-case and to cut words into letters,
+    digits and signs (``KNOWN_RULES``), so are the ``plain`` words here, and
+    only their different pieces go through the merges, without the library's
+    Unicode steps; all other words go through it whole."""
 
     def __init__(self, vocabulary: str, special_as_text: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = special_as_text
         self.known: dict[bytes, bytes] = {}
         self.earlier: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         mark = self.tokenizer.encode(MARK.decode(), add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        self.merges = None
+        told = json.loads(self.tokenizer.to_str())
+        model = told["model"]
+        rules = (told["normalizer"], told["pre_tokenizer"], model["type"], model["end_of_word_suffix"], model["dropout"], model["ignore_merges"])
+        if rules == KNOWN_RULES and all(t["special"] and "<" in t["content"] for t in told["added_tokens"]):
+            self.merges = Tokenizer(self.tokenizer.model)
+            self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for t, i in model["vocab"].items() if t.endswith(END_OF_PIECE)]] = True
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; the unknown words of all are encoded at once."""
-        parts = [list(chain.from_iterable(map(bytes.split, _segments(t)))) for t in texts]  # ASCII white space only
+        parts = [t.split() if len(t) <= SEGMENT_BYTES else list(chain.from_iterable(map(bytes.split, _segments(t)))) for t in texts]  # ASCII white space only
         words = set().union(*parts)
         missing = words.difference(self.known)
         if len(self.known) + len(missing) > CACHED_WORDS // 2:
             self.earlier, self.known, missing = self.known, {}, words
-        again = {w: self.earlier[w] for w in missing if w in self.earlier}
-        self.known.update(again)
-        missing = missing.difference(again)
+        if self.earlier:
+            again = {w: self.earlier[w] for w in missing if w in self.earlier}
+            self.known.update(again)
+            missing = missing.difference(again)
+        if self.merges is not None:
+            missing = self._learn_plain(missing)
         self._learn([w for w in missing if MARK not in w], LINE_WORDS if self.mark is not None else 1)
         self._learn([w for w in missing if MARK in w], 1)
         return [b"".join(map(self.known.__getitem__, words)) for words in parts]
 
+    def _learn_plain(self, words: set[bytes]) -> list[bytes]:
+        """Encodes the plain words by their pieces; returns the other words."""
+        rest, plain, cut = [], [], []
+        for word in words:
+            text = word.decode()
+            if PLAIN(text):
+                plain.append(word)
+                cut.append(PIECES_OF(text.lower()))
+            else:
+                rest.append(word)
+        unknown = list(set().union(*cut).difference(self.pieces))
+        if len(self.pieces) + len(unknown) > CACHED_PIECES:
+            self.pieces, unknown = {}, list(set().union(*cut))
+        for k in range(0, len(unknown), PIECES_AT_ONCE):
+            some = unknown[k : k + PIECES_AT_ONCE]
+            line = " ".join(some).encode().decode("latin-1").translate(BYTE_LETTERS)
+            ids = np.array(self.merges.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            octets = ids.tobytes()
+            self.pieces.update(zip(some, [octets[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+        ids_of = self.pieces.__getitem__
+        self.known.update(zip(plain, [ids_of(c[0]) if len(c) == 1 else b"".join(map(ids_of, c)) for c in cut]))
+        return rest
+
     def _learn(self, words: list[bytes], together: int) -> None:
         """Encodes ``together`` words in one call, a marker word between them:
         no word here holds the marker, so its id can only come from it."""
@@ -129,10 +191,10 @@ def _piece_rows(vocabulary: str, special_as_text: bool, capacity: int, id_name:
         task, ranks = TaskContext.get().partitionId(), Counter()
         for batch in batches:
             encoder = encoder_of(vocabulary, special_as_text)
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for at in range(0, len(texts), TEXTS_AT_ONCE):
+            for at in range(0, len(batch), TEXTS_AT_ONCE):
+                texts = [t or b"" for t in batch.column(1).slice(at, TEXTS_AT_ONCE).cast(pa.binary()).to_pylist()]
                 index, out = [], []
-                for i, ids in enumerate(encoder.encode(texts[at : at + TEXTS_AT_ONCE]), at):
+                for i, ids in enumerate(encoder.encode(texts), at):
                     for piece in pieces_of(ids + CLOSING, capacity):
                         index.append(i)
                         out.append((*piece, task, ranks[piece[2]]))
@@ -180,7 +242,8 @@ def pack(
     spark = docs.sparkSession
     source = docs.select(F.col(id_col), F.col(text).cast("string").alias("_text"))
     id_type = source.schema[0].dataType.simpleString()
-    pieces = saved(source.mapInArrow(_piece_rows(vocabulary, special_as_text, capacity, id_col), f"`{id_col}` {id_type}, {PIECES}"), "pieces")
+    with arrow_rows(spark, TEXTS_AT_ONCE):
+        pieces = saved(source.mapInArrow(_piece_rows(vocabulary, special_as_text, capacity, id_col), f"`{id_col}` {id_type}, {PIECES}"), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     per_length = per_task.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks")).collect()  # capacity rows at most
     counts = {r["length"]: r["n"] for r in per_length}

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ P = pytest.importorskip("public_tokenizers")
 
 from destrank.llm import byte_bpe, kneser_ney, language_mixture, license_digest, packing  # noqa: E402
 from destrank.llm import partenum_join, pii_surrogates, pivot_search, repetition, reply_trees  # noqa: E402
+from destrank.llm.common import arrow_rows  # noqa: E402
 from destrank.llm.components import connected_components  # noqa: E402
 
 LONG = " ".join(f"word{i % 997} of the" for i in range(3000))
@@ -142,6 +144,34 @@ def test_special_strings_and_segments(monkeypatch, as_text):
             assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_plain_words_share_the_ids_of_their_pieces():
+    vocabulary = P.path("word_bpe_49k.json")
+    from tokenizers import Tokenizer
+
+    plain, encoder = Tokenizer.from_file(vocabulary), packing.WordEncoder(vocabulary)
+    rng = np.random.default_rng(5)
+    letters = list("aAbBsStTrReEvVmMlLdD'''019<|>/w,.-~!ÀßéÉÖ×÷ªºµÿ\u0301’\x85\x1c\x00İſKŸ中 \t\n")
+    texts = ["".join(rng.choice(letters, rng.integers(0, 40))) for _ in range(3000)]
+    texts += ["Straße straße, STRASSE. straße! straße-Straße", "it's IT'S we'll'd 2nd </w> a</w>"]
+    for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+    again = packing.WordEncoder(vocabulary)
+    again.encode(["Straße straße, STRASSE. straße! straße-Straße".encode()])
+    assert set(again.pieces) == {"straße", "strasse", ",", ".", "!", "-"}
+
+
+def test_texts_come_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], names=["n"])
+
+    rows = spark.range(0, 2500, 1, 1).mapInArrow(sizes, "n long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with arrow_rows(spark, 1000):
+        assert [r.n for r in rows.collect()] == [1000, 1000, 500]
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
 def test_packing_beside_columns_of_its_names(spark):
     rows = spark.createDataFrame([(7, "<|endoftext|>", 1, 2), (7, None, 1, 2), (None, "x", 1, 2)], "piece long, text string, length int, task int")
     out = packing.pack(rows.withColumnRenamed("piece", "doc"), P.path("word_bpe_49k.json"), id_col="doc")
