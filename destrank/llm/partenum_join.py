@@ -16,14 +16,15 @@ without a shared non-empty part are both short of parts, so none is lost.
    packed signatures, which Spark shuffles by signature bucket.
 2. A link ensures not one but several shared signatures; classes that share
    fewer with others, all together, drop out. In a group of equal signatures
-   every class is paired with one only, the class that shares most (in a family
-   of copies, the original). Pairs are verified on the whole sets; components
-   of the links follow.
+   one class is the hub, the one that shares most (in a family of copies, the
+   original). Each class is compared first with the hub that it meets most
+   often; components of the links follow, on whole sets as everywhere.
 3. What remains are pairs of different components in a group that was not
-   linked through. Groups of up to ``GROUP`` classes give those pairs. Larger
-   ones are passed over by every class that has, not counting them, still
-   more shared parts than the bound needs. The classes for which that is not
-   so are matched in rounds: a few members from outside the group's largest
+   linked through. A class that n such groups and a bound of s shared ones are
+   left with keeps the n - s + 1 smallest: with those, two linked classes still
+   meet in one, their first in the order of all groups. Hubs come first again;
+   then groups of up to ``GROUP`` classes give their pairs. Larger ones are
+   matched in rounds: a few members from outside the group's largest
    component with all members of other components, until each such member had
    its turn or the group is one component. So no group is expanded into all its
    pairs, and no link between components is lost.
@@ -44,10 +45,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_name, saved, table
+from .common import arrow_rows, fresh_name, saved, table
 from .components import connected_components
 
 WORDS = 5
@@ -60,6 +61,8 @@ GROUP = 32
 CENTRES = 4
 BUCKET_SIGNATURES = 1_500_000
 LEAST_BUCKETS = 64
+#: Texts whose signatures are made and packed together.
+TEXTS_AT_ONCE = 4000
 HASHED_WORDS = 400_000
 #: Class digests of at most so many classes are broadcast to pick their sets.
 PICKED_CLASSES = 8_000_000
@@ -295,25 +298,27 @@ def class_components(texts: DataFrame, sizes: DataFrame, group: int = GROUP) ->
     buckets = max(LEAST_BUCKETS, total // BUCKET_SIGNATURES + 1)
     packed = texts.select("text").mapInArrow(_signature_rows(buckets), PACKED)
     members = packed.groupBy("bucket").applyInPandas(_shared_members, "sig long, cls long, band int, spare int")
-    members = saved(_pruned(saved(members, "shared")), "weighted")
+    with arrow_rows(texts.sparkSession, TEXTS_AT_ONCE):
+        members = saved(members, "shared")
+    members = saved(_pruned(members), "weighted")
     sets = saved(_picked(texts, sizes.join(members.select("cls").distinct(), "cls")), "sets")
-    hubs = members.groupBy("sig").agg(F.max(F.struct("weight", "cls"))["cls"].alias("hub"))
-    stars = members.join(hubs, "sig").filter("cls <> hub")
-    stars = stars.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-    done = saved(verified(stars, sets, sizes), "verified")
+    stars = _stars(members).groupBy("cls", "hub").agg(F.count(F.lit(1)).alias("n"))
+    nearest = stars.groupBy("cls").agg(F.max(F.struct("n", "hub"))["hub"].alias("hub"))
+    done = saved(verified(_ordered(nearest, "cls", "hub"), sets, sizes), "verified")
     roots = saved(connected_components(done.filter("linked").select("a", "b")), "roots")
-    open_members = saved(_open(members, roots), "open")
+    open_members = saved(_fewest(_open(members, roots)), "open")
+    stars = _ordered(_stars(open_members).filter("root <> hub_root"), "cls", "hub")
+    more = saved(verified(stars.join(done.select("a", "b"), ["a", "b"], "left_anti"), sets, sizes), "verified")
+    done, roots = done.unionByName(more), _joined(roots, more)
+    open_members = saved(_open(open_members, roots), "open")
     pairs = _small_group_pairs(open_members.filter(F.col("size") <= group))
-    large = _bound_members(open_members.filter(F.col("size") > group))
+    large = open_members.filter(F.col("size") > group).select("sig", "cls")
+    large = large if large.head(1) else None
     past, centres = None, CENTRES
     while True:
         fresh = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
         more = saved(verified(fresh, sets, sizes), "verified")
-        new = more.filter("linked").select("a", "b")
-        if new.head(1):
-            # Earlier links are kept as their components: as good, and no longer than the classes.
-            joined = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = saved(connected_components(joined.unionByName(new)), "roots")
+        roots = _joined(roots, more)
         if large is None:
             return roots
         done = saved(done.unionByName(more), "verified")
@@ -324,6 +329,42 @@ def class_components(texts: DataFrame, sizes: DataFrame, group: int = GROUP) ->
         centres *= 2
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """The members of groups beside their group's hub, the class of the largest weight."""
+    others = [c for c in ("root",) if c in members.columns]
+    hubs = members.groupBy("sig").agg(F.max(F.struct("weight", "cls", *others)).alias("h"))
+    hubs = hubs.select("sig", F.col("h.cls").alias("hub"), *[F.col(f"h.{c}").alias(f"hub_{c}") for c in others])
+    return members.join(hubs, "sig").filter("cls <> hub")
+
+
+def _ordered(pairs: DataFrame, left: str, right: str) -> DataFrame:
+    return pairs.select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b")).distinct()
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """The components with further links. Earlier links are kept as their
+    components: as good, and no longer than the classes."""
+    new = more.filter("linked").select("a", "b")
+    if not new.head(1):
+        return roots
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return saved(connected_components(known.unionByName(new)), "roots")
+
+
+def _fewest(members: DataFrame) -> DataFrame:
+    """The members of open groups that can still find every link. Two linked
+    classes of different components share only open groups, at least ``spare``
+    in a band. So a class with n open groups there needs the n - spare + 1 that
+    come first in an order of all groups: the first one that both share is
+    among them for both. Smallest groups come first. ``size`` is of what is left."""
+    own = Window.partitionBy("cls", "band")
+    needed = F.count(F.lit(1)).over(own) - F.greatest(F.min("spare").over(own), F.lit(1)) + 1
+    members = members.withColumn("_needed", needed).withColumn("_place", F.row_number().over(own.orderBy("size", "sig")))
+    members = saved(members.filter("_place <= _needed").drop("_needed", "_place", "size"), "fewest")
+    left = members.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return members.join(left.filter("lo <> hi").select("sig", "size"), "sig")
+
+
 def _with_roots(members: DataFrame, roots: DataFrame) -> DataFrame:
     known = members.drop("root").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left")
     return known.withColumn("root", F.coalesce("root", F.col("cls")))
@@ -343,14 +384,6 @@ def _small_group_pairs(members: DataFrame) -> DataFrame:
     return left.join(right, "sig").filter("a < b AND root_a <> root_b").select("a", "b").distinct()
 
 
-def _bound_members(members: DataFrame) -> DataFrame | None:
-    """The members of large open groups whose class cannot pass over all of
-    its own; None if there is no such class."""
-    passed = members.groupBy("cls", "band").agg(F.count(F.lit(1)).alias("open"), F.min("spare").alias("least"))
-    bound = saved(members.join(passed.filter("open >= least").select("cls", "band"), ["cls", "band"], "left_semi"), "bound")
-    return bound.select("sig", "cls") if bound.head(1) else None
-
-
 def _round_pairs(members: DataFrame, roots: DataFrame, past: DataFrame | None, centres: int) -> tuple[DataFrame, DataFrame]:
     """The next centres (sig, cls) of each large group that still has several
     components, at most ``centres`` a group and none from the group's largest

@@ -276,6 +276,28 @@ def test_jaccard_components(spark, group):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
 
 
+def test_few_pairs_of_copies_and_of_texts_with_a_common_passage(spark, monkeypatch):
+    rng, compared = np.random.default_rng(8), []
+    base, passage = ([f"{kind}{i}" for i in range(n)] for kind, n in (("b", 200), ("p", 25)))
+    texts = []
+    for i in range(60):
+        copy = list(base)
+        for k in rng.integers(0, 200, 1):
+            copy[k] = f"c{i}"
+        texts += [" ".join(copy), " ".join([f"t{i}x{k}" for k in range(65)] + passage)]
+    plain = partenum_join.verified
+
+    def counted(pairs, sets, sizes):
+        compared.append(pairs.count())
+        return plain(pairs, sets, sizes)
+
+    monkeypatch.setattr(partenum_join, "verified", counted)
+    rows = list(enumerate(texts))
+    got = partenum_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), group=3)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute_components(rows)
+    assert sum(compared) <= len(texts), compared
+
+
 def test_signatures_lose_no_link():
     rng, ends = np.random.default_rng(0), partenum_join.bands()
     for _ in range(1500):
