@@ -51,7 +51,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their token ids, packed into sequences;
     strings of control tokens inside documents stay text."""
-    return pack(docs, op3_vocabulary(), special_as_text=True)
+    return pack(docs, op3_vocabulary(), special_as_text=True, lean=True)
 
 
 STAGES = [

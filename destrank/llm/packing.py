@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, kept_in_worker, saved, table
+from .common import arrow_rows, give_back, kept_in_worker, saved, table
 from .token_counts import byte_letters
 
 CAPACITY = 2048
@@ -45,6 +45,8 @@ CLOSING = (0).to_bytes(4, "little")
 SEGMENT_BYTES = 1 << 20
 CACHED_WORDS = 700_000
 CACHED_PIECES = 350_000
+#: The same for lean tasks, which also forget all at their end.
+LEAN_WORDS, LEAN_PIECES = 200_000, 150_000
 PIECES_AT_ONCE = 2000
 TEXTS_AT_ONCE = 500
 MARK, LINE_WORDS = b"\0", 256
@@ -80,7 +82,7 @@ def op3_vocabulary() -> str:
 class WordEncoder:
     """Token ids of a text as little-endian 32-bit words. The vocabulary drops
     white space, so words are encoded apart and remembered; at most
-    ``CACHED_WORDS`` of them, of which those not met again go first. With
+    ``cached_words`` of them, of which those not met again go first. With
     ``special_as_text`` the strings of special tokens are ordinary text.
 
     Where the vocabulary is known to lower-case and to cut words into letters,
@@ -88,7 +90,8 @@ class WordEncoder:
     only their different pieces go through the merges, without the library's
     Unicode steps; all other words go through it whole."""
 
-    def __init__(self, vocabulary: str, special_as_text: bool = False) -> None:
+    def __init__(self, vocabulary: str, special_as_text: bool = False, cached_words: int = CACHED_WORDS, cached_pieces: int = CACHED_PIECES) -> None:
+        self.cached_words, self.cached_pieces = cached_words, cached_pieces
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -109,12 +112,16 @@ class WordEncoder:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends[[i for t, i in model["vocab"].items() if t.endswith(END_OF_PIECE)]] = True
 
+    def forget(self) -> None:
+        """Drops all words and pieces; the vocabulary stays."""
+        self.known, self.earlier, self.pieces = {}, {}, {}
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text; the unknown words of all are encoded at once."""
         parts = [t.split() if len(t) <= SEGMENT_BYTES else list(chain.from_iterable(map(bytes.split, _segments(t)))) for t in texts]  # ASCII white space only
         words = set().union(*parts)
         missing = words.difference(self.known)
-        if len(self.known) + len(missing) > CACHED_WORDS // 2:
+        if len(self.known) + len(missing) > self.cached_words // 2:
             self.earlier, self.known, missing = self.known, {}, words
         if self.earlier:
             again = {w: self.earlier[w] for w in missing if w in self.earlier}
@@ -137,7 +144,7 @@ class WordEncoder:
             else:
                 rest.append(word)
         unknown = list(set().union(*cut).difference(self.pieces))
-        if len(self.pieces) + len(unknown) > CACHED_PIECES:
+        if len(self.pieces) + len(unknown) > self.cached_pieces:
             self.pieces, unknown = {}, list(set().union(*cut))
         for k in range(0, len(unknown), PIECES_AT_ONCE):
             some = unknown[k : k + PIECES_AT_ONCE]
@@ -163,9 +170,10 @@ class WordEncoder:
                 self.known[word] = octets[4 * start : 4 * end]
 
 
-def encoder_of(vocabulary: str, special_as_text: bool = False) -> WordEncoder:
+def encoder_of(vocabulary: str, special_as_text: bool = False, cached_words: int = CACHED_WORDS, cached_pieces: int = CACHED_PIECES) -> WordEncoder:
     """The encoder of this worker process, kept for its next task."""
-    return kept_in_worker("word encoder", (vocabulary, special_as_text), lambda: WordEncoder(vocabulary, special_as_text))
+    made_of = (vocabulary, special_as_text, cached_words, cached_pieces)
+    return kept_in_worker("word encoder", made_of, lambda: WordEncoder(*made_of))
 
 
 def _segments(text: bytes) -> Iterator[bytes]:
@@ -186,11 +194,13 @@ def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, bytes]
         yield k, at // 4, len(part) // 4, part
 
 
-def _piece_rows(vocabulary: str, special_as_text: bool, capacity: int, id_name: str) -> Callable:
+def _piece_rows(vocabulary: str, special_as_text: bool, capacity: int, id_name: str, lean: bool = False) -> Callable:
+    made_of = (vocabulary, special_as_text, *((LEAN_WORDS, LEAN_PIECES) if lean else (CACHED_WORDS, CACHED_PIECES)))
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, ranks = TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            encoder = encoder_of(vocabulary, special_as_text)
+            encoder = encoder_of(*made_of)
             for at in range(0, len(batch), TEXTS_AT_ONCE):
                 texts = [t or b"" for t in batch.column(1).slice(at, TEXTS_AT_ONCE).cast(pa.binary()).to_pylist()]
                 index, out = [], []
@@ -202,6 +212,9 @@ def _piece_rows(vocabulary: str, special_as_text: bool, capacity: int, id_name:
                 columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()))]
                 names = [id_name, *[c.split()[0] for c in PIECES.split(", ")]]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(index)), *columns], names=names)
+        if lean:
+            encoder_of(*made_of).forget()
+            give_back()
 
     return rows
 
@@ -236,14 +249,17 @@ def plan_best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int,
 
 
 def pack(
-    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, special_as_text: bool = False
-) -> DataFrame:
-    """One row per piece of every document, with its token ids, sequence and offset."""
+    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY, special_as_text: bool = False,
+    lean: bool = False,
+) -> DataFrame:
+    """One row per piece of every document, with its token ids, sequence and offset.
+    ``lean`` tasks cost more time and keep no words for the next ones: for a job
+    whose earlier steps have left each executor with more idle workers than cores."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col), F.col(text).cast("string").alias("_text"))
     id_type = source.schema[0].dataType.simpleString()
     with arrow_rows(spark, TEXTS_AT_ONCE):
-        pieces = saved(source.mapInArrow(_piece_rows(vocabulary, special_as_text, capacity, id_col), f"`{id_col}` {id_type}, {PIECES}"), "pieces")
+        pieces = saved(source.mapInArrow(_piece_rows(vocabulary, special_as_text, capacity, id_col, lean), f"`{id_col}` {id_type}, {PIECES}"), "pieces")
     per_task = pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n"))
     per_length = per_task.groupBy("length").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("tasks")).collect()  # capacity rows at most
     counts = {r["length"]: r["n"] for r in per_length}

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, fresh_name, saved, table
+from .common import arrow_rows, fresh_name, give_back, saved, table
 from .components import connected_components
 
 WORDS = 5
@@ -153,6 +153,8 @@ def _class_rows(id_name: str) -> Callable:
             sets = [shingle_set(t, hashes) for t in _binary_texts(batch, 1)]
             columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) for s in sets], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[id_name, "n_shingles", "cls"])
+        del hashes
+        give_back()
 
     return rows
 
@@ -195,6 +197,8 @@ def _signature_rows(buckets: int) -> Callable:
                     out.append((k, *[c.tobytes() for c in columns]))
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in PACKED.split(", ")]).astype({"bucket": "int32"})
             yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+        del hashes
+        give_back()
 
     return rows
 
@@ -241,6 +245,8 @@ def _picked_sets(wanted) -> Callable:
                     out.append((cls, shingles.tobytes()))
             columns = [pa.array([c for c, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["cls", "shingles"])
+        del hashes, told
+        give_back()
 
     return rows
 
