@@ -42,7 +42,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import arrow_rows, give_back, saved, table
 
 FOLD_BYTES = 64
 RANK_MAPS = 1 << 14
@@ -55,6 +55,8 @@ PLACES = 50_000
 PACKED_PLACES = 500_000
 #: Words of a block that are looked up at once.
 ASSEMBLED_WORDS = 500_000
+#: Texts given to a task at once.
+TEXTS_AT_ONCE = 500
 #: A place is a long: task, block of the task, number in the block.
 BLOCK_BITS, NUMBER_BITS = 15, 28
 _SPACES = "\t\n\x0b\x0c\r\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
@@ -224,6 +226,8 @@ def _block_rows(pattern: str, ranks: Broadcast, block_words: int) -> Callable:
                 ids.append(batch.column(0).slice(start))
         if found:
             yield written()
+        del known, ids, found
+        give_back()
 
     return rows
 
@@ -279,6 +283,8 @@ def _packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, n = [], 0
     if held:
         yield written(held)
+    del held
+    give_back()
 
 
 def _assembled(id_name: str) -> Callable:
@@ -295,14 +301,20 @@ def _assembled(id_name: str) -> Callable:
         start, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
         start[at], size[at] = np.cumsum(sizes) - sizes, sizes
         numbers = _unpacked(row["numbers"][0].as_py(), n)
-        out = bytearray()
+        ends = np.cumsum(row["sizes"].flatten().to_numpy())
+        before = np.zeros(len(ends) + 1, np.int64)  # ids before each document, and in all
+        out, n_ids = bytearray(), 0
         for k in range(0, len(numbers), ASSEMBLED_WORDS):
             some = numbers[k : k + ASSEMBLED_WORDS]
-            out += ids[_spread(start[some], size[some])].tobytes()
-        before = np.concatenate([[0], np.cumsum(size[numbers])])
-        ends = np.cumsum(row["sizes"].flatten().to_numpy())
-        offsets = (4 * before[np.concatenate([[0], ends])]).astype(np.int32)
-        octets = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out)])
+            counts = size[some]
+            a, b = np.searchsorted(ends, [k + 1, k + len(some) + 1])  # documents that end among these words
+            total = np.cumsum(counts)
+            before[a + 1 : b + 1] = n_ids + total[ends[a:b] - k - 1]
+            before[b + 1 :] = n_ids = n_ids + int(total[-1])
+            out += ids[_spread(start[some], counts)].tobytes()
+        octets = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer((4 * before).astype(np.int32).tobytes()), pa.py_buffer(out)])
+        del numbers, start, size, at, sizes, ids
+        give_back()
         return pa.table([row["ids"].flatten(), octets], names=[id_name, "ids"])
 
     return rows
@@ -317,7 +329,8 @@ def encode(
     id_type = source.schema[0].dataType.simpleString()
     kinds = f"block long, ids array<{id_type}>, sizes array<long>, numbers binary, n_words long, words array<string>, at array<int>, heaped array<binary>"
     shared = docs.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary: a fixed size
-    blocks = saved(source.mapInArrow(_block_rows(pattern, shared, block_words), kinds), "blocks")
+    with arrow_rows(docs.sparkSession, TEXTS_AT_ONCE):
+        blocks = saved(source.mapInArrow(_block_rows(pattern, shared, block_words), kinds), "blocks")
     split = F.pmod(F.xxhash64("block"), F.lit(blocks.count() // places + 1)).alias("split")
     words = blocks.select("block", F.posexplode("words").alias("number", "word")).filter("word IS NOT NULL")
     place = F.shiftleft("block", NUMBER_BITS).bitwiseOR(F.col("number").cast("long")).alias("place")
@@ -362,4 +375,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents")
-    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("ids")
+    found = encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("ids")
+    with arrow_rows(spark, TEXTS_AT_ONCE):  # a batch of ids or bytes is held by both sides
+        return saved(found, "digests")

@@ -222,6 +222,30 @@ def test_byte_bpe_of_nothing_nulls_and_repeats(spark, docs):
     assert sorted((r.doc_id or 0, len(r.ids)) for r in got) == [(0, 8), (0, 8), (2, 0), (3, 0)]
 
 
+def test_byte_bpe_blocks_are_assembled_in_little_memory(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(byte_bpe, "ASSEMBLED_WORDS", 50_000)
+    n, sizes = 1000, [0, 49_999, 0, 1, 0, 700_000, 1_250_000, 0]
+    numbers = np.arange(sum(sizes)) % n
+    columns = {"block": [7], "ids": [list(range(len(sizes)))], "sizes": [sizes], "numbers": [byte_bpe._packed(numbers, n)], "n_words": [n], "at": [[]], "heaped": [[]]}
+    schema = byte_bpe._block_schema(pa.int64())
+    block = pa.table([pa.array(v, schema.field(c).type) for c, v in columns.items()], names=list(columns))
+    lengths = np.arange(n) % 2 + 1
+    packed = [np.arange(n), lengths, np.repeat(np.arange(n), lengths)]
+    packed = pa.table({c: [v.astype("<u4").tobytes()] for c, v in zip(("at", "sizes", "ids"), packed)})
+    tracemalloc.start()
+    got = byte_bpe._assembled("doc_id")(packed, block)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ends = np.cumsum(sizes)
+    want = [np.repeat(numbers[e - s : e], lengths[numbers[e - s : e]]).astype("<u4").tobytes() for e, s in zip(ends, sizes)]
+    assert got.column("ids").to_pylist() == want
+    assert peak < 20 * len(numbers)  # 12 of them: the numbers and ids
+
+
 def test_byte_bpe_gives_ids_and_decodes_them(spark, docs):
     import tiktoken
 
